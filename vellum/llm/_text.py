@@ -77,13 +77,19 @@ def word_spans(data: list[bytes], breaks: np.ndarray = WHITE) -> tuple[np.ndarra
     return buf, starts, ends, np.concatenate(([0], np.searchsorted(starts, doc_end)))
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _TABLE) -> np.ndarray:
-    """A 64-bit hash of each span of bytes."""
+def many_hashes(buf: np.ndarray, spans: list[tuple[np.ndarray, np.ndarray]], table: np.ndarray = _TABLE) -> list[np.ndarray]:
+    """A 64-bit hash of each span of bytes, for several lists of (starts, ends)."""
     n = len(buf)
     run = np.empty(n + 1, np.uint64)
     run[0] = 0
     np.cumsum(table[buf] * _power("up", _MULT, n), out=run[1:])
-    return mix64((run[ends] - run[starts]) * _power("down", _INV, n)[starts] + (ends - starts).astype(np.uint64))
+    down = _power("down", _INV, n)
+    return [mix64((run[ends] - run[starts]) * down[starts] + (ends - starts).astype(np.uint64)) for starts, ends in spans]
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes."""
+    return many_hashes(buf, [(starts, ends)])[0]
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int) -> Iterator[np.ndarray]:

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm._arrow import runs
 from vellum.llm._shared import components, written
 from vellum.llm._text import blocks, mix64, shingle_hashes, span_hashes, word_spans
 
@@ -99,26 +100,6 @@ def _set_maker(width: int):
     return make
 
 
-def _runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.Table]]:
-    """Runs of equal keys (the first ``n_keys`` columns) of sorted batches, one table each."""
-    held: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = pa.Table.from_batches([batch])
-        if held is not None:
-            now = pa.concat_tables([held, now])
-        keys = list(zip(*(now.column(i).to_pylist() for i in range(n_keys)), strict=True))
-        at = 0
-        for i in range(1, len(keys)):
-            if keys[i] != keys[at]:
-                yield keys[at], now.slice(at, i - at)
-                at = i
-        held = now.slice(at).combine_chunks()
-    if held is not None and held.num_rows:
-        yield tuple(held.column(i)[0].as_py() for i in range(n_keys)), held
-
-
 class Union:
     """Union-find over 0..n-1; the smaller index is the root."""
 
@@ -145,7 +126,7 @@ def _forest(threshold: float):
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders = [order(t) for t in range(ORDERS)]
         left, right = [], []
-        for (tree, _), run in _runs(batches, 2):
+        for (tree, _), run in runs(batches, 2):
             prints = _binary(run.column(2))
             sigs = np.frombuffer(b"".join(_binary(run.column(3))), np.uint16).reshape(-1, HASHES)
             if len(prints) == 2:
@@ -209,7 +190,7 @@ def exact_links(sets: list[np.ndarray], sides: np.ndarray, cross: bool, percent:
 def _verifier(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
-        for (_, i, j), run in _runs(batches, 3):
+        for (_, i, j), run in runs(batches, 3):
             prints, sides = _binary(run.column(4)), np.array(run.column(3).to_pylist())
             by = sorted(range(len(prints)), key=prints.__getitem__)
             sets = [np.frombuffer(x, np.uint64) for x in _binary(run.column(5))]
