@@ -188,13 +188,15 @@ def train(docs: DataFrame, usable: F.Column, per_language: int = PER_LANGUAGE, p
     return names, languages, table
 
 
-def _scorer(model):
+def _scorer(model, text_at: int, least: float | None):
+    """Language and score beside the first column, or with ``least`` the rows that score it, as they are."""
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, languages, table = model.value
         pieces = Pieces(names)
         for batch in batches:
             labels, scores, held, size = [], [], [], 0
-            texts = batch.column(1)
+            texts = batch.column(text_at)
 
             def flush() -> None:
                 words, sizes = [], []
@@ -224,16 +226,25 @@ def _scorer(model):
                     held, size = [], 0
             if held:
                 flush()
+            if least is not None:
+                yield batch.filter(pa.array([s >= least for s in scores], pa.bool_()))
+                continue
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return score
 
 
-def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of each row."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return slim.mapInArrow(_scorer(shared), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return slim.mapInArrow(_scorer(shared, 1, None), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+
+
+def told(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language can be told with a score of ``least`` or more, in all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_scorer(shared, docs.columns.index(text_col), least), docs.schema)
 
 
 def fold(id_col: str, n: int) -> F.Column:

@@ -267,3 +267,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     out = sketches.drop("sig").join(named, "fp", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id stands for its group, in all their columns; rows that repeat in id and text count once."""
+    kept = near_duplicates(docs, width, percent, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_kept")).filter("_kept IS NOT NULL")
+    rows = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col, text_col])
+    return rows.unionByName(docs.filter(F.col(id_col).isNull()))
