@@ -17,7 +17,7 @@ KEY = ["doc_id", "page", "table_index"]
 def axis_label(text: Column | str) -> Column:
     """Whether a cell looks like the rotated text of a chart's axis: four lines or more, most of at most two characters."""
     text = F.col(text) if isinstance(text, str) else text
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce((F.size(lines) >= 4) & (F.size(F.filter(lines, lambda x: F.length(x) <= 2)) > F.size(lines) * 0.6), F.lit(False))
 
 

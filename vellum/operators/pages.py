@@ -228,7 +228,7 @@ def labelled_cells(nodes: DataFrame, labels: dict[str, str], name_label: str, ci
     """
     rows = nodes.filter("tag = 'tr'")
     cells = inside(rows, nodes.filter("tag = 'td'"), {}).withColumnRenamed("outer_id", "row_id").withColumn("label", F.trim(F.try_element_at("attrs", F.lit("data-label"))))
-    own = F.try_element_at(F.filter(F.transform("own", F.trim), lambda s: s != ""), F.lit(1))
+    own = F.try_element_at(F.filter(F.transform("own", lambda s: F.trim(s)), lambda s: s != ""), F.lit(1))
     link = first_of(inside(cells.filter(F.col("label") == name_label), nodes.filter("tag = 'a'"), {"row_id": "row"}), ["page_id", "row"]).select("page_id", F.col("row").alias("row_id"), F.try_element_at("attrs", F.lit("href")).alias("url"))
     fields = [F.min_by(F.when(F.col("label") == label, own if label == city_label else F.col("text")), F.when(F.col("label") == label, F.col("node_id"))).alias(field) for label, field in labels.items()]
     lost = F.bool_or((F.col("label") == city_label) & own.isNull()) if city_label else F.lit(False)
