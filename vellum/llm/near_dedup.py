@@ -5,7 +5,8 @@
 2. Forest: 16 orders of the signature. In each order classes that share the first ``DEPTH`` values form a region;
    regions of more than ``REGION`` classes are split by more and more values (the depth adapts to each region).
    Inside a region the classes are sorted by their values in that order, and those whose signatures agree
-   enough become candidates; a region sends a spanning forest of them, never all pairs.
+   enough become candidates; a region sends a spanning forest of them, never all pairs. Before a region is split, the
+   sorted neighbours of the whole region are compared too, so a class that is alone at the deeper level keeps its links.
 3. Candidate components are found by star contraction, and each class's full set is sent to its component
    once. There an inverted index of shingles counts exact intersections. Components of more than ``REGION`` classes
    are compared block by block in separate tasks.
@@ -14,7 +15,7 @@ Hot groups: exact copies collapse in an aggregation with partial sums; a region
 about two blocks of ``REGION`` sets into a task. No partner or candidate is capped.
 
 Defined cases: a null or empty text and one of white space only has n_shingles 0 and is linked with nothing;
-repeated rows with equal ids are kept as rows and share a class if their texts agree; a null id is a value of its own;
+repeated rows with equal ids are kept as rows and share a class if their texts agree; rows with a null id are linked only with rows of an equal set;
 other columns of the input are ignored; an empty table gives an empty result.
 """
 
@@ -32,6 +33,8 @@ from vellum.llm._shared import components, written
 from vellum.llm._text import blocks, mix64, shingle_hashes, span_hashes, word_spans
 
 HASHES, ORDERS, DEPTH, REGION = 64, 16, 4, 4096
+#: In a region that is split, so many classes before each one in the sorted order are compared with it.
+NEIGHBOURS = 4
 #: Depths tried one after another in regions that stay too large.
 DEPTHS = (4, 6, 8, 12, 16, 24, 32, 64)
 #: A candidate's signatures agree in at least threshold - SLACK (three standard deviations) of the positions.
@@ -210,12 +213,34 @@ def _key(depth: int) -> F.Column:
     return F.array(*(one(t) for t in range(ORDERS)))
 
 
+def _spots(depth: int) -> F.Column:
+    """By tree, the places of its first values in the signature's bytes."""
+    return F.array(*(F.array(*(F.lit(2 * int(p) + 1) for p in order(t)[:depth])) for t in range(ORDERS)))
+
+
 def _deeper(depth: int) -> F.Column:
-    out = None
-    for t in range(ORDERS):
-        spots = [F.expr(f"substring(sig, {2 * int(p) + 1}, 2)") for p in order(t)[:depth]]
-        out = F.when(F.col("tree") == t, F.xxhash64(F.lit(depth), *spots)) if out is None else out.when(F.col("tree") == t, F.xxhash64(F.lit(depth), *spots))
-    return out
+    """The region key at a depth for a row's own tree. Only rows of regions that are too large get here."""
+    spots = F.element_at(_spots(depth), F.col("tree") + 1)
+    return F.xxhash64(F.lit(depth), F.transform(spots, lambda p: F.substring("sig", p, 2)))
+
+
+def _chain(threshold: float):
+    """Candidates among neighbours of one sorted order, over batches that need not hold whole regions."""
+    least = int(np.floor((threshold - SLACK) * HASHES))
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[tuple] = []
+        for batch in batches:
+            left, right = [], []
+            for tree, key, fp, sig in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                own = np.frombuffer(sig, np.uint16)
+                for t, k, other, values in last:
+                    if (t, k) == (tree, key) and (values == own).sum() >= least:
+                        left.append(fp), right.append(other)
+                last = [*last[1 - NEIGHBOURS :], (tree, key, fp, own)]
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+
+    return link
 
 
 def candidate_edges(classes: DataFrame, threshold: float, region: int = REGION) -> DataFrame:
@@ -231,6 +256,11 @@ def candidate_edges(classes: DataFrame, threshold: float, region: int = REGION)
         large = written(held.filter(F.col("n") > region).select("tree", "key", "fp", "sig"), "regions")
         if large.isEmpty():
             break
+        if k == 0:
+            spots = F.element_at(_spots(16), F.col("tree") + 1)
+            label = F.aggregate(F.transform(spots, lambda p: F.substring("sig", p, 2)), F.lit(b""), lambda a, x: F.concat(a, x))
+            in_order = large.withColumn("label", label).repartitionByRange("tree", "key", "label", "fp").sortWithinPartitions("tree", "key", "label", "fp")
+            edges = edges.union(in_order.select("tree", "key", "fp", "sig").mapInArrow(_chain(threshold), "a binary, b binary"))
         if k + 1 == len(DEPTHS):  # equal signatures throughout: a star is all that is needed
             leads = large.groupBy("tree", "key").agg(F.min("fp").alias("a"))
             edges = edges.union(large.join(leads, ["tree", "key"]).select("a", F.col("fp").alias("b")))
