@@ -248,5 +248,5 @@ def told(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], least:
 
 
 def fold(id_col: str, n: int) -> F.Column:
-    """crc32 of the id as text, modulo n."""
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
+    """crc32 of the id as text, modulo n; a null id counts as an empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(n))

@@ -104,10 +104,10 @@ def _span(copy: int, ranges: int) -> F.Column:
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, in the columns of ``docs``. Ids may repeat."""
     mix = fair_mix(docs, **settings)
-    keys = ["doc_id", "source", "size"]
-    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("copies").desc()))
-    mine = mix.withColumn("turn", turn).filter("copies > 0").select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("turn").alias("_turn2"), "copies")
-    rows = docs.withColumn("_size0", word_count(F.col("text")))
-    rows = rows.withColumn("_turn", F.row_number().over(Window.partitionBy("doc_id", "source", "_size0").orderBy(F.lit(1))))
-    match = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_size0") == F.col("_size")) & (F.col("_turn") == F.col("_turn2"))
-    return rows.join(mine, match).withColumn("_copy", F.explode(F.expr("sequence(1L, copies)"))).select(*docs.columns)
+    names = [settings.get(k, v) for k, v in (("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text"))]
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), F.col(names[0]).alias("id"), F.col(names[1]).alias("src"), word_count(F.col(names[2])).alias("n"))
+    rows = rows.withColumn("turn", F.row_number().over(Window.partitionBy("id", "src", "n").orderBy(F.lit(1))))
+    turn = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies")))
+    mine = mix.select("doc_id", "source", "size", turn.alias("t"), "copies").filter("copies > 0")
+    match = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("src").eqNullSafe(F.col("source")) & (F.col("n") == F.col("size")) & (F.col("turn") == F.col("t"))
+    return rows.join(mine, match).select("whole", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("whole.*")
