@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         now = after
     roots = now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+#: A table of counts by label is broadcast up to so many rows; beyond, it is joined by its key.
+LABELS = 10_000
+
+
+def hashed_sample(rows: DataFrame, by: str, limit: F.Column) -> DataFrame:
+    """(id, by) of at most ``limit`` rows of each value of ``by``, the same ones in every run: those of the least hashes of ``id``.
+
+    The counts say which share of the hashes holds four times the rows wanted, so only those few are sorted.
+    """
+    counts = rows.groupBy(by).agg(F.count("*").alias("total"))
+    counts = F.broadcast(counts) if counts.limit(LABELS + 1).count() <= LABELS else counts
+    order = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))
+    place = F.conv(F.substring("order", 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    few = rows.select("id", by).withColumn("order", order).join(counts, by).filter(place * F.col("total") <= 4 * limit)
+    ranked = few.withColumn("n", F.row_number().over(Window.partitionBy(by).orderBy("order", "id")))
+    return ranked.filter(F.col("n") <= limit).select("id", by)

@@ -22,9 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm._shared import hashed_sample
+
 #: Labelled documents of each language that are used for training.
 PER_LANGUAGE = 300
 LONGEST, PIECE, ROUNDS, FLOOR, BOOST = 32, 8, 3, 1e-7, 16.0
@@ -166,18 +168,17 @@ def learn(counts: dict[str, Counter], pieces: Pieces) -> tuple[list[str], np.nda
                 for (a, b, numbers), p in zip(lattice, probability, strict=True):
                     share = np.where(b <= lengths, w * forward[a] * p * backward[b] / total, 0)
                     got += np.bincount(numbers, share, pieces.n + 1)
+            got += 1e-3
             got[pieces.n] = 0
-            own = ((got + 1e-3) / (got + 1e-3).sum())[:, None]
-            own[pieces.n] = 0
+            own = (got / got.sum())[:, None]
         table[:, column] = own[:, 0]
     return languages, table
 
 
 def train(docs: DataFrame, usable: F.Column, per_language: int = PER_LANGUAGE, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
     """Pieces, languages and probabilities, learned from a bounded sample of the rows that ``usable`` marks."""
-    order = Window.partitionBy("lang").orderBy(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), "id")
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), usable.alias("ok")).filter(F.col("ok") & F.col("lang").isNotNull())
-    chosen = rows.select("id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).select("id", "lang")
+    chosen = hashed_sample(rows, "lang", F.lit(per_language))
     # per_language rows a language: the bound makes this side small
     texts = docs.join(F.broadcast(chosen), (docs[id_col] == chosen.id) & (docs[lang_col] == chosen.lang)).select(chosen.lang, docs[text_col].alias("text"))
     counts: dict[str, Counter] = {}
