@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vellum.functions import scalars as S
 from vellum.functions.recode import recode
 from vellum.operators import county, grid, pages, records, survey
-from vellum.plans.oracle import ORACLE_SQL
+from vellum.plans import derived, oracle
 from vellum.session import table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -345,3 +345,6 @@ QUERIES = {f.__name__: f for f in (
     parse_move_text, url_parts, page_title_h1, page_links, page_list_items, grid_is_table, grid_headers_records, diversity_by_area, change_between_waves,
     regression_residuals, adjusted_rate,
 )}
+
+QUERIES |= derived.QUERIES
+ORACLE_SQL = oracle.ORACLE_SQL | derived.ORACLE_SQL
