@@ -98,8 +98,8 @@ def test_empty_table(spark):
 
 def test_exact_links_cross_and_percent():
     sets = [np.array(x, np.uint64) for x in ([1, 2, 3, 4, 5], [1, 2, 3, 4], [1, 2, 3, 9], [50])]
-    assert N.exact_links(sets, np.zeros(4), False, 80) == [(0, 1)]
-    assert N.exact_links(sets, np.array([0, 0, 1, 1]), True, 60) == [(1, 2)]
+    assert N.exact_links(sets, np.zeros(4), False, 80) == [(1, 0)]
+    assert N.exact_links(sets, np.array([0, 0, 1, 1]), True, 60) == [(2, 1)]
     assert N.exact_links([], np.array([]), False, 80) == []
 
 

@@ -5,7 +5,7 @@
 2. Forest: 16 orders of the signature. In each order classes that share the first ``DEPTH`` values form a region;
    regions of more than ``REGION`` classes are split by more and more values (the depth adapts to each region).
    Inside a region the classes are sorted by their values in that order, and those whose signatures agree
-   enough become candidates; a region sends a spanning forest of them, never all pairs. Before a region is split, the
+   enough become candidates; a region sends a star of each of their components, never all pairs. Before a region is split, the
    sorted neighbours of the whole region are compared too, so a class that is alone at the deeper level keeps its links.
 3. Candidate components are found by star contraction, and each class's full set is sent to its component
    once. There an inverted index of shingles counts exact intersections. Components of more than ``REGION`` classes
@@ -122,6 +122,10 @@ class Union:
             self.up[max(x, y)] = min(x, y)
         return x != y
 
+    def star(self) -> list[tuple[int, int]]:
+        """(member, root) of every member that is not a root: the flattest tree of each component."""
+        return [(i, self.find(i)) for i in range(len(self.up)) if self.up[i] != i]
+
 
 def _forest(threshold: float):
     least = int(np.floor((threshold - SLACK) * HASHES))
@@ -140,16 +144,17 @@ def _forest(threshold: float):
                 sigs, names = sigs[by], [prints[i] for i in by]
                 union, n = Union(len(by)), len(by)
                 for i in range(1, n):  # neighbours first, then whatever they have not joined
-                    if (sigs[i] == sigs[i - 1]).sum() >= least and union.join(i, i - 1):
-                        left.append(names[i]), right.append(names[i - 1])
+                    if (sigs[i] == sigs[i - 1]).sum() >= least:
+                        union.join(i, i - 1)
                 for i in range(n - 1):
                     mine = union.find(i)
                     rest = np.fromiter((j for j in range(i + 1, n) if union.find(j) != mine), np.int64)
                     for at in range(0, len(rest), 512):
                         some = rest[at : at + 512]
                         for j in some[(sigs[some] == sigs[i]).sum(1) >= least]:
-                            if union.join(i, int(j)):
-                                left.append(names[i]), right.append(names[j])
+                            union.join(i, int(j))
+                for i, root in union.star():
+                    left.append(names[i]), right.append(names[root])
             if len(left) >= 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
                 left, right = [], []
@@ -159,7 +164,7 @@ def _forest(threshold: float):
 
 
 def exact_links(sets: list[np.ndarray], sides: np.ndarray, cross: bool, percent: int) -> list[tuple[int, int]]:
-    """Pairs (i, j), forming a spanning forest, whose sets overlap by ``percent`` or more; an inverted index counts.
+    """(member, root) of the components of sets that overlap by ``percent`` or more; an inverted index counts.
 
     With ``cross`` only pairs of different sides are compared.
     """
@@ -173,7 +178,7 @@ def exact_links(sets: list[np.ndarray], sides: np.ndarray, cross: bool, percent:
     rank[by] = np.cumsum(np.concatenate(([True], values[1:] != values[:-1]))) - 1 if len(values) else 0
     stop = np.append(edge[1:], len(values))
     at = np.concatenate(([0], np.cumsum(sizes)))
-    union, out = Union(len(sets)), []
+    union = Union(len(sets))
     for i in range(len(sets) - 1):
         own = rank[at[i] : at[i + 1]]
         lens = stop[own] - edge[own]
@@ -185,9 +190,8 @@ def exact_links(sets: list[np.ndarray], sides: np.ndarray, cross: bool, percent:
         if cross:
             good &= sides != sides[i]
         for j in np.flatnonzero(good):
-            if union.join(i, int(j)):
-                out.append((i, int(j)))
-    return out
+            union.join(i, int(j))
+    return union.star()
 
 
 def _verifier(percent: int):
