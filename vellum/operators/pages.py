@@ -87,34 +87,45 @@ class _Tree(HTMLParser):
             self.rows[self.open[-1]]["own"].append(data)
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parser(texts: frozenset[str] | None):
     names = ["page_id", "node_id", "parent_id", "last_id", "depth", "tag", "id", "classes", "attrs", "text", "text_sp", "text_raw", "own"]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.string()), *[pa.string()] * 3, pa.list_(pa.string())]
-    for batch in batches:
-        out: list[list] = [[] for _ in names]
-        size = 0
-        for page, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            tree = _Tree()
-            tree.feed(html or "")
-            tree.close()
-            tree._close_to(0)
-            strings = [s for _, s in tree.strings]
-            bare = [s.strip() for s in strings]
-            for number, row in enumerate(tree.rows):
-                raw, own = strings[row["start"] : row["end"]], [s for s in bare[row["start"] : row["end"]] if s]
-                values = (page, number, row["parent"], row["last"], row["depth"], row["tag"], row["attrs"].get("id"), row["attrs"].get("class", "").split(), list(row["attrs"].items()), "".join(own), " ".join(own), "".join(raw), row["own"])
-                for k, v in enumerate(values):
-                    out[k].append(v)
-                size += 200 + 3 * sum(map(len, raw))
-            if size > 16_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
-                out, size = [[] for _ in names], 0
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
-
-
-def html_nodes(pages: DataFrame) -> DataFrame:
-    """Element table of pages(page_id, url, html)."""
-    return pages.select("page_id", "html").mapInArrow(_nodes, NODES)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            size = 0
+            for page, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                tree = _Tree()
+                tree.feed(html.as_py() or "")
+                tree.close()
+                tree._close_to(0)
+                strings = [s for _, s in tree.strings]
+                bare = [s.strip() for s in strings]
+                for number, row in enumerate(tree.rows):
+                    forms: tuple = (None, None, None)
+                    if texts is None or row["tag"] in texts:
+                        raw, own = strings[row["start"] : row["end"]], [s for s in bare[row["start"] : row["end"]] if s]
+                        forms = ("".join(own), " ".join(own), "".join(raw))
+                        size += 3 * len(forms[2])
+                    values = (page, number, row["parent"], row["last"], row["depth"], row["tag"], row["attrs"].get("id"), row["attrs"].get("class", "").split(), list(row["attrs"].items()), *forms, row["own"])
+                    for k, v in enumerate(values):
+                        out[k].append(v)
+                    size += 200
+                if size > 16_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
+                    out, size = [[] for _ in names], 0
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
+
+    return parse
+
+
+def html_nodes(pages: DataFrame, texts: tuple[str, ...] | None = None) -> DataFrame:
+    """Element table of pages(page_id, url, html).
+
+    A text is repeated in every element around it, so name in ``texts`` the tags whose text is needed; the others get null.
+    """
+    return pages.select("page_id", "html").mapInArrow(_parser(None if texts is None else frozenset(texts)), NODES)
 
 
 def has_class(name: str, classes: str = "classes") -> Column:

@@ -266,16 +266,16 @@ def url_parts(spark, sf_dir):
 
 
 def page_title_h1(spark, sf_dir):
-    return pages.page_names(pages.html_nodes(table(spark, sf_dir, "pages"))).select("page_id", "name", "heading")
+    return pages.page_names(pages.html_nodes(table(spark, sf_dir, "pages"), ("h1", "title"))).select("page_id", "name", "heading")
 
 
 def page_links(spark, sf_dir):
-    links = pages.page_links(pages.html_nodes(table(spark, sf_dir, "pages")))
+    links = pages.page_links(pages.html_nodes(table(spark, sf_dir, "pages"), ("a",)))
     return links.select("page_id", F.col("pos").cast("int").alias("pos"), "href")
 
 
 def page_list_items(spark, sf_dir):
-    items = pages.dated_list(pages.html_nodes(table(spark, sf_dir, "pages")), head="title", item="li")
+    items = pages.dated_list(pages.html_nodes(table(spark, sf_dir, "pages"), ("title", "li", "strong")), head="title", item="li")
     return items.select("page_id", F.col("pos").cast("int").alias("pos"), F.col("date").alias("heading"), "text")
 
 
