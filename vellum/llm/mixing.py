@@ -11,8 +11,8 @@ With c the ratio of that limit to the weight, a source is at its limit exactly i
 min(its limit, c * weight) stays inside the budget, so one sorted running sum over the sources finds them all.
 
 Scale: running sums have two levels. Words are summed by (source, slice of the shuffle) and the running total inside
-a slice starts from the total of the slices before it, so a source that holds a third of all rows is spread over as
-many tasks as it has slices. The cut is found the same way over ranges of finish time, which are bounded in number;
+a slice starts from the total of the slices before it. A source has one slice for every ``SLICE`` of its rows, so one that holds
+a third of all rows is spread over as many tasks. The cut is found the same way over ranges of finish time, which are bounded in number;
 rows are only sorted inside the one range that holds the cut.
 
 Defined cases: a null or empty text has size 0 and is never taken; sources may be null; repeated rows count each;
@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from vellum.llm._shared import written
 
 #: Rows in a slice of the shuffle and in a range of finish times, on average.
-SLICE = 20_000
+SLICE = 4_000
+#: The table of sources is broadcast up to so many rows; beyond, it is joined by source.
+SOURCES = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -36,13 +38,13 @@ def word_count(text: F.Column) -> F.Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2) -> DataFrame:
-    """(source, source_size, target) from (source, size): one row a source."""
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    """(source, source_size, rows, target) from (source, size): one row a source."""
+    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     everything = Window.partitionBy()
     by_name = Window.partitionBy().orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1).cast("int"))
     ranked = totals.select(
-        "source", "source_size", weight.cast("double").alias("weight"), (F.lit(float(repeats)) * F.col("source_size")).alias("most"),
+        "source", "source_size", "rows", weight.cast("double").alias("weight"), (F.lit(float(repeats)) * F.col("source_size")).alias("most"),
         (F.lit(share) * F.sum("source_size").over(everything)).alias("budget"),
     ).withColumn("level", F.col("most") / F.col("weight"))
     up_to = Window.partitionBy().orderBy("level", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
@@ -50,7 +52,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     full = ranked.withColumn("full", filled <= F.col("budget"))
     left = F.col("budget") - F.coalesce(F.sum(F.when(F.col("full"), F.col("most"))).over(everything), F.lit(0.0))
     open_weight = F.sum(F.when(~F.col("full"), F.col("weight"))).over(everything)
-    return full.select("source", "source_size", F.when(F.col("full"), F.col("most")).otherwise(F.col("weight") * (left / open_weight)).alias("target"))
+    return full.select("source", "source_size", "rows", F.when(F.col("full"), F.col("most")).otherwise(F.col("weight") * (left / open_weight)).alias("target"))
 
 
 def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -60,17 +62,18 @@ def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
         "sizes",
     )
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    budget, slices = share * total, max(1, -(-n // SLICE))
-    # one row a source, shared by every slice of it
-    targets = source_targets(rows, weights, share, repeats)
+    budget = share * total
+    targets = source_targets(rows, weights, share, repeats).withColumnRenamed("source", "s")
+    targets = F.broadcast(targets) if targets.limit(SOURCES + 1).count() <= SOURCES else targets
 
     shuffled = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    part = F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") * F.lit(slices / 2**32)).cast("bigint")
-    dealt = rows.withColumn("order", shuffled).withColumn("part", part)
+    slices = F.ceil(F.col("rows") / F.lit(SLICE))
+    part = F.floor(F.conv(F.substring("order", 1, 8), 16, 10).cast("double") / F.lit(2.0**32) * slices).cast("bigint")
+    sized = rows.join(targets, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    dealt = sized.withColumn("order", shuffled).withColumn("part", part)
     sums = dealt.groupBy("source", "part").agg(F.sum("size").alias("words"))
     before = F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sums.select(F.col("source").alias("s"), F.col("part").alias("p"), before.alias("before"))
-    starts = starts.join(targets, F.col("s").eqNullSafe(F.col("source"))).drop("source")
     inside = F.sum("size").over(Window.partitionBy("source", "part").orderBy("order", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0))
     placed = dealt.withColumn("inside", inside).join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
     end = F.col("before") + F.col("inside")
