@@ -103,28 +103,17 @@ def _set_maker(width: int):
     return make
 
 
-class Union:
-    """Union-find over 0..n-1; the smaller index is the root."""
+def merge(label: np.ndarray, i: int, others: np.ndarray) -> None:
+    """Puts the components of ``others`` into that of i. ``label`` holds a component number for each member."""
+    if len(others):
+        label[np.isin(label, label[others])] = label[i]
 
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
 
-    def find(self, x: int) -> int:
-        up = self.up
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        if x != y:
-            self.up[max(x, y)] = min(x, y)
-        return x != y
-
-    def star(self) -> list[tuple[int, int]]:
-        """(member, root) of every member that is not a root: the flattest tree of each component."""
-        return [(i, self.find(i)) for i in range(len(self.up)) if self.up[i] != i]
+def star(label: np.ndarray) -> list[tuple[int, int]]:
+    """(member, first member of its component) of every member that is not the first: the flattest trees there are."""
+    _, first, inverse = np.unique(label, return_index=True, return_inverse=True)
+    root = first[inverse]
+    return [(int(i), int(root[i])) for i in np.flatnonzero(root != np.arange(len(label)))]
 
 
 def _forest(threshold: float):
@@ -142,18 +131,14 @@ def _forest(threshold: float):
             else:
                 by = np.lexsort(sigs[:, orders[tree][::-1]].T)  # the sorted order of this tree: neighbours share the longest prefixes
                 sigs, names = sigs[by], [prints[i] for i in by]
-                union, n = Union(len(by)), len(by)
-                for i in range(1, n):  # neighbours first, then whatever they have not joined
-                    if (sigs[i] == sigs[i - 1]).sum() >= least:
-                        union.join(i, i - 1)
-                for i in range(n - 1):
-                    mine = union.find(i)
-                    rest = np.fromiter((j for j in range(i + 1, n) if union.find(j) != mine), np.int64)
+                near = (sigs[1:] == sigs[:-1]).sum(1) >= least
+                label = np.concatenate(([0], np.cumsum(~near)))  # neighbours first, then whatever they have not joined
+                for i in range(len(by) - 1):
+                    rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
                     for at in range(0, len(rest), 512):
                         some = rest[at : at + 512]
-                        for j in some[(sigs[some] == sigs[i]).sum(1) >= least]:
-                            union.join(i, int(j))
-                for i, root in union.star():
+                        merge(label, i, some[(sigs[some] == sigs[i]).sum(1) >= least])
+                for i, root in star(label):
                     left.append(names[i]), right.append(names[root])
             if len(left) >= 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
@@ -178,7 +163,7 @@ def exact_links(sets: list[np.ndarray], sides: np.ndarray, cross: bool, percent:
     rank[by] = np.cumsum(np.concatenate(([True], values[1:] != values[:-1]))) - 1 if len(values) else 0
     stop = np.append(edge[1:], len(values))
     at = np.concatenate(([0], np.cumsum(sizes)))
-    union = Union(len(sets))
+    label = np.arange(len(sets))
     for i in range(len(sets) - 1):
         own = rank[at[i] : at[i + 1]]
         lens = stop[own] - edge[own]
@@ -189,9 +174,8 @@ def exact_links(sets: list[np.ndarray], sides: np.ndarray, cross: bool, percent:
         good[: i + 1] = False
         if cross:
             good &= sides != sides[i]
-        for j in np.flatnonzero(good):
-            union.join(i, int(j))
-    return union.star()
+        merge(label, i, np.flatnonzero(good & (label != label[i])))
+    return star(label)
 
 
 def _verifier(percent: int):
