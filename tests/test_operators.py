@@ -213,3 +213,50 @@ def test_county(spark):
     rate = county.adjusted_rate(spark.createDataFrame([("a", "50", "100"), ("b", "-9", "100")], "g string, adh string, pop string"), spark.createDataFrame([("a", 1.2)], "g string, factor double"), "g", "adh", "pop")
     assert {r.g: (r.rate, r.adjusted) for r in rate.collect()} == {"a": (0.5, 0.6), "b": (None, None)}
     assert spark.range(1).select(county.fips(F.lit(1001))).first()[0] == "01001"
+
+
+def test_small_record_helpers(spark):
+    items = spark.createDataFrame([("1", "c1"), ("2", "c9")], "id string, conf string")
+    dim = spark.createDataFrame([("c1", "North")], "conf string, name string")
+    assert {r.id: r.name for r in records.tag(items, dim, "conf").collect()} == {"1": "North", "2": None}
+    assert [r.id for r in records.first_n(items, 1, ["id"]).collect()] == ["1"]
+    assert {r.conf: r.n for r in survey.count_by(items.union(items), "conf").collect()} == {"c1": 2, "c9": 2}
+    wide = survey.facts_wide(spark.createDataFrame([("1", {"a": "x"})], "id string, facts map<string,string>"), "facts", ["a", "b"])
+    assert tuple(wide.first()) == ("1", "x", None)
+    both = survey.union_all(items, dim, missing=True)
+    assert both.columns == ["id", "conf", "name"] and both.count() == 3
+
+
+def test_order_of_labels_with_missing_statistics(spark):
+    df = spark.createDataFrame([("a", 2.0), ("b", None), ("c", 1.0), (None, 3.0)], "t string, x double")
+    assert {r.t: r.ord for r in survey.order_by_stat(df, "t", "x").collect()} == {"c": 1, "a": 2, None: 3, "b": 4}
+    assert {r.t: r.ord for r in survey.order_by_stat(df, "t", "x", ascending=False).collect()} == {None: 1, "a": 2, "c": 3, "b": 4}
+
+
+def test_carry_forward_keeps_rows_before_the_first_heading(spark):
+    df = spark.createDataFrame([(1, None), (2, "h"), (3, None), (4, "k")], "i int, h string")
+    assert [r.h for r in records.carry_forward(df.withColumn("g", F.lit(1)), "h", ["g"], ["i"]).orderBy("i").collect()] == [None, "h", "h", "k"]
+
+
+def test_large_dimensions_are_not_broadcast(spark):
+    df = spark.range(50)
+    assert "broadcast" in survey.broadcast_if_small(df, 50)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in survey.broadcast_if_small(df, 49)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_survey_reports_on_a_few_people(spark):
+    from vellum.plans import reports
+
+    rows = [(2023, 1940, 1.0, 1), (2023, 2000, 3.0, 1), (2022, None, 1.0, 1), (2009, 1980, 1.0, 1), (2024, 1950, 1.0, 2), (2024, 1990, 1.0, 90)]
+    columns = list(TRADITION_CODES)
+    df = spark.createDataFrame(rows, "year int, birthyr int, weight double, baptist int")
+    for c in columns[1:]:
+        df = df.withColumn(c, F.lit(None).cast("int"))
+    got = reports.all_reports(df)
+    assert {r.trad for r in got["age_shares"].collect()} == {"Southern Baptist", "ABCUSA"}
+    shares = {(r.period, r.trad): r.pct_18_40 for r in got["young_shares"].collect()}
+    assert shares == {("2022–2024", "Southern Baptist"): 0.75, ("2022–2024", "ABCUSA"): 0.0, ("2008–2010", "Southern Baptist"): 1.0}
+    assert {r.trad: r.pct_boomer for r in got["boomer_shares"].collect()} == {"Southern Baptist": 0.0, "ABCUSA": 1.0}
+    assert {(r.trad, r.stat): r.age for r in got["age_stats"].collect()} == {("Southern Baptist", "mean_age"): 54.0, ("Southern Baptist", "mode_age"): 24.0, ("ABCUSA", "mean_age"): 74.0, ("ABCUSA", "mode_age"): 74.0}
+    years = {(r.trad, r.threshold): r.death_year for r in got["years_left"].collect()}
+    assert years["ABCUSA", "50%"] == 2024 + 85 - 74
