@@ -214,3 +214,34 @@ def test_a_large_host_is_dealt_into_parts(spark, monkeypatch):
     assert H.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_a_run_on_two_pages_of_a_large_host_goes(spark, monkeypatch):
+    monkeypatch.setattr(H, "PAGES", 10)
+    texts = [" ".join(f"{w}{i}" for w in ("own", "words", "of", "page", "number", "here", "end")) for i in range(200)]
+    rows = [(i, "http://big/x", f"<p>{t}</p>" + "<div>seven words that only two pages share</div>" * (i in (3, 196))) for i, t in enumerate(texts)]
+    rows += [(500, "http://other/x", "<div>seven words that only two pages share</div>"), (3, *rows[3][1:]), (None, "http://big/x", "<div>a null id is one page of its host</div>"), (None, "http://big/x", "<div>a null id is one page of its host</div>")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    want = sorted([*texts, texts[3], "seven words that only two pages share", *["a null id is one page of its host"] * 2])
+    for broadcast in (0, 100_000):
+        monkeypatch.setattr(H, "BROADCAST", broadcast)
+        assert sorted(r.text for r in H.main_text(df).collect()) == want
+
+
+def test_parts_give_what_one_suffix_array_gives(spark, monkeypatch):
+    monkeypatch.setattr(H, "PAGES", 4)
+    random = np.random.default_rng(8)
+    lines = [[" ".join(random.choice(["a", "b", "c"], int(random.integers(1, 14)))) for _ in range(3)] for _ in range(40)]
+    rows = [(i, "http://h/x", "".join(f"<p>{x}</p>" for x in own)) for i, own in enumerate(lines)]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    streams = [" ".join(own).split(" ") for own in lines]
+    tokens = np.array([x for i, own in enumerate(streams) for x in [*(ord(w) for w in own), -1 - i]])
+    marks = H.covered(tokens, np.repeat(np.arange(40), [len(own) + 1 for own in streams]))
+    at, want = 0, {}
+    for i, own in enumerate(lines):
+        kept = []
+        for line in own:
+            words = line.split(" ")
+            kept.append(" ".join(w for w, m in zip(words, H.long_runs(marks[at : at + len(words)])) if not m))
+            at += len(words)
+        want[i] = "\n".join(filter(None, kept))
+        at += 1
+    assert got == want
