@@ -79,6 +79,19 @@ def test_equal_signatures_beyond_a_region():
     assert sorted(N.order(5)) == list(range(64)) and list(N.order(5)[:4]) == [20, 21, 22, 23]
 
 
+def test_a_sparse_pair_of_a_region_in_blocks_is_a_candidate(spark):
+    random = np.random.default_rng(2)
+    sigs = random.integers(1, 65535, (60, 64)).astype(np.uint16)
+    sigs[:, N.order(0)[:4]] = 7  # one region of the first tree
+    sigs[1] = sigs[0]
+    sigs[1, np.arange(4, 64, 4)] += 1  # the pair shares a region in no other tree,
+    sigs[[0, 1], N.order(0)[4]] = 0, 65535  # and stands at both ends of the first one's order
+    rows = [(bytes([i]) * 16, s.tobytes()) for i, s in enumerate(sigs)]
+    for region in (4, 8, 4096):
+        edges = N.candidate_edges(spark.createDataFrame(rows, "fp binary, sig binary"), 0.8, region).collect()
+        assert {frozenset((r.a[0], r.b[0])) for r in edges} == {frozenset((0, 1))}
+
+
 def test_repeated_rows_nulls_and_clashing_columns(spark):
     long = "a b c d e f g h " * 30
     rows = [(1, long, b"1", 2), (1, long, b"1", 2), (2, long, None, None), (None, long, None, 1), (None, None, None, 1), (3, "z", None, 1)]

@@ -2,17 +2,17 @@
 
 1. One pass over the texts: per document the number of distinct shingles, a 128-bit fingerprint of the set and a
    signature of 64 minimum hashes. Documents with equal sets form a class; only classes go on.
-2. Forest: 16 orders of the signature. In each order classes that share the first ``DEPTH`` values form a region;
-   regions of more than ``REGION`` classes are split by more and more values (the depth adapts to each region).
+2. Forest: 16 orders of the signature. In each order classes that share the first ``DEPTH`` values form a region.
    Inside a region the classes are sorted by their values in that order, and those whose signatures agree
-   enough become candidates; a region sends a star of each of their components, never all pairs. Before a region is split, the
-   sorted neighbours of the whole region are compared too, so a class that is alone at the deeper level keeps its links.
+   enough become candidates; a region sends a star of each of their components, never all pairs. Regions of more than
+   ``REGION`` classes are dealt into blocks by a hash of the class, and every two blocks are compared in a task of their own.
 3. Candidate components are found by star contraction, and each class's full set is sent to its component
    once. There an inverted index of shingles counts exact intersections. Components of more than ``REGION`` classes
    are compared block by block in separate tasks.
 
 Hot groups: exact copies collapse in an aggregation with partial sums; a region or component never puts more than
-about two blocks of ``REGION`` sets into a task. No partner or candidate is capped.
+about two blocks of ``REGION`` sets into a task. No partner or candidate is capped: a region of n blocks takes n(n+1)/2
+tasks, so its work is quadratic in its different classes unless they are linked.
 
 Defined cases: a null or empty text and one of white space only has n_shingles 0 and is linked with nothing;
 repeated rows with equal ids are kept as rows and share a class if their texts agree; rows with a null id are linked only with rows of an equal set;
@@ -33,10 +33,6 @@ from vellum.llm._shared import components, written
 from vellum.llm._text import blocks, mix64, shingle_hashes, span_hashes, word_spans
 
 HASHES, ORDERS, DEPTH, REGION = 64, 16, 4, 4096
-#: In a region that is split, so many classes before each one in the sorted order are compared with it.
-NEIGHBOURS = 4
-#: Depths tried one after another in regions that stay too large.
-DEPTHS = (4, 6, 8, 12, 16, 24, 32, 64)
 #: A candidate's signatures agree in at least threshold - SLACK (three standard deviations) of the positions.
 SLACK = 0.15
 
@@ -122,19 +118,22 @@ def _forest(threshold: float):
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders = [order(t) for t in range(ORDERS)]
         left, right = [], []
-        for (tree, _), run in runs(batches, 2):
-            prints = _binary(run.column(2))
-            sigs = np.frombuffer(b"".join(_binary(run.column(3))), np.uint16).reshape(-1, HASHES)
+        for (tree, _, i, j), run in runs(batches, 4):
+            cross, sides, prints = i != j, run.column(4).to_numpy(), _binary(run.column(5))
+            sigs = np.frombuffer(b"".join(_binary(run.column(6))), np.uint16).reshape(-1, HASHES)
             if len(prints) == 2:
                 if (sigs[0] == sigs[1]).sum() >= least:
                     left.append(prints[0]), right.append(prints[1])
             else:
                 by = np.lexsort(sigs[:, orders[tree][::-1]].T)  # the sorted order of this tree: neighbours share the longest prefixes
-                sigs, names = sigs[by], [prints[i] for i in by]
+                sigs, sides, names = sigs[by], sides[by], [prints[i] for i in by]
                 near = (sigs[1:] == sigs[:-1]).sum(1) >= least
                 label = np.concatenate(([0], np.cumsum(~near)))  # neighbours first, then whatever they have not joined
                 for i in range(len(by) - 1):
-                    rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+                    other = label[i + 1 :] != label[i]
+                    if cross:  # pairs of one block have their own task
+                        other &= sides[i + 1 :] != sides[i]
+                    rest = np.flatnonzero(other) + i + 1
                     for at in range(0, len(rest), 512):
                         some = rest[at : at + 512]
                         merge(label, i, some[(sigs[some] == sigs[i]).sum(1) >= least])
@@ -201,60 +200,20 @@ def _key(depth: int) -> F.Column:
     return F.array(*(one(t) for t in range(ORDERS)))
 
 
-def _spots(depth: int) -> F.Column:
-    """By tree, the places of its first values in the signature's bytes."""
-    return F.array(*(F.array(*(F.lit(2 * int(p) + 1) for p in order(t)[:depth])) for t in range(ORDERS)))
-
-
-def _deeper(depth: int) -> F.Column:
-    """The region key at a depth for a row's own tree. Only rows of regions that are too large get here."""
-    spots = F.element_at(_spots(depth), F.col("tree") + 1)
-    return F.xxhash64(F.lit(depth), F.transform(spots, lambda p: F.substring("sig", p, 2)))
-
-
-def _chain(threshold: float):
-    """Candidates among neighbours of one sorted order, over batches that need not hold whole regions."""
-    least = int(np.floor((threshold - SLACK) * HASHES))
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: list[tuple] = []
-        for batch in batches:
-            left, right = [], []
-            for tree, key, fp, sig in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                own = np.frombuffer(sig, np.uint16)
-                for t, k, other, values in last:
-                    if (t, k) == (tree, key) and (values == own).sum() >= least:
-                        left.append(fp), right.append(other)
-                last = [*last[1 - NEIGHBOURS :], (tree, key, fp, own)]
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
-
-    return link
+def _pairs(n_blocks: F.Column, block: F.Column) -> F.Column:
+    """The (i, j) tasks of a row of a block, i <= j: one with each block."""
+    return F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda x: F.struct(F.least(x, block).alias("i"), F.greatest(x, block).alias("j")))
 
 
 def candidate_edges(classes: DataFrame, threshold: float, region: int = REGION) -> DataFrame:
     """(a, b): spanning edges of the candidates in all regions of all trees. ``classes`` has fp and sig."""
     rows = classes.select("fp", "sig", F.explode(_key(DEPTH)).alias("r")).select("r.tree", "r.key", "fp", "sig")
-    edges = None
-    for k, depth in enumerate(DEPTHS):
-        counts = rows.groupBy("tree", "key").agg(F.count("*").alias("n")).filter("n > 1")
-        held = rows.join(counts, ["tree", "key"])
-        small = held.filter(F.col("n") <= region).select("tree", "key", "fp", "sig")
-        found = small.repartition("tree", "key").sortWithinPartitions("tree", "key").mapInArrow(_forest(threshold), "a binary, b binary")
-        edges = found if edges is None else edges.union(found)
-        large = written(held.filter(F.col("n") > region).select("tree", "key", "fp", "sig"), "regions")
-        if large.isEmpty():
-            break
-        if k == 0:
-            spots = F.element_at(_spots(16), F.col("tree") + 1)
-            label = F.aggregate(F.transform(spots, lambda p: F.substring("sig", p, 2)), F.lit(b""), lambda a, x: F.concat(a, x))
-            in_order = large.withColumn("label", label).repartitionByRange("tree", "key", "label", "fp").sortWithinPartitions("tree", "key", "label", "fp")
-            edges = edges.union(in_order.select("tree", "key", "fp", "sig").mapInArrow(_chain(threshold), "a binary, b binary"))
-        if k + 1 == len(DEPTHS):  # equal signatures throughout: a star is all that is needed
-            leads = large.groupBy("tree", "key").agg(F.min("fp").alias("a"))
-            edges = edges.union(large.join(leads, ["tree", "key"]).select("a", F.col("fp").alias("b")))
-            break
-        rows = large.select("tree", _deeper(DEPTHS[k + 1]).alias("key"), "fp", "sig")
-    return edges.distinct()
+    counts = rows.groupBy("tree", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    n_blocks = F.ceil(F.col("n") / F.lit(region)).cast("int")
+    held = rows.join(counts, ["tree", "key"]).withColumn("block", F.pmod(F.xxhash64("fp"), n_blocks).cast("int"))
+    dealt = held.select("tree", "key", F.explode(_pairs(n_blocks, F.col("block"))).alias("pair"), "block", "fp", "sig").select("tree", "key", "pair.i", "pair.j", "block", "fp", "sig")
+    tasks = dealt.repartition("tree", "key", "i", "j").sortWithinPartitions("tree", "key", "i", "j")
+    return tasks.mapInArrow(_forest(threshold), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", region: int = REGION) -> DataFrame:
@@ -275,7 +234,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     block = F.pmod(F.xxhash64("fp"), n_blocks).cast("int")
     dealt = sets.withColumn("block", block).select(
         "root", "fp", "shingles", "block",
-        F.explode(F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))).alias("pair"),
+        F.explode(_pairs(n_blocks, F.col("block"))).alias("pair"),
     ).select("root", "pair.i", "pair.j", "block", "fp", "shingles")
     links = dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(_verifier(percent), "a binary, b binary")
     roots = components(links)
