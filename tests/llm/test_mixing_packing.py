@@ -126,6 +126,20 @@ def test_packing_is_lossless_and_tight(spark):
     assert len(bins) <= -(-total // 2048) + 1
 
 
+def test_packing_has_the_ids_of_the_tokenizer_as_it_is(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [*TEXTS, "a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n\n y", "<|endoftext|", "word <|endoftext|> " * 1500]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    want = []
+    for i, text in enumerate(texts):
+        ids = own.encode(text or "", add_special_tokens=False).ids + [0]
+        want += [(i, k, s, n, zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes())) for k, (s, n) in enumerate(K.cut_points(len(ids), 2048))]
+    assert sorted(tuple(r)[:5] for r in K.packed(docs).collect()) == want
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_binds(rule):
     lengths = np.random.default_rng(1).integers(1, 400, 500)

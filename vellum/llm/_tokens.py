@@ -1,8 +1,9 @@
-"""Token ids of texts with a public byte-level vocabulary; the file's place is a parameter."""
+"""Token ids of texts with a public byte-level vocabulary; the files' places are parameters."""
 
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ _encoders: dict[str, object] = {}
 
 
 def encoder(path: str | None = None):
-    """The encoder of the rank file at ``path``. Ids equal those of the JSON form of the same vocabulary (tests compare them)."""
+    """The encoder of the rank file at ``path``. Ids equal those of the JSON form of the same vocabulary for texts without its added tokens (tests compare them)."""
     import public_tokenizers
     import tiktoken
 
@@ -27,3 +28,26 @@ def token_ids(texts: list[str | None], path: str | None = None) -> Iterator[np.n
     own = encoder(path)
     for text in texts:
         yield np.array(own.encode_ordinary(text or ""), np.uint32)
+
+
+def json_encoder(path: str | None = None) -> tuple[object, list[str]]:
+    """The tokenizer of the JSON file at ``path`` with its own settings, and the literals of its added tokens."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = path or public_tokenizers.path("byte_bpe_50k.json")
+    if path not in _encoders:
+        with open(path, encoding="utf-8") as file:
+            added = [token["content"] for token in json.load(file).get("added_tokens") or []]
+        _encoders[path] = Tokenizer.from_file(path), added
+    return _encoders[path]
+
+
+def json_token_ids(text: str | None, path: str | None = None, json_path: str | None = None) -> np.ndarray:
+    """The ids that the JSON form gives: by itself for a text with the literal of an added token, else by the faster rank file."""
+    if path and not json_path:
+        raise ValueError("a rank file needs the JSON form of its vocabulary")
+    own, added = json_encoder(json_path)
+    if text and any(literal in text for literal in added):
+        return np.array(own.encode(text, add_special_tokens=False).ids, np.uint32)
+    return next(token_ids([text], path))

@@ -13,7 +13,7 @@ capacity a piece goes to the one whose weighted residual vector has the smallest
 Documents longer than a sequence are cut into whole ones; their first piece holds the rest. The default capacities of
 documents and cost equal what the token capacity allows anyway, so they never cost a sequence; set them lower to bind.
 
-Defined cases: a null or empty text is one closing token; repeated rows are packed each; a null id is kept;
+Defined cases: a null or empty text is one closing token; the literal of an added token is that token, as in the JSON form; repeated rows are packed each; a null id is kept;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from vellum.llm._arrow import runs
 from vellum.llm._shared import written
-from vellum.llm._tokens import token_ids
+from vellum.llm._tokens import json_token_ids
 
 CAPACITY, CLOSING, GROUP = 2048, 0, 4096
 
@@ -41,17 +41,16 @@ def cut_points(total: int, capacity: int) -> list[tuple[int, int]]:
     return [(s, (rest if s == 0 and rest else capacity)) for s in starts]
 
 
-def _cutter(capacity: int, path: str | None):
+def _cutter(capacity: int, path: str | None, json_path: str | None):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
             texts = batch.column(1)
             for i in range(batch.num_rows):
-                for ids in token_ids([texts[i].as_py()], path):
-                    ids = np.append(ids, np.uint32(CLOSING)).astype("<u4")
-                    for k, (s, n) in enumerate(cut_points(len(ids), capacity)):
-                        row.append(i), piece.append(k), start.append(s), length.append(n)
-                        crc.append(zlib.crc32(ids[s : s + n].tobytes()))
+                ids = np.append(json_token_ids(texts[i].as_py(), path, json_path), np.uint32(CLOSING)).astype("<u4")
+                for k, (s, n) in enumerate(cut_points(len(ids), capacity)):
+                    row.append(i), piece.append(k), start.append(s), length.append(n)
+                    crc.append(zlib.crc32(ids[s : s + n].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int32())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
@@ -104,12 +103,12 @@ def _packer(capacity: int, max_docs: int, max_cost: int, rule: str):
     return place
 
 
-def packed(docs: DataFrame, capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, rule: str = "norm", vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def packed(docs: DataFrame, capacity: int = CAPACITY, max_docs: int | None = None, max_cost: int | None = None, rule: str = "norm", vocabulary: str | None = None, json_vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece; see the module's text."""
     max_docs, max_cost = max_docs or capacity, max_cost or capacity**2
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint"
-    pieces = written(slim.mapInArrow(_cutter(capacity, vocabulary), schema), "pieces")
+    pieces = written(slim.mapInArrow(_cutter(capacity, vocabulary, json_vocabulary), schema), "pieces")
     groups = max(1, -(-pieces.count() // GROUP))
     # the row number keeps an id that repeats from filling one group
     dealt = pieces.select(F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(groups)).alias("grp"), "*")
