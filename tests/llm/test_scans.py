@@ -60,6 +60,23 @@ def test_carving_and_declared_types(spark):
     assert media.sniff(df.limit(0)).count() == 0
 
 
+def test_media_of_other_depths_are_found():
+    head = media.struct.pack(">IIBBBBB", 2, 1, 8, 2, 0, 0, 0)
+    rgb = media.MAGIC["png"] + media._chunk(b"IHDR", head) + media._chunk(b"IDAT", zlib.compress(b"\x01" + bytes(6))) + media._chunk(b"IEND", b"")
+    info = media.struct.pack("<IiiHHIIiiII", 40, 3, 2, 1, 24, 0, 0, 0, 0, 0, 0)
+    bmp = b"BM" + media.struct.pack("<IHHI", 54 + 24, 0, 0, 54) + info + bytes(24)
+    sound = media.struct.pack("<4sIHHIIHH", b"fmt ", 16, 1, 2, 8000, 32000, 4, 16) + b"data" + media.struct.pack("<I", 8) + bytes(8)
+    wav = b"RIFF" + media.struct.pack("<I", 4 + len(sound)) + b"WAVE" + sound
+    for kind, data in (("png", rgb), ("bmp", bmp), ("wav", wav), ("pgm", b"P5 # made\n2 1 # by hand\n65535\n" + bytes(4)), ("pgm", b"P5 2 1 15\n" + bytes(2))):
+        assert [f[:3] for f in media.finds(b"head" + data + b"tail")] == [(kind, 4, len(data))]
+        assert media.finds(data[:-1]) == []
+
+
+def test_media_inside_a_text_are_counted(spark):
+    rows = media.media_digests(docs_of(spark, ["see P5 1 1 255 x and P5 2 1 255 yz", "no medium, P5 BM RIFF"])).collect()
+    assert {r.doc_id: "embedded=2;" in r.feature for r in rows} == {0: True, 1: False}
+
+
 # ---- licences
 
 

@@ -5,10 +5,15 @@
 format's validator confirms the structure and gives the exact length; a match of magic bytes alone counts for
 nothing. The first medium at the start of the bytes corrects a declared type; media further in are carved.
 
+Validators look at structure alone: RIFF chunk sizes, BMP header arithmetic (RLE by the stated size), PGM header with
+comments and any maxval, PNG chunks and checksums. Samples are given for WAV and PGM as stored, for 8-bit BMP and for 8-bit
+grey PNG without row filters; those of other BMP and PNG are null. Not supported: RIFX and RF64, BMP of OS/2 (12-byte header).
+
 Everything is per row, in Arrow batches cut into small runs, so memory follows the largest single value.
 
 Defined cases: null text is an empty payload; null media have no finds; truncated or corrupted media are not found;
-media inside the span of a found medium are not reported again; other columns are ignored; an empty table gives an
+media inside the span of a found medium are not reported again
+by ``sniff`` (op3 looks for them in the samples it reads back); other columns are ignored; an empty table gives an
 empty result.
 """
 
@@ -76,10 +81,10 @@ def png(payload: bytes) -> bytes:
 WRITERS: dict[str, Callable[[bytes], bytes]] = {"wav": wav, "bmp": bmp, "pgm": pgm, "png": png}
 
 
-# ---- validators: (length of the medium, its samples) at a place, or None
+# ---- validators: (length of the medium, its samples or None where they are not decoded) at a place, or None
 
 
-def read_wav(data: bytes, at: int) -> tuple[int, bytes] | None:
+def read_wav(data: bytes, at: int) -> tuple[int, bytes | None] | None:
     if data[at + 8 : at + 12] != b"WAVE" or at + 12 > len(data):
         return None
     end = at + 8 + struct.unpack_from("<I", data, at + 4)[0]
@@ -90,37 +95,46 @@ def read_wav(data: bytes, at: int) -> tuple[int, bytes] | None:
         kind, size = data[spot : spot + 4], struct.unpack_from("<I", data, spot + 4)[0]
         if spot + 8 + size > end:
             return None
-        if kind == b"fmt " and size >= 16:
-            form = struct.unpack_from("<HHIIHH", data, spot + 8)
+        if kind == b"fmt " and size >= 14:
+            form = struct.unpack_from("<HHIIH", data, spot + 8)
         elif kind == b"data":
             samples = data[spot + 8 : spot + 8 + size]
         spot += 8 + size + (size & 1 if spot + 8 + size < end else 0)
-    if form is None or samples is None or spot != end or form[0] != 1 or form[5] != 8 or form[4] == 0 or len(samples) % form[4]:
+    if form is None or samples is None or spot != end or form[1] == 0:
         return None
     return end - at, samples
 
 
-def read_bmp(data: bytes, at: int) -> tuple[int, bytes] | None:
+def read_bmp(data: bytes, at: int) -> tuple[int, bytes | None] | None:
     if at + 54 > len(data):
         return None
     total, _, _, start = struct.unpack_from("<IHHI", data, at + 2)
     head, width, height, planes, bits, packing, size = struct.unpack_from("<IiiHHII", data, at + 14)
-    if head != 40 or planes != 1 or bits != 8 or packing != 0 or width <= 0 or height == 0 or at + total > len(data):
+    if head not in (40, 52, 56, 108, 124) or planes != 1 or bits not in (1, 4, 8, 16, 24, 32) or packing not in (0, 1, 2, 3, 6):
+        return None
+    if width <= 0 or height == 0 or start < 14 + head or at + total > len(data):
         return None
-    step = (width + 3) // 4 * 4
-    if start < 54 or start + step * abs(height) != total or size not in (0, step * abs(height)):
+    step = (width * bits + 31) // 32 * 4
+    body = size if packing in (1, 2) else step * abs(height)
+    if not body or start + body > total or (packing not in (1, 2) and size and size < body):
         return None
-    rows = np.frombuffer(data, np.uint8, step * abs(height), at + start).reshape(-1, step)[:, :width]
+    if bits != 8 or packing:
+        return total, None
+    rows = np.frombuffer(data, np.uint8, body, at + start).reshape(-1, step)[:, :width]
     return total, (rows if height < 0 else rows[::-1]).tobytes()
 
 
-def read_pgm(data: bytes, at: int) -> tuple[int, bytes] | None:
+def read_pgm(data: bytes, at: int) -> tuple[int, bytes | None] | None:
     fields, spot = [], at + 2
     while len(fields) < 3:
         if spot >= len(data) or data[spot] not in b" \t\r\n":
             return None
-        while spot < len(data) and data[spot] in b" \t\r\n":
-            spot += 1
+        while spot < len(data) and data[spot] in b" \t\r\n#":
+            if data[spot] == 35:  # a comment runs to the end of its line
+                line = data.find(b"\n", spot)
+                spot = len(data) if line < 0 else line
+            else:
+                spot += 1
         stop = spot
         while stop < len(data) and stop - spot < 10 and 48 <= data[stop] <= 57:
             stop += 1
@@ -128,13 +142,17 @@ def read_pgm(data: bytes, at: int) -> tuple[int, bytes] | None:
             return None
         fields.append(int(data[spot:stop]))
         spot = stop
-    if spot >= len(data) or data[spot] not in b" \t\r\n" or fields[2] != 255 or not fields[0] or not fields[1]:
+    if spot >= len(data) or data[spot] not in b" \t\r\n" or not 0 < fields[2] < 65536 or not fields[0] or not fields[1]:
         return None
-    end = spot + 1 + fields[0] * fields[1]
+    end = spot + 1 + fields[0] * fields[1] * (2 if fields[2] > 255 else 1)
     return (end - at, data[spot + 1 : end]) if end <= len(data) else None
 
 
-def read_png(data: bytes, at: int) -> tuple[int, bytes] | None:
+#: Bits of a sample by the colour type of a PNG.
+DEPTHS = {0: (1, 2, 4, 8, 16), 2: (8, 16), 3: (1, 2, 4, 8), 4: (8, 16), 6: (8, 16)}
+
+
+def read_png(data: bytes, at: int) -> tuple[int, bytes | None] | None:
     spot, head, packed = at + 8, None, []
     while spot + 12 <= len(data):
         size, kind = struct.unpack_from(">I4s", data, spot)
@@ -149,18 +167,20 @@ def read_png(data: bytes, at: int) -> tuple[int, bytes] | None:
             break
     else:
         return None
-    if head is None or head[2:] != (8, 0, 0, 0, 0) or not packed:
+    if head is None or not head[0] or not head[1] or head[2] not in DEPTHS.get(head[3], ()) or head[4:6] != (0, 0) or head[6] > 1 or not packed:
         return None
+    if head[2:] != (8, 0, 0, 0, 0):
+        return spot - at, None
     try:
         lines = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)
     except zlib.error:
-        return None
+        return spot - at, None
     if len(lines) != head[1] * (head[0] + 1) or lines.reshape(head[1], -1)[:, 0].any():  # other filters are not written here
-        return None
+        return spot - at, None
     return spot - at, lines.reshape(head[1], -1)[:, 1:].tobytes()
 
 
-READERS: dict[str, Callable[[bytes, int], tuple[int, bytes] | None]] = {"wav": read_wav, "bmp": read_bmp, "pgm": read_pgm, "png": read_png}
+READERS: dict[str, Callable[[bytes, int], tuple[int, bytes | None] | None]] = {"wav": read_wav, "bmp": read_bmp, "pgm": read_pgm, "png": read_png}
 _automata: list = []
 
 
@@ -174,7 +194,7 @@ def _automaton():
     return _automata[0]
 
 
-def finds(data: bytes | None) -> list[tuple[str, int, int, bytes]]:
+def finds(data: bytes | None) -> list[tuple[str, int, int, bytes | None]]:
     """(type, offset, length, samples) of every confirmed medium, left to right, outermost only."""
     out, free = [], 0
     if not data:
@@ -260,7 +280,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind, at, size, samples = found[0]
             level = np.bincount(np.frombuffer(samples, np.uint8), minlength=256)
             mean = float(level @ np.arange(256)) / len(samples)
-            feature = f"type={kind};declared={told};corrected={int(told != kind)};at={at};embedded={len(found) - 1};levels={int((level > 0).sum())};mean={mean:.4f}"
+            feature = f"type={kind};declared={told};corrected={int(told != kind)};at={at};embedded={len(found) - 1 + len(finds(samples))};levels={int((level > 0).sum())};mean={mean:.4f}"
             for k, v in enumerate((i, n, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), size, hashlib.sha256(media[at : at + size]).hexdigest(), feature)):
                 out[k].append(v)
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(out[0], pa.int32())), *(pa.array(v, t) for v, t in zip(out[1:], types[1:], strict=True))], names)
