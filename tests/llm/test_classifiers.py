@@ -140,15 +140,15 @@ def test_toxicity_without_labels(spark):
 def test_pooling_equals_a_plain_convolution():
     random_state = np.random.default_rng(5)
     texts = [b"a b c d", b"", b"b", b"c a"]
-    features, _, first = T._features(texts)
+    features, first = T._features(texts)
     known = np.unique(features)
     vectors = random_state.normal(0, 1, (len(known) + 1, T.DIM)).astype(np.float32)
     vectors[-1] = 0
     filters = [random_state.normal(0, 1, (w * T.DIM, T.FILTERS)).astype(np.float32) for w in T.WIDTHS]
     biases = [random_state.normal(0, 1, T.FILTERS).astype(np.float32) for _ in T.WIDTHS]
     weights = random_state.normal(0, 1, T.FILTERS * 3).astype(np.float32)
-    model = T.Model(known, vectors, filters, biases, weights, 0.3, np.zeros(5))
-    got, _ = T.logits(model, texts, T._language_table())
+    model = T.Model(known, vectors, filters, biases, weights, 0.3, np.zeros((len(known) + 1, 0)), np.zeros(1))
+    got, _ = T.logits(model, texts)
     for i in range(len(texts)):
         x = vectors[T._rows(features[first[i] : first[i + 1]], known)].sum(1) if first[i + 1] > first[i] else np.zeros((0, T.DIM))
         x = np.concatenate((x, np.zeros((4, T.DIM))))
@@ -157,3 +157,34 @@ def test_pooling_equals_a_plain_convolution():
             z = np.array([x[k : k + w].ravel() @ kernel + bias for k in range(len(x) - 2)])
             pooled.append(np.maximum(z.max(0), 0))
         assert got[i] == pytest.approx(np.concatenate(pooled) @ weights + 0.3, abs=1e-4)
+
+
+def test_thresholds_follow_the_languages_of_the_sample(spark):
+    pick = random.Random(9)
+    rows = []
+    for i in range(400):
+        lang = "abcde"[i % 5]
+        words = [f"{lang}{pick.randrange(40)}" for _ in range(30)] + ["moron"] * (i % 2)
+        rows.append((i, " ".join(words), lang, i % 2))
+    docs, labels = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string"), spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id bigint, toxic int")
+    model, _ = T.train(docs.union(docs), labels, F.lit(True))
+    assert len(model.shift) == 6
+    data = [r[1].encode() for r in rows] + [b"", b"unheard"]
+    z, told = T.logits(model, data)
+    assert ["abcde"[k] for k in told[:400]] == [r[2] for r in rows] and told[400] == told[401] == 5
+    assert [s >= 0.5 for s in 1 / (1 + np.exp(model.shift[told[:400]] - z[:400]))] == [bool(r[3]) for r in rows]
+    alone, _ = T.train(docs.drop("lang"), labels, F.lit(True))
+    assert len(alone.shift) == 1
+
+
+def test_samples_hold_whole_texts_up_to_their_bytes(spark):
+    rows = toxic_corpus(200)
+    docs = small(spark, [(t, "en") for t, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id bigint, toxic int")
+    assert T.train(docs, labels, F.lit(True), sample_bytes=1) == (None, 0.0)
+    assert G.train(docs, F.lit(True), sample_bytes=1)[1] == [] and G.train(docs, F.lit(True))[1] == ["en"]
+
+
+def test_equally_likely_languages_give_the_first(spark):
+    docs = small(spark, [("same words here", "b"), ("same words here", "a")])
+    assert {r.lang_pred for r in G.identify(docs, G.train(docs, F.lit(True))).collect()} == {"a"}

@@ -75,6 +75,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 LABELS = 10_000
 
 
+def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Marks ``df`` for broadcast after counting at most ``limit`` + 1 of its rows."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def hashed_sample(rows: DataFrame, by: str, limit: F.Column) -> DataFrame:
     """(id, by) of at most ``limit`` rows of each value of ``by``, the same ones in every run: those of the least hashes of ``id``.
 

@@ -5,12 +5,14 @@ expectation-maximisation on a bounded sample of labelled documents. A word's pro
 over all its segmentations into pieces, computed by a forward algorithm for many different words at once. A text's score
 adds its words' log-probabilities.
 
-Scale: training reads ``PER_LANGUAGE`` documents of each language (a documented bound, chosen by a hash of the id);
-scoring is one pass without a shuffle, in blocks of texts, and what is broadcast is one row a piece.
+Scale: training reads ``PER_LANGUAGE`` documents of each language (a documented bound, chosen by a hash of the id, and no more whole
+texts than fit ``SAMPLE_BYTES``); each language is learned by a task of its own, and only its piece probabilities come
+to the driver. Scoring is one pass without a shuffle, in blocks of texts, and what is broadcast is one row a piece.
 
 Defined cases: null texts and texts without letters give ``und`` with score 0; words of more than ``LONGEST`` characters
-are scored in parts; without any labelled row every text is ``und``; null languages are never learned; repeated rows and
-extra columns change nothing for others; an empty table gives an empty result.
+are scored in parts; very long texts are scored whole; of equally likely languages the first by name is given; without any
+labelled row every text is ``und``; null languages are never learned; a repeated id counts once in training, repeated
+rows are scored each; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,11 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm._shared import hashed_sample
+from vellum.llm._shared import broadcast_if_small, hashed_sample
 
 #: Labelled documents of each language that are used for training.
 PER_LANGUAGE = 300
-LONGEST, PIECE, ROUNDS, FLOOR, BOOST = 32, 8, 3, 1e-7, 16.0
+#: The most bytes of a language's texts that training takes, in whole texts.
+SAMPLE_BYTES = 64_000_000
+#: Partitions over which languages are dealt for training.
+LEARNERS = 32
+LONGEST, PIECE, ROUNDS, FLOOR, BOOST = 32, 16, 3, 1e-7, 16.0
 #: Words after which more evidence does not make a score surer.
 SURE = 8
 WORDS = re.compile(r"[^\W\d_]+")
@@ -175,18 +181,41 @@ def learn(counts: dict[str, Counter], pieces: Pieces) -> tuple[list[str], np.nda
     return languages, table
 
 
-def train(docs: DataFrame, usable: F.Column, per_language: int = PER_LANGUAGE, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str], np.ndarray]:
+def _learner(names: list[str], limit: int):
+    """Learns each language from its rows (lang, text, id), which come in the order of the sample."""
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, words, seen, size = None, Counter(), set(), 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if words:
+                table = learn({now: words}, Pieces(names))[1]
+                yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([table[:, 0].tobytes()], pa.binary())], ["lang", "odds"])
+
+        for batch in batches:
+            for lang, text, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if lang != now:
+                    yield from done()
+                    now, words, seen, size = lang, Counter(), set(), 0
+                size += len(text.encode("utf-8", "surrogatepass"))
+                if key not in seen and size <= limit:
+                    seen.add(key)
+                    words.update(words_of(text))
+        yield from done()
+
+    return learned
+
+
+def train(docs: DataFrame, usable: F.Column, per_language: int = PER_LANGUAGE, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[str], np.ndarray]:
     """Pieces, languages and probabilities, learned from a bounded sample of the rows that ``usable`` marks."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), usable.alias("ok")).filter(F.col("ok") & F.col("lang").isNotNull())
-    chosen = hashed_sample(rows, "lang", F.lit(per_language))
-    # per_language rows a language: the bound makes this side small
-    texts = docs.join(F.broadcast(chosen), (docs[id_col] == chosen.id) & (docs[lang_col] == chosen.lang)).select(chosen.lang, docs[text_col].alias("text"))
-    counts: dict[str, Counter] = {}
-    for row in texts.filter("text IS NOT NULL").toLocalIterator():
-        counts.setdefault(row["lang"], Counter()).update(words_of(row["text"]))
+    chosen = broadcast_if_small(hashed_sample(rows.select("id", "lang").distinct(), "lang", F.lit(per_language)))
+    texts = docs.join(chosen, (docs[id_col] == chosen.id) & (docs[lang_col] == chosen.lang)).select(chosen.lang, docs[text_col].alias("text"), chosen.id.cast("string").alias("key"))
+    sample = texts.filter("text IS NOT NULL").repartition(LEARNERS, "lang").sortWithinPartitions("lang", F.md5("key"), "key", F.xxhash64("text"))
     names = vocabulary(path)
-    languages, table = learn({k: v for k, v in counts.items() if v}, Pieces(names))
-    return names, languages, table
+    got = sorted(sample.mapInArrow(_learner(names, sample_bytes), "lang string, odds binary").collect())  # one row a language
+    table = np.stack([np.frombuffer(r["odds"]) for r in got], 1) if got else np.zeros((len(names) + 1, 0))
+    return names, [r["lang"] for r in got], table
 
 
 def _scorer(model, text_at: int, least: float | None):
