@@ -142,16 +142,14 @@ def test_scan_equals_a_plain_split(spark, tmp_path, block):
 
 
 def plain_top_k(rows, k, every, scale=64):
-    q = {}
+    q = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            own = [math.floor(scale * float(np.float32(x))) for x in v]
-            q[i] = min(own, q.get(i, own))
+            q.append((i, [math.floor(scale * float(np.float32(x))) for x in v]))
     out = []
-    for a in q:
-        if a % every == 0:
-            best = sorted((-sum(x * y for x, y in zip(q[a], q[b])), b) for b in q if b != a)[:k]
-            out += [(a, r, b, -s) for r, (s, b) in enumerate(best, 1)]
+    for a in {i for i, _ in q if i % every == 0}:
+        best = sorted((-sum(x * y for x, y in zip(v, w)), b) for i, v in q if i == a for b, w in q if b != a)[:k]
+        out += [(a, r, b, -s) for r, (s, b) in enumerate(best, 1)]
     return sorted(out)
 
 
@@ -160,10 +158,15 @@ def test_top_k_equals_brute_force(spark):
     base = random.normal(0, 0.2, (300, 48)).astype(np.float32)
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(base)]
     rows += [(300 + i, rows[i % 7][1]) for i in range(60)]  # ties
-    rows += [(400, None), (401, [None] * 48), (402, [float("nan")] * 48), (403, [float("inf")] * 48), (404, []), (405, [1.0]), (None, rows[0][1]), (406, [3e8] * 4), (0, rows[5][1])]
+    rows += [(400, None), (401, [None] * 48), (402, [float("nan")] * 48), (403, [float("inf")] * 48), (404, []), (405, [1.0]), (None, rows[0][1]), (406, [3e8] * 4), (0, rows[5][1]), (7, rows[8][1]), (7, rows[7][1]), (7, rows[7][1])]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id bigint, embedding array<float>, id int")
-    got = sorted(tuple(r) for r in top_k.top_k(df, F.col("id") % 20 == 0, k=20, block=64).collect())
-    assert got == plain_top_k(rows, 20, 20)
+    want = plain_top_k(rows, 20, 20)
+    for block, sample in ((64, 4096), (64, 40), (100_000, 64)):
+        assert sorted(tuple(r) for r in top_k.top_k(df, F.col("id") % 20 == 0, k=20, block=block, sample=sample).collect()) == want
+    fine = [r for r in rows if r[0] != 406]  # without the vector whose products are past exact floating point, bounds come from the sample
+    df = spark.createDataFrame([(i, v, 0) for i, v in fine], df.schema)
+    for block, sample in ((64, 4096), (64, 40), (100_000, 64)):
+        assert sorted(tuple(r) for r in top_k.top_k(df, F.col("id") % 20 == 0, k=20, block=block, sample=sample).collect()) == plain_top_k(fine, 20, 20)
 
 
 def test_top_k_edges(spark):

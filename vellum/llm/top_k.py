@@ -1,18 +1,22 @@
 """Exact top-k search by inner product: branch and bound over dimension blocks in vertical layout.
 
-Vectors become integers, floor(scale * x). Candidates and queries are dealt into blocks, and a task gets one block of each.
-Candidates lie dimension by dimension. Inner products are summed over one block of dimensions at a time; what the
-remaining dimensions can still add lies within plus or minus the product of the remaining norms (Cauchy-Schwarz). A
-candidate whose best case is below the k-th best worst case of its block is dropped, and the survivors are compacted
-before the next block of dimensions. No candidate that could be a result, or tie with one, is ever dropped.
-
-Scale: the work is queries times candidates by nature; both sides are cut into blocks of fixed size, so tasks have equal size,
-and each sends k rows a query. A task holds one block of candidates and one of queries.
+Vectors become integers, floor(scale * x). First every query is held against a small sample of the candidates: the k-th best
+score there is a bound that its results cannot fall below. Then candidates and queries are dealt into blocks, and a task
+gets one block of each. Candidates lie dimension by dimension. Inner products are summed over one block of dimensions at
+a time; what the remaining dimensions can still add lies within plus or minus the product of the remaining norms
+(Cauchy-Schwarz). A candidate whose best case is below the query's bound, or below the k-th best worst case of its block, is
+dropped, and the survivors are compacted before the next block of dimensions. No candidate that could be a result, or tie with
+one, is ever dropped; the sample decides how soon candidates go, never which results come.
+
+Scale: the work is queries times candidates by nature. Both sides are cut into blocks of bounded size, so tasks have equal size. A
+row is sent once to each block of the other side: with blocks of ``CANDIDATES`` and ``QUERIES`` rows the shuffle has a few
+ten-thousandths of the pairs that are compared. Blocks are dealt over a bounded number of partitions, each sends at most k
+rows a query, and bounds make most blocks send far fewer.
 
 Defined cases: null vectors, and those with null, NaN or infinite components, take no part; vectors of unequal length are
-taken as if zeros followed; of several rows of one id the one with the least vector counts; a null id takes no part; with
-fewer candidates than k all are returned; ties go to the smaller id; scores past 64 bits stop at its limits; other
-columns are ignored; an empty table gives an empty result.
+taken as if zeros followed; a row is no candidate of queries with its own id; rows that repeat an id are candidates each, and
+query rows of one id share one list of k; a null id takes no part; with fewer candidates than k all are returned; ties go to the
+smaller id; scores past 64 bits stop at its limits; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,26 +30,58 @@ from pyspark.sql import functions as F
 
 from vellum.llm._arrow import runs
 
-CANDIDATES, QUERIES, STEP, TOGETHER = 16_384, 1_024, 16, 64
+CANDIDATES, QUERIES, STEP, TOGETHER = 32_768, 8_192, 16, 64
+#: Rows of the sample that gives the queries' first bounds; blocks of candidates that even a small table is dealt into; the most partitions.
+SAMPLE, SPREAD, PARTITIONS = 4_096, 16, 8_192
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, q): integer vectors, one row an id."""
+    """(id, q): integer vectors of the rows that take part."""
     fine = F.forall(vector_col, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(F.coalesce(x, F.lit(0.0))))
     kept = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & fine)
     q = F.transform(vector_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("bigint"))
-    return kept.select(F.col(id_col).cast("bigint").alias("id"), q.alias("q")).groupBy("id").agg(F.min("q").alias("q"))
+    return kept.select(F.col(id_col).cast("bigint").alias("id"), q.alias("q"))
 
 
-def _matrix(lists: list[list[int]], width: int) -> np.ndarray:
+def _matrix(lists: pa.ListArray, width: int) -> np.ndarray:
+    """The lists as rows of a matrix, zeros behind the shorter ones."""
+    sizes = np.diff(lists.offsets.to_numpy())
     out = np.zeros((len(lists), width))
-    for i, row in enumerate(lists):
-        out[i, : len(row)] = row
+    out[np.arange(width)[None, :] < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
-def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(query number, candidate numbers) of at least all of the k best of the block, ties included."""
+def _width(lists: pa.ListArray) -> int:
+    return int(np.diff(lists.offsets.to_numpy()).max(initial=0))
+
+
+def _exact(*sides: np.ndarray) -> bool:
+    """Whether floating point sums of these integers' products are exact."""
+    return float(np.prod([np.abs(x).max(initial=0) for x in sides])) * max(sides[0].shape[1], 1) < 2**52
+
+
+def _bounder(sample, k: int):
+    """Adds to each query (id, q) the k-th best score over the sample, minus infinity where it has fewer."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, lists = sample.value
+        for batch in batches:
+            width = max(_width(batch.column(1)), _width(lists))
+            own, others = _matrix(batch.column(1), width), _matrix(lists, width)
+            least = np.full(batch.num_rows, -np.inf)
+            if _exact(own, others) and len(ids) > k:
+                for at in range(0, len(own), 256):
+                    scores = own[at : at + 256] @ others.T
+                    scores[batch.column(0).to_numpy()[at : at + 256, None] == ids[None, :]] = -np.inf
+                    least[at : at + 256] = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least)], ["id", "q", "least"])
+
+    return bound
+
+
+def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, least: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(query number, candidate numbers) of at least all of the k best of the block that reach ``least``, ties included."""
+    least = np.full(len(queries), -np.inf) if least is None else least
     n, width = vectors.shape
     by = np.argsort(-vectors.var(0), kind="stable") if n else np.arange(width)  # the dimensions that tell most come first
     tall, queries = np.ascontiguousarray(vectors[:, by].T), queries[:, by]
@@ -62,12 +98,13 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarra
             if own.any():
                 live, part = live[~own], part[~own]
             for j in range(whole, len(edges)):
-                if len(live) <= k:
+                if not len(live) or (len(live) <= k and np.isneginf(least[at + r])):
                     break
                 slack = rest[j - 1][live] * mine[j - 1][at + r] * (1 + 1e-9) + 1e-6
                 worst = part - slack
                 best = part + slack
-                stay = best >= np.partition(worst, len(worst) - k)[len(worst) - k]
+                floor = least[at + r] if len(live) <= k else max(least[at + r], np.partition(worst, len(worst) - k)[len(worst) - k])
+                stay = best >= floor
                 live, part = live[stay], part[stay]
                 if j < len(edges) - 1:
                     part = part + some[r, edges[j] : edges[j + 1]] @ tall[edges[j] : edges[j + 1], live]
@@ -82,36 +119,38 @@ def _scores(query: list[int], vectors: list[list[int]]) -> list[int]:
 def _searcher(k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, run in runs(batches, 2):
-            side = np.array(run.column("side").to_pylist())
-            every, ids = run.column("q").to_pylist(), run.column("id").to_numpy()
-            width = max((len(v) for v in every), default=0)
-            if not (side == 1).any() or not (side == 0).any():
-                continue
-            matrix = _matrix(every, width)
+            run = run.combine_chunks()
+            side, ids, lists = run.column("side").to_numpy(), run.column("id").to_numpy(), run.column("q").chunk(0)
             qs, cs = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
-            out: list[list] = [[], [], []]
-            exact = float(np.abs(matrix).max(initial=0)) ** 2 * max(width, 1) < 2**52
-            for qi, live in best_of_block(matrix[qs], ids[qs], matrix[cs], ids[cs], k):
+            if not len(qs) or not len(cs):
+                continue
+            matrix, least = _matrix(lists, _width(lists)), run.column("least").to_numpy()
+            asked, there = matrix[qs], matrix[cs]
+            exact, out = _exact(asked, there), [[], [], []]
+            for qi, live in best_of_block(asked, ids[qs], there, ids[cs], k, least[qs]):
                 own = cs[live]
-                scores = (matrix[own] @ matrix[qs[qi]]).astype(np.int64) if exact else np.array(_scores(every[qs[qi]], [every[c] for c in own]), np.int64)
+                scores = (there[live] @ asked[qi]).astype(np.int64) if exact else np.array(_scores(lists[int(qs[qi])].as_py(), [lists[int(c)].as_py() for c in own]), np.int64)
                 first = np.lexsort((ids[own], -scores.astype(object) if not exact else -scores))[:k]
-                out[0] += [int(ids[qs[qi]])] * len(first)
-                out[1] += ids[own][first].tolist()
-                out[2] += scores[first].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["query_id", "vec_id", "score"])
+                out[0].append(np.full(len(first), ids[qs[qi]], np.int64)), out[1].append(ids[own][first]), out[2].append(scores[first])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["query_id", "vec_id", "score"])
 
     return search
 
 
-def top_k(vectors: DataFrame, queries: F.Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", block: int = CANDIDATES) -> DataFrame:
+def top_k(vectors: DataFrame, queries: F.Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding", block: int = CANDIDATES, sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score). ``queries`` is a condition on the column ``id`` that marks the query rows."""
-    rows = quantised(vectors, id_col, vector_col, scale)
+    spark, rows = vectors.sparkSession, quantised(vectors, id_col, vector_col, scale)
     n, n_queries = rows.agg(F.count("*"), F.count_if(queries)).first()
-    c_blocks, q_blocks = max(1, -(-n // block)), max(1, -(-n_queries // QUERIES))
+    some = rows.filter(F.pmod(F.xxhash64("id"), F.lit(max(1, n // sample))) == 0).limit(2 * sample).toArrow()
+    lists = some.column("q").combine_chunks()
+    held = spark.sparkContext.broadcast((some.column("id").to_numpy(), lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists))
+    c_blocks = max(1, -(-n // block), min(SPREAD, n // 2_048))
+    q_blocks = max(1, -(-n_queries // min(block, QUERIES)))
     deal = lambda m: F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")
-    candidates = rows.select(deal(c_blocks).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("b"), F.lit(0).alias("side"), "id", "q")
-    asked = rows.filter(queries).select(F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("c"), deal(q_blocks).alias("b"), F.lit(1).alias("side"), "id", "q")
-    parts = candidates.union(asked).repartition(c_blocks * q_blocks, "c", "b").sortWithinPartitions("c", "b")
+    candidates = rows.select(deal(c_blocks).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("b"), F.lit(0).alias("side"), "id", "q", F.lit(0.0).alias("least"))
+    bounded = rows.filter(queries).mapInArrow(_bounder(held, k), "id bigint, q array<bigint>, least double")
+    asked = bounded.select(F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("c"), deal(q_blocks).alias("b"), F.lit(1).alias("side"), "id", "q", "least")
+    parts = candidates.union(asked).repartition(min(c_blocks * q_blocks, PARTITIONS), "c", "b").sortWithinPartitions("c", "b")
     best = parts.mapInArrow(_searcher(k), "query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
