@@ -73,23 +73,62 @@ def test_small_regions_go_deeper_and_blocks_join(spark):
     assert got == plain_components(list(range(len(texts))), texts, 4)
 
 
-def test_equal_signatures_beyond_a_region():
-    sigs = np.tile(np.arange(64, dtype=np.uint16), (3, 1))
-    assert (sigs[:, N.order(3)] == sigs[0, N.order(3)]).all()
-    assert sorted(N.order(5)) == list(range(64)) and list(N.order(5)[:4]) == [20, 21, 22, 23]
-
-
 def test_a_sparse_pair_of_a_region_in_blocks_is_a_candidate(spark):
     random = np.random.default_rng(2)
-    sigs = random.integers(1, 65535, (60, 64)).astype(np.uint16)
-    sigs[:, N.order(0)[:4]] = 7  # one region of the first tree
-    sigs[1] = sigs[0]
-    sigs[1, np.arange(4, 64, 4)] += 1  # the pair shares a region in no other tree,
-    sigs[[0, 1], N.order(0)[4]] = 0, 65535  # and stands at both ends of the first one's order
-    rows = [(bytes([i]) * 16, s.tobytes()) for i, s in enumerate(sigs)]
+    bins = random.integers(1, 256, (60, N.BINS)).astype(np.uint8)
+    bins[1] = bins[0]
+    bins[1, ::8] = 255 - bins[0, ::8] // 2
+    bins[0, 0], bins[1, 0] = 1, 255  # the pair stands at both ends of the first order
+    rows = [(i, 1000, [7], bytes(b)) for i, b in enumerate(bins)]
     for region in (4, 8, 4096):
-        edges = N.candidate_edges(spark.createDataFrame(rows, "fp binary, sig binary"), 0.8, region).collect()
-        assert {frozenset((r.a[0], r.b[0])) for r in edges} == {frozenset((0, 1))}
+        edges = N.candidate_edges(spark.createDataFrame(rows, "cid bigint, n_shingles bigint, keys array<bigint>, bins binary"), 0.8, region).collect()
+        assert {frozenset((r.a, r.b)) for r in edges} == {frozenset((0, 1))}
+
+
+def planted(n, overlap, words=400, seed=4):
+    """Texts that all share ``overlap`` of their words with one template, and nothing else with each other."""
+    pick, out = random.Random(seed), []
+    base = [f"t{i}" for i in range(words)]
+    cut = int(words * overlap)
+    for i in range(n):
+        out.append(" ".join(base[:cut] + [f"u{i}_{k}" for k in range(words - cut)]))
+    pick.shuffle(out)
+    return out
+
+
+def test_texts_that_share_a_template_stay_apart():
+    """Pairwise similarity 0.55: no sketch of 300 such texts makes a candidate of any pair."""
+    texts = planted(300, 0.71)
+    sets = [own for _, data in N.blocks(texts) for buf, a, z, first in [N.word_spans(data)] for own in N.shingle_hashes(N.span_hashes(buf, a, z), first, 4)]
+    both = len(np.intersect1d(sets[0], sets[1]))
+    assert 0.5 < both / (2 * len(sets[0]) - both) < 0.6
+    bins, sizes = np.stack([N.sketch(s) for s in sets]), np.array([len(s) for s in sets])
+    label = N.region_labels(bins, sizes, np.zeros(300), False, 0.8)
+    assert len(set(label)) == 300
+
+
+def test_recall_of_planted_pairs(spark):
+    """200 pairs of similarity 0.82 to 0.84, far from each other: all are linked, whatever the size of a block."""
+    pick, texts = random.Random(6), []
+    for g in range(200):
+        base = [f"g{g}_{pick.randrange(10**6)}" for _ in range(300)]
+        other = list(base)
+        for spot in range(20, 300, 42):
+            other[spot] = f"new{spot}"
+        texts += [" ".join(base), " ".join(other)]
+    docs = spark.createDataFrame([(i, t, None, "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    want = plain_components(list(range(2)), texts[:2], 4)
+    assert want[1][1] == 0
+    for region in (4096, 16):
+        got = {r.doc_id: r.component_id for r in N.near_duplicates(docs, 4, region=region).collect()}
+        assert got == {i: i - i % 2 for i in range(400)}
+
+
+def test_blocks_by_bytes(spark):
+    texts = corpus(n_groups=1, copies=20, words=300, edits=3)
+    docs = spark.createDataFrame([(i, t, None, "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_duplicates(docs, 4, set_bytes=10_000).collect()}
+    assert got == plain_components(list(range(len(texts))), texts, 4)
 
 
 def test_repeated_rows_nulls_and_clashing_columns(spark):
@@ -100,7 +139,9 @@ def test_repeated_rows_nulls_and_clashing_columns(spark):
     assert got == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (None, 1, False), (None, None, True), (3, 3, True)], key=str)
     kept = N.one_of_each(docs, 4)
     assert kept.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None", "None"]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
+    bare = spark.createDataFrame([(None, long, b"1", 2), (None, long, b"2", 3), (None, "other words", None, None), (None, "", None, 4), (None, "", None, 5), (8, "", None, 6), (8, "", None, 6)], docs.schema)
+    assert sorted((r.text or "")[:5] for r in N.one_of_each(bare, 4).collect()) == ["", "", "", "a b c", "other"]
 
 
 def test_empty_table(spark):
@@ -111,9 +152,9 @@ def test_empty_table(spark):
 
 def test_exact_links_cross_and_percent():
     sets = [np.array(x, np.uint64) for x in ([1, 2, 3, 4, 5], [1, 2, 3, 4], [1, 2, 3, 9], [50])]
-    assert N.exact_links(sets, np.zeros(4), False, 80) == [(1, 0)]
-    assert N.exact_links(sets, np.array([0, 0, 1, 1]), True, 60) == [(2, 1)]
-    assert N.exact_links([], np.array([]), False, 80) == []
+    assert N.exact_links(sets, np.zeros(4), False, 80).tolist() == [0, 0, 2, 3]
+    assert N.exact_links(sets, np.array([0, 0, 1, 1]), True, 60).tolist() == [0, 1, 1, 3]
+    assert N.exact_links([], np.array([]), False, 80).tolist() == []
 
 
 def test_components_of_a_path_and_a_star(spark):

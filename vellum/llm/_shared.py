@@ -43,12 +43,17 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Edges up to which their nodes are broadcast.
+FEW_EDGES = 200_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): for each node of an edge list the smallest node that it is connected with.
 
     Alternating large-star and small-star steps (Kiveris et al. 2014): every step is an aggregation by node and a
     join that Spark can split at hot nodes, and each round is written out. Rounds grow with the logarithm of the
-    longest path. Loops and repeated edges are allowed; an empty list gives no rows.
+    longest path. Loops and repeated edges are allowed; an empty list gives no rows. While the edges are few, the least
+    neighbours are broadcast, so a hot node's edges stay spread over all tasks; beyond, adaptive plans split it.
     """
     hi, lo = F.greatest(a, b), F.least(a, b)
     now = written(edges.filter(F.col(a) != F.col(b)).select(hi.alias("u"), lo.alias("v")).distinct(), "edges")
@@ -58,11 +63,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if mark == before:
             break
         before = mark
+        near = F.broadcast if mark[0] <= FEW_EDGES else lambda df: df  # at most two rows an edge
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(near(least), "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(least, "u")
+        pairs = large.join(near(least), "u")
         small = pairs.select(F.col("v").alias("u"), F.col("m").alias("v")).union(pairs.select("u", F.col("m").alias("v")))
         after = written(small.filter(F.col("u") != F.col("v")).distinct(), "edges")
         drop_written(now)
