@@ -103,6 +103,64 @@ def test_overlapping_places_all_count():
     assert sorted(L.base_places(words)) == [("cc-by-nc", 0), ("cc-by-nc", 3)]
 
 
+def plain_scan(words):
+    """Every template at every place, word by word."""
+    out = []
+    for label, text, keys in L.TEMPLATES:
+        wanted, phrases = L.words_of(text), [L.words_of(k) for k in keys]
+        for at in range(-len(wanted), len(words)):
+            same = sum(0 <= at + q < len(words) and words[at + q] == w for q, w in enumerate(wanted))
+            inside = words[max(at, 0) : max(at + len(wanted), 0)]
+            if 10 * same >= 8 * len(wanted) and all(any(inside[i : i + len(p)] == p for i in range(len(inside))) for p in phrases):
+                out.append((label, at, same / len(wanted)))
+    return out
+
+
+def plain_base(words):
+    return [(label, i) for phrase, label in L.BASE.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.encode().split()]
+
+
+def test_scans_equal_every_template_at_every_place():
+    random = np.random.default_rng(12)
+    texts = [L.words_of(t) for _, t, _ in L.TEMPLATES]
+    every = sorted({w for t in texts for w in t})
+    bases = [p.encode().split() for p in L.BASE]
+    found = 0
+    for turn in range(60):
+        words: list[bytes] = []
+        for _ in range(int(random.integers(0, 5))):
+            words += [every[k] for k in random.integers(0, len(every), int(random.integers(0, 12)))]
+            own = list(texts[int(random.integers(0, len(texts)))])[int(random.integers(0, 2)) * int(random.integers(0, 5)) :]
+            for k in random.integers(0, len(own), int(random.integers(0, len(own) // 4 + 1))):
+                own[k] = every[int(random.integers(0, len(every)))]
+            words += own + bases[int(random.integers(0, 3))] * int(random.integers(0, 3))
+        counts = {w.decode(): int(random.integers(0, 50)) for w in every} | {"": 50}
+        got = L.Index(counts).scan(words)
+        assert sorted(got) == sorted(plain_scan(words)), turn
+        assert sorted(L.base_places(words)) == sorted(plain_base(words))
+        found += len(got)
+    assert found > 60
+
+
+def test_whole_bodies_get_their_labels():
+    index = L.Index({})
+    for label, text, _ in L.TEMPLATES:
+        assert label in {m[0] for m in index.scan(L.words_of(f"Copyright (c) 2020 A B\n{text} and more"))}
+
+
+def test_many_places_take_linear_time():
+    import time
+
+    def seconds(n):
+        words = L.words_of("under the mit license " * n)
+        begun = time.perf_counter()
+        assert len(L.base_places(words)) == n
+        return time.perf_counter() - begun
+
+    seconds(1000)
+    assert seconds(80_000) < 40 * max(seconds(8_000), 0.002)
+
+
 def test_licences_of_an_empty_table_and_frequencies(spark):
     assert L.licence_scan(spark.createDataFrame([], DOCS)).count() == 0
     counts = {r.word: r.n for r in L.document_frequencies(docs_of(spark, ["the MIT license license", "license", "x"])).collect()}
@@ -116,6 +174,9 @@ def test_token_counts(spark):
     texts = ODD + ["some words " * i for i in range(200)]
     got = {r.doc_id: r.n_tokens for r in token_files.count_tokens(docs_of(spark, texts).repartition(3, "doc_id"), block=512).collect()}
     assert got == {i: len(ids) for i, ids in enumerate(token_files.token_ids(texts))}
+    for per_file in (1, 7):
+        rows = token_files.count_tokens(docs_of(spark, texts).repartition(3, "doc_id"), block=512, per_file=per_file).collect()
+        assert {r.doc_id: r.n_tokens for r in rows} == got and max(r.doc_no for r in rows) == per_file - 1
     assert token_files.count_tokens(spark.createDataFrame([], DOCS)).count() == 0
 
 

@@ -1,16 +1,18 @@
 """Licence scans with a positional index of rare licence words.
 
-``TEMPLATES`` holds short public phrases by label; each has mandatory key phrases. One pass counts in how many documents every
-licence word stands (partial sums; the vocabulary is bounded by the templates). The index maps each word to its
-places in the templates. A document's licence words are looked up from the rarest on; every place votes for the pairs of
-(template, relative position) it supports, and a pair with enough votes is verified: most of the template's words must
-stand at their places and every key phrase must stand inside the span. Base phrases are found exactly and always
-keep their label.
+``TEMPLATES`` holds notices and whole bodies of public licences by label; each has mandatory key phrases. One pass counts in how
+many documents every licence word stands (partial sums; the vocabulary is bounded by the templates). The index holds, for each
+template, postings of its rarest words only: so many that a place where ``AGREE`` of the template's words stand must have
+``VOTES`` of them. Each posting that a document's words hit votes for a pair (template, relative position); pairs with enough
+votes are where the postings intersect. They are verified: AGREE of the template's words must stand at their places and every
+key phrase inside the span. Base phrases are found exactly and always keep their label.
 
-Both passes are per row without a shuffle of texts; the broadcast holds document frequencies of the template words only.
+Both passes are per row without a shuffle of texts; the broadcast holds document frequencies of the template words only. Work is
+linear in a text's words, but for verification, which costs a template's length a voted place.
 
-Defined cases: a null or empty text has no words, no labels, score 0 and null places; repeated rows are scanned each;
-other columns are ignored; an empty table gives an empty result.
+Defined cases: a null or empty text has no words, no labels, score 0 and null places; very long texts are scanned whole; of words
+that are equally rare the earlier one in the template is indexed; repeated rows are scanned each; other columns are ignored; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,27 +35,140 @@ BASE = {
 
 # Wording of public licences and of the usual notices, with the phrases that must be present.
 TEMPLATES: list[tuple[str, str, tuple[str, ...]]] = [
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "free of charge")),
     ("mit", "released under the mit license", ("mit license",)),
     ("mit", "licensed under the mit license", ("mit license",)),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "free of charge")),
+    (
+        "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+        to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or
+        sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright
+        notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+        WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+        NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+        CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+        ("permission is hereby granted free of charge", "the above copyright notice and this permission notice"),
+    ),
+    (
+        "isc",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above
+        copyright notice and this permission notice appear in all copies.""",
+        ("permission to use copy modify", "with or without fee"),
+    ),
+    (
+        "0bsd",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED
+        "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES""",
+        ("permission to use copy modify", "is hereby granted the software is provided"),
+    ),
+    (
+        "zlib",
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from
+        the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+        redistribute it freely, subject to the following restrictions""",
+        ("permission is granted to anyone to use this software", "redistribute it freely"),
+    ),
     ("apache-2", "licensed under the apache license version 2 0", ("apache license", "version 2")),
+    (
+        "apache-2",
+        """you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES
+        OR CONDITIONS OF ANY KIND, either express or implied.""",
+        ("except in compliance with the license", "apache org licenses"),
+    ),
     ("apache-2", "you may not use this file except in compliance with the license", ("except in compliance with the license",)),
+    (
+        "apache-2",
+        """each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce,
+        prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.""",
+        ("contributor hereby grants to you a perpetual worldwide", "derivative works"),
+    ),
+    (
+        "bsd",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met""",
+        ("redistribution and use", "source and binary forms"),
+    ),
+    (
+        "bsd-2",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+        and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" """,
+        ("redistribution and use in source and binary forms", "with the distribution this software is provided"),
+    ),
+    (
+        "bsd-3",
+        """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+        without specific prior written permission.""",
+        ("endorse or promote products derived from this software",),
+    ),
     ("gpl", "licensed under the gnu general public license version", ("gnu general public license",)),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("free software", "gnu general public license")),
+    (
+        "gpl",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free
+        Software Foundation""",
+        ("free software", "gnu general public license"),
+    ),
     ("lgpl", "licensed under the gnu lesser general public license version", ("gnu lesser general public license",)),
+    (
+        "lgpl",
+        """you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation""",
+        ("gnu lesser general public license",),
+    ),
     ("agpl", "licensed under the gnu affero general public license version", ("gnu affero general public license",)),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use", "source and binary forms")),
+    (
+        "agpl",
+        """you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation""",
+        ("gnu affero general public license",),
+    ),
+    (
+        "mpl-2",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You
+        can obtain one at""",
+        ("mozilla public license",),
+    ),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    (
+        "epl",
+        """The accompanying program is provided under the terms of this Eclipse Public License ("Agreement"). Any use, reproduction or distribution of the
+        program constitutes recipient's acceptance of this agreement""",
+        ("eclipse public license",),
+    ),
+    ("epl", "made available under the terms of the eclipse public license", ("eclipse public license",)),
+    ("artistic-2", "licensed under the artistic license 2 0", ("artistic license 2 0",)),
+    (
+        "bsl-1",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered
+        by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the
+        Software""",
+        ("any person or organization obtaining a copy",),
+    ),
+    ("bsl-1", "distributed under the boost software license version 1 0", ("boost software license",)),
     ("cc-by-nc", "licensed under cc by nc", ("cc by nc",)),
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial license", ("creative commons attribution", "noncommercial")),
     ("cc-by-sa", "licensed under cc by sa", ("cc by sa",)),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
+    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license", ("creative commons attribution sharealike",)),
+    ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0",)),
+    (
+        "cc0",
+        """To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights to this
+        work.""",
+        ("to the extent possible under law", "cc0"),
+    ),
+    (
+        "unlicense",
+        """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute
+        this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+        ("free and unencumbered software", "public domain"),
+    ),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software", "public domain")),
 ]
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 #: Share of a template's words that must stand at their places.
 AGREE = 0.8
+#: Votes that a place needs from a template's indexed words.
+VOTES = 2
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -62,7 +177,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def _template_words() -> set[bytes]:
-    return {w for _, text, _ in TEMPLATES for w in text.encode().split()}
+    return {w for _, text, _ in TEMPLATES for w in words_of(text)}
 
 
 def _frequency_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,46 +195,56 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 class Index:
-    """Postings of the template words, and how rare each word is among the documents."""
+    """Postings of each template's rarest words: word -> places in templates."""
 
     def __init__(self, counts: dict[str, int]) -> None:
         total = counts.get("", 0)
-        self.templates = [(label, text.encode().split(), [k.encode().split() for k in keys]) for label, text, keys in TEMPLATES]
+        self.templates = [(label, words_of(text), [words_of(k) for k in keys]) for label, text, keys in TEMPLATES]
         self.idf = {w: math.log((total + 1) / (counts.get(w.decode(), 0) + 1)) for w in _template_words()}
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.votes: list[int] = []
         for t, (_, words, _) in enumerate(self.templates):
-            for q, w in enumerate(words):
-                self.postings[w].append((t, q))
-        #: a template is looked for by its rarest words: enough of them that AGREE cannot hold without one
-        self.rare: set[tuple[int, int]] = set()
-        for t, (_, words, _) in enumerate(self.templates):
-            need = len(words) - math.ceil(AGREE * len(words)) + 1
-            self.rare |= {(t, q) for q in sorted(range(len(words)), key=lambda q: (-self.idf[words[q]], q))[: max(need, 2)]}
+            missing = len(words) - least_words(words)  # so many words may be other ones, so of any missing + VOTES places VOTES hold
+            indexed = sorted(range(len(words)), key=lambda q: (-self.idf[words[q]], q))[: missing + VOTES]
+            self.votes.append(len(indexed) - missing)
+            for q in indexed:
+                self.postings[words[q]].append((t, q))
 
     def scan(self, words: list[bytes]) -> list[tuple[str, int, float]]:
-        """(label, start, agreement) of every verified template."""
-        spots = [(i, w) for i, w in enumerate(words) if w in self.postings]
-        by_rarity = sorted(spots, key=lambda x: -self.idf[x[1]])
+        """(label, start, agreement) of every verified template, in the order of templates and places."""
         votes: Counter = Counter()
-        for i, w in by_rarity:
-            votes.update((t, i - q) for t, q in self.postings[w] if (t, q) in self.rare)
-        out, here = [], dict(spots)
-        for (t, at), _ in votes.items():
+        for i, w in enumerate(words):
+            if w in self.postings:
+                votes.update((t, i - q) for t, q in self.postings[w])
+        out = []
+        for (t, at), n in sorted(votes.items()):
             label, wanted, keys = self.templates[t]
-            share = sum(here.get(at + q) == w for q, w in enumerate(wanted)) / len(wanted)
-            if share >= AGREE and all(has(words, max(at, 0), at + len(wanted), key) for key in keys):
-                out.append((label, at, share))
+            if n < self.votes[t]:
+                continue
+            same = sum(0 <= at + q < len(words) and words[at + q] == w for q, w in enumerate(wanted))
+            if same >= least_words(wanted) and all(has(words, max(at, 0), at + len(wanted), key) for key in keys):
+                out.append((label, at, same / len(wanted)))
         return out
 
 
+def least_words(template: list[bytes]) -> int:
+    """How many of a template's words must stand at their places."""
+    return math.ceil(AGREE * len(template))
+
+
 def has(words: list[bytes], a: int, b: int, phrase: list[bytes]) -> bool:
     return any(words[i : i + len(phrase)] == phrase for i in range(a, b - len(phrase) + 1))
 
 
 def base_places(words: list[bytes]) -> list[tuple[str, int]]:
+    """(label, word number) of every place of a base phrase, in one walk over the text for each phrase."""
     out, joined = [], b" " + b" ".join(words) + b" "
     for phrase, label in BASE.items():
-        out += [(label, joined.count(b" ", 0, m.start())) for m in re.finditer(b"(?= " + re.escape(phrase.encode()) + b" )", joined)]
+        number, seen = 0, 0
+        for m in re.finditer(b"(?= " + re.escape(phrase.encode()) + b" )", joined):
+            number += joined.count(b" ", seen, m.start())
+            seen = m.start()
+            out.append((label, number))
     return out
 
 

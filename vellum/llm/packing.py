@@ -12,8 +12,9 @@ capacity a piece goes to the one whose weighted residual vector has the smallest
 
 Documents longer than a sequence are cut into whole ones; their first piece holds the rest. The default capacities of
 documents and cost equal what the token capacity allows anyway, so they never cost a sequence; set them lower to bind.
+Ties between sequences go to the one that was opened first and is still in its place, so equal input is packed alike.
 
-Defined cases: a null or empty text is one closing token; the literal of an added token is that token, as in the JSON form; repeated rows are packed each; a null id is kept;
+Defined cases: a null or empty text is one closing token; a very long text is cut whole, nothing is left out; the literal of an added token is that token, as in the JSON form; repeated rows are packed each; a null id is kept;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -32,6 +33,8 @@ from vellum.llm._shared import written
 from vellum.llm._tokens import json_token_ids
 
 CAPACITY, CLOSING, GROUP = 2048, 0, 4096
+#: The most shuffle partitions; a task packs the groups of its partition one after another.
+PARTITIONS = 4096
 
 
 def cut_points(total: int, capacity: int) -> list[tuple[int, int]]:
@@ -112,4 +115,4 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, max_docs: int | None = Non
     groups = max(1, -(-pieces.count() // GROUP))
     # the row number keeps an id that repeats from filling one group
     dealt = pieces.select(F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(groups)).alias("grp"), "*")
-    return dealt.repartition(max(groups, 1), "grp").sortWithinPartitions("grp").mapInArrow(_packer(capacity, max_docs, max_cost, rule), f"{schema}, sequence_id bigint, offset bigint")
+    return dealt.repartition(min(groups, PARTITIONS), "grp").sortWithinPartitions("grp").mapInArrow(_packer(capacity, max_docs, max_cost, rule), f"{schema}, sequence_id bigint, offset bigint")

@@ -1,16 +1,19 @@
 """Token counts of flat token files by a scan for separators.
 
 A token file is nothing but 16-bit little-endian ids, every document closed by the separator id; it has no index and
-no header. ``write_token_files`` makes such files, one for each partition of its input, and ``scan_token_files`` finds
+no header. ``write_token_files`` makes such files of at most ``FILE_BYTES`` of text on average, and ``scan_token_files`` finds
 the documents of any such files again: files are cut into blocks, numpy searches each block for the separator, and
 the blocks are stitched by a running maximum of the last separator and a running count of separators.
 
-Scale: a file is one partition's worth of text, blocks never leave the task that read their file, and only the places of
-separators go through the window over (file, block). Files should stay under 2 GB each, the limit of a binary value.
+Scale: the writer starts a new file after so many documents as hold ``FILE_BYTES`` of text on average, so a task reads files of
+some megabytes one by one whatever the size of the table; blocks never leave the task that read their file, and only the places of
+separators go through the window over (file, block). Files should stay under 2 GB each, the limit of a binary value, also where
+documents are very long: set ``rows_per_file`` lower then.
 
 Defined cases: a null or empty text is a document of 0 tokens; an empty table writes no file and gives no rows; ids
-behind a file's last separator are an unfinished document (``closed`` false); an odd last byte is ignored; repeated rows
-are counted each; other columns are ignored.
+behind a file's last separator are an unfinished document (``closed`` false); an odd last byte is ignored; a very long text is
+counted whole, over as many blocks as it takes; repeated rows and equal texts are counted each; a text's own literal of the
+separator is ordinary text and gives other ids; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from vellum.llm._tokens import token_ids
 
 #: The vocabulary's end-of-text id; ordinary text never gives it.
 SEPARATOR, BLOCK = 50256, 1 << 20
+#: Bytes of text that a token file holds on average.
+FILE_BYTES = 16_000_000
 
 
 def _encoder(path: str | None):
@@ -39,11 +44,18 @@ def _encoder(path: str | None):
     return encode
 
 
-def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, text_col: str = "text") -> None:
+def rows_per_file(docs: DataFrame, text_col: str = "text") -> int:
+    """Documents of which FILE_BYTES of text are made on average."""
+    mean = docs.agg(F.avg(F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) + 1)).first()[0]
+    return max(1, int(FILE_BYTES / (mean or FILE_BYTES)))
+
+
+def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, text_col: str = "text", per_file: int | None = None) -> None:
     """Writes the texts' ids as flat files. Spark's text writer puts raw bytes; the line separator is the separator id."""
+    per_file = per_file or rows_per_file(docs, text_col)
     closing = np.array([SEPARATOR], "<u2").tobytes().decode("latin-1")
     ids = docs.select(F.col(text_col).alias("text")).mapInArrow(_encoder(vocabulary), "ids binary")
-    ids.select(F.col("ids").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", closing).text(path)
+    ids.select(F.col("ids").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", closing).option("maxRecordsPerFile", per_file).text(path)
 
 
 def _searcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +95,7 @@ def stitched(found: DataFrame) -> DataFrame:
     return closed.union(rest)
 
 
-def count_tokens(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def count_tokens(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, per_file: int | None = None) -> DataFrame:
     """(doc_id, token_file, doc_no, start, n_tokens) of each row, from flat files that it writes to the shared folder.
 
     ``docs`` must read the same rows in the same order whenever its partitions are computed, as tables in files do: a
@@ -91,12 +103,14 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, id_col: str = "
     """
     spark = docs.sparkSession
     path = new_path(spark, "token-files")
-    write_token_files(docs, path, vocabulary, text_col)
+    per_file = per_file or rows_per_file(docs, text_col)
+    write_token_files(docs, path, vocabulary, text_col, per_file)
     found = scan_token_files(spark, path, block)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    names = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row")).select("doc_id", F.shiftright("row", 33).alias("part"), F.col("row").bitwiseAND((1 << 33) - 1).alias("no"))
-    got = found.filter("closed").withColumn("part", F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint"))
-    both = got.join(names, (got.part == names.part) & (got.doc_no == names.no), "full")
+    names = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row")).select("doc_id", F.shiftright("row", 33).alias("part"), F.col("row").bitwiseAND((1 << 33) - 1).alias("at"))
+    names = names.select("doc_id", "part", F.expr(f"at div {per_file}").alias("turn"), F.expr(f"at % {per_file}").alias("no"))
+    got = found.filter("closed").withColumn("part", F.regexp_extract("file", r"part-(\d+)", 1).cast("bigint")).withColumn("turn", F.regexp_extract("file", r"-c(\d+)", 1).cast("bigint"))
+    both = got.join(names, (got.part == names.part) & (got.turn == names.turn) & (got.doc_no == names.no), "full")
     whole = F.when(F.col("no").isNull() | F.col("file").isNull(), F.raise_error(F.lit("token files and table differ"))).otherwise(F.col("doc_id"))
-    return both.select(whole.alias("doc_id"), F.format_string("part-%05d", got.part).alias("token_file"), "doc_no", "start", "n_tokens")
+    return both.select(whole.alias("doc_id"), F.format_string("part-%05d-c%03d", got.part, got.turn).alias("token_file"), "doc_no", "start", "n_tokens")
