@@ -34,7 +34,7 @@ def test_media_round_trip(spark):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
         stored = media.WRITERS[media._kind_of(payload)](payload)
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
-    assert {r.feature.split(";")[0] for r in rows.values()} == {f"type={k}" for k in media.MAGIC}
+    assert {r.feature.split(";")[0] for r in rows.values()} == {f"type={k}" for k in media.WRITERS}
 
 
 def test_equal_texts_have_equal_values(spark):
@@ -72,6 +72,79 @@ def test_media_of_other_depths_are_found():
         assert media.finds(data[:-1]) == []
 
 
+def plain_png(data):
+    """Samples of an 8-bit grey PNG read chunk by chunk, filters by the letter of the standard."""
+    spot, packed = 8, b""
+    while spot < len(data):
+        size, kind = int.from_bytes(data[spot : spot + 4], "big"), data[spot + 4 : spot + 8]
+        if kind == b"IHDR":
+            width, height = int.from_bytes(data[spot + 8 : spot + 12], "big"), int.from_bytes(data[spot + 12 : spot + 16], "big")
+            back = {0: 1, 2: 3, 6: 4}[data[spot + 17]]
+        if kind == b"IDAT":
+            packed += data[spot + 8 : spot + 8 + size]
+        spot += 12 + size
+    lines, step, rows = zlib.decompress(packed), width * back, [[0] * (width * back)]
+    for y in range(height):
+        kind, line, row = lines[y * (step + 1)], lines[y * (step + 1) + 1 : (y + 1) * (step + 1)], []
+        for x in range(step):
+            a, b, c = row[x - back] if x >= back else 0, rows[-1][x], rows[-1][x - back] if x >= back else 0
+            p = a + b - c
+            paeth = a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - c) else b if abs(p - b) <= abs(p - c) else c
+            row.append((line[x] + [0, a, b, (a + b) // 2, paeth][kind]) % 256)
+        rows.append(row)
+    return b"".join(map(bytes, rows[1:]))
+
+
+def plain_bmp(data):
+    start, width, height = (int.from_bytes(data[i : i + 4], "little", signed=True) for i in (10, 18, 22))
+    rows = [data[start + y * width : start + (y + 1) * width] for y in range(abs(height))]
+    return b"".join(rows if height < 0 else rows[::-1])
+
+
+def test_stored_forms_are_read_by_other_decoders():
+    import io
+    import wave
+
+    for payload in (bytes(range(256)) * 9, b"\xff" * 576, np.random.default_rng(1).bytes(576 * 5)):
+        with wave.open(io.BytesIO(media.wav(payload))) as sound:
+            assert (sound.getnchannels(), sound.getsampwidth(), sound.readframes(10**6)) == (1, 1, payload)
+        assert plain_png(media.png(payload)) == plain_bmp(media.bmp(payload)) == payload
+        head, size, depth, samples = media.pgm(payload).split(b"\n", 3)
+        assert (head, depth, samples) == (b"P5", b"255", payload) and np.prod([int(x) for x in size.split()]) == len(payload)
+
+
+@pytest.mark.parametrize("colour, back", [(0, 1), (2, 3), (6, 4)])
+def test_png_filters_are_undone(colour, back):
+    random = np.random.default_rng(colour)
+    width, height = 7, 10
+    lines = b"".join(bytes([y % 5]) + random.bytes(width * back) for y in range(height))
+    head = media.struct.pack(">IIBBBBB", width, height, 8, colour, 0, 0, 0)
+    whole = media.MAGIC["png"] + media._chunk(b"IHDR", head) + media._chunk(b"IDAT", zlib.compress(lines)) + media._chunk(b"IEND", b"")
+    assert media.finds(b"x" + whole) == [("png", 1, len(whole), plain_png(whole))]
+
+
+def test_png_that_holds_more_than_it_promises_is_not_inflated():
+    bomb = zlib.compress(bytes(50_000_000))
+    for size in ((1, 1), (2**31 - 1, 2**31 - 1)):
+        head = media.struct.pack(">IIBBBBB", *size, 8, 0, 0, 0, 0)
+        whole = media.MAGIC["png"] + media._chunk(b"IHDR", head) + media._chunk(b"IDAT", bomb) + media._chunk(b"IEND", b"")
+        assert media.finds(whole) == [("png", 0, len(whole), None)]
+
+
+def test_jpeg_and_gif_are_carved(spark):
+    def segment(kind, data):
+        return bytes([255, kind]) + (len(data) + 2).to_bytes(2, "big") + data
+
+    jpg = b"\xff\xd8" + segment(0xE0, b"JFIF\0") + segment(0xC0, b"\x08\0\x02\0\x02\x01\x01\x11\0") + segment(0xC4, bytes(18)) + segment(0xDA, b"\x01\x01\0\0?\0") + b"ab\xff\0c\xff\xd3d\xff\xd9"
+    gif = b"GIF89a\x02\0\x02\0\x80\0\0" + bytes(6) + b"\x21\xf9\x04" + bytes(4) + b"\0" + b"\x2c" + bytes(8) + b"\0\x02\x03abc\0;"
+    data = b"\xff\xd8\xff\xe0 no GIF8 no" + jpg + b"mid" + gif + b"end"
+    assert [(k, data[a : a + n]) for k, a, n, _ in media.finds(data)] == [("jpg", jpg), ("gif", gif)]
+    for whole in (jpg, gif):
+        assert all(media.finds(whole[:n]) == [] for n in range(len(whole)))
+    df = spark.createDataFrame([(1, "txt", bytearray(data))] * 2, "doc_id bigint, declared string, media binary")
+    assert sorted(bytes(r.carved) for r in media.carve(df).collect()) == sorted([jpg, gif] * 2)
+
+
 def test_media_inside_a_text_are_counted(spark):
     rows = media.media_digests(docs_of(spark, ["see P5 1 1 255 x and P5 2 1 255 yz", "no medium, P5 BM RIFF"])).collect()
     assert {r.doc_id: "embedded=2;" in r.feature for r in rows} == {0: True, 1: False}

@@ -6,15 +6,18 @@ format's validator confirms the structure and gives the exact length; a match of
 nothing. The first medium at the start of the bytes corrects a declared type; media further in are carved.
 
 Validators look at structure alone: RIFF chunk sizes, BMP header arithmetic (RLE by the stated size), PGM header with
-comments and any maxval, PNG chunks and checksums. Samples are given for WAV and PGM as stored, for 8-bit BMP and for 8-bit
-grey PNG without row filters; those of other BMP and PNG are null. Not supported: RIFX and RF64, BMP of OS/2 (12-byte header).
-
-Everything is per row, in Arrow batches cut into small runs, so memory follows the largest single value.
-
-Defined cases: null text is an empty payload; null media have no finds; truncated or corrupted media are not found;
-media inside the span of a found medium are not reported again
-by ``sniff`` (op3 looks for them in the samples it reads back); other columns are ignored; an empty table gives an
-empty result.
+comments and any maxval, PNG chunks and checksums, JPEG segments up to the end marker, GIF blocks up to the trailer. Samples are
+given for WAV and PGM as stored, for 8-bit BMP, and for PNG of every colour type and depth with all row filters unless it
+is interlaced; those of other BMP and PNG, of JPEG and of GIF are null. Not supported: RIFX and RF64, BMP of OS/2 (12-byte header).
+
+Everything is per row, in Arrow batches cut into small runs, so memory follows the largest single value. A PNG is inflated to no
+more bytes than its header promises, and to at most ``INFLATED`` times its packed size, the limit of its packing.
+
+Defined cases: null and empty text are an empty payload, stored as one unit; very long texts are stored whole; equal texts are stored
+alike, so repeated rows give equal values; null media have no finds; truncated or corrupted media are not found; of
+formats that start at one place the first whose validator confirms counts; media inside the span of a found medium are not
+reported again by ``sniff`` (op3 looks for them in the samples it reads back); other columns are ignored; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +41,11 @@ MAGIC = {
     "bmp": b"BM",
     "pgm": b"P5",
     "png": b"\x89PNG\r\n\x1a\n",
+    "jpg": b"\xff\xd8\xff",
+    "gif": b"GIF8",
 }
+#: The most bytes that a packed byte can stand for.
+INFLATED = 1032
 
 
 def padded(data: bytes) -> bytes:
@@ -169,18 +176,114 @@ def read_png(data: bytes, at: int) -> tuple[int, bytes | None] | None:
         return None
     if head is None or not head[0] or not head[1] or head[2] not in DEPTHS.get(head[3], ()) or head[4:6] != (0, 0) or head[6] > 1 or not packed:
         return None
-    if head[2:] != (8, 0, 0, 0, 0):
-        return spot - at, None
+    return spot - at, None if head[6] else _png_samples(head[0], head[1], head[2] * CHANNELS[head[3]], b"".join(packed))
+
+
+#: Channels by the colour type of a PNG.
+CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
+
+
+def _png_samples(width: int, height: int, bits: int, packed: bytes) -> bytes | None:
+    """The rows of an image that is not interlaced, filters undone; None if its data are not what the header promises."""
+    step, back = (width * bits + 7) // 8, max(1, bits // 8)
+    size = height * (step + 1)
+    if size > INFLATED * len(packed) + 64:
+        return None
     try:
-        lines = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)
+        data = zlib.decompressobj().decompress(packed, size + 1)
     except zlib.error:
-        return spot - at, None
-    if len(lines) != head[1] * (head[0] + 1) or lines.reshape(head[1], -1)[:, 0].any():  # other filters are not written here
-        return spot - at, None
-    return spot - at, lines.reshape(head[1], -1)[:, 1:].tobytes()
+        return None
+    if len(data) != size:
+        return None
+    lines = np.frombuffer(data, np.uint8).reshape(height, step + 1)
+    if not lines[:, 0].any():
+        return lines[:, 1:].tobytes()
+    if lines[:, 0].max() > 4:
+        return None
+    out = np.zeros((height + 1, step), np.uint8)
+    for y in range(height):
+        out[y + 1] = _unfiltered(int(lines[y, 0]), lines[y, 1:], out[y], back)
+    return out[1:].tobytes()
+
+
+def _unfiltered(kind: int, line: np.ndarray, above: np.ndarray, back: int) -> np.ndarray:
+    """A row of a PNG without its filter: none, left, above, mean of both, or Paeth's choice."""
+    if kind == 0:
+        return line
+    if kind == 2:
+        return line + above
+    if kind == 1:
+        wide = np.zeros(-(-len(line) // back) * back, np.uint8)
+        wide[: len(line)] = line
+        return np.cumsum(wide.reshape(-1, back), 0, dtype=np.uint8).ravel()[: len(line)]
+    got, up = bytearray(len(line)), above.tobytes()
+    for x, value in enumerate(line.tobytes()):
+        a, b, c = (got[x - back], up[x], up[x - back]) if x >= back else (0, up[x], 0)
+        if kind == 3:
+            guess = (a + b) // 2
+        else:
+            p = a + b - c
+            guess = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+        got[x] = (value + guess) & 255
+    return np.frombuffer(bytes(got), np.uint8)
+
+
+def read_jpg(data: bytes, at: int) -> tuple[int, bytes | None] | None:
+    spot, frame = at + 2, False
+    while spot + 4 <= len(data):
+        if data[spot] != 0xFF:
+            return None
+        kind = data[spot + 1]
+        if kind == 0xFF:  # filling
+            spot += 1
+            continue
+        if kind in (0, 1) or 0xD0 <= kind <= 0xD9:
+            return None
+        size = struct.unpack_from(">H", data, spot + 2)[0]
+        if size < 2 or spot + 2 + size > len(data):
+            return None
+        if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+            frame = size >= 11 and size == 8 + 3 * data[spot + 9] and struct.unpack_from(">H", data, spot + 7)[0] > 0
+        spot += 2 + size
+        if kind == 0xDA:  # entropy-coded bytes run to the next marker that is neither stuffed nor a restart
+            if not frame:
+                return None
+            while True:
+                spot = data.find(b"\xff", spot)
+                if spot < 0 or spot + 1 >= len(data):
+                    return None
+                if data[spot + 1] == 0xD9:
+                    return spot + 2 - at, None
+                if data[spot + 1] and not 0xD0 <= data[spot + 1] <= 0xD7:
+                    break
+                spot += 2
+    return None
+
+
+def read_gif(data: bytes, at: int) -> tuple[int, bytes | None] | None:
+    if data[at + 4 : at + 6] not in (b"7a", b"9a") or at + 13 > len(data):
+        return None
+    width, height, flags = struct.unpack_from("<HHB", data, at + 6)
+    spot, images = at + 13 + (3 << (flags & 7) + 1 if flags & 128 else 0), 0
+    while spot < len(data):
+        kind = data[spot]
+        if kind == 0x3B:
+            return (spot + 1 - at, None) if images and width and height else None
+        if kind == 0x2C and spot + 10 < len(data):
+            flags = data[spot + 9]
+            spot += 10 + (3 << (flags & 7) + 1 if flags & 128 else 0) + 1
+            images += 1
+        elif kind == 0x21:
+            spot += 2
+        else:
+            return None
+        while spot < len(data) and data[spot]:  # blocks of data, each with its length before it
+            spot += 1 + data[spot]
+        spot += 1
+    return None
 
 
-READERS: dict[str, Callable[[bytes, int], tuple[int, bytes | None] | None]] = {"wav": read_wav, "bmp": read_bmp, "pgm": read_pgm, "png": read_png}
+READERS: dict[str, Callable[[bytes, int], tuple[int, bytes | None] | None]] = {"wav": read_wav, "bmp": read_bmp, "pgm": read_pgm, "png": read_png, "jpg": read_jpg, "gif": read_gif}
 _automata: list = []
 
 
@@ -229,12 +332,12 @@ def _storer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pads = [padded(x) for x in raw]
             kinds = [_kind_of(x) for x in pads]
             media = [WRITERS[k](x) for k, x in zip(kinds, pads, strict=True)]
-            told = ["application/octet-stream" if zlib.crc32(x) & 4 else k for k, x in zip(kinds, pads, strict=True)]
+            told = ["text/plain"] * len(kinds)  # what the column held; sniffing corrects it
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array(told), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "declared", "media"])
 
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, declared, media): every text as one medium. Some are declared as plain bytes, for sniff to correct."""
+    """(doc_id, n_bytes, declared, media): every text as one medium, declared as the plain text it came from, for sniff to correct."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return slim.mapInArrow(_storer, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, declared string, media binary")
 
