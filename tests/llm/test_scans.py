@@ -322,6 +322,31 @@ def test_article_text(spark):
     assert got == {1: (want, len(want)), 2: ("", 0), 3: ("", 0), 4: ("only open text here", 19), 5: ("", 0)}
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div class='layout has-sidebar'><article><p>kept</p></article><div class='sidebar'>no</div></div>", "kept"),
+    ("<div class='widget'><article><p>kept</p></article></div>", "kept"),
+    ("<div class='sidebar'><article>teaser</article></div><article>kept</article>", "kept"),
+    ("<article>kept</article><aside><article>teaser</article></aside>", "kept"),
+    ("<article><div class='post-header'><h1>Title</h1></div><p>kept</p></article>", "Title\nkept"),
+    ("<article><div class='entry-header header'><h1>Title</h1></div><header><h2>Sub</h2></header></article>", "Title\nSub"),
+    ("<article><section class='ad-hoc-analysis'><p>kept</p></section><div class='ad-slot'>no</div><div id='ad-1'>no</div></article>", "kept"),
+    ("<article><p>kept</p><div class='social-share-buttons'>no</div><div class='related-posts'>no</div><div class='comment_list'>no</div></article>", "kept"),
+    ("<article><p class='promotion-policy'>kept</p><div class='newsletter-signup'>no</div><div class='site-header'>no, but a header</div></article>", "kept\nno, but a header"),
+    ("<div class='page-header'>no</div><div class='cookie-banner'>no</div><p>open</p>", "open"),
+    ("<body class='no-sidebar'><main><p>kept</p></main></body>", "kept"),
+])
+def test_names_of_parts(html, want):
+    assert "\n".join(t for k, t in H.blocks_of(html) if k != H.NOISE) == want
+
+
+def test_every_repeat_of_a_host_goes_whatever_its_size(spark):
+    """Every two pages of one host share a notice; 700 pages are parsed in several parts."""
+    for n in (240, 700):
+        rows = [(i, "http://big/x", f"<p>{' '.join(f'{w}{i}' for w in 'own words of this page only'.split())}</p><div>pages {i // 2} share these twelve words of notice number {i // 2} a b</div>") for i in range(n)]
+        got = H.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)).collect()
+        assert sorted(r.text for r in got) == sorted(" ".join(f"{w}{i}" for w in "own words of this page only".split()) for i in range(n))
+
+
 def test_repeated_runs_of_open_pages_go(spark):
     head, foot = "<div>Site name and a long slogan</div>", "<div>All rights are reserved by someone</div>"
     rows = [(i, f"http://h.example/{i}", f"{head}<p>story {i} has its own words {i}{i}</p>{foot}") for i in range(5)]
