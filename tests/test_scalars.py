@@ -102,3 +102,18 @@ def test_survey_values(spark):
     assert [r.f for r in got] == [1, 1, 1, 1, 1, 0]
     assert [r[0] for r in spark.range(1).select(S.percent_text(F.lit(0.125))).collect()] == ["12%"]
     assert spark.range(1).select(S.relabel(F.lit("a"), {"a": "b"}), S.period(F.lit(2023), {"then": (2008, 2010), "now": (2022, 2024)}), S.age(2024, F.lit(2000)), S.calendar_year(F.lit(6)), S.pivot_year(F.lit("50"))).first()[:] == ("b", "now", 24, 2030, 1950)
+
+
+def test_white_space_of_every_script_goes(spark):
+    df = spark.createDataFrame([("\n \tMarch 5, 2021  \n",)], "t string")
+    got = df.select(S.strip("t").alias("s"), S.text_date("t")["raw"].alias("d"), S.slug(F.lit("A B  c")).alias("g"), S.count_text(F.lit("\n1,234\t")).alias("n"), S.label_slug(F.lit(" 2020–21\n")).alias("l")).first()
+    assert tuple(got) == ("March 5, 2021", "2021-03-05", "A_B_c", "1234", "2020-21")
+    move = df.select(S.parse_move(F.lit("\n A B,\n\t to X, from\nY\n"), F.lit("A B,")).alias("m")).first().m
+    assert (move.name, move.to, move["from"]) == ("A B", "X", "Y")
+    span = df.select(S.date_range(F.lit("\n1/2/2020 -\n Present\n")).alias("r")).first().r
+    assert (span.start, span.end) == ("2020-01-02", None)
+
+
+def test_days_that_do_not_exist_are_null(spark):
+    df = spark.createDataFrame([("x 02-30-2020", "2-29-24"), ("x 13-01-2020", "2-29-23")], "a string, b string")
+    assert [(r[0], str(r[1])) for r in df.select(S.file_date("a")["date"], S.file_date("b")["date"]).collect()] == [(None, "2024-02-29"), (None, "None")]

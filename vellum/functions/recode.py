@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,16 +13,20 @@ Rule = tuple[str, int, str]
 def recode(rules: list[Rule]) -> Column:
     """struct(label, ord) of the first rule (column, code, label) that holds; null if none does.
 
-    ``ord`` is the place of the label's first rule. One expression, without a join, whatever the number of rules.
+    ``ord`` is the place of the label's first rule. Rules that follow each other on one column are one constant map, so a row
+    takes a lookup for each such run and no join, whatever the number of rules.
     """
     place: dict[str, int] = {}
     for _, _, label in rules:
         place.setdefault(label, len(place) + 1)
-    out = None
-    for column, code, label in rules:
-        item = F.struct(F.lit(label).alias("label"), F.lit(place[label]).alias("ord"))
-        out = F.when(F.col(column) == code, item) if out is None else out.when(F.col(column) == code, item)
-    return out
+    found = []
+    for column, run in groupby(rules, key=lambda rule: rule[0]):
+        codes: dict[int, str] = {}
+        for _, code, label in run:
+            codes.setdefault(code, label)
+        items = (x for code, label in codes.items() for x in (F.lit(code), F.struct(F.lit(label).alias("label"), F.lit(place[label]).alias("ord"))))
+        found.append(F.try_element_at(F.create_map(*items), F.col(column).cast("int")))
+    return F.coalesce(*found)
 
 
 # The survey's code columns with the label of each code, in the order in which columns and codes are tried.

@@ -6,6 +6,7 @@ Missing and empty are kept apart: a function gives null for "not there" and '' o
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,6 +22,20 @@ def extracted(text: Column | str, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(_col(text), pattern, group), F.lit(""))
 
 
+# The characters that count as white space at the ends of a text, in every script.
+WHITE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(text: Column | str) -> Column:
+    """The text without white space of any script at its ends."""
+    return F.trim(_col(text), F.lit(WHITE))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def or_empty(c: Column | str) -> Column:
     return F.coalesce(_col(c), F.lit(""))
 
@@ -97,7 +112,11 @@ def file_from_url(url: Column | str, title: Column | str, extension: str = ".mp3
     return F.when(F.lower(name).endswith(extension), name).otherwise(F.concat(slug(title, keep_dot=True, max_len=150), F.lit(extension)))
 
 
-def audio_url(first: Column | str, second: Column | str, body: Column | str, pattern: str = r"(https?://[^\"'\s<>]+\.mp3[^\"'\s<>]*)") -> Column:
+# How a link to a recording stands in a page.
+AUDIO = r"(https?://[^\"'\s<>]+\.mp3[^\"'\s<>]*)"
+
+
+def audio_url(first: Column | str, second: Column | str, body: Column | str, pattern: str = AUDIO) -> Column:
     """The first of two fields that names an mp3, else one found in the body."""
     holds = lambda c: F.when(_col(c).contains(".mp3"), _col(c))
     return F.coalesce(holds(first), holds(second), extracted(or_empty(body), pattern))
@@ -105,7 +124,7 @@ def audio_url(first: Column | str, second: Column | str, body: Column | str, pat
 
 # ---- numbers in text
 
-_NUMBER = r"(?i)^\s*[+-]?(\d+(_?\d)*\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(inf(inity)?|nan)\s*$"
+_NUMBER = r"(?iU)^\s*[+-]?(\d+(_?\d)*\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(inf(inity)?|nan)\s*$"
 
 
 def is_number(text: Column | str) -> Column:
@@ -121,7 +140,7 @@ def strip_commas(text: Column | str) -> Column:
 
 def count_text(text: Column | str) -> Column:
     """A count without commas; empty or missing is '0'."""
-    return F.when(or_empty(text) == "", "0").otherwise(F.trim(F.replace(_col(text), F.lit(","), F.lit(""))))
+    return F.when(or_empty(text) == "", "0").otherwise(strip(F.replace(_col(text), F.lit(","), F.lit(""))))
 
 
 def fact_value(text: Column | str) -> Column:
@@ -142,7 +161,7 @@ def start_year(label: Column | str) -> Column:
 def date_of(year: Column, month: Column, day: Column) -> Column:
     """A date from parts in text or numbers, null where there is no such day."""
     text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month.cast("string"), day.cast("string"))
-    return F.when(year.cast("int").between(1, 9999), F.try_to_date(text, "yyyy-M-d"))
+    return F.when(year.cast("int").between(1, 9999), text.try_cast("date"))
 
 
 def padded2(text: Column) -> Column:
@@ -160,11 +179,14 @@ def mdy_iso(text: Column | str) -> Column:
 def date_range(text: Column | str) -> Column:
     """struct(start, end) of 'a - b'. 'Present' ends with null; one part is a start; more than two are kept as start."""
     text = _col(text)
-    parts = F.split(text, r"\s*-\s*")
-    last = F.try_element_at(parts, F.lit(2))
-    start = F.when(F.size(parts) > 2, text).otherwise(mdy_iso(F.trim(parts[0])))
-    end = F.when((F.size(parts) == 2) & (F.lower(F.trim(last)) != "present"), mdy_iso(F.trim(last)))
-    return F.struct(start.alias("start"), end.alias("end"))
+
+    def ends(parts: Column) -> Column:
+        last = strip(F.try_element_at(parts, F.lit(2)))
+        start = F.when(F.size(parts) > 2, text).otherwise(mdy_iso(strip(parts[0])))
+        end = F.when((F.size(parts) == 2) & (F.lower(last) != "present"), mdy_iso(last))
+        return F.struct(start.alias("start"), end.alias("end"))
+
+    return let(F.split(text, r"(?U)\s*-\s*"), ends)
 
 
 def pivot_year(year: Column | str) -> Column:
@@ -186,13 +208,19 @@ ISO_FILE_DATES = ((r"\b(\d{4})[-.](\d{2})[-.](\d{2})\b", "ymd", False),)
 
 def file_date(stem: Column | str, patterns=FILE_DATES) -> Column:
     """struct(date, pattern): the first pattern whose first match is a real day, and its number from 1."""
-    stem, tries = _col(stem), []
-    for number, (pattern, order, short) in enumerate(patterns, 1):
-        part = {c: extracted(stem, pattern, i) for i, c in enumerate(order, 1)}
-        year = pivot_year(part["y"]) if short else part["y"].cast("int")
-        date = date_of(year, part["m"], part["d"])
-        tries.append(F.when(date.isNotNull(), F.struct(date.alias("date"), F.lit(number).alias("pattern"))))
-    return F.coalesce(*tries, F.struct(F.lit(None).cast("date").alias("date"), F.lit(None).cast("int").alias("pattern")))
+    none = F.struct(F.lit(None).cast("date").alias("date"), F.lit(None).cast("int").alias("pattern"))
+
+    def tried(name: Column, number: int, pattern: str, order: str, short: bool) -> Column:
+        """The date of the first match, which is cut out once and then read by its groups."""
+
+        def read(found: Column) -> Column:
+            part = {c: F.regexp_extract(found, pattern, i) for i, c in enumerate(order, 1)}
+            year = part["y"].cast("int")
+            return F.when(found != "", date_of(pivot_year(year) if short else year, part["m"], part["d"]))
+
+        return let(let(F.regexp_extract(name, pattern, 0), read), lambda date: F.when(date.isNotNull(), F.struct(date.alias("date"), F.lit(number).alias("pattern"))))
+
+    return let(_col(stem), lambda name: F.coalesce(*(tried(name, i, *form) for i, form in enumerate(patterns, 1)), none))
 
 
 # The date formats of the two page layouts.
@@ -201,10 +229,12 @@ PAGE_DATES_B = ("MMMM d, yyyy", "MMM d, yyyy", "yyyy-M-d")
 
 
 def text_date(text: Column | str, formats: tuple[str, ...] = PAGE_DATES_A) -> Column:
-    """struct(date, raw): the first format that reads the text; ``raw`` is the ISO date, or the trimmed text if none does."""
-    bare = F.trim(_col(text))
-    date = F.coalesce(*(F.try_to_date(bare, f) for f in formats))
-    return F.struct(date.alias("date"), F.coalesce(F.date_format(date, "yyyy-MM-dd"), bare).alias("raw"))
+    """struct(date, raw): the first format that reads the text; ``raw`` is the ISO date, or the stripped text if none does."""
+    def read(bare: Column) -> Column:
+        date = F.coalesce(*(F.try_to_date(bare, f) for f in formats))
+        return let(date, lambda d: F.struct(d.alias("date"), F.coalesce(F.date_format(d, "yyyy-MM-dd"), bare).alias("raw")))
+
+    return let(strip(text), read)
 
 
 # Prefixes of file names, in the order they are tried.
@@ -215,7 +245,7 @@ def file_title(stem: Column | str, date: Column | str, prefixes: tuple[str, ...]
     """A title from a file name that holds no date: without its prefix, with blanks for separators; null if nothing is left."""
     cases = "|".join("\\Q" + p + "\\E" for p in prefixes)
     bare = F.regexp_replace(_col(stem), f"^(?:{cases})", "") if prefixes else _col(stem)
-    title = F.trim(F.regexp_replace(F.translate(bare, "_-", "  "), r"\s+", " "))
+    title = strip(F.regexp_replace(F.translate(bare, "_-", "  "), r"(?U)\s+", " "))
     return F.when(_col(date).isNull(), F.nullif(title, F.lit("")))
 
 
@@ -224,8 +254,8 @@ def file_title(stem: Column | str, date: Column | str, prefixes: tuple[str, ...]
 
 def slug(text: Column | str, keep_dot: bool = False, max_len: int | None = None) -> Column:
     """Letters, digits, underscores and hyphens (and dots) of any script; blanks become underscores."""
-    kept = F.trim(F.regexp_replace(_col(text), r"[^\p{L}\p{N}_\s" + (r"\." if keep_dot else "") + r"-]", ""))
-    name = F.regexp_replace(kept, r"\s+", "_")
+    kept = strip(F.regexp_replace(_col(text), r"(?U)[^\p{L}\p{N}_\s" + (r"\." if keep_dot else "") + r"-]", ""))
+    name = F.regexp_replace(kept, r"(?U)\s+", "_")
     return F.substring(name, 1, max_len) if max_len else name
 
 
@@ -235,12 +265,12 @@ def dated_file_name(date: Column | str, title: Column | str) -> Column:
 
 def label_slug(label: Column | str) -> Column:
     """Dashes and slashes as hyphens, lower case."""
-    return F.lower(F.trim(F.translate(_col(label), "–—/", "---")))
+    return F.lower(strip(F.translate(_col(label), "–—/", "---")))
 
 
 def drop_abbrev(name: Column | str) -> Column:
     """Without a parenthesis at the end."""
-    return F.trim(F.regexp_replace(_col(name), r"\([^)]*\)$", ""))
+    return strip(F.regexp_replace(_col(name), r"\([^)]*\)$", ""))
 
 
 def relabel(c: Column | str, names: dict[str, str]) -> Column:
@@ -263,7 +293,7 @@ def wrap(text: Column | str, width: int) -> Column:
         used = F.when(fits, acc["used"] + 1 + F.length(w)).otherwise(F.length(w))
         return F.struct(F.concat(acc["done"], gap, w).alias("done"), used.cast("int").alias("used"))
 
-    words = F.filter(F.split(_col(text), r"\s+"), lambda w: w != "")
+    words = F.filter(F.split(_col(text), r"(?U)\s+"), lambda w: w != "")
     return F.aggregate(words, start, add, lambda acc: acc["done"])
 
 
@@ -272,6 +302,7 @@ def wrap(text: Column | str, width: int) -> Column:
 
 def clean_transcript(text: Column | str) -> Column:
     """Drops speaker labels, brackets, stage directions, notes, hashed lines and a leading dash, and collapses blanks."""
+    # What is dropped from a transcript, in this order.
     steps = (
         (r"Speaker \d+\s*:?\s*", ""),
         (r"(?s)\[.*?\]", ""),
@@ -279,24 +310,30 @@ def clean_transcript(text: Column | str) -> Column:
         ("♪", ""),
         (r"#[^\n]*", ""),
         (r"^\s*[-–—]\s*", ""),
-        (r"\s+", " "),
+        (r"(?U)\s+", " "),
     )
     out = _col(text)
     for pattern, new in steps:
         out = F.regexp_replace(out, pattern, new)
-    return F.trim(out)
+    return strip(out)
 
 
 def parse_move(text: Column | str, bold: Column | str) -> Column:
     """struct(name, to, from) of 'NAME, to PLACE, from PLACE', where ``bold`` is the name. A null name gives nulls."""
-    text, bold = _col(text), _col(bold)
-    at = F.instr(text, bold)
-    rest = F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + F.length(bold), F.length(text)))).otherwise(text)
-    rest = F.regexp_replace(F.trim(rest), r"^,\s*", "")
-    goes = lambda pattern: F.when(bold.isNotNull(), F.trim(extracted(rest, pattern)))
-    return F.struct(
-        F.regexp_replace(bold, ",$", "").alias("name"), goes(r"^to\s+(.+?)(?:,\s*from\s+|$)").alias("to"), goes(r"from\s+(.+)$").alias("from")
-    )
+
+    def read(pair: Column) -> Column:
+        text, bold = pair["text"], pair["bold"]
+        at = F.instr(text, bold)
+        rest = F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + F.length(bold), F.length(text)))).otherwise(text)
+        return let(F.regexp_replace(strip(rest), r"(?U)^,\s*", ""), lambda rest: places(rest, bold))
+
+    def places(rest: Column, bold: Column) -> Column:
+        # Where the text of a move names its places.
+        to, origin = r"(?U)^to\s+(.+?)(?:,\s*from\s+|$)", r"(?U)from\s+(.+)$"
+        goes = lambda pattern: F.when(bold.isNotNull(), F.nullif(strip(F.regexp_extract(rest, pattern, 1)), F.lit("")))
+        return F.struct(F.regexp_replace(bold, ",$", "").alias("name"), goes(to).alias("to"), goes(origin).alias("from"))
+
+    return let(F.struct(_col(text).alias("text"), _col(bold).alias("bold")), read)
 
 
 # Named character references that stand in escaped payloads; the ampersand comes last.

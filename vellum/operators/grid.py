@@ -17,7 +17,7 @@ KEY = ["doc_id", "page", "table_index"]
 def axis_label(text: Column | str) -> Column:
     """Whether a cell looks like the rotated text of a chart's axis: four lines or more, most of at most two characters."""
     text = F.col(text) if isinstance(text, str) else text
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), S.strip), lambda x: x != "")
     return F.coalesce((F.size(lines) >= 4) & (F.size(F.filter(lines, lambda x: F.length(x) <= 2)) > F.size(lines) * 0.6), F.lit(False))
 
 
@@ -45,7 +45,7 @@ def headers(cells: DataFrame, key: list[str] = KEY) -> DataFrame:
     Blank names become col_i and repeated ones name_1, name_2. ``clash`` marks a made name that another column has too.
     """
     width = cells.groupBy(*key).agg(F.max("col_idx").alias("_last"))
-    top = cells.filter("row_idx = 0").select(*key, "col_idx", F.trim(F.coalesce("text", F.lit(""))).alias("_t"))
+    top = cells.filter("row_idx = 0").select(*key, "col_idx", S.strip(F.coalesce("text", F.lit(""))).alias("_t"))
     named = top.withColumn("_name", F.when(F.col("_t") == "", F.concat(F.lit("col_"), F.col("col_idx").cast("string"))).otherwise(F.col("_t")))
     again = F.row_number().over(Window.partitionBy(*key, "_name").orderBy("col_idx")) - 1
     header = F.when(again > 0, F.concat("_name", F.lit("_"), again.cast("string"))).otherwise(F.col("_name"))
@@ -61,7 +61,7 @@ def grid_to_records(cells: DataFrame, key: list[str] = KEY, least_rows: int = 2)
     than ``least_rows`` rows left are dropped. A table with a row longer than its header is left out: see ``overlong``.
     """
     names = headers(cells, key)
-    body = cells.filter("row_idx > 0").withColumn("value", S.strip_commas(F.trim(F.coalesce("text", F.lit("")))))
+    body = cells.filter("row_idx > 0").withColumn("value", S.strip_commas(S.strip(F.coalesce("text", F.lit("")))))
     rows = body.groupBy(*key, "row_idx").agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("_cells"), F.bool_or(F.col("value") != "").alias("_some"))
     width = names.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("col_idx", "header"))).alias("_names"), F.max("col_idx").alias("_last"))
     wide = rows.filter("_some").join(width, key)

@@ -238,8 +238,8 @@ def labelled_cells(nodes: DataFrame, labels: dict[str, str], name_label: str, ci
     drops its row. ``labels``: field name by label.
     """
     rows = nodes.filter("tag = 'tr'")
-    cells = inside(rows, nodes.filter("tag = 'td'"), {}).withColumnRenamed("outer_id", "row_id").withColumn("label", F.trim(F.try_element_at("attrs", F.lit("data-label"))))
-    own = F.try_element_at(F.filter(F.transform("own", lambda s: F.trim(s)), lambda s: s != ""), F.lit(1))
+    cells = inside(rows, nodes.filter("tag = 'td'"), {}).withColumnRenamed("outer_id", "row_id").withColumn("label", S.strip(F.try_element_at("attrs", F.lit("data-label"))))
+    own = F.try_element_at(F.filter(F.transform("own", lambda s: S.strip(s)), lambda s: s != ""), F.lit(1))
     link = first_of(inside(cells.filter(F.col("label") == name_label), nodes.filter("tag = 'a'"), {"row_id": "row"}), ["page_id", "row"]).select("page_id", F.col("row").alias("row_id"), F.try_element_at("attrs", F.lit("href")).alias("url"))
     fields = [F.min_by(F.when(F.col("label") == label, own if label == city_label else F.col("text")), F.when(F.col("label") == label, F.col("node_id"))).alias(field) for label, field in labels.items()]
     lost = F.bool_or((F.col("label") == city_label) & own.isNull()) if city_label else F.lit(False)
@@ -251,9 +251,9 @@ def page_names(nodes: DataFrame, suffix: str = " - UMData") -> DataFrame:
     """(page_id, name, heading): first line of h1, else the title without its suffix; and h1 with blanks collapsed."""
     first = lambda tag: F.min_by(F.when(F.col("tag") == tag, F.col("text_raw")), F.when(F.col("tag") == tag, F.col("node_id")))
     tops = nodes.filter(F.col("tag").isin("h1", "title")).groupBy("page_id").agg(first("h1").alias("h"), first("title").alias("t"))
-    line = F.nullif(F.trim(F.split(F.trim("h", F.lit(" \t\r\n")), "\n")[0]), F.lit(""))
-    title = F.trim(F.replace("t", F.lit(suffix), F.lit("")), F.lit(" \t\r\n"))
-    return tops.select("page_id", F.coalesce(line, title).alias("name"), F.trim(F.regexp_replace("h", r"\s+", " ")).alias("heading"))
+    line = F.nullif(S.strip(F.split(S.strip("h"), "\n")[0]), F.lit(""))
+    title = S.strip(F.replace("t", F.lit(suffix), F.lit("")))
+    return tops.select("page_id", F.coalesce(line, title).alias("name"), S.strip(F.regexp_replace("h", r"(?U)\s+", " ")).alias("heading"))
 
 
 def church_pages(nodes: DataFrame, card: str = "Quick Facts", flag_id: str = "hci-download") -> DataFrame:
@@ -266,14 +266,19 @@ def church_pages(nodes: DataFrame, card: str = "Quick Facts", flag_id: str = "hc
     items = inside(boxes, nodes.filter("tag = 'li'")).drop("outer_id")
     values = first_of(inside(items, nodes.filter(F.col("tag").isin("span", "strong", "b")), {"text": "item"}), ["page_id", "outer_id"])
     value = S.fact_value("text")
-    label = F.trim(F.regexp_replace(F.replace("item", F.col("text"), F.lit("")), ":$", ""))
+    label = S.strip(F.regexp_replace(F.replace("item", F.col("text"), F.lit("")), ":$", ""))
     facts = values.select("page_id", "node_id", label.alias("k"), value.alias("v")).filter("k <> '' and v <> ''")
     facts = facts.groupBy("page_id", "k").agg(F.max_by("v", "node_id").alias("v")).groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("facts"))
     out = ids.join(page_names(nodes), "page_id", "left").join(year, "page_id", "left").join(flag, "page_id", "left").join(facts, "page_id", "left")
     return out.select("page_id", "name", "year", "flag", F.coalesce("facts", F.expr("cast(map() as map<string,string>)")).alias("facts"))
 
 
-def ajax_urls(nodes: DataFrame, mark: str = "DataTable", pattern: str = r"""["']?(?:url|ajax)["']?\s*:\s*["']([^"']+)["']""") -> DataFrame:
+# How a script names the link of its table, and how a page tells its number of pages.
+AJAX = r"""["']?(?:url|ajax)["']?\s*:\s*["']([^"']+)["']"""
+PAGE_COUNT = r"(?i)Page\s+\d+\s+of\s+(\d+)"
+
+
+def ajax_urls(nodes: DataFrame, mark: str = "DataTable", pattern: str = AJAX) -> DataFrame:
     """(page_id, value): the first link in a script that mentions a table widget."""
     found = nodes.filter((F.col("tag") == "script") & F.contains("text_raw", F.lit(mark))).select("page_id", "node_id", S.extracted("text_raw", pattern).alias("value"))
     return first_of(found.filter("value is not null")).select("page_id", "value")
@@ -289,7 +294,7 @@ def next_links(nodes: DataFrame) -> DataFrame:
 
 def page_counts(pages: DataFrame, nodes: DataFrame) -> DataFrame:
     """(page_id, value): 'Page x of N' in the page or its text, else the largest page number linked, else 1."""
-    of = lambda c: F.expr(f"try_cast(nullif(regexp_extract({c}, '(?i)Page\\\\s+\\\\d+\\\\s+of\\\\s+(\\\\d+)', 1), '') as int)")
+    of = lambda c: S.extracted(c, PAGE_COUNT).try_cast("int")
     whole = first_of(nodes.filter("parent_id is null")).select("page_id", of("text_sp").alias("t"))
     numbers = nodes.filter((F.col("tag") == "a") & has_class("page-numbers")).groupBy("page_id").agg(F.max(F.expr("try_cast(text as int)")).alias("m"))
     return pages.select("page_id", of("html").alias("h")).join(whole, "page_id", "left").join(numbers, "page_id", "left").select("page_id", F.coalesce("h", "t", "m", F.lit(1)).alias("value"))
@@ -346,10 +351,10 @@ def dated_list(nodes: DataFrame, head: str = "h6", item: str = "li") -> DataFram
     """(page_id, pos, date, text, bold): items with the last heading before them, in document order."""
     rows = nodes.filter(F.col("tag").isin(head, item))
     window = Window.partitionBy("page_id").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
-    dated = rows.withColumn("date", F.last(F.when(F.col("tag") == head, F.trim("text_raw")), ignorenulls=True).over(window)).filter(F.col("tag") == item)
-    bold = first_of(inside(dated, nodes.filter("tag = 'strong'"), {}), ["page_id", "outer_id"]).select("page_id", F.col("outer_id").alias("node_id"), F.trim("text_raw").alias("bold"))
+    dated = rows.withColumn("date", F.last(F.when(F.col("tag") == head, S.strip("text_raw")), ignorenulls=True).over(window)).filter(F.col("tag") == item)
+    bold = first_of(inside(dated, nodes.filter("tag = 'strong'"), {}), ["page_id", "outer_id"]).select("page_id", F.col("outer_id").alias("node_id"), S.strip("text_raw").alias("bold"))
     pos = F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1
-    return dated.join(bold, ["page_id", "node_id"], "left").select("page_id", pos.alias("pos"), "date", F.trim("text_raw").alias("text"), "bold")
+    return dated.join(bold, ["page_id", "node_id"], "left").select("page_id", pos.alias("pos"), "date", S.strip("text_raw").alias("text"), "bold")
 
 
 def appointments(nodes: DataFrame) -> DataFrame:

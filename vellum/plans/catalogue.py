@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vellum.functions import scalars as S
 from vellum.functions.recode import recode
 from vellum.operators import county, grid, pages, records, survey
-from vellum.plans import derived, oracle
+from vellum.plans import derived, oracle, roundtrips
 from vellum.session import table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -195,9 +195,8 @@ def idempotent_append(spark, sf_dir):
 
 
 def slug_names(spark, sf_dir):
-    line = F.split(F.coalesce("text", F.lit("")), "\n")[0]
-    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), S.slug(line, keep_dot=True, max_len=200).alias("slug"))
-    parts = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("key"), S.slug(F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")"))).alias("slug"))
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), F.md5(S.slug(F.coalesce("text", F.lit("")), keep_dot=True)).alias("slug"))
+    parts = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("key"), S.slug(F.concat(F.lit("\t"), "p_name", F.lit("\u00a0("), "p_brand", F.lit(")\n"))).alias("slug"))
     return docs.union(parts)
 
 
@@ -230,7 +229,8 @@ def text_dates(spark, sf_dir):
     d = "o_orderdate"
     text = F.when(F.col("o_orderkey") % 4 == 0, F.date_format(d, "MMMM d, yyyy")).when(F.col("o_orderkey") % 4 == 1, F.date_format(d, "MMM. d, yyyy"))
     text = text.when(F.col("o_orderkey") % 4 == 2, F.date_format(d, "MMMM yyyy")).otherwise(F.lit(" Advent "))
-    return table(spark, sf_dir, "orders").select("o_orderkey", S.text_date(text)["raw"].alias("date"))
+    spaced = F.concat(F.lit("\n\t"), text, F.lit("\u00a0\n"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.text_date(spaced)["raw"].alias("date"))
 
 
 def numeric_text(spark, sf_dir):
@@ -250,7 +250,7 @@ def transcript_clean(spark, sf_dir):
 
 def parse_move_text(spark, sf_dir):
     name = F.concat(F.lit("Person "), F.col("o_custkey").cast("string"), F.lit(","))
-    text = F.concat(name, F.lit(" to Place "), (F.col("o_orderkey") % 50).cast("string"), F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit(", from Town "), F.col("o_orderstatus"))).otherwise(""))
+    text = F.concat(F.lit("\n"), name, F.lit("\n\t to Place "), (F.col("o_orderkey") % 50).cast("string"), F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit(", from Town "), F.col("o_orderstatus"))).otherwise(""))
     rows = table(spark, sf_dir, "orders").select("o_orderkey", S.parse_move(text, F.when(F.col("o_orderkey") % 7 > 0, name)).alias("m"))
     return rows.select("o_orderkey", F.col("m.name").alias("person"), F.col("m.to").alias("to_place"), F.col("m.from").alias("from_place"))
 
@@ -296,10 +296,18 @@ def grid_is_table(spark, sf_dir):
     return grid.judge_tables(doc_grid(spark, sf_dir), GRID_KEY).select("page", "ok", F.coalesce("reason", F.lit("")).alias("reason"))
 
 
+def headed_grid(spark, sf_dir) -> DataFrame:
+    """Two thirds of the documents with their widest line as a header above all lines; the others keep their first line, which may be too short."""
+    rows = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
+    widest = F.expr("filter(rows, r -> size(r) = array_max(transform(rows, x -> size(x))))[0]")
+    whole = F.when(F.col("doc_id") % 3 == 0, F.col("rows")).otherwise(F.concat(F.array(widest), F.col("rows")))
+    lines = table(spark, sf_dir, "documents").select("doc_id", rows.alias("rows")).select("doc_id", F.posexplode(whole).alias("row_idx", "words"))
+    cells = lines.select("doc_id", "row_idx", F.posexplode("words").alias("col_idx", "text"))
+    return cells.select((F.col("doc_id") % 10).alias("doc"), F.col("doc_id").alias("page"), F.lit(0).alias("table_index"), "row_idx", "col_idx", "text")
+
+
 def grid_headers_records(spark, sf_dir):
-    cells = doc_grid(spark, sf_dir)
-    shorter = cells.join(cells.filter("row_idx = 0").groupBy("page").agg(F.max("col_idx").alias("_last")), "page").filter("col_idx <= _last").drop("_last")
-    out = grid.grid_to_records(shorter.select(*cells.columns), GRID_KEY)
+    out = grid.grid_to_records(headed_grid(spark, sf_dir), GRID_KEY)
     return out.groupBy("page").agg(F.countDistinct("row_idx").alias("n_rows"), F.count("*").alias("n_cells"), F.countDistinct("header").alias("n_headers"), F.count_if(F.col("value") == "").alias("n_blank"))
 
 
@@ -346,5 +354,5 @@ QUERIES = {f.__name__: f for f in (
     regression_residuals, adjusted_rate,
 )}
 
-QUERIES |= derived.QUERIES
-ORACLE_SQL = oracle.ORACLE_SQL | derived.ORACLE_SQL
+QUERIES |= derived.QUERIES | roundtrips.QUERIES
+ORACLE_SQL = oracle.ORACLE_SQL | derived.ORACLE_SQL | roundtrips.ORACLE_SQL

@@ -127,7 +127,7 @@ def page_options(spark, sf_dir):
 
 
 def page_labelled_rows(spark, sf_dir):
-    piece = F.concat(F.lit("<tr>"), F.when(F.col("s_suppkey") % 6 > 0, F.concat(F.lit("<td data-label='Name'><a href='/n'>"), _text("s_name"), F.lit("</a>"))).otherwise(""), F.lit("<td data-label='City'> <b>no</b> "), F.when(F.col("s_suppkey") % 7 > 0, F.concat(F.lit("Town "), F.col("s_suppkey").cast("string"))).otherwise(""), F.lit("</td></tr>"))
+    piece = F.concat(F.lit("<tr>"), F.when(F.col("s_suppkey") % 6 > 0, F.concat(F.lit("<td data-label='Name'><a href='/n'>"), _text("s_name"), F.lit("</a>"))).otherwise(""), F.lit("<td data-label='\nCity '>\n<b>no</b>\n\t"), F.when(F.col("s_suppkey") % 7 > 0, F.concat(F.lit("Town "), F.col("s_suppkey").cast("string"), F.lit("\n"))).otherwise(""), F.lit("</td></tr>"))
     html = _pages(_joined(_supplier_rows(spark, sf_dir), "s_nationkey", "s_suppkey", piece), "<table>", "</table>")
     return pages.labelled_cells(_nodes(html, ("td", "th", "a")), {"Name": "name", "City": "city"}, "Name", "City").select("page_id", "name", "city", "url")
 
@@ -156,14 +156,14 @@ def _sermon_result(df: DataFrame) -> DataFrame:
 
 def page_sermons_header(spark, sf_dir):
     key = F.col("doc_id").cast("string")
-    head = F.concat(F.lit("<div class='post-single-sermon'><div class='post-single-sermon-header'><h2>Talk "), key, F.lit("</h2><div class='date'> March 5, 2021 </div><strong>Speaker: X</strong><strong>John "), key, F.lit("</strong><a rel='tag' href='#'>"), _text(F.coalesce("source", F.lit(""))), F.lit("</a></div>"))
+    head = F.concat(F.lit("<div class='post-single-sermon'><div class='post-single-sermon-header'><h2>Talk "), key, F.lit("</h2><div class='date'>\n\t March 5, 2021\u00a0\n</div><strong>Speaker: X</strong><strong>John "), key, F.lit("</strong><a rel='tag' href='#'>"), _text(F.coalesce("source", F.lit(""))), F.lit("</a></div>"))
     html = _sermons(spark, sf_dir, head, ("<p>", "</p>"), "</div>")
     return _sermon_result(pages.sermon_pages(_nodes(html, ("h2", "div", "strong", "a", "p")), "header", html))
 
 
 def page_sermons_article(spark, sf_dir):
     key = F.col("doc_id").cast("string")
-    head = F.concat(F.lit("<article class='post tag-news tag-"), F.when(F.col("doc_id") % 2 == 0, "mary-ann").otherwise("solo"), F.lit("'><h1 class='entry-title'>Talk "), key, F.lit("</h1><time datetime='2020-01-02T00:00'>x</time><div class='entry-content'>"))
+    head = F.concat(F.lit("<article class='post tag-news tag-"), F.when(F.col("doc_id") % 2 == 0, "mary-ann").otherwise("solo"), F.lit("'><h1 class='entry-title'>Talk "), key, F.lit("</h1>"), F.when(F.col("doc_id") % 3 == 0, "<time>\n January 2, 2020\t</time>").otherwise("<time datetime='2020-01-02T00:00'>x</time>"), F.lit("<div class='entry-content'>"))
     html = _sermons(spark, sf_dir, head, ("<p>", "</p>"), "</div></article>")
     return _sermon_result(pages.sermon_pages(_nodes(html, ("h1", "time", "p", "h2", "h3", "h4", "blockquote")), "article", html))
 
@@ -171,8 +171,8 @@ def page_sermons_article(spark, sf_dir):
 def page_moves(spark, sf_dir):
     """Each customer's orders as a dated list: a heading at the first, then items that carry it."""
     key = F.col("o_orderkey")
-    item = F.concat(F.lit("<ul><li><strong>P"), key.cast("string"), F.lit(",</strong> to Place "), F.col("o_orderstatus"), F.when(key % 2 == 0, F.concat(F.lit(", from Town "), (key % 9).cast("string"))).otherwise(""), F.lit("</ul>"))
-    piece = F.concat(F.when(key % 3 == 0, F.concat(F.lit("<h6>"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</h6>"))).otherwise(""), item)
+    item = F.concat(F.lit("<ul><li>\n<strong>\tP"), key.cast("string"), F.lit(",\n</strong>\n to Place "), F.col("o_orderstatus"), F.when(key % 2 == 0, F.concat(F.lit(", from Town "), (key % 9).cast("string"))).otherwise(""), F.lit("\n</ul>"))
+    piece = F.concat(F.when(key % 3 == 0, F.concat(F.lit("<h6>\n\t"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("\u2003\n</h6>"))).otherwise(""), item)
     got = pages.appointments(_nodes(_pages(_joined(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", piece)), ("h6", "li", "strong")))
     return got.select("page_id", F.col("date").alias("heading"), F.col("name").alias("person"), F.col("to").alias("to_place"), F.col("from").alias("from_place"))
 

@@ -81,8 +81,8 @@ FROM customer LEFT JOIN orders ON o_custkey = c_custkey LEFT JOIN supplier ON s_
     "page_completeness": "SELECT conv_id, max(turn) + 1 AS expected, count(*) AS got, count(*) >= max(turn) + 1 AS complete FROM conversations GROUP BY 1",
     "idempotent_append": "SELECT 'file://documents/' || doc_id || '.txt' AS url, doc_id, lang FROM documents",
     "slug_names": r"""
-SELECT 'd' || doc_id AS key, substring(regexp_replace(trim(regexp_replace(string_split(coalesce(text, ''), chr(10))[1], '[^\pL\pN_\s.-]', '', 'g')), '\s+', '_', 'g'), 1, 200) AS slug FROM documents
-UNION ALL SELECT 'p' || p_partkey, regexp_replace(trim(regexp_replace(p_name || ' (' || p_brand || ')', '[^\pL\pN_\s-]', '', 'g')), '\s+', '_', 'g') FROM part""",
+SELECT 'd' || doc_id AS key, md5(regexp_replace(trim(regexp_replace(coalesce(text, ''), '[^\pL\pN_\s.-]', '', 'g'), ' ' || chr(9) || chr(10) || chr(13)), '\s+', '_', 'g')) AS slug FROM documents
+UNION ALL SELECT 'p' || p_partkey, regexp_replace(trim(regexp_replace(p_name || chr(160) || '(' || p_brand || ')', '[^\pL\pN_\s\x{00A0}-]', '', 'g')), '[\s\x{00A0}]+', '_', 'g') FROM part""",
     "filename_dates": f"""
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 < 5 THEN {_ISO} END AS date, CASE o_orderkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 WHEN 4 THEN 5 END AS pattern,
   CASE o_orderkey % 7 WHEN 5 THEN strftime(CAST(o_orderdate AS DATE), '%m %d %Y') WHEN 6 THEN 'bad 13 45 2020 of' END AS title FROM orders""",
@@ -117,14 +117,18 @@ SELECT page_id, CAST(i AS INT) AS pos, trim(replace(replace(replace(t, '&lt;', '
 WITH s AS (SELECT page, max(row_idx) + 1 AS r, max(col_idx) + 1 AS c, bool_or(row_idx = 0 AND contains(upper(text), 'GRAPH')) AS g, count(*) FILTER (text <> '') AS n FROM ({_GRID}) GROUP BY 1),
 x AS (SELECT page, CASE WHEN r < 3 THEN 'few rows' WHEN c < 2 THEN 'few columns' WHEN g THEN 'graph header' WHEN n = 0 THEN 'empty' ELSE '' END AS reason FROM s)
 SELECT page, reason = '' AS ok, reason FROM x""",
-    "grid_headers_records": f"""
-WITH g AS MATERIALIZED ({_GRID}),
+    "grid_headers_records": """
+WITH d AS (SELECT doc_id AS page, list_transform(string_split(text, chr(10)), lambda x: string_split(x, ' ')) AS rs FROM documents),
+m AS (SELECT page, rs, list_max(list_transform(rs, lambda x: len(x))) AS most FROM d),
+e AS (SELECT page, CASE WHEN page % 3 = 0 THEN rs ELSE list_concat([list_filter(rs, lambda x: len(x) = most)[1]], rs) END AS rs FROM m),
+o AS (SELECT page, unnest(rs) AS ws, unnest(range(len(rs))) AS row_idx FROM e),
+g AS MATERIALIZED (SELECT page, row_idx, unnest(ws) AS text, unnest(range(len(ws))) AS col_idx FROM o),
 h AS (SELECT page, col_idx, CASE WHEN trim(text) = '' THEN 'col_' || col_idx ELSE trim(text) END AS k FROM g WHERE row_idx = 0),
 u AS (SELECT page, col_idx, k || CASE WHEN row_number() OVER (PARTITION BY page, k ORDER BY col_idx) > 1 THEN '_' || (row_number() OVER (PARTITION BY page, k ORDER BY col_idx) - 1) ELSE '' END AS header FROM h),
 w AS (SELECT page, max(col_idx) AS last, count(*) AS n, count(DISTINCT header) AS heads FROM u GROUP BY 1),
-b AS (SELECT g.page, row_idx, count(*) FILTER (trim(text) <> '') AS filled FROM g JOIN w ON g.page = w.page WHERE row_idx > 0 AND col_idx <= last GROUP BY 1, 2),
-k AS (SELECT page, count(*) AS n_rows, sum(filled) AS filled FROM b WHERE filled > 0 GROUP BY 1 HAVING count(*) >= 2)
-SELECT k.page, n_rows, CAST(n_rows * w.n AS BIGINT) AS n_cells, heads AS n_headers, CAST(n_rows * w.n - filled AS BIGINT) AS n_blank FROM k JOIN w USING (page)""",
+b AS (SELECT page, row_idx, count(*) FILTER (trim(text) <> '') AS filled, max(col_idx) AS last FROM g WHERE row_idx > 0 GROUP BY 1, 2),
+k AS (SELECT page, count(*) AS n_rows, sum(filled) AS filled, max(last) AS last FROM b WHERE filled > 0 GROUP BY 1 HAVING count(*) >= 2)
+SELECT k.page, n_rows, CAST(n_rows * w.n AS BIGINT) AS n_cells, heads AS n_headers, CAST(n_rows * w.n - filled AS BIGINT) AS n_blank FROM k JOIN w ON k.page = w.page AND k.last <= w.last""",
     "diversity_by_area": """
 WITH n AS (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY 1, 2), p AS (SELECT *, n / sum(n) OVER (PARTITION BY c_nationkey) AS p FROM n)
 SELECT c_nationkey, count(*) AS groups, CAST(sum(n) AS BIGINT) AS total, round(max(p), 4) AS largest_share, round(-sum(p * ln(p)), 4) AS shannon, round(1 - sum(p * p), 4) AS simpson FROM p GROUP BY 1""",

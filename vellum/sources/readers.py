@@ -59,7 +59,7 @@ def read_text_corpus(spark: SparkSession, folder: str, prefix: str, pattern: str
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
     text = lossy_text(F.col("content"))
     name = S.base_name(S.decoded(F.col("path")))
-    rows = raw.select(name.alias("file_name"), F.trim(text, F.lit(" \t\r\n\f\v")).alias("full_text")).filter(~F.col("file_name").startswith(skip_prefix))
+    rows = raw.select(name.alias("file_name"), S.strip(text).alias("full_text")).filter(~F.col("file_name").startswith(skip_prefix))
     return rows.select(S.source_key("file_name", prefix).alias("source_key"), "file_name", "full_text")
 
 
@@ -73,7 +73,7 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     items = spark.read.format("xml").option("rowTag", "item").schema(schema).load(path).select("*", F.monotonically_increasing_id().alias("_at"))
     pos = F.row_number().over(Window.partitionBy("_f").orderBy("_at")) - 1
     numbered = items.withColumn("_f", F.col("_metadata.file_path")).withColumn("pos", pos)
-    title = F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.concat(F.lit("episode_"), F.col("pos").cast("string")))
+    title = F.coalesce(F.nullif(S.strip("title"), F.lit("")), F.concat(F.lit("episode_"), F.col("pos").cast("string")))
     return numbered.filter("enclosure._url is not null").select("pos", title.alias("title"), F.col("enclosure._url").alias("audio_url"))
 
 
@@ -83,4 +83,4 @@ def read_survey(spark: SparkSession, path: str) -> DataFrame:
 
 def read_done(spark: SparkSession, path: str) -> DataFrame:
     """(key): the distinct lines of a list of finished keys."""
-    return spark.read.text(path).select(F.trim("value").alias("key")).filter("key <> ''").distinct()
+    return spark.read.text(path).select(S.strip("value").alias("key")).filter("key <> ''").distinct()

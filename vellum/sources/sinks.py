@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from vellum.functions import scalars as S
@@ -48,6 +51,28 @@ def write_tables(cells: DataFrame, path: str) -> None:
     cells.write.mode("overwrite").partitionBy("section", "year_slug").parquet(path)
 
 
+def write_table_files(rows: DataFrame, path: str, columns: list[str]) -> None:
+    """One CSV file a table, ``<section>_<year_slug>/page_<p>_table_<t>.csv``, its rows in the order of ``row_idx``.
+
+    Spark writes a folder for each table; its one file is then moved to the table's name. Tables are few and each is a file, so a
+    table is one task's work; the cells of many small tables belong in ``write_tables``.
+    """
+    spark, made = rows.sparkSession, f"{path}/_tables"
+    name = F.concat_ws("|", F.concat_ws("_", "section", "year_slug"), F.format_string("page_%d_table_%d.csv", "page", "table_index"))
+    named = rows.select(name.alias("_table"), "row_idx", *columns).repartition("_table").sortWithinPartitions("_table", "row_idx")
+    named.drop("row_idx").write.partitionBy("_table").option("header", False).option("emptyValue", "").option("escape", '"').csv(made)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(made)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.listStatus(top):
+        if folder.isDirectory() and folder.getPath().getName().startswith("_table="):
+            where, file = unquote(folder.getPath().getName()[len("_table=") :]).split("|")
+            files.mkdirs(hadoop.Path(f"{path}/{where}"))
+            for part in files.globStatus(hadoop.Path(folder.getPath(), "part-*.csv")):
+                files.rename(part.getPath(), hadoop.Path(f"{path}/{where}/{file}"))
+    files.delete(top, True)
+
+
 def write_text_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -60,9 +85,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def append_new_to(path: str, new: DataFrame, key: str, order: list[Column | str] | None = None) -> dict[str, int]:
     """Appends the rows whose key is not in the table yet; a second run adds nothing. Gives the counts."""
     spark = new.sparkSession
-    total = new.count()
-    rows = append_new(new, spark.read.parquet(path), key, order) if _exists(spark, path) else append_new(new, new.limit(0), key, order)
-    before = spark.read.parquet(path).count() if _exists(spark, path) else 0
-    rows.write.mode("append").parquet(path)
-    imported = spark.read.parquet(path).count() - before
-    return {"imported": imported, "skipped": total - imported}
+    keys = spark.read.parquet(path).select(key) if _exists(spark, path) else new.select(key).limit(0)
+    seen, added = Observation(), Observation()
+    rows = append_new(new.observe(seen, F.count(F.lit(1)).alias("n")), keys, key, order).observe(added, F.count(F.lit(1)).alias("n"))
+    rows.write.mode("append").parquet(path)  # both counts come from this one job; only the target's keys are read
+    imported = added.get["n"]
+    return {"imported": imported, "skipped": seen.get["n"] - imported}

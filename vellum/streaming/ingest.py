@@ -14,7 +14,7 @@ def ingest_available(spark: SparkSession, folder: str, checkpoint: str, target:
     """Starts a query that reads the files there are now as (source_key, file_name, full_text) and ends."""
     rows = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob).load(folder)
     name = S.base_name(S.decoded(F.col("_metadata.file_path")))
-    texts = rows.select(name.alias("file_name"), F.trim("value").alias("full_text"))
+    texts = rows.select(name.alias("file_name"), S.strip("value").alias("full_text"))
     keyed = texts.select(S.source_key("file_name", prefix).alias("source_key"), "file_name", "full_text")
 
     def add(batch: DataFrame, _: int) -> None:
