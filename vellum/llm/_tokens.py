@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 
 _encoders: dict[str, object] = {}
+_added: dict[str, list[str]] = {}
 
 
 def encoder(path: str | None = None):
@@ -30,24 +31,32 @@ def token_ids(texts: list[str | None], path: str | None = None) -> Iterator[np.n
         yield np.array(own.encode_ordinary(text or ""), np.uint32)
 
 
-def json_encoder(path: str | None = None) -> tuple[object, list[str]]:
-    """The tokenizer of the JSON file at ``path`` with its own settings, and the literals of its added tokens."""
+def json_encoder(path: str | None = None):
+    """The tokenizer of the JSON file at ``path`` with its own settings."""
     import public_tokenizers
     from tokenizers import Tokenizer
 
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     if path not in _encoders:
-        with open(path, encoding="utf-8") as file:
-            added = [token["content"] for token in json.load(file).get("added_tokens") or []]
-        _encoders[path] = Tokenizer.from_file(path), added
+        _encoders[path] = Tokenizer.from_file(path)
     return _encoders[path]
 
 
+def added_literals(path: str | None = None) -> list[str]:
+    """The literals of the tokens that the JSON file at ``path`` adds to its vocabulary."""
+    import public_tokenizers
+
+    path = path or public_tokenizers.path("byte_bpe_50k.json")
+    if path not in _added:
+        with open(path, encoding="utf-8") as file:
+            _added[path] = [token["content"] for token in json.load(file).get("added_tokens") or []]
+    return _added[path]
+
+
 def json_token_ids(text: str | None, path: str | None = None, json_path: str | None = None) -> np.ndarray:
     """The ids that the JSON form gives: by itself for a text with the literal of an added token, else by the faster rank file."""
     if path and not json_path:
         raise ValueError("a rank file needs the JSON form of its vocabulary")
-    own, added = json_encoder(json_path)
-    if text and any(literal in text for literal in added):
-        return np.array(own.encode(text, add_special_tokens=False).ids, np.uint32)
+    if text and any(literal in text for literal in added_literals(json_path)):
+        return np.array(json_encoder(json_path).encode(text, add_special_tokens=False).ids, np.uint32)
     return next(token_ids([text], path))

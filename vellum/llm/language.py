@@ -27,12 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm._arrow import tidy
 from vellum.llm._shared import broadcast_if_small, hashed_sample
 
 #: Labelled documents of each language that are used for training.
 PER_LANGUAGE = 300
 #: The most bytes of a language's texts that training takes, in whole texts.
 SAMPLE_BYTES = 64_000_000
+#: Characters of text whose different words are scored together.
+TOGETHER = 1_500_000
 #: Partitions over which languages are dealt for training.
 LEARNERS = 32
 LONGEST, PIECE, ROUNDS, FLOOR, BOOST = 32, 16, 3, 1e-7, 16.0
@@ -184,6 +187,7 @@ def learn(counts: dict[str, Counter], pieces: Pieces) -> tuple[list[str], np.nda
 def _learner(names: list[str], limit: int):
     """Learns each language from its rows (lang, text, id), which come in the order of the sample."""
 
+    @tidy
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, words, seen, size = None, Counter(), set(), 0
 
@@ -221,6 +225,7 @@ def train(docs: DataFrame, usable: F.Column, per_language: int = PER_LANGUAGE, p
 def _scorer(model, text_at: int, least: float | None):
     """Language and score beside the first column, or with ``least`` the rows that score it, as they are."""
 
+    @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, languages, table = model.value
         pieces = Pieces(names)
@@ -251,7 +256,7 @@ def _scorer(model, text_at: int, least: float | None):
                 text = texts[i].as_py()
                 held.append(text)
                 size += len(text or "")
-                if size > 4_000_000:
+                if size > TOGETHER:
                     flush()
                     held, size = [], 0
             if held:

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm._arrow import tidy
+
 # The base phrases and their labels.
 BASE = {
     "under the mit license": "mit",
@@ -180,6 +182,7 @@ def _template_words() -> set[bytes]:
     return {w for _, text, _ in TEMPLATES for w in words_of(text)}
 
 
+@tidy
 def _frequency_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known, total, n = _template_words(), Counter(), 0
     for batch in batches:
@@ -249,6 +252,7 @@ def base_places(words: list[bytes]) -> list[tuple[str, int]]:
 
 
 def _scanner(counts):
+    @tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(counts.value)
         for batch in batches:

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm._arrow import tidy
+
 UNIT, PAD = 576, b"\xff"
 
 # The magic bytes of the formats.
@@ -324,6 +326,7 @@ def _kind_of(payload: bytes) -> str:
     return ("wav", "bmp", "pgm", "png")[zlib.crc32(payload) % 4]
 
 
+@tidy
 def _storer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
@@ -343,6 +346,7 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def _sniffer(n_keys: int, names: list[str], with_samples: bool):
+    @tidy
     def sniffed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
@@ -372,6 +376,7 @@ def carve(df: DataFrame, media_col: str = "media", keys: tuple[str, ...] = ("doc
     return rows.select(*keys, "type", "at", F.expr(f"substring({media_col}, cast(at + 1 as int), cast(length as int))").alias("carved"))
 
 
+@tidy
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     types = [None, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]

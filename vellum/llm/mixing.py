@@ -13,9 +13,12 @@ min(its limit, c * weight) stays inside the budget, so one sorted running sum ov
 Scale: running sums have two levels. Words are summed by (source, slice of the shuffle) and the running total inside
 a slice starts from the total of the slices before it. A source has one slice for every ``SLICE`` of its rows, so one that holds
 a third of all rows is spread over as many tasks. The cut is found the same way over ranges of finish time, which are bounded in number;
-rows are only sorted inside the one range that holds the cut.
+rows are only sorted inside the one range that holds the cut. This stands for one global sort by finish time cut at the
+budget, and gives the same rows.
 
-Defined cases: a null or empty text has size 0 and is never taken; sources may be null; repeated rows count each;
+Ties: copies that finish together go by source, copy, shuffle, id and row.
+
+Defined cases: very long texts count whole; a null or empty text has size 0 and is never taken; sources may be null; repeated rows count each;
 an empty table gives an empty result; columns other than id, text and source are ignored.
 """
 
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm._shared import written
+from vellum.llm._shared import broadcast_if_small, written
 
 #: Rows in a slice of the shuffle and in a range of finish times, on average.
 SLICE = 4_000
@@ -56,9 +59,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
 
 
 def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, copies) for each row of ``docs``."""
+    """(doc_id, source, th, size, source_size, target, taken, copies) for each row of ``docs``; th is a hash of its text."""
     rows = written(
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")),
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.xxhash64(text_col).alias("th"), word_count(F.col(text_col)).alias("size")),
         "sizes",
     )
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
@@ -77,7 +80,7 @@ def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     inside = F.sum("size").over(Window.partitionBy("source", "part").orderBy("order", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0))
     placed = dealt.withColumn("inside", inside).join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
     end = F.col("before") + F.col("inside")
-    placed = written(placed.select("row", "doc_id", "source", "size", "source_size", "target", "order", end.alias("end")), "placed")
+    placed = written(placed.select("row", "doc_id", "source", "th", "size", "source_size", "target", "order", end.alias("end")), "placed")
 
     ranges = max(64, -(-repeats * n // SLICE))
     finish = F.when(F.col("target") > 0, (F.col("copy") * F.col("source_size") + F.col("end")) / F.col("target"))
@@ -96,7 +99,7 @@ def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     last = last.filter(F.col("upto") <= budget).groupBy("row").agg(F.count("*").alias("more"))
     whole = sum((F.when((F.col("size") > 0) & (F.col("target") > 0) & (_span(c, ranges) < cut_span), 1).otherwise(0) for c in range(repeats)), F.lit(0))
     got = (whole + F.coalesce("more", F.lit(0))).cast("bigint")
-    return placed.join(last, "row", "left").select("doc_id", "source", "size", "source_size", "target", (F.col("size") * got).alias("taken"), got.alias("copies"))
+    return placed.join(last, "row", "left").select("doc_id", "source", "th", "size", "source_size", "target", (F.col("size") * got).alias("taken"), got.alias("copies"))
 
 
 def _span(copy: int, ranges: int) -> F.Column:
@@ -105,12 +108,22 @@ def _span(copy: int, ranges: int) -> F.Column:
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, in the columns of ``docs``. Ids may repeat."""
-    mix = fair_mix(docs, **settings)
-    names = [settings.get(k, v) for k, v in (("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text"))]
-    rows = docs.select(F.struct(*docs.columns).alias("whole"), F.col(names[0]).alias("id"), F.col(names[1]).alias("src"), word_count(F.col(names[2])).alias("n"))
-    rows = rows.withColumn("turn", F.row_number().over(Window.partitionBy("id", "src", "n").orderBy(F.lit(1))))
-    turn = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("copies")))
-    mine = mix.select("doc_id", "source", "size", turn.alias("t"), "copies").filter("copies > 0")
-    match = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("src").eqNullSafe(F.col("source")) & (F.col("n") == F.col("size")) & (F.col("turn") == F.col("t"))
-    return rows.join(mine, match).select("whole", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("whole.*")
+    """The rows of ``docs`` as often as the mix takes them, in the columns of ``docs``. Ids may repeat.
+
+    Texts are shuffled once, to meet the number of their copies by id, source and a hash of the text. Rows that agree in these
+    share their copies evenly.
+    """
+    id_col, source_col, text_col = (settings.get(k, v) for k, v in (("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text")))
+    mix = fair_mix(docs, **settings).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("th").alias("_th"))
+    shares = written(mix.agg(F.count("*").alias("_rows"), F.sum("copies").alias("_copies")).filter("_copies > 0"), "shares")
+    rows = docs.select(F.struct(*docs.columns).alias("_whole"))
+    of = lambda c: F.col(f"_whole.`{c}`")
+    match = of(id_col).eqNullSafe(F.col("_id")) & of(source_col).eqNullSafe(F.col("_source")) & (F.xxhash64(of(text_col)) == F.col("_th"))
+    again = lambda df, copies: df.select("_whole", F.explode(F.sequence(F.lit(1), copies.cast("int")))).select("_whole.*")
+    out = again(rows.join(shares.filter("_rows = 1"), match), F.col("_copies"))
+    several = shares.filter("_rows > 1")
+    if several.isEmpty():
+        return out
+    turn = F.row_number().over(Window.partitionBy("_id", "_source", "_th").orderBy(F.to_json("_whole")))
+    joined = rows.join(broadcast_if_small(several), match).withColumn("_mine", F.floor(F.col("_copies") / F.col("_rows")) + (turn <= F.col("_copies") % F.col("_rows")).cast("bigint"))
+    return out.unionByName(again(joined.filter("_mine > 0"), F.col("_mine")))

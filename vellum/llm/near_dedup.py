@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm._arrow import runs
+from vellum.llm._arrow import runs, tidy
 from vellum.llm._shared import broadcast_if_small, components, drop_written, written
 from vellum.llm._text import blocks, mix64, shingle_hashes, span_hashes, word_spans
 
@@ -84,11 +84,12 @@ def alike(some: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int, thres
 
 
 def _sketcher(width: int):
+    @tidy
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mults = _mults()
         for batch in batches:
             sizes, prints, keys, bins = [], [], [], []
-            for _, data in blocks(batch.column(2).to_pylist()):
+            for _, data in blocks(x.as_py() for x in batch.column(2)):
                 buf, starts, ends, first = word_spans(data)
                 for own in shingle_hashes(span_hashes(buf, starts, ends), first, width):
                     some = len(own) > 0
@@ -105,12 +106,13 @@ def _sketcher(width: int):
 def _set_maker(width: int):
     """Full sets of the texts (text, fp, cid, root, n_blocks) whose set has the fingerprint, once a class in each task."""
 
+    @tidy
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             wanted, cids = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             keep, sets, k = [], [], 0
-            for _, data in blocks(batch.column(0).to_pylist()):
+            for _, data in blocks(x.as_py() for x in batch.column(0)):
                 buf, starts, ends, first = word_spans(data)
                 for own in shingle_hashes(span_hashes(buf, starts, ends), first, width):
                     if cids[k] not in seen and len(own) and fingerprint(own) == wanted[k]:
@@ -161,6 +163,7 @@ def region_labels(bins: np.ndarray, sizes: np.ndarray, sides: np.ndarray, cross:
 
 
 def _forest(threshold: float):
+    @tidy
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right, held = [], [], 0
         for (_, i, j), run in runs(batches, 3):
@@ -213,6 +216,7 @@ def exact_links(sets: list[np.ndarray], sides: np.ndarray, cross: bool, percent:
 
 
 def _verifier(percent: int):
+    @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
         for (_, i, j), run in runs(batches, 3):

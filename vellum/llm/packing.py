@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm._arrow import runs
+from vellum.llm._arrow import runs, tidy
 from vellum.llm._shared import written
 from vellum.llm._tokens import json_token_ids
 
@@ -45,6 +45,7 @@ def cut_points(total: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _cutter(capacity: int, path: str | None, json_path: str | None):
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
@@ -96,6 +97,7 @@ def pack(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: int, rule:
 
 
 def _packer(capacity: int, max_docs: int, max_cost: int, rule: str):
+    @tidy
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (group,), run in runs(batches, 1):
             by = run.sort_by([("doc_id", "ascending"), ("start", "ascending")])

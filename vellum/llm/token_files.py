@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vellum.llm._arrow import tidy
 from vellum.llm._shared import new_path, written
 from vellum.llm._tokens import token_ids
 
@@ -35,6 +36,7 @@ FILE_BYTES = 16_000_000
 
 
 def _encoder(path: str | None):
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -58,6 +60,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     ids.select(F.col("ids").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", closing).option("maxRecordsPerFile", per_file).text(path)
 
 
+@tidy
 def _searcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, ends = [], []

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm._arrow import runs
+from vellum.llm._arrow import runs, tidy
 
 CANDIDATES, QUERIES, STEP, TOGETHER = 32_768, 8_192, 16, 64
 #: Rows of the sample that gives the queries' first bounds; blocks of candidates that even a small table is dealt into; the most partitions.
@@ -63,6 +63,7 @@ def _exact(*sides: np.ndarray) -> bool:
 def _bounder(sample, k: int):
     """Adds to each query (id, q) the k-th best score over the sample, minus infinity where it has fewer."""
 
+    @tidy
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, lists = sample.value
         for batch in batches:
@@ -117,6 +118,7 @@ def _scores(query: list[int], vectors: list[list[int]]) -> list[int]:
 
 
 def _searcher(k: int):
+    @tidy
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, run in runs(batches, 2):
             run = run.combine_chunks()
