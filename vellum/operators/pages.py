@@ -3,7 +3,10 @@
 ``html_nodes`` parses each page once, in Arrow batches, into one row an element in document order. Every other operator is
 a DataFrame expression over that table. Text comes in three forms: every string trimmed and joined without
 a blank (``text``) or with one (``text_sp``), and raw (``text_raw``). ``last_id`` is the number of an element's last
-descendant, so "inside" is a range of numbers within one page.
+descendant, so "inside" is a range of numbers within one page. Cells and links also carry the rows and cells around them.
+
+Tables and sermons need one shuffle by page: the first element of a kind is a window over its page, and what lies inside it is
+found by numbers, without a join of the elements with themselves.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import scalars as S
 
-NODES = "page_id bigint, node_id int, parent_id int, last_id int, depth int, tag string, id string, classes array<string>, attrs map<string,string>, text string, text_sp string, text_raw string, own array<string>"
+NODES = "page_id bigint, node_id int, parent_id int, last_id int, depth int, tag string, id string, classes array<string>, attrs map<string,string>, text string, text_sp string, text_raw string, own array<string>, in_rows array<int>, in_cells array<int>"
 
 # Elements without content, and the open elements that a start tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -67,8 +70,10 @@ class _Tree(HTMLParser):
         known = {}
         for name, value in attrs:
             known.setdefault(name, value or "")
-        number = len(self.rows)
-        self.rows.append({"tag": tag, "parent": self.open[-1] if self.open else None, "depth": len(self.open), "attrs": known, "last": number, "start": len(self.strings), "end": len(self.strings), "own": []})
+        number, rows, cells = len(self.rows), None, None
+        if tag in ("td", "th", "a"):
+            rows, cells = ([i for i in self.open if self.rows[i]["tag"] in kind] for kind in (("tr",), ("td", "th")))
+        self.rows.append({"tag": tag, "parent": self.open[-1] if self.open else None, "depth": len(self.open), "attrs": known, "last": number, "start": len(self.strings), "end": len(self.strings), "own": [], "in_rows": rows, "in_cells": cells})
         if tag not in VOID:
             self.open.append(number)
 
@@ -88,8 +93,8 @@ class _Tree(HTMLParser):
 
 
 def _parser(texts: frozenset[str] | None):
-    names = ["page_id", "node_id", "parent_id", "last_id", "depth", "tag", "id", "classes", "attrs", "text", "text_sp", "text_raw", "own"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.string()), *[pa.string()] * 3, pa.list_(pa.string())]
+    names = ["page_id", "node_id", "parent_id", "last_id", "depth", "tag", "id", "classes", "attrs", "text", "text_sp", "text_raw", "own", "in_rows", "in_cells"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.string()), *[pa.string()] * 3, pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32())]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,7 +113,7 @@ def _parser(texts: frozenset[str] | None):
                         raw, own = strings[row["start"] : row["end"]], [s for s in bare[row["start"] : row["end"]] if s]
                         forms = ("".join(own), " ".join(own), "".join(raw))
                         size += 3 * len(forms[2])
-                    values = (page, number, row["parent"], row["last"], row["depth"], row["tag"], row["attrs"].get("id"), row["attrs"].get("class", "").split(), list(row["attrs"].items()), *forms, row["own"])
+                    values = (page, number, row["parent"], row["last"], row["depth"], row["tag"], row["attrs"].get("id"), row["attrs"].get("class", "").split(), list(row["attrs"].items()), *forms, row["own"], row["in_rows"], row["in_cells"])
                     for k, v in enumerate(values):
                         out[k].append(v)
                     size += 200
@@ -144,6 +149,16 @@ def first_of(nodes: DataFrame, by: list[str] = ["page_id"], order: str = "node_i
     return nodes.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(order))).filter("_rn = 1").drop("_rn")
 
 
+def _first(cond: Column, *more: str) -> Column:
+    """struct(node_id, last_id, ...) of the first element of each page for which ``cond`` holds."""
+    return F.min(F.when(cond, F.struct("node_id", "last_id", *more))).over(Window.partitionBy("page_id"))
+
+
+def _in(outer: str, node: str = "node_id") -> Column:
+    """Whether an element lies inside the one that ``_first`` found."""
+    return (F.col(node) > F.col(f"{outer}.node_id")) & (F.col(node) <= F.col(f"{outer}.last_id"))
+
+
 def _cells(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Cells of rows, numbered from 0: (page_id, row_id, col_idx, ...)."""
     cells = inside(rows, nodes.filter(F.col("tag").isin("td", "th"))).withColumnRenamed("outer_id", "row_id")
@@ -157,26 +172,29 @@ def html_tables(nodes: DataFrame, links: bool = False, base: str = "", skip_text
     used when ``links`` is set, else none. With ``links`` a cell's first link is kept as <header>_URL, cells under
     ``skip_text`` keep only the link, and ``dates`` also gives StartDate and EndDate. A later cell of the same header wins.
     """
-    table = first_of(nodes.filter("tag = 'table'"))
-    of = lambda tag: first_of(inside(table, nodes.filter(F.col("tag") == tag)))
-    head, body, every = of("thead"), of("tbody"), nodes.filter("tag = 'tr'")
-    names = _cells(first_of(inside(head, every).drop("outer_id")), nodes).select("page_id", "col_idx", F.col("text").alias("name"))
-    rows = inside(body, every).drop("outer_id")
+    some = nodes.filter(F.col("tag").isin("table", "thead", "tbody", "tr", "td", "th", "a"))
+    table = some.withColumn("_table", _first(F.col("tag") == "table")).filter(_in("_table"))
+    parts = table.withColumn("_head", _first(F.col("tag") == "thead")).withColumn("_body", _first(F.col("tag") == "tbody"))
+    rows = parts.withColumn("_names", _first((F.col("tag") == "tr") & _in("_head"))).withColumn("_row", _first(F.col("tag") == "tr"))
     if links:
-        loose = inside(table.join(body.select("page_id"), "page_id", "left_anti"), every).drop("outer_id")
-        numbered = loose.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")))
-        rows = rows.unionByName(numbered.filter("_n > 1").drop("_n"))
-    cells = _cells(rows, nodes).join(names, ["page_id", "col_idx"], "left").withColumn("header", F.coalesce("name", F.concat(F.lit("Column_"), F.col("col_idx").cast("string"))))
+        around = F.explode(F.when(F.col("tag") == "a", F.col("in_cells")).when(F.col("tag").isin("td", "th"), F.array("node_id")))
+        href = F.struct("node_id", S.absolutise(F.try_element_at("attrs", F.lit("href")), base).alias("href"))
+        rows = rows.withColumn("_cell", around).withColumn("_link", F.min(F.when(F.col("tag") == "a", href)).over(Window.partitionBy("page_id", "_cell")))
+    cells = rows.filter(F.col("tag").isin("td", "th")).withColumn("row_id", F.explode("in_rows"))
+    used = F.coalesce(_in("_body", "row_id"), F.lit(False))
+    if links:
+        used = used | (F.col("_body").isNull() & (F.col("row_id") > F.col("_row.node_id")))
+    names = F.coalesce(F.col("row_id") == F.col("_names.node_id"), F.lit(False))
+    numbered = cells.withColumn("_used", used).filter(used | names).withColumn("col_idx", F.row_number().over(Window.partitionBy("page_id", "row_id").orderBy("node_id")) - 1)
+    name = F.max(F.when(names, F.col("text"))).over(Window.partitionBy("page_id", "col_idx"))
+    cells = numbered.withColumn("header", F.coalesce(name, F.concat(F.lit("Column_"), F.col("col_idx").cast("string")))).filter("_used")
     entry = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
     entries = F.array(entry(F.col("header"), F.col("text")))
     if links:
-        anchors = inside(cells, nodes.filter("tag = 'a'"), {})
-        first = first_of(anchors, ["page_id", "outer_id"]).select("page_id", F.col("outer_id").alias("node_id"), S.absolutise(F.try_element_at("attrs", F.lit("href")), base).alias("href"))
-        cells = cells.join(first, ["page_id", "node_id"], "left")
         span = S.date_range("text")
         dated = (F.col("header") == dates) & (F.col("text") != "")
         entries = F.filter(F.array(
-            F.when(F.coalesce("href", F.lit("")) != "", entry(F.concat("header", F.lit("_URL")), F.col("href"))),
+            F.when(F.coalesce("_link.href", F.lit("")) != "", entry(F.concat("header", F.lit("_URL")), F.col("_link.href"))),
             F.when(F.col("header") != skip_text, entry(F.col("header"), F.col("text"))),
             F.when(dated, entry(F.lit("StartDate"), span["start"])), F.when(dated, entry(F.lit("EndDate"), span["end"])),
         ), lambda e: e.isNotNull())
@@ -300,38 +318,35 @@ def page_counts(pages: DataFrame, nodes: DataFrame) -> DataFrame:
     return pages.select("page_id", of("html").alias("h")).join(whole, "page_id", "left").join(numbers, "page_id", "left").select("page_id", F.coalesce("h", "t", "m", F.lit(1)).alias("value"))
 
 
-def _texts(outer: DataFrame, nodes: DataFrame, tags: list[str]) -> DataFrame:
-    """(page_id, full_text): the texts inside joined by an empty line, in document order."""
-    parts = inside(outer, nodes.filter(F.col("tag").isin(tags) & (F.col("text_sp") != "")))
-    return parts.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node_id", "text_sp"))), lambda x: x["text_sp"]), "\n\n").alias("full_text"))
-
-
 def sermon_pages(nodes: DataFrame, layout: str, pages: DataFrame) -> DataFrame:
     """(title, date, scripture, speaker, full_text, url) of the pages in a layout: 'header' or 'article'."""
-    text_of = lambda df, name, value="text": first_of(df).select("page_id", F.col(value).alias(name))
+
+    def first(cond: Column, value: Column | str = "text") -> Column:
+        """The value at the first element inside the top for which ``cond`` holds."""
+        return F.min_by(value, F.when(cond & _in("_top"), F.col("node_id")))
+
+    tag = F.col("tag")
     if layout == "header":
-        top = first_of(nodes.filter((F.col("tag") == "div") & has_class("post-single-sermon-header")))
-        parts = inside(top, nodes)
-        title = text_of(parts.filter("tag = 'h2'"), "title")
-        date = first_of(parts.filter((F.col("tag") == "div") & has_class("date"))).select("page_id", S.text_date("text_raw", S.PAGE_DATES_A)["raw"].alias("date"))
-        scripture = text_of(parts.filter((F.col("tag") == "strong") & (F.col("text") != "") & ~F.contains("text", F.lit("Speaker:"))), "scripture")
-        speaker = text_of(parts.filter((F.col("tag") == "a") & F.array_contains(F.split(S.or_empty(F.try_element_at("attrs", F.lit("rel"))), r"\s+"), "tag")), "speaker")
-        body = _texts(first_of(nodes.filter((F.col("tag") == "div") & has_class("post-single-sermon"))), nodes, ["p"])
+        rows = nodes.withColumn("_top", _first((tag == "div") & has_class("post-single-sermon-header"))).withColumn("_box", _first((tag == "div") & has_class("post-single-sermon")))
+        rel = F.split(S.or_empty(F.try_element_at("attrs", F.lit("rel"))), r"\s+")
+        fields = [
+            first(tag == "h2").alias("title"), first((tag == "div") & has_class("date"), "text_raw").alias("_date"), F.lit(None).cast("string").alias("_stamp"),
+            first((tag == "strong") & (F.col("text") != "") & ~F.contains("text", F.lit("Speaker:"))).alias("scripture"), first((tag == "a") & F.array_contains(rel, "tag")).alias("speaker"),
+        ]
+        body, formats = tag == "p", S.PAGE_DATES_A
     else:
-        top = first_of(nodes.filter("tag = 'article'"))
-        parts = inside(top, nodes)
-        title = text_of(parts.filter(has_class("entry-title")), "title")
-        stamp = S.or_empty(F.try_element_at("attrs", F.lit("datetime")))
-        date = first_of(parts.filter("tag = 'time'")).select("page_id", F.when(stamp != "", F.substring(stamp, 1, 10)).otherwise(S.text_date("text_raw", S.PAGE_DATES_B)["raw"]).alias("date"))
-        scripture = top.select("page_id", F.lit("").alias("scripture"))
-        names = F.transform(F.filter("classes", lambda c: c.startswith("tag-")), lambda c: F.initcap(F.replace(F.substring(c, F.lit(5), F.length(c)), F.lit("-"), F.lit(" "))))
-        speaker = top.select("page_id", F.try_element_at(F.filter(names, lambda n: F.size(F.filter(F.split(n, " "), lambda w: w != "")) >= 2), F.lit(1)).alias("speaker"))
-        body = _texts(first_of(parts.filter(has_class("entry-content")).drop("outer_id")), nodes, ["p", "h2", "h3", "h4", "blockquote"])
-    out = top.select("page_id")
-    for part in (title, date, scripture, speaker, body):
-        out = out.join(part, "page_id", "left")
-    fields = [S.or_empty(c).alias(c) for c in ("title", "date", "scripture", "speaker", "full_text")]
-    return out.join(pages.select("page_id", "url"), "page_id").select(*fields, "url")
+        rows = nodes.withColumn("_top", _first(tag == "article", "classes")).withColumn("_box", _first(has_class("entry-content") & _in("_top")))
+        stamp = first(tag == "time", S.or_empty(F.try_element_at("attrs", F.lit("datetime"))))
+        names = F.transform(F.filter("_top.classes", lambda c: c.startswith("tag-")), lambda c: F.initcap(F.replace(F.substring(c, F.lit(5), F.length(c)), F.lit("-"), F.lit(" "))))
+        person = F.try_element_at(F.filter(names, lambda n: F.size(F.filter(F.split(n, " "), lambda w: w != "")) >= 2), F.lit(1))
+        fields = [first(has_class("entry-title")).alias("title"), first(tag == "time", "text_raw").alias("_date"), stamp.alias("_stamp"), F.lit("").alias("scripture"), F.max(person).alias("speaker")]
+        body, formats = tag.isin("p", "h2", "h3", "h4", "blockquote"), S.PAGE_DATES_B
+    parts = F.collect_list(F.when(_in("_box") & body & (F.col("text_sp") != ""), F.struct("node_id", "text_sp")))
+    whole = rows.filter("_top is not null").groupBy("page_id").agg(*fields, parts.alias("_parts"))
+    date = F.when(S.or_empty("_stamp") != "", F.substring("_stamp", 1, 10)).otherwise(S.text_date("_date", formats)["raw"])
+    text = F.array_join(F.transform(F.array_sort("_parts"), lambda x: x["text_sp"]), "\n\n")
+    out = whole.withColumn("date", date).withColumn("full_text", text).join(pages.select("page_id", "url"), "page_id")
+    return out.select(*(S.or_empty(c).alias(c) for c in ("title", "date", "scripture", "speaker", "full_text")), "url")
 
 
 def links_by_section(nodes: DataFrame, headings: tuple[str, ...] = ("h2", "h3", "h4"), extension: str = ".pdf", base: str = "") -> DataFrame:

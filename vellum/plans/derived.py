@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vellum.functions.recode import TRADITION_CODES
 from vellum.operators import grid, pages
 from vellum.plans import reports
-from vellum.session import table
+from vellum.session import table, written
 
 COLUMNS = list(TRADITION_CODES)
 
@@ -63,8 +63,8 @@ def survey_boomers(spark, sf_dir):
 
 
 def _nodes(html: DataFrame, texts: tuple[str, ...] | None = None) -> DataFrame:
-    """Elements of the pages, parsed once however often a query reads them."""
-    return pages.html_nodes(html, texts).persist()
+    """Elements of the pages, parsed once and written, for queries that read them several times."""
+    return written(pages.html_nodes(html, texts), "nodes")
 
 
 def _text(c: Column | str) -> Column:
@@ -73,8 +73,8 @@ def _text(c: Column | str) -> Column:
 
 
 def _joined(rows: DataFrame, by: str, order: str, piece: Column) -> DataFrame:
-    """Pieces of each page in order; a page is one customer's or nation's worth of rows."""
-    parts = rows.select(F.col(by).cast("bigint").alias("page_id"), F.struct(F.col(order).alias("o"), piece.alias("p")).alias("x"))
+    """Pieces of each page in order; a page is one customer's orders, or up to a hundred of a nation's suppliers."""
+    parts = rows.select((F.col(by) if by != "s_nationkey" else F.col(by).cast("bigint") * 1_000_000_000 + F.floor(F.col(order) / 100)).cast("bigint").alias("page_id"), F.struct(F.col(order).alias("o"), piece.alias("p")).alias("x"))
     return parts.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["p"]), "").alias("html"))
 
 
@@ -92,13 +92,13 @@ def _history_pages(spark, sf_dir) -> DataFrame:
 
 
 def page_histories(spark, sf_dir):
-    rows = pages.html_tables(_nodes(_history_pages(spark, sf_dir), ("td", "th", "a")), links=True, base="https://b")
+    rows = pages.html_tables(pages.html_nodes(_history_pages(spark, sf_dir), ("td", "th", "a")), links=True, base="https://b")
     get = lambda k: F.try_element_at("row", F.lit(k))
     return rows.select("page_id", "row_idx", get("Appointment").alias("place"), get("Appointment_URL").alias("link"), get("StartDate").alias("start_date"), get("EndDate").alias("end_date"), get("View Charts_URL").alias("chart"), F.size("row").alias("n_fields"))
 
 
 def page_tables(spark, sf_dir):
-    rows = pages.html_tables(_nodes(_history_pages(spark, sf_dir), ("td", "th", "a")))
+    rows = pages.html_tables(pages.html_nodes(_history_pages(spark, sf_dir), ("td", "th", "a")))
     return rows.select("page_id", "row_idx", F.try_element_at("row", F.lit("Dates")).alias("dates"), F.size("row").alias("n_fields"))
 
 
@@ -158,14 +158,14 @@ def page_sermons_header(spark, sf_dir):
     key = F.col("doc_id").cast("string")
     head = F.concat(F.lit("<div class='post-single-sermon'><div class='post-single-sermon-header'><h2>Talk "), key, F.lit("</h2><div class='date'>\n\t March 5, 2021\u00a0\n</div><strong>Speaker: X</strong><strong>John "), key, F.lit("</strong><a rel='tag' href='#'>"), _text(F.coalesce("source", F.lit(""))), F.lit("</a></div>"))
     html = _sermons(spark, sf_dir, head, ("<p>", "</p>"), "</div>")
-    return _sermon_result(pages.sermon_pages(_nodes(html, ("h2", "div", "strong", "a", "p")), "header", html))
+    return _sermon_result(pages.sermon_pages(pages.html_nodes(html, ("h2", "div", "strong", "a", "p")), "header", html))
 
 
 def page_sermons_article(spark, sf_dir):
     key = F.col("doc_id").cast("string")
     head = F.concat(F.lit("<article class='post tag-news tag-"), F.when(F.col("doc_id") % 2 == 0, "mary-ann").otherwise("solo"), F.lit("'><h1 class='entry-title'>Talk "), key, F.lit("</h1>"), F.when(F.col("doc_id") % 3 == 0, "<time>\n January 2, 2020\t</time>").otherwise("<time datetime='2020-01-02T00:00'>x</time>"), F.lit("<div class='entry-content'>"))
     html = _sermons(spark, sf_dir, head, ("<p>", "</p>"), "</div></article>")
-    return _sermon_result(pages.sermon_pages(_nodes(html, ("h1", "time", "p", "h2", "h3", "h4", "blockquote")), "article", html))
+    return _sermon_result(pages.sermon_pages(pages.html_nodes(html, ("h1", "time", "p", "h2", "h3", "h4", "blockquote")), "article", html))
 
 
 def page_moves(spark, sf_dir):
@@ -272,12 +272,12 @@ SELECT page_id, {_NUMBER} AS row_idx, 'Place ' || o AS place, 'https://b/c?churc
     "page_tables": f"""
 WITH r AS (SELECT o_custkey AS page_id, o_orderkey AS o, CAST(o_orderdate AS DATE) AS d FROM orders)
 SELECT page_id, {_NUMBER} AS row_idx, strftime(d, '%-m/%-d/%Y') || ' - ' || CASE WHEN o % 2 = 0 THEN 'Present' ELSE strftime(d + 9, '%-m/%-d/%Y') END AS dates, 3 AS n_fields FROM r""",
-    "page_sections": f"SELECT page_id, {_NUMBER} AS pos, name, 'http://b/s' || o AS url FROM (SELECT CAST(s_nationkey AS BIGINT) AS page_id, s_suppkey AS o, s_name AS name FROM supplier)",
+    "page_sections": f"SELECT page_id, {_NUMBER} AS pos, name, 'http://b/s' || o AS url FROM (SELECT CAST(s_nationkey * 1000000000::BIGINT + s_suppkey // 100 AS BIGINT) AS page_id, s_suppkey AS o, s_name AS name FROM supplier)",
     "page_facts": f"""
-WITH r AS (SELECT CAST(s_nationkey AS BIGINT) AS page_id, s_suppkey AS o, s_name AS name, CASE WHEN s_suppkey % 3 > 0 THEN CAST(CAST(round(s_acctbal * 100) AS BIGINT) AS VARCHAR) ELSE '0' END AS c FROM supplier WHERE s_suppkey % 4 > 0)
+WITH r AS (SELECT CAST(s_nationkey * 1000000000::BIGINT + s_suppkey // 100 AS BIGINT) AS page_id, s_suppkey AS o, s_name AS name, CASE WHEN s_suppkey % 3 > 0 THEN CAST(CAST(round(s_acctbal * 100) AS BIGINT) AS VARCHAR) ELSE '0' END AS c FROM supplier WHERE s_suppkey % 4 > 0)
 SELECT page_id, {_NUMBER} AS row_idx, name, '/s' || o AS url, c AS c0, c AS c7 FROM r""",
-    "page_options": "SELECT CAST(s_nationkey AS BIGINT) AS page_id, CAST(s_suppkey AS VARCHAR) AS id, s_name AS name FROM supplier WHERE s_suppkey % 5 > 0",
-    "page_labelled_rows": "SELECT CAST(s_nationkey AS BIGINT) AS page_id, s_name AS name, 'Town ' || s_suppkey AS city, '/n' AS url FROM supplier WHERE s_suppkey % 6 > 0 AND s_suppkey % 7 > 0",
+    "page_options": "SELECT CAST(s_nationkey * 1000000000::BIGINT + s_suppkey // 100 AS BIGINT) AS page_id, CAST(s_suppkey AS VARCHAR) AS id, s_name AS name FROM supplier WHERE s_suppkey % 5 > 0",
+    "page_labelled_rows": "SELECT CAST(s_nationkey * 1000000000::BIGINT + s_suppkey // 100 AS BIGINT) AS page_id, s_name AS name, 'Town ' || s_suppkey AS city, '/n' AS url FROM supplier WHERE s_suppkey % 6 > 0 AND s_suppkey % 7 > 0",
     "page_cards": """
 SELECT s_suppkey AS page_id, CASE WHEN s_suppkey % 3 > 0 THEN 'The ' || s_name ELSE s_name END AS name, CASE WHEN s_suppkey % 2 = 0 THEN CAST(2000 + s_suppkey % 25 AS VARCHAR) END AS year, s_suppkey % 4 = 0 AS flag,
   CAST(CAST(round(s_acctbal * 100) AS BIGINT) AS VARCHAR) AS balance, CAST(s_nationkey AS VARCHAR) AS nation, 2 AS n_facts FROM supplier""",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vellum.functions import scalars as S
 from vellum.functions.recode import tradition
 from vellum.operators import survey
+from vellum.session import written
 
 PERIODS = {"2008–2010": (2008, 2010), "2022–2024": (2022, 2024)}
 
@@ -68,8 +69,8 @@ def boomer_shares(people: DataFrame, top: DataFrame) -> DataFrame:
 
 
 def all_reports(respondents: DataFrame, k: int = 20) -> dict[str, DataFrame]:
-    """Every report by name; the recoded table is kept in memory and on disk while they are read."""
-    people = recoded(respondents).persist()
+    """Every report by name; the recoded table is written once for all of them."""
+    people = written(recoded(respondents), "people")
     top = top_traditions(people, k)
     makers = (age_shares, age_stats, young_shares, years_left, boomer_shares)
     return {maker.__name__: maker(people, top) for maker in makers}
