@@ -1,36 +1,13 @@
-"""Written tables in the shared folder, and connected components, for the operators of this subpackage."""
+"""Connected components, bounded samples and broadcasts for the operators of this subpackage."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.session import new_path, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir). Where the setting is missing, as in tests, one is made."""
-    have = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not have:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        have = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", have)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(have)
-    return have.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written to the shared folder and read again: cuts the lineage and survives lost executors."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["broadcast_if_small", "components", "drop_written", "hashed_sample", "new_path", "shared_dir", "written"]
 
 
 def drop_written(df: DataFrame) -> None:
