@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vellum.llm import language, mixing, near_dedup, packing, toxicity
-from vellum.llm._shared import written
+from vellum.session import scratch, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,5 +75,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark):  # a stage's own tables go when its rows are written
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
