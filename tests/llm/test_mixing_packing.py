@@ -63,6 +63,25 @@ def test_mix_equals_a_plain_queue(spark, monkeypatch):
     assert all(abs(t - target) <= 80 for (_, target), t in by_source.items())
 
 
+def test_many_copies_that_finish_together(spark, monkeypatch):
+    monkeypatch.setattr(M, "SLICE", 2)
+    rows = [(i, "w " * (1 + i % 3), f"source{i % 150}") for i in range(300)]
+    docs = spark.createDataFrame([(i, t, None, s, 0) for i, t, s in rows], DOCS)
+    got = sorted((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in M.fair_mix(docs).collect())
+    assert got == sorted((a, b, c, round(d, 6), e) for a, b, c, d, e in plain_mix(rows))
+
+
+def test_copies_of_rows_that_repeat(spark):
+    rows = [(1, "a b c", None, "s", 3)] * 5 + [(2, "x y", None, "s", 4), (2, "x y", None, "t", 4), (None, "n n", None, None, 1), (None, "n n", None, None, 1), (4, None, None, "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    want, got = {}, {}
+    for i, n, _, _, taken in plain_mix([(r[0], r[1], r[3]) for r in rows if r[0]] + [(-1, "n n", None)] * 2):
+        want[i] = want.get(i, 0) + (taken // n if n else 0)
+    for r in M.mixed_documents(docs).collect():
+        got[r.doc_id or -1] = got.get(r.doc_id or -1, 0) + 1
+    assert sum(got.values()) == sum(want.values()) and got[2] <= 4 and got.get(4, 0) == 0 and got[-1] <= 4
+
+
 def test_mix_edges(spark):
     empty = spark.createDataFrame([], DOCS)
     assert M.fair_mix(empty).count() == 0 and M.mixed_documents(empty).count() == 0

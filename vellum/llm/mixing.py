@@ -13,7 +13,7 @@ min(its limit, c * weight) stays inside the budget, so one sorted running sum ov
 Scale: running sums have two levels. Words are summed by (source, slice of the shuffle) and the running total inside
 a slice starts from the total of the slices before it. A source has one slice for every ``SLICE`` of its rows, so one that holds
 a third of all rows is spread over as many tasks. The cut is found the same way over ranges of finish time, which are bounded in number;
-rows are only sorted inside the one range that holds the cut. This stands for one global sort by finish time cut at the
+rows are only sorted inside the one range that holds the cut, in parts. This stands for one global sort by finish time cut at the
 budget, and gives the same rows.
 
 Ties: copies that finish together go by source, copy, shuffle, id and row.
@@ -90,12 +90,19 @@ def fair_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
         .withColumn("finish", finish).withColumn("span", span.cast("bigint"))
     )
     running = F.sum("words").over(Window.partitionBy().orderBy("span").rowsBetween(Window.unboundedPreceding, 0))
-    by_span = copies.groupBy("span").agg(F.sum("size").alias("words")).withColumn("upto", running)
-    cut = by_span.filter(F.col("upto") > budget).orderBy("span").select("span", (F.col("upto") - F.col("words")).alias("before")).first()
-    cut_span, cut_before = (cut["span"], cut["before"]) if cut else (2**62, 0)
-
-    in_order = Window.partitionBy().orderBy("finish", F.col("source").asc_nulls_last(), "copy", "order", "doc_id", "row").rowsBetween(Window.unboundedPreceding, 0)
-    last = copies.filter(F.col("span") == cut_span).withColumn("upto", cut_before + F.sum("size").over(in_order))
+    by_span = copies.groupBy("span").agg(F.sum("size").alias("words"), F.count("*").alias("n")).withColumn("upto", running)
+    cut = by_span.filter(F.col("upto") > budget).orderBy("span").select("span", "n", (F.col("upto") - F.col("words")).alias("before")).first()
+    cut_span, cut_rows, cut_before = (cut["span"], cut["n"], cut["before"]) if cut else (2**62, 0, 0)
+
+    # many copies may finish at one time, so the range of the cut is sorted in parts of its own
+    keys = ["finish", F.col("source").asc_nulls_last(), "copy", "order", "doc_id", "row"]
+    ranged = copies.filter(F.col("span") == cut_span).repartitionByRange(1 + cut_rows // (16 * SLICE), *keys)
+    parts = written(ranged.withColumn("piece", F.spark_partition_id()), "cut")
+    sums = parts.groupBy("piece").agg(F.sum("size").alias("words"))
+    before = F.coalesce(F.sum("words").over(Window.partitionBy().orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(sums.select("piece", before.alias("earlier")))  # one row for each 16 * SLICE rows of the range
+    in_order = Window.partitionBy("piece").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    last = parts.withColumn("inside_cut", F.sum("size").over(in_order)).join(starts, "piece").withColumn("upto", cut_before + F.col("earlier") + F.col("inside_cut"))
     last = last.filter(F.col("upto") <= budget).groupBy("row").agg(F.count("*").alias("more"))
     whole = sum((F.when((F.col("size") > 0) & (F.col("target") > 0) & (_span(c, ranges) < cut_span), 1).otherwise(0) for c in range(repeats)), F.lit(0))
     got = (whole + F.coalesce("more", F.lit(0))).cast("bigint")
