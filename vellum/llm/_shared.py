@@ -66,12 +66,12 @@ def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
 def hashed_sample(rows: DataFrame, by: str, limit: F.Column) -> DataFrame:
     """(id, by) of at most ``limit`` rows of each value of ``by``, the same ones in every run: those of the least hashes of ``id``.
 
-    The counts say which share of the hashes holds four times the rows wanted, so only those few are sorted.
+    The counts say which share of the hashes holds the rows wanted and six standard deviations more, so only those few are sorted.
     """
     counts = rows.groupBy(by).agg(F.count("*").alias("total"))
     counts = F.broadcast(counts) if counts.limit(LABELS + 1).count() <= LABELS else counts
     order = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))
     place = F.conv(F.substring("order", 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    few = rows.select("id", by).withColumn("order", order).join(counts, by).filter(place * F.col("total") <= 4 * limit)
+    few = rows.select("id", by).withColumn("order", order).join(counts, by).filter(place * F.col("total") <= limit + 6 * F.sqrt(limit) + 20)
     ranked = few.withColumn("n", F.row_number().over(Window.partitionBy(by).orderBy("order", "id")))
     return ranked.filter(F.col("n") <= limit).select("id", by)
