@@ -35,7 +35,7 @@ PER_LANGUAGE = 300
 #: The most bytes of a language's texts that training takes, in whole texts.
 SAMPLE_BYTES = 64_000_000
 #: Characters of text whose different words are scored together.
-TOGETHER = 1_500_000
+TOGETHER = 3_000_000
 #: Partitions over which languages are dealt for training.
 LEARNERS = 32
 LONGEST, PIECE, ROUNDS, FLOOR, BOOST = 32, 16, 3, 1e-7, 16.0
