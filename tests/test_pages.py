@@ -120,3 +120,23 @@ def test_page_links(nodes):
 def test_deep_and_empty_pages(spark, nodes):
     _, n = nodes("<div>" * 500 + "x", None, "<" * 50, "a < b & c")
     assert n.filter("page_id = 0").agg(F.max("depth")).first()[0] == 499
+
+
+def test_plain_markup_is_read_like_the_full_parser():
+    import random
+    import string
+
+    def full(html):
+        tree = P._Tree()
+        tree.feed(html)
+        tree.close()
+        tree._close_to(0)
+        return tree.rows, tree.strings
+
+    pick = random.Random(3)
+    pieces = ["<p>", "</p>", "<td class='a b' id=\"x\">", "<tr>", "</tr>", "<table>", "</table>", "<a href='/x?y=1'>", "</a>", "text", " & ", "&amp;", "&lt;b", "\n", "<br>", "<br/>", "<LI data-x hidden>", "<li", "<!-- c -->", "<title>t</title>", "</p >", "<p a=1>", "<p a='&amp;'>", "<", ">", "<3", "<b></b>", "é", "<p a='' b>", "<ul\n>", "</li x>", "<p a='1'b='2'>", "&am"]
+    plain = [p for p in pieces if p not in ("<li", "<", "<3")]
+    for turn in range(4000):
+        html = "".join(pick.choice(pieces if turn % 2 else plain[:16]) for _ in range(pick.randint(0, 12))) + pick.choice(["", "x", pick.choice(string.printable)])
+        tree = P.tree_of(html)
+        assert (tree.rows, tree.strings) == full(html), html

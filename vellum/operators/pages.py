@@ -11,7 +11,9 @@ found by numbers, without a join of the elements with themselves.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -92,6 +94,43 @@ class _Tree(HTMLParser):
             self.rows[self.open[-1]]["own"].append(data)
 
 
+#: A tag whose attributes, if any, are quoted and hold no character reference, or a run of text.
+PLAIN = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-a-zA-Z0-9_]*(?:=(?:"[^"<>&]*"|'[^'<>&]*'))?)*)\s*>|([^<]+)""")
+ATTRIBUTE = re.compile(r"""([a-zA-Z][-a-zA-Z0-9_]*)(?:=(?:"([^"]*)"|'([^']*)'))?""")
+#: Elements whose content is no markup.
+RAW = frozenset("iframe noembed noframes noscript plaintext script style textarea title xmp".split())
+
+
+def tree_of(html: str) -> _Tree:
+    """The elements of a page. Plain markup is cut by one pattern; a page with anything else is read by the full parser, with equal results."""
+    tree, at = _Tree(), 0
+    for m in PLAIN.finditer(html):
+        closing, name, attrs, text = m.groups()
+        if m.start() != at:
+            break
+        if text is None:
+            name = name.lower()
+            if name in RAW or (closing and attrs):
+                break
+            if closing:
+                tree.handle_endtag(name)
+            else:
+                tree.handle_starttag(name, [(k.lower(), a if a or not b else b) for k, a, b in ATTRIBUTE.findall(attrs)] if attrs else [])
+        elif "&" not in text:
+            tree.handle_data(text)
+        elif m.end() < len(html):
+            tree.handle_data(unescape(text))
+        else:  # a reference that the page's end may cut short
+            break
+        at = m.end()
+    if at < len(html):
+        tree = _Tree()
+        tree.feed(html)
+        tree.close()
+    tree._close_to(0)
+    return tree
+
+
 def _parser(texts: frozenset[str] | None):
     names = ["page_id", "node_id", "parent_id", "last_id", "depth", "tag", "id", "classes", "attrs", "text", "text_sp", "text_raw", "own", "in_rows", "in_cells"]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.string()), *[pa.string()] * 3, pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32())]
@@ -101,22 +140,26 @@ def _parser(texts: frozenset[str] | None):
             out: list[list] = [[] for _ in names]
             size = 0
             for page, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tree = _Tree()
-                tree.feed(html.as_py() or "")
-                tree.close()
-                tree._close_to(0)
+                tree = tree_of(html.as_py() or "")
                 strings = [s for _, s in tree.strings]
                 bare = [s.strip() for s in strings]
-                for number, row in enumerate(tree.rows):
-                    forms: tuple = (None, None, None)
-                    if texts is None or row["tag"] in texts:
-                        raw, own = strings[row["start"] : row["end"]], [s for s in bare[row["start"] : row["end"]] if s]
-                        forms = ("".join(own), " ".join(own), "".join(raw))
-                        size += 3 * len(forms[2])
-                    values = (page, number, row["parent"], row["last"], row["depth"], row["tag"], row["attrs"].get("id"), row["attrs"].get("class", "").split(), list(row["attrs"].items()), *forms, row["own"], row["in_rows"], row["in_cells"])
-                    for k, v in enumerate(values):
-                        out[k].append(v)
-                    size += 200
+                rows, forms = tree.rows, []
+                for row in rows:
+                    if texts is not None and row["tag"] not in texts:
+                        forms.append((None, None, None))
+                        continue
+                    own, raw = [s for s in bare[row["start"] : row["end"]] if s], "".join(strings[row["start"] : row["end"]])
+                    forms.append(("".join(own), " ".join(own), raw))
+                    size += 3 * len(raw)
+                own_attrs = [row["attrs"] for row in rows]
+                columns = [
+                    [page] * len(rows), range(len(rows)), *([row[c] for row in rows] for c in ("parent", "last", "depth", "tag")),
+                    [a.get("id") for a in own_attrs], [a["class"].split() if "class" in a else [] for a in own_attrs], [list(a.items()) for a in own_attrs],
+                    *([f[i] for f in forms] for i in range(3)), *([row[c] for row in rows] for c in ("own", "in_rows", "in_cells")),
+                ]
+                for held, more in zip(out, columns, strict=True):
+                    held.extend(more)
+                size += 200 * len(rows)
                 if size > 16_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
                     out, size = [[] for _ in names], 0
