@@ -188,3 +188,54 @@ def test_samples_hold_whole_texts_up_to_their_bytes(spark):
 def test_equally_likely_languages_give_the_first(spark):
     docs = small(spark, [("same words here", "b"), ("same words here", "a")])
     assert {r.lang_pred for r in G.identify(docs, G.train(docs, F.lit(True))).collect()} == {"a"}
+
+
+def test_query_scores_equal_a_plain_convolution(spark, sf_dir):
+    """op4's scores of whole texts, word by word and filter by filter, with the language told by summing its words."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model, _ = T.train(docs, labels, G.fold("doc_id", 5) != 0)
+    got = {r.doc_id: r for r in Q.op4_toxicity(spark, sf_dir).collect()}
+    assert len(got) == docs.count()
+    for doc_id, text in [(r.doc_id, r.text) for r in docs.filter("n_chars < 6000").limit(60).collect()]:
+        features, _ = T._features([text.encode()])
+        rows = T._rows(features, model.known)
+        x = np.concatenate((model.vectors[rows].sum(1), np.zeros((4, T.DIM)))) if len(rows) else np.zeros((4, T.DIM))
+        pooled = [max(0.0, *(float(x[k : k + w].ravel() @ kernel[:, f] + bias[f]) for k in range(len(x) - 2))) for w, kernel, bias in zip(T.WIDTHS, model.filters, model.biases) for f in range(T.FILTERS)]
+        z = sum(a * b for a, b in zip(pooled, model.weights)) + model.bias
+        known = [r for r in rows[:, 0] if r < len(model.known)]
+        language = int(np.argmax(sum(model.speech[r].astype(float) for r in known))) if known else model.speech.shape[1]
+        assert got[doc_id].score == pytest.approx(1 / (1 + math.exp(-(z - model.shift[language]))), abs=1e-4)
+        assert got[doc_id].predicted == int(got[doc_id].score >= 0.5) and got[doc_id].held_out == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+
+
+def test_query_languages_equal_plain_sums(spark, sf_dir):
+    """op6's predictions of whole texts, each word summed over its segmentations by itself."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names, languages, table = G.train(docs, G.fold("doc_id", 3) != 1)
+    got = {r.doc_id: r for r in Q.op6_language(spark, sf_dir).collect()}
+    words: dict[str, list[float]] = {}
+    number = {p: i for i, p in enumerate(names)}
+
+    def plain(word):
+        if word not in words:
+            marked, totals = "▁" + word, []
+            for c in range(len(languages)):
+                run = [1.0] + [0.0] * len(marked)
+                for b in range(1, len(marked) + 1):
+                    for a in range(max(0, b - G.PIECE), b):
+                        p = table[number[marked[a:b]], c] if marked[a:b] in number else 0.0
+                        run[b] += run[a] * (max(p, G.FLOOR) if b - a == 1 else p)
+                totals.append(math.log(run[-1]))
+            words[word] = totals
+        return words[word]
+
+    for doc_id, text in [(r.doc_id, r.text) for r in docs.filter("n_chars < 1500").limit(40).collect()]:
+        own = G.words_of(text)
+        if not own:
+            assert (got[doc_id].lang_pred, got[doc_id].score) == ("und", 0.0)
+            continue
+        totals = [sum(plain(w)[c] for w in own) for c in range(len(languages))]
+        even = [math.exp((t - max(totals)) * min(1.0, G.SURE / len(own))) for t in totals]
+        assert got[doc_id].lang_pred == languages[totals.index(max(totals))]
+        assert got[doc_id].score == pytest.approx(max(even) / sum(even), abs=1e-6)

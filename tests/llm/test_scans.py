@@ -424,3 +424,20 @@ def test_parts_give_what_one_suffix_array_gives(spark, monkeypatch):
         want[i] = "\n".join(filter(None, kept))
         at += 1
     assert got == want
+
+
+def test_query_texts_equal_a_plain_reading_of_the_articles(spark, sf_dir):
+    """op7 over whole pages of the shared table, whose articles hold only headings, paragraphs, bold text and line breaks."""
+    import html as entities
+    import re
+
+    from vellum.llm import queries
+
+    got = {r.page_id: r for r in queries.op7_html(spark, sf_dir).collect()}
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for page in pages:
+        inner = re.search(r"<article[^>]*>(.*)</article>", page.html, re.S).group(1)
+        blocks = (" ".join(entities.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br[^>]*>", " ", b))).split()) for b in re.split(r"</?(?:p|h1)>", inner))
+        text = "\n".join(filter(None, blocks))
+        assert (got[page.page_id].text, got[page.page_id].n_chars, got[page.page_id].url) == (text, len(text), page.url)
