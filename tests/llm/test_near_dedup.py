@@ -137,6 +137,8 @@ def test_repeated_rows_nulls_and_clashing_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, fp binary, root int")
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in N.near_duplicates(docs, 4).collect()), key=str)
     assert got == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (None, 1, False), (None, None, True), (3, 3, True)], key=str)
+    other = docs.withColumnsRenamed({"fp": "_id", "root": "_th"}).withColumn("_once", docs.doc_id).withColumn("_turn", docs.doc_id)
+    assert N.one_of_each(other, 4).columns == other.columns and N.one_of_each(other, 4).count() == 3
     kept = N.one_of_each(docs, 4)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]

@@ -288,11 +288,12 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     alone = F.col("doc_id").isNull() & (F.col("n_shingles") == 0)
     kept = rows.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg((F.bool_and(alone) | (F.count("*") == 1)).alias("_once"))
     kept = written(kept, "kept")
-    match = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_th"))
-    once = docs.join(kept.filter("_once").drop("_once"), match, "left_semi")
-    again = docs.join(kept.filter("not _once").drop("_once"), match, "left_semi")
+    match = docs[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["_th"])
+    once = docs.join(kept.filter("_once"), match, "left_semi")
+    again = docs.join(kept.filter("not _once"), match, "left_semi")
     if kept.filter("not _once").isEmpty():
         return once
-    turn = F.row_number().over(Window.partitionBy(F.col(id_col), F.col(text_col)).orderBy(F.to_json(F.struct(*docs.columns))))
-    marked = again.select(F.struct(*docs.columns).alias("_row"), turn.alias("_turn"))
+    whole = F.struct(*docs.columns)
+    turn = F.row_number().over(Window.partitionBy(F.col(id_col), F.col(text_col)).orderBy(F.to_json(whole)))
+    marked = again.select(whole.alias("_row"), turn.alias("_turn"))
     return once.unionByName(marked.filter("_turn = 1").select("_row.*"))
