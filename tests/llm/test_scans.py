@@ -247,12 +247,36 @@ def test_token_counts(spark):
     texts = ODD + ["some words " * i for i in range(200)]
     got = {r.doc_id: r.n_tokens for r in token_files.count_tokens(docs_of(spark, texts).repartition(3, "doc_id"), block=512).collect()}
     assert got == {i: len(ids) for i, ids in enumerate(token_files.token_ids(texts))}
-    for per_file in (1, 7):
-        rows = token_files.count_tokens(docs_of(spark, texts).repartition(3, "doc_id"), block=512, per_file=per_file).collect()
-        assert {r.doc_id: r.n_tokens for r in rows} == got and max(r.doc_no for r in rows) == per_file - 1
+    for file_bytes, n in ((1, 25), (9_000, len(texts))):
+        rows = token_files.count_tokens(docs_of(spark, texts[:n]).repartition(3, "doc_id"), block=512, file_bytes=file_bytes).collect()
+        assert {r.doc_id: r.n_tokens for r in rows} == {i: got[i] for i in range(n)} and len({r.token_file for r in rows}) > 3
+        assert file_bytes > 1 or {r.doc_no for r in rows} == {0}
     assert token_files.count_tokens(spark.createDataFrame([], DOCS)).count() == 0
 
 
+@pytest.mark.parametrize("deal", ["repartition", "groupBy", "join", "names"])
+def test_token_counts_behind_shuffles(spark, deal):
+    """Plans that give their rows in another order, or other files, each time that they run."""
+    texts = [f"text {i} " * (i % 97) for i in range(3_000)]
+    docs = docs_of(spark, texts)
+    want = {i: len(ids) for i, ids in enumerate(token_files.token_ids(texts))}
+    if deal == "repartition":
+        docs = docs.repartition(16)
+    elif deal == "groupBy":
+        docs = docs.groupBy("doc_id").agg(F.first("text").alias("text"))
+    elif deal == "join":
+        docs = docs.join(docs.select("doc_id", F.rand().alias("r")), "doc_id").orderBy("r")
+    else:  # ids of other types, nulls among them
+        docs, want = docs.select(F.when(F.col("doc_id") % 7 > 0, F.concat(F.lit("é -c4/"), "doc_id")).alias("doc_id"), "text"), None
+    rows = token_files.count_tokens(docs, file_bytes=200_000).collect()
+    assert len(rows) == 3_000
+    if want:
+        assert {r.doc_id: r.n_tokens for r in rows} == want
+    else:
+        sizes = sorted((f"é -c4/{i}" if i % 7 else "", len(ids)) for i, ids in enumerate(token_files.token_ids(texts)))
+        assert sorted((r.doc_id or "", r.n_tokens) for r in rows) == sizes
+
+
 @pytest.mark.parametrize("block", [2, 4, 6, 64, 1 << 20])
 def test_scan_equals_a_plain_split(spark, tmp_path, block):
     sep = token_files.SEPARATOR
