@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import html_text, language, licences, media, mixing, near_dedup, packing, token_files, top_k, toxicity
+from vellum.llm import exact_dedup, html_text, language, lexical, licences, media, mixing, near_dedup, packing, token_files, top_k, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mixing": op2_mixing,
@@ -68,6 +80,9 @@ QUERIES = {
     "op8_licences": op8_licences,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_lexical": op12_lexical,
+    "op13_whitening": op13_whitening,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -116,5 +131,25 @@ s AS (
   SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op11_exact_dedup": f"""
+WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER x AS keep_id, count(*) OVER x AS group_size, doc_id = max(doc_id) OVER x AS kept, sha256(t) AS text_sha256
+FROM d WINDOW x AS (PARTITION BY t)
+""",
+    "op12_lexical": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+n AS (SELECT doc_id, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+c AS (SELECT CAST(count(*) AS BIGINT) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM n),
+p AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS t FROM d) GROUP BY doc_id, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(all_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM p, c GROUP BY t),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+s AS (
+  SELECT q.item_id, p.doc_id, CAST(sum(w.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n.n * all_docs) // all_terms)))) AS BIGINT) AS score
+  FROM q JOIN p ON p.t = q.t JOIN w ON w.t = q.t JOIN n ON n.doc_id = p.doc_id, c GROUP BY q.item_id, p.doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
 """,
 }
