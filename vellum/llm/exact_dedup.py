@@ -34,6 +34,8 @@ from vellum.operators import bloom
 
 #: Bytes of texts in a bucket, in an owner's range of keys, and of the different texts that a map task collapses together.
 BUCKET, OWNER, RUN = 16 << 20, 64 << 20, 32 << 20
+#: Owners of even a small index, where its directory has so many slots.
+SPREAD = 16
 #: A group of more than this share of the rows is broadcast on the way back.
 HEAVY = 1_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -139,7 +141,7 @@ def text_index(docs: DataFrame, sizes: DataFrame, text_col: str = "text", bits:
     found = text.select("key", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), F.col("text").cast("binary").alias("text"))
     few = found.mapInArrow(_collapser(run), "key bigint, digest binary, text binary")
     placed = few.withColumn("slot", prefix("key", depth)).join(broadcast_if_small(directory), "slot")
-    owners = max(1, -(-n_bytes // owner))
+    owners = max(-(-n_bytes // owner), min(1 << depth, SPREAD))
     mine = placed.select(F.expr(f"cast(cast(slot as decimal(20, 0)) * {owners} div {1 << depth} as int)").alias("owner"), "bucket", "key", "digest", "text")
     ranges = mine.repartition(owners, "owner").select("bucket", "key", "digest", "text").sortWithinPartitions("bucket", "key")
     return written(ranges.mapInArrow(_owner, "bucket bigint, key bigint, link int, digest binary, text binary"), "index")
