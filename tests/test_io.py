@@ -28,6 +28,47 @@ def test_table_corpus(spark, tmp_path):
     assert [(r.header, r.text) for r in body] == [("Name", "a\nb"), ("col_1", "1,2"), ("x", 'say "hi"')]
 
 
+def test_tables_of_any_width(spark, tmp_path):
+    """Rows keep their own length, wide ones and short ones, over many chunks; empty lines are left out; odd bytes stay readable."""
+    folder = tmp_path / "in" / "annual_2020-21"
+    folder.mkdir(parents=True)
+    tables = {0: [[f"h{i}" for i in range(20)], [str(i) for i in range(20)], ["a"], ["", "b"], [str(i) for i in range(500)]], 1: [["x", "y"]] + [[str(i), "q" * 50] for i in range(30_000)], 2: [["only"]]}
+    for t, rows in tables.items():
+        with (folder / f"page_1_table_{t}.csv").open("w", newline="") as file:
+            csv.writer(file).writerows(rows)
+    (folder / "page_1_table_3.csv").write_bytes(b"\xef\xbb\xbfh\xff\n\n\n\"x\ny\"\n")
+    (folder / "page_1_table_4.csv").write_bytes(b"")
+    cells = readers.read_table_cells(spark, str(tmp_path / "in"))
+    got = {}
+    for r in cells.collect():
+        got.setdefault(r.table_index, {}).setdefault(r.row_idx, {})[r.col_idx] = r.text
+    made = {t: [[row[c] for c in sorted(row)] for _, row in sorted(rows.items())] for t, rows in got.items()}
+    assert made == tables | {3: [["h\ufffd"], ["x\ny"]]}
+    body = readers.read_table_corpus(spark, str(tmp_path / "in")).filter("table_index = 0 and row_idx = 3").orderBy("col_idx").collect()
+    assert [r.header for r in body] == [f"h{i}" for i in range(20)] + [None] * 480
+    assert "Exchange" not in readers.read_table_corpus(spark, str(tmp_path / "in"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_table_files_appear_at_once(spark, tmp_path):
+    """Many tables from several tasks; a second write replaces them; a write that fails leaves what was there and nothing else."""
+    path = f"file://{tmp_path}/out"
+    rows = spark.range(6_000).select(F.lit("a").alias("section"), (F.col("id") % 3).cast("string").alias("year_slug"), (F.col("id") % 1_000).cast("int").alias("page"), F.lit(0).alias("table_index"), "id", (-F.col("id")).alias("row_idx"), F.concat(F.lit('"é,\n'), F.col("id").cast("string")).alias("v"))
+    sinks.write_table_files(rows, path, ["id", "v"])
+    names = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.csv"))
+    assert len(names) == 3_000 and names[0] == "out/a_0/page_0_table_0.csv" and os.listdir(tmp_path) == ["out"]
+    want = {}
+    for i in sorted(range(6_000), reverse=True):
+        want.setdefault((i % 3, i % 1_000), []).append([str(i), f'"é,\n{i}'])
+    for (year, page), table in list(want.items())[::37]:
+        assert list(csv.reader((tmp_path / f"out/a_{year}/page_{page}_table_0.csv").open(newline="", encoding="utf-8"))) == table
+    bad = rows.withColumn("v", F.when(F.col("id") == 5_999, F.raise_error(F.lit("broken"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_table_files(bad, path, ["id", "v"])
+    assert os.listdir(tmp_path) == ["out"] and len(list(tmp_path.rglob("*.csv"))) == 3_000
+    sinks.write_table_files(rows.filter("page = 7"), path, ["id"])
+    assert len(list(tmp_path.rglob("*"))) == 1 + 3 + 3
+
+
 @pytest.mark.skipif(not os.path.isdir(CORPUS), reason="TABLE_CORPUS names no folder of the published corpus")
 def test_published_corpus(spark):
     cells = readers.read_table_cells(spark, CORPUS).cache()

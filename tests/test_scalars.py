@@ -20,7 +20,7 @@ CASES = [
     ("count_text", lambda: S.count_text("t"), ["1,200", "", None, " 7 "], ["1200", "0", "0", "7"]),
     ("fact_value", lambda: S.fact_value("t"), ["$1,234", "a, b", "$5"], ["1234", "a b", "5"]),
     ("start_year", lambda: S.start_year("t"), ["2024–25", "yr 201", "2010-11"], [2024, 0, 2010]),
-    ("mdy_iso", lambda: S.mdy_iso("t"), ["1/2/2020", "123/4/2020", "2020", "", None], ["2020-01-02", "2020-123-04", "2020", "", None]),
+    ("mdy_iso", lambda: S.mdy_iso("t"), ["1/2/2020", "1 / 2\n/ 2020", "123/4/2020", " 2020 ", "", None], ["2020-01-02", "2020-01-02", "2020-123-04", " 2020 ", None, None]),
     ("label_slug", lambda: S.label_slug("t"), ["2024–25", " A/B—C "], ["2024-25", "a-b-c"]),
     ("drop_abbrev", lambda: S.drop_abbrev("t"), ["North Texas (NTX)", "A (b) c"], ["North Texas", "A (b) c"]),
     ("slug", lambda: S.slug("t", keep_dot=True, max_len=10), ["Café au lait!", "a  b.c", "x" * 20], ["Café_au_la", "a_b.c", "x" * 10]),
@@ -51,15 +51,15 @@ def test_iso_file_date(spark):
 
 
 def test_text_date(spark):
-    got = values(spark, S.text_date("t"), [" March 5, 2021 ", "Mar. 5, 2021", "March 2021", "Lent"])
-    assert [g["raw"] for g in got] == ["2021-03-05", "2021-03-05", "2021-03-01", "Lent"]
+    got = values(spark, S.text_date("t"), [" March 5, 2021 ", "Mar. 5, 2021", "March 2021", "Lent", "March 5,\n 2021", "March  5, 2021", "On  March 5, 2021"])
+    assert [g["raw"] for g in got] == ["2021-03-05", "2021-03-05", "2021-03-01", "Lent", "2021-03-05", "2021-03-05", "On  March 5, 2021"]
     other = values(spark, S.text_date("t", S.PAGE_DATES_B), ["Mar 5, 2021", "2021-3-5"])
     assert [g["raw"] for g in other] == ["2021-03-05", "2021-03-05"]
 
 
 def test_date_range(spark):
-    got = values(spark, S.date_range("t"), ["1/2/2020 - 3/4/2021", "1/2/2020 - present", "1/2/2020", "1-2-2020", ""])
-    assert [tuple(g) for g in got] == [("2020-01-02", "2021-03-04"), ("2020-01-02", None), ("2020-01-02", None), ("1-2-2020", None), ("", None)]
+    got = values(spark, S.date_range("t"), ["1/2/2020 - 3/4/2021", "1/2/2020 - present", "1/2/2020", "1-2-2020", "", "1/2/2020 -", "- 1/2/2020", " 1 / 2 / 2020\n- 3 /4/ 2021 ", None])
+    assert [tuple(g) for g in got] == [("2020-01-02", "2021-03-04"), ("2020-01-02", None), ("2020-01-02", None), ("1-2-2020", None), (None, None), ("2020-01-02", None), (None, "2020-01-02"), ("2020-01-02", "2021-03-04"), (None, None)]
 
 
 def test_transcript(spark):

@@ -170,14 +170,17 @@ def padded2(text: Column) -> Column:
 
 
 def mdy_iso(text: Column | str) -> Column:
-    """month/day/year as ISO text by position, unchecked; other text unchanged."""
-    text = _col(text)
-    parts = F.split(text, "/")
-    return F.when(F.size(parts) == 3, F.concat_ws("-", parts[2], padded2(parts[0]), padded2(parts[1]))).otherwise(text)
+    """month/day/year as ISO text by position, unchecked, parts without blanks around them; other text unchanged; null if there is none."""
+
+    def iso(text: Column) -> Column:
+        parts = F.transform(F.split(text, "/"), strip)
+        return let(parts, lambda p: F.when(F.size(p) == 3, F.concat_ws("-", p[2], padded2(p[0]), padded2(p[1]))).otherwise(F.nullif(text, F.lit(""))))
+
+    return let(_col(text), iso)
 
 
 def date_range(text: Column | str) -> Column:
-    """struct(start, end) of 'a - b'. 'Present' ends with null; one part is a start; more than two are kept as start."""
+    """struct(start, end) of 'a - b'. 'Present' ends with null; one part is a start; more than two are kept as start; an empty part is null."""
     text = _col(text)
 
     def ends(parts: Column) -> Column:
@@ -229,9 +232,12 @@ PAGE_DATES_B = ("MMMM d, yyyy", "MMM d, yyyy", "yyyy-M-d")
 
 
 def text_date(text: Column | str, formats: tuple[str, ...] = PAGE_DATES_A) -> Column:
-    """struct(date, raw): the first format that reads the text; ``raw`` is the ISO date, or the stripped text if none does."""
+    """struct(date, raw): the first format that reads the text; ``raw`` is the ISO date, or the stripped text if none does.
+
+    A blank of a format is any run of white space in the text.
+    """
     def read(bare: Column) -> Column:
-        date = F.coalesce(*(F.try_to_date(bare, f) for f in formats))
+        date = let(F.regexp_replace(bare, r"(?U)\s+", " "), lambda even: F.coalesce(*(F.try_to_date(even, f) for f in formats)))
         return let(date, lambda d: F.struct(d.alias("date"), F.coalesce(F.date_format(d, "yyyy-MM-dd"), bare).alias("raw")))
 
     return let(strip(text), read)

@@ -221,6 +221,8 @@ def date_ranges(spark, sf_dir):
     start = F.date_format(d, "M/d/yyyy")
     text = F.when(F.col("o_orderkey") % 4 == 0, F.concat(start, F.lit(" - Present"))).when(F.col("o_orderkey") % 4 == 1, start)
     text = text.when(F.col("o_orderkey") % 4 == 2, F.date_format(d, "M-d-yyyy")).otherwise(F.concat(start, F.lit(" - "), F.date_format(F.date_add(d, 40), "M/d/yyyy")))
+    blanks = F.replace(text, F.lit("/"), F.lit(" /\n"))  # blanks around the parts, and ends that are empty
+    text = F.when(F.col("o_orderkey") % 5 == 0, blanks).when(F.col("o_orderkey") % 20 == 1, F.concat(text, F.lit(" -"))).when(F.col("o_orderkey") % 20 == 9, F.concat(F.lit("- "), text)).otherwise(text)
     rows = table(spark, sf_dir, "orders").select("o_orderkey", S.date_range(text).alias("r"))
     return rows.select("o_orderkey", F.col("r.start").alias("start_date"), F.col("r.end").alias("end_date"))
 
@@ -229,6 +231,7 @@ def text_dates(spark, sf_dir):
     d = "o_orderdate"
     text = F.when(F.col("o_orderkey") % 4 == 0, F.date_format(d, "MMMM d, yyyy")).when(F.col("o_orderkey") % 4 == 1, F.date_format(d, "MMM. d, yyyy"))
     text = text.when(F.col("o_orderkey") % 4 == 2, F.date_format(d, "MMMM yyyy")).otherwise(F.lit(" Advent "))
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.replace(text, F.lit(" "), F.lit("\n  "))).otherwise(text)  # white space inside
     spaced = F.concat(F.lit("\n\t"), text, F.lit("\u00a0\n"))
     return table(spark, sf_dir, "orders").select("o_orderkey", S.text_date(spaced)["raw"].alias("date"))
 

@@ -87,8 +87,8 @@ UNION ALL SELECT 'p' || p_partkey, regexp_replace(trim(regexp_replace(p_name ||
 SELECT o_orderkey, CASE WHEN o_orderkey % 7 < 5 THEN {_ISO} END AS date, CASE o_orderkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 WHEN 4 THEN 5 END AS pattern,
   CASE o_orderkey % 7 WHEN 5 THEN strftime(CAST(o_orderdate AS DATE), '%m %d %Y') WHEN 6 THEN 'bad 13 45 2020 of' END AS title FROM orders""",
     "date_ranges": f"""
-SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 2 THEN strftime(CAST(o_orderdate AS DATE), '%-m-%-d-%Y') ELSE {_ISO} END AS start_date,
-  CASE WHEN o_orderkey % 4 = 3 THEN strftime(CAST(o_orderdate AS DATE) + 40, '%Y-%m-%d') END AS end_date FROM orders""",
+WITH d AS (SELECT o_orderkey, o_orderkey % 4 AS kind, o_orderkey % 20 AS odd, {_ISO} AS iso, strftime(CAST(o_orderdate AS DATE), '%-m-%-d-%Y') AS dashes, strftime(CAST(o_orderdate AS DATE) + 40, '%Y-%m-%d') AS later FROM orders)
+SELECT o_orderkey, CASE WHEN kind = 2 THEN dashes WHEN odd = 9 THEN NULL ELSE iso END AS start_date, CASE WHEN kind = 3 THEN later WHEN odd = 9 THEN iso END AS end_date FROM d""",
     "text_dates": f"SELECT o_orderkey, CASE o_orderkey % 4 WHEN 2 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-01') WHEN 3 THEN 'Advent' ELSE {_ISO} END AS date FROM orders",
     "numeric_text": """
 SELECT o_orderkey, printf('%.2f', o_totalprice) AS plain, format('{:,.2f}', o_totalprice) || ' km' AS kept, CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_custkey AS VARCHAR) ELSE '0' END AS counted,

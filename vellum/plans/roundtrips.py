@@ -40,7 +40,7 @@ def table_files(spark, sf_dir):
     """One CSV a table, read back as cells under their headers, as records, and wide again."""
     path = new_path(spark, "table-files")
     sinks.write_table_files(_nation_tables(spark, sf_dir), path, ["a", "b", "c"])
-    cells = readers.read_table_cells(spark, path, 3)
+    cells = readers.read_table_cells(spark, path)
     wide = grid.table_wide(grid.grid_to_records(cells, TABLE_KEY), TABLE_KEY, ["Id", "Segment", "col_2"])
     return wide.select(*TABLE_KEY, "Id", "Segment", F.col("col_2").alias("thousands"))
 
@@ -49,10 +49,22 @@ def table_corpus(spark, sf_dir):
     """Counts of the corpus that the same files make."""
     path = new_path(spark, "table-files")
     sinks.write_table_files(_nation_tables(spark, sf_dir), path, ["a", "b", "c"])
-    cells = readers.read_table_corpus(spark, path, 3)
+    cells = readers.read_table_corpus(spark, path)
     return cells.groupBy(*TABLE_KEY, "header").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.max("row_idx").cast("bigint").alias("last_row"))
 
 
+def wide_table_files(spark, sf_dir):
+    """Tables of 3 to 40 columns, whose later rows are shorter or longer than their header, read back cell by cell."""
+    path = new_path(spark, "wide-tables")
+    n = F.col("c_custkey") % 38 + 3  # columns of the table
+    place = [F.lit("w").alias("section"), F.lit("2020-21").alias("year_slug"), (F.col("c_custkey") % 38).cast("int").alias("page"), F.lit(0).alias("table_index")]
+    cells = F.transform(F.sequence(F.lit(1).cast("bigint"), n + F.col("c_custkey") % 5 - 2), lambda i: F.concat(text("c_custkey"), F.lit(',"\n'), text(i)))
+    rows = _customers(spark, sf_dir).select(*place, F.col("c_custkey").alias("row_idx"), cells.alias("cells"))
+    heads = _customers(spark, sf_dir).select(*place, F.lit(-1).cast("bigint").alias("row_idx"), F.transform(F.sequence(F.lit(1).cast("bigint"), n), lambda i: F.concat(F.lit("h"), text(i))).alias("cells")).distinct()
+    sinks.write_table_files(heads.unionByName(rows), path, "cells")
+    return readers.read_table_corpus(spark, path).select("page", "row_idx", "col_idx", "header", "text")
+
+
 def table_cells(spark, sf_dir):
     """Cells written by section and year; one section is read back."""
     path = new_path(spark, "cells")
@@ -225,7 +237,7 @@ def ingest_texts(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    table_files, table_corpus, table_cells, text_files, feed_items, record_files, record_arrays, union_csv, section_files, text_table, finished_keys,
+    table_files, table_corpus, wide_table_files, table_cells, text_files, feed_items, record_files, record_arrays, union_csv, section_files, text_table, finished_keys,
     collection_items, iso_file_dates, entity_links, wrapped_labels, first_record, append_twice, ingest_records, ingest_texts,
 )}
 
@@ -239,6 +251,10 @@ SELECT section, year_slug, page, table_index, a AS "Id", b AS "Segment", replace
     "table_corpus": f"""
 WITH t AS ({_TABLES}), u AS (SELECT section, year_slug, page, table_index, unnest(['Id', 'Segment', '']) AS header, unnest([a, b, c]) AS text FROM t)
 SELECT section, year_slug, page, table_index, header, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars, count(*) - 1 AS last_row FROM u GROUP BY ALL""",
+    "wide_table_files": """
+WITH t AS (SELECT CAST(c_custkey % 38 AS INT) AS page, c_custkey AS k, CAST(row_number() OVER (PARTITION BY c_custkey % 38 ORDER BY c_custkey) - 1 AS INT) AS row_idx, c_custkey % 38 + 3 AS n FROM customer),
+c AS (SELECT page, k, row_idx, n, unnest(range(n + k % 5 - 2)) AS i FROM t)
+SELECT page, row_idx, CAST(i AS INT) AS col_idx, CASE WHEN i < n THEN 'h' || (i + 1) END AS header, k || ',"' || chr(10) || (i + 1) AS text FROM c""",
     "table_cells": f"SELECT page, table_index, k AS row_idx, unnest([0, 1]) AS col_idx, unnest([a, c]) AS text FROM ({_TABLES}) WHERE page % 2 = 1",
     "text_files": "SELECT s_name || chr(10) || chr(10) || 'balance ' || CAST(floor(s_acctbal) AS BIGINT) AS full_text, true AS keyed, true AS named FROM supplier",
     "feed_items": """

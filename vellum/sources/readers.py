@@ -7,45 +7,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.functions import scalars as S
-
-#: The widest table of the corpus.
-WIDTH = 18
-
+from vellum.sources.table_files import read_rows
 
 def file_name(col: str = "_metadata.file_path") -> Column:
     """The decoded base name of a row's file; a plus sign stays a plus sign."""
     return S.base_name(S.decoded(F.col(col)))
 
 
-def read_table_cells(spark: SparkSession, folder: str, width: int = WIDTH) -> DataFrame:
-    """(section, year_slug, page, table_index, row_idx, col_idx, text) of one-table CSV files.
-
-    Paths are ``<section>_<year slug>/page_<p>_table_<t>.csv``. A file with line ends inside quotes is never split, so its rows
-    keep their order in one task; files are spread over tasks. Cells right of a row's last one are not there.
-    """
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    raw = spark.read.schema(schema).option("multiLine", True).option("header", False).option("escape", '"').option("recursiveFileLookup", True).option("pathGlobFilter", "page_*_table_*.csv").csv(folder)
-    path = F.col("_metadata.file_path")
-    parts = raw.select(
+def _table_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """(section, year_slug, page, table_index, row_idx, header, cells) of one-table CSV files of any width."""
+    path = F.col("path")
+    return read_rows(spark, folder, "page_*_table_*.csv").select(
         F.regexp_extract(path, r"/([^/_]+)_[^/]*/[^/]*$", 1).alias("section"), F.regexp_extract(path, r"/[^/_]+_([^/]*)/[^/]*$", 1).alias("year_slug"),
         F.regexp_extract(path, r"page_(\d+)_table_", 1).cast("int").alias("page"), F.regexp_extract(path, r"_table_(\d+)\.csv$", 1).cast("int").alias("table_index"),
-        F.monotonically_increasing_id().alias("_at"), F.array(*(F.col(f"c{i}") for i in range(width))).alias("_cells"),
+        "row_idx", "header", "cells",
     )
-    key = ["section", "year_slug", "page", "table_index"]
-    order = F.row_number().over(Window.partitionBy(*key).orderBy("_at")) - 1
-    numbered = parts.withColumn("row_idx", order)
-    last = F.max(F.expr("array_max(transform(_cells, (c, i) -> if(c is null, -1, i)))")).over(Window.partitionBy(*key))
-    sized = numbered.withColumn("_last", last)
-    cells = sized.select(*key, "row_idx", F.posexplode(F.slice("_cells", F.lit(1), F.greatest(F.col("_last") + 1, F.lit(1)))).alias("col_idx", "text"))
-    return cells.withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "\r$", ""))
-
-
-def read_table_corpus(spark: SparkSession, folder: str, width: int = WIDTH) -> DataFrame:
-    """(section, year_slug, page, table_index, row_idx, col_idx, header, text): the cells below each table's header row."""
-    cells = read_table_cells(spark, folder, width)
-    key = ["section", "year_slug", "page", "table_index"]
-    header = F.max(F.when(F.col("row_idx") == 0, F.col("text"))).over(Window.partitionBy(*key, "col_idx"))
-    return cells.withColumn("header", header).filter("row_idx > 0").select(*key, (F.col("row_idx") - 1).alias("row_idx"), "col_idx", "header", "text")
+
+
+def read_table_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """(section, year_slug, page, table_index, row_idx, col_idx, text) of one-table CSV files.
+
+    Paths are ``<section>_<year slug>/page_<p>_table_<t>.csv``. A row has as many cells as its line, whatever the other lines have.
+    """
+    return _table_rows(spark, folder).select("section", "year_slug", "page", "table_index", "row_idx", F.posexplode("cells").alias("col_idx", "text"))
+
+
+def read_table_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """(section, year_slug, page, table_index, row_idx, col_idx, header, text): the cells below each table's header row; null headers past it."""
+    cells = _table_rows(spark, folder).filter("row_idx > 0").select("section", "year_slug", "page", "table_index", (F.col("row_idx") - 1).alias("row_idx"), "header", F.posexplode("cells").alias("col_idx", "text"))
+    return cells.withColumn("header", F.get("header", F.col("col_idx"))).select("section", "year_slug", "page", "table_index", "row_idx", "col_idx", "header", "text")
 
 
 def read_records(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = True, exclude: str | None = None) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from vellum.functions import scalars as S
 from vellum.operators.records import append_new
+from vellum.sources.table_files import write_files
 
 
 def union_columns(df: DataFrame, map_col: str, lead: tuple[str, ...] = ()) -> list[str]:
@@ -51,26 +50,14 @@ def write_tables(cells: DataFrame, path: str) -> None:
     cells.write.mode("overwrite").partitionBy("section", "year_slug").parquet(path)
 
 
-def write_table_files(rows: DataFrame, path: str, columns: list[str]) -> None:
-    """One CSV file a table, ``<section>_<year_slug>/page_<p>_table_<t>.csv``, its rows in the order of ``row_idx``.
+def write_table_files(rows: DataFrame, path: str, columns: list[str] | str) -> None:
+    """One CSV file a table, ``<section>_<year_slug>/page_<p>_table_<t>.csv``, its rows in the order of ``row_idx``. ``columns`` may name an array.
 
-    Spark writes a folder for each table; its one file is then moved to the table's name. Tables are few and each is a file, so a
-    table is one task's work; the cells of many small tables belong in ``write_tables``.
+    Tasks name the files, all of which appear at once; the driver moves one folder however many tables there are. A table is one file and
+    so one task's work; the cells of many small tables belong in ``write_tables``.
     """
-    spark, made = rows.sparkSession, f"{path}/_tables"
-    name = F.concat_ws("|", F.concat_ws("_", "section", "year_slug"), F.format_string("page_%d_table_%d.csv", "page", "table_index"))
-    named = rows.select(name.alias("_table"), "row_idx", *columns).repartition("_table").sortWithinPartitions("_table", "row_idx")
-    named.drop("row_idx").write.partitionBy("_table").option("header", False).option("emptyValue", "").option("escape", '"').csv(made)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    top = hadoop.Path(made)
-    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in files.listStatus(top):
-        if folder.isDirectory() and folder.getPath().getName().startswith("_table="):
-            where, file = unquote(folder.getPath().getName()[len("_table=") :]).split("|")
-            files.mkdirs(hadoop.Path(f"{path}/{where}"))
-            for part in files.globStatus(hadoop.Path(folder.getPath(), "part-*.csv")):
-                files.rename(part.getPath(), hadoop.Path(f"{path}/{where}/{file}"))
-    files.delete(top, True)
+    name = F.concat(F.concat_ws("_", "section", "year_slug"), F.format_string("/page_%d_table_%d.csv", "page", "table_index"))
+    write_files(rows.select(name.alias("_file"), "row_idx", *([columns] if isinstance(columns, str) else columns)), path, "_file", ["row_idx"], columns)
 
 
 def write_text_table(df: DataFrame, path: str) -> None:
