@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from vellum.operators import html_tree as H
+from vellum.operators import page_local as L
 from vellum.operators import pages as P
 
 
@@ -27,16 +29,16 @@ def test_tree_with_implied_end_tags(nodes):
 
 
 def test_first_table(nodes):
-    _, n = nodes(TABLE, "<p>none</p>", "")
-    got = [(r.page_id, r.row_idx, r.row) for r in P.html_tables(n).orderBy("page_id", "row_idx").collect()]
+    n, _ = nodes(TABLE, "<p>none</p>", "")
+    got = [(r.page_id, r.row_idx, r.row) for r in L.html_tables(n).orderBy("page_id", "row_idx").collect()]
     assert got == [(0, 0, {"Name": "A", "Town": "B", "Column_2": "C"}), (0, 1, {"Name": "D"})]
 
 
 def test_history_table(nodes):
     html = "<table><thead><tr><th>Appointment<th>Dates<th>View Charts</thead><tbody><tr><td><a href='/c?church=3'>Grace</a><td>1/2/2020 - Present<td><a href='http://x/y'>chart</a></tbody></table>"
     bare = "<table><tr><th>h</tr><tr><td>v</td></tr></table>"
-    _, n = nodes(html, bare)
-    got = {r.page_id: r.row for r in P.html_tables(n, links=True, base="https://b").collect()}
+    n, _ = nodes(html, bare)
+    got = {r.page_id: r.row for r in L.html_tables(n, links=True, base="https://b").collect()}
     assert got[0] == {"Appointment_URL": "https://b/c?church=3", "Appointment": "Grace", "Dates": "1/2/2020 - Present", "StartDate": "2020-01-02", "EndDate": None, "View Charts_URL": "http://x/y"}
     assert got[1] == {"Column_0": "v"}
 
@@ -89,32 +91,32 @@ def test_pagers(nodes):
 def test_sermon_layouts(nodes):
     a = "<div class='post-single-sermon'><div class='post-single-sermon-header'><h2>Hope</h2><div class='date'> March 5, 2021 </div><strong>Speaker: X</strong><strong>John 1</strong><a rel='tag' href='#'>Ann</a></div><p>One</p><p>Two <i>b</i></p></div>"
     b = "<article class='post tag-news tag-mary-ann-lee'><h1 class='entry-title'>Joy</h1><time datetime='2020-01-02T00:00'>x</time><div class='entry-content'><p>P</p><h3>H</h3><ul><li>no</ul></div></article>"
-    df, n = nodes(a, b, "<p>neither</p>")
-    assert [tuple(r) for r in P.sermon_pages(n, "header", df).collect()] == [("Hope", "2021-03-05", "John 1", "Ann", "One\n\nTwo b", "http://h/0")]
-    assert [tuple(r) for r in P.sermon_pages(n, "article", df).collect()] == [("Joy", "2020-01-02", "", "Mary Ann Lee", "P\n\nH", "http://h/1")]
+    df, _ = nodes(a, b, "<p>neither</p>")
+    assert [tuple(r) for r in L.sermon_pages(df, "header").collect()] == [("Hope", "2021-03-05", "John 1", "Ann", "One\n\nTwo b", "http://h/0")]
+    assert [tuple(r) for r in L.sermon_pages(df, "article").collect()] == [("Joy", "2020-01-02", "", "Mary Ann Lee", "P\n\nH", "http://h/1")]
 
 
 def test_links_by_section(nodes):
     html = "<a href='/early.pdf'>no</a><h2>S1</h2><table><tr><td><a href='/a.PDF'>A</a><a href='/b.doc'>B</a></td></tr></table><a href='/out.pdf'>out</a><h3>S2</h3><table><tr><td><a href='/a.PDF'>again</a><a href='/c.pdf'> </a><a href='/d.pdf'>D</a></table>"
-    _, n = nodes(html)
-    got = sorted((r.section, r.label, r.url) for r in P.links_by_section(n, base="http://b").collect())
+    n, _ = nodes(html)
+    got = sorted((r.section, r.label, r.url) for r in L.links_by_section(n, base="http://b").collect())
     assert got == [("S1", "A", "http://b/a.PDF"), ("S2", "D", "http://b/d.pdf")]
 
 
 def test_dated_list(nodes):
-    html = "<ul><li>before</li></ul><h6>Jan 1</h6><ul><li><strong>Ann,</strong> to Bowie, from Laurel</li><li>no bold</li></ul><h6>Feb 2</h6><ul><li><strong>Bo</strong> to Rome</ul>"
-    _, n = nodes(html)
-    got = [tuple(r)[1:] for r in P.appointments(n).orderBy("date", "name").collect()]
+    html = "<ul><li>before</li></ul><h6>Jan 1</h6><ul><li><strong>Ann,</strong> to Bowie, from Laurel</li><li>no bold</li></ul><h6>Feb 2</h6><ul><li><strong>Bo</strong> to Rome</ul><ol><li><strong>No</strong> to Nowhere</ol>"
+    n, _ = nodes(html)
+    got = [tuple(r)[1:] for r in L.appointments(n).orderBy("date", "name").collect()]
     assert sorted(got, key=str) == sorted([(None, None, None, None), ("Jan 1", "Ann", "Bowie", "Laurel"), ("Jan 1", None, None, None), ("Feb 2", "Bo", "Rome", None)], key=str)
 
 
 def test_page_links(nodes):
     html = "<div class='su-tabs-pane'><a href='/1'>a</a><a href='/1'>b</a><div class='su-tabs-pane'><a href='/2'>c</a></div></div><a href='/3'>d</a><h2><a href='/4'>e</a></h2><a href='https://files.ecatholic.com/9/bulletins/x.pdf?y=1'>f</a><a>g</a>"
-    _, n = nodes(html, "<title>Just a moment...</title>")
-    assert [r.href for r in P.page_links(n, within=P.has_class("su-tabs-pane")).orderBy("pos").collect()] == ["/1", "/2"]
-    assert [r.href for r in P.page_links(n, parent="h2").collect()] == ["/4"]
-    assert [(r.href[:12], r.name) for r in P.bulletin_links(n).collect()] == [("https://file", "x.pdf")]
-    assert {r.page_id: r.blocked for r in P.blocked_pages(n).collect()} == {0: False, 1: True}
+    n, flat = nodes(html, "<title>Just a moment...</title>")
+    assert [r.href for r in L.page_links(n, within_class="su-tabs-pane").orderBy("pos").collect()] == ["/1", "/2"]
+    assert [r.href for r in L.page_links(n, parent="h2").collect()] == ["/4"]
+    assert [(r.href[:12], r.name, r.blocked) for r in L.bulletin_pages(n).collect()] == [("https://file", "x.pdf", False)]
+    assert {r.page_id: r.blocked for r in P.blocked_pages(flat).collect()} == {0: False, 1: True}
 
 
 def test_deep_and_empty_pages(spark, nodes):
@@ -127,7 +129,7 @@ def test_plain_markup_is_read_like_the_full_parser():
     import string
 
     def full(html):
-        tree = P._Tree()
+        tree = H._Tree()
         tree.feed(html)
         tree.close()
         tree._close_to(0)
@@ -138,5 +140,22 @@ def test_plain_markup_is_read_like_the_full_parser():
     plain = [p for p in pieces if p not in ("<li", "<", "<3")]
     for turn in range(4000):
         html = "".join(pick.choice(pieces if turn % 2 else plain[:16]) for _ in range(pick.randint(0, 12))) + pick.choice(["", "x", pick.choice(string.printable)])
-        tree = P.tree_of(html)
+        tree = H.tree_of(html)
         assert (tree.rows, tree.strings) == full(html), html
+
+
+def test_records_are_made_where_the_pages_lie(nodes):
+    """No element is shuffled, and only what is asked for is parsed."""
+    n, _ = nodes(TABLE)
+    for made in (L.html_tables(n, links=True), L.sermon_pages(n, "header"), L.sermon_pages(n, "article"), L.links_by_section(n), L.dated_list(n), L.page_links(n, "x"), L.bulletin_pages(n)):
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    got = L.html_elements(n, "tr td", "td", "text parent").select(F.inline("els")).collect()
+    assert [r.asDict() for r in got][2:4] == [{"at": 2, "end": 2, "tag": "td", "parent": "tr", "text": "A"}, {"at": 3, "end": 3, "tag": "td", "parent": "tr", "text": "B"}]
+    assert (got[1].at, got[1].end, got[1].text) == (1, 4, None)
+
+
+def test_tables_in_tables_and_repeated_headers(nodes):
+    html = "<table><thead><tr><th>K<th>K<th>L</thead><tbody><tr><td>1<td>2<td><table><tr><td>in</td></tr></table></td></tr></tbody></table><table><tbody><tr><td>second</tbody></table>"
+    n, _ = nodes(html)
+    got = [(r.row_idx, r.row) for r in L.html_tables(n).orderBy("row_idx").collect()]
+    assert got == [(0, {"K": "2", "L": "in", "Column_3": "in"}), (1, {"K": "in"})]

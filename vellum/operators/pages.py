@@ -3,137 +3,27 @@
 ``html_nodes`` parses each page once, in Arrow batches, into one row an element in document order. Every other operator is
 a DataFrame expression over that table. Text comes in three forms: every string trimmed and joined without
 a blank (``text``) or with one (``text_sp``), and raw (``text_raw``). ``last_id`` is the number of an element's last
-descendant, so "inside" is a range of numbers within one page. Cells and links also carry the rows and cells around them.
+descendant, so "inside" is a range of numbers within one page. Only elements of the tags asked for are there.
 
-Tables and sermons need one shuffle by page: the first element of a kind is a window over its page, and what lies inside it is
-found by numbers, without a join of the elements with themselves.
+Tables, sermons, dated lists and links are made without moving elements, see ``page_local``.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from html import unescape
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import scalars as S
+from vellum.operators.html_tree import tree_of
 
-NODES = "page_id bigint, node_id int, parent_id int, last_id int, depth int, tag string, id string, classes array<string>, attrs map<string,string>, text string, text_sp string, text_raw string, own array<string>, in_rows array<int>, in_cells array<int>"
-
-# Elements without content, and the open elements that a start tag closes.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-CLOSES = {
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"},
-    "tbody": {"td", "th", "tr", "thead", "tbody"}, "tfoot": {"td", "th", "tr", "thead", "tbody"}, "thead": {"td", "th", "tr"},
-}
-STOPS = frozenset(["table", "ul", "ol", "dl", "select"])
-MULTIPLE = frozenset(["class", "rel"])
-
-
-class _Tree(HTMLParser):
-    """Elements of a page with their strings."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self.open: list[int] = []
-        self.strings: list[tuple[int, str]] = []  # position among elements, string
-
-    def _close_to(self, k: int) -> None:
-        for i in self.open[k:]:
-            self.rows[i]["last"], self.rows[i]["end"] = len(self.rows) - 1, len(self.strings)
-        del self.open[k:]
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ENDS_PARAGRAPH:
-            for k in range(len(self.open) - 1, -1, -1):
-                name = self.rows[self.open[k]]["tag"]
-                if name == "p":
-                    self._close_to(k)
-                    break
-                if name in ENDS_PARAGRAPH or name in ("td", "th", "li", "body"):
-                    break
-        closes = CLOSES.get(tag)
-        if closes:
-            lowest = None
-            for k in range(len(self.open) - 1, -1, -1):
-                name = self.rows[self.open[k]]["tag"]
-                if name in STOPS:
-                    break
-                if name in closes:
-                    lowest = k
-            if lowest is not None:
-                self._close_to(lowest)
-        known = {}
-        for name, value in attrs:
-            known.setdefault(name, value or "")
-        number, rows, cells = len(self.rows), None, None
-        if tag in ("td", "th", "a"):
-            rows, cells = ([i for i in self.open if self.rows[i]["tag"] in kind] for kind in (("tr",), ("td", "th")))
-        self.rows.append({"tag": tag, "parent": self.open[-1] if self.open else None, "depth": len(self.open), "attrs": known, "last": number, "start": len(self.strings), "end": len(self.strings), "own": [], "in_rows": rows, "in_cells": cells})
-        if tag not in VOID:
-            self.open.append(number)
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.rows[self.open[k]]["tag"] == tag:
-                self._close_to(k)
-                break
-
-    def handle_data(self, data: str) -> None:
-        self.strings.append((len(self.rows), data))
-        if self.open:
-            self.rows[self.open[-1]]["own"].append(data)
-
-
-#: A tag whose attributes, if any, are quoted and hold no character reference, or a run of text.
-PLAIN = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-a-zA-Z0-9_]*(?:=(?:"[^"<>&]*"|'[^'<>&]*'))?)*)\s*>|([^<]+)""")
-ATTRIBUTE = re.compile(r"""([a-zA-Z][-a-zA-Z0-9_]*)(?:=(?:"([^"]*)"|'([^']*)'))?""")
-#: Elements whose content is no markup.
-RAW = frozenset("iframe noembed noframes noscript plaintext script style textarea title xmp".split())
-
-
-def tree_of(html: str) -> _Tree:
-    """The elements of a page. Plain markup is cut by one pattern; a page with anything else is read by the full parser, with equal results."""
-    tree, at = _Tree(), 0
-    for m in PLAIN.finditer(html):
-        closing, name, attrs, text = m.groups()
-        if m.start() != at:
-            break
-        if text is None:
-            name = name.lower()
-            if name in RAW or (closing and attrs):
-                break
-            if closing:
-                tree.handle_endtag(name)
-            else:
-                tree.handle_starttag(name, [(k.lower(), a if a or not b else b) for k, a, b in ATTRIBUTE.findall(attrs)] if attrs else [])
-        elif "&" not in text:
-            tree.handle_data(text)
-        elif m.end() < len(html):
-            tree.handle_data(unescape(text))
-        else:  # a reference that the page's end may cut short
-            break
-        at = m.end()
-    if at < len(html):
-        tree = _Tree()
-        tree.feed(html)
-        tree.close()
-    tree._close_to(0)
-    return tree
-
-
-def _parser(texts: frozenset[str] | None):
-    names = ["page_id", "node_id", "parent_id", "last_id", "depth", "tag", "id", "classes", "attrs", "text", "text_sp", "text_raw", "own", "in_rows", "in_cells"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.string()), *[pa.string()] * 3, pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+NODES = "page_id bigint, node_id int, parent_id int, last_id int, depth int, tag string, id string, classes array<string>, attrs map<string,string>, text string, text_sp string, text_raw string, own array<string>"
+
+def _parser(texts: frozenset[str] | None, tags: frozenset[str] | None):
+    names = ["page_id", "node_id", "parent_id", "last_id", "depth", "tag", "id", "classes", "attrs", "text", "text_sp", "text_raw", "own"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.string()), *[pa.string()] * 3, pa.list_(pa.string())]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +33,8 @@ def _parser(texts: frozenset[str] | None):
                 tree = tree_of(html.as_py() or "")
                 strings = [s for _, s in tree.strings]
                 bare = [s.strip() for s in strings]
-                rows, forms = tree.rows, []
+                numbers = range(len(tree.rows)) if tags is None else [i for i, row in enumerate(tree.rows) if row["tag"] in tags]
+                rows, forms = [tree.rows[i] for i in numbers], []
                 for row in rows:
                     if texts is not None and row["tag"] not in texts:
                         forms.append((None, None, None))
@@ -153,9 +44,9 @@ def _parser(texts: frozenset[str] | None):
                     size += 3 * len(raw)
                 own_attrs = [row["attrs"] for row in rows]
                 columns = [
-                    [page] * len(rows), range(len(rows)), *([row[c] for row in rows] for c in ("parent", "last", "depth", "tag")),
+                    [page] * len(rows), numbers, *([row[c] for row in rows] for c in ("parent", "last", "depth", "tag")),
                     [a.get("id") for a in own_attrs], [a["class"].split() if "class" in a else [] for a in own_attrs], [list(a.items()) for a in own_attrs],
-                    *([f[i] for f in forms] for i in range(3)), *([row[c] for row in rows] for c in ("own", "in_rows", "in_cells")),
+                    *([f[i] for f in forms] for i in range(3)), [row["own"] for row in rows],
                 ]
                 for held, more in zip(out, columns, strict=True):
                     held.extend(more)
@@ -168,12 +59,14 @@ def _parser(texts: frozenset[str] | None):
     return parse
 
 
-def html_nodes(pages: DataFrame, texts: tuple[str, ...] | None = None) -> DataFrame:
+def html_nodes(pages: DataFrame, texts: tuple[str, ...] | None = None, tags: tuple[str, ...] | None = None) -> DataFrame:
     """Element table of pages(page_id, url, html).
 
-    A text is repeated in every element around it, so name in ``texts`` the tags whose text is needed; the others get null.
+    A text is repeated in every element around it, so name in ``texts`` the tags whose text is needed; the others get null. With ``tags`` only
+    elements of these are there, numbered as in the whole page.
     """
-    return pages.select("page_id", "html").mapInArrow(_parser(None if texts is None else frozenset(texts)), NODES)
+    named = lambda x: None if x is None else frozenset(x)
+    return pages.select("page_id", "html").mapInArrow(_parser(named(texts), named(tags)), NODES)
 
 
 def has_class(name: str, classes: str = "classes") -> Column:
@@ -192,62 +85,12 @@ def first_of(nodes: DataFrame, by: list[str] = ["page_id"], order: str = "node_i
     return nodes.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(order))).filter("_rn = 1").drop("_rn")
 
 
-def _first(cond: Column, *more: str) -> Column:
-    """struct(node_id, last_id, ...) of the first element of each page for which ``cond`` holds."""
-    return F.min(F.when(cond, F.struct("node_id", "last_id", *more))).over(Window.partitionBy("page_id"))
-
-
-def _in(outer: str, node: str = "node_id") -> Column:
-    """Whether an element lies inside the one that ``_first`` found."""
-    return (F.col(node) > F.col(f"{outer}.node_id")) & (F.col(node) <= F.col(f"{outer}.last_id"))
-
-
 def _cells(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Cells of rows, numbered from 0: (page_id, row_id, col_idx, ...)."""
     cells = inside(rows, nodes.filter(F.col("tag").isin("td", "th"))).withColumnRenamed("outer_id", "row_id")
     return cells.withColumn("col_idx", F.row_number().over(Window.partitionBy("page_id", "row_id").orderBy("node_id")) - 1)
 
 
-def html_tables(nodes: DataFrame, links: bool = False, base: str = "", skip_text: str = "View Charts", dates: str = "Dates") -> DataFrame:
-    """(page_id, row_idx, row): rows of each page's first table as maps from header to text.
-
-    Headers come from the first row of ``thead``; a cell past them is Column_i. Without ``tbody`` all rows but the first are
-    used when ``links`` is set, else none. With ``links`` a cell's first link is kept as <header>_URL, cells under
-    ``skip_text`` keep only the link, and ``dates`` also gives StartDate and EndDate. A later cell of the same header wins.
-    """
-    some = nodes.filter(F.col("tag").isin("table", "thead", "tbody", "tr", "td", "th", "a"))
-    table = some.withColumn("_table", _first(F.col("tag") == "table")).filter(_in("_table"))
-    parts = table.withColumn("_head", _first(F.col("tag") == "thead")).withColumn("_body", _first(F.col("tag") == "tbody"))
-    rows = parts.withColumn("_names", _first((F.col("tag") == "tr") & _in("_head"))).withColumn("_row", _first(F.col("tag") == "tr"))
-    if links:
-        around = F.explode(F.when(F.col("tag") == "a", F.col("in_cells")).when(F.col("tag").isin("td", "th"), F.array("node_id")))
-        href = F.struct("node_id", S.absolutise(F.try_element_at("attrs", F.lit("href")), base).alias("href"))
-        rows = rows.withColumn("_cell", around).withColumn("_link", F.min(F.when(F.col("tag") == "a", href)).over(Window.partitionBy("page_id", "_cell")))
-    cells = rows.filter(F.col("tag").isin("td", "th")).withColumn("row_id", F.explode("in_rows"))
-    used = F.coalesce(_in("_body", "row_id"), F.lit(False))
-    if links:
-        used = used | (F.col("_body").isNull() & (F.col("row_id") > F.col("_row.node_id")))
-    names = F.coalesce(F.col("row_id") == F.col("_names.node_id"), F.lit(False))
-    numbered = cells.withColumn("_used", used).filter(used | names).withColumn("col_idx", F.row_number().over(Window.partitionBy("page_id", "row_id").orderBy("node_id")) - 1)
-    name = F.max(F.when(names, F.col("text"))).over(Window.partitionBy("page_id", "col_idx"))
-    cells = numbered.withColumn("header", F.coalesce(name, F.concat(F.lit("Column_"), F.col("col_idx").cast("string")))).filter("_used")
-    entry = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
-    entries = F.array(entry(F.col("header"), F.col("text")))
-    if links:
-        span = S.date_range("text")
-        dated = (F.col("header") == dates) & (F.col("text") != "")
-        entries = F.filter(F.array(
-            F.when(F.coalesce("_link.href", F.lit("")) != "", entry(F.concat("header", F.lit("_URL")), F.col("_link.href"))),
-            F.when(F.col("header") != skip_text, entry(F.col("header"), F.col("text"))),
-            F.when(dated, entry(F.lit("StartDate"), span["start"])), F.when(dated, entry(F.lit("EndDate"), span["end"])),
-        ), lambda e: e.isNotNull())
-    flat = cells.select("page_id", "row_id", "col_idx", F.posexplode(entries).alias("k", "e"))
-    last = flat.groupBy("page_id", "row_id", F.col("e.key").alias("key")).agg(F.max_by("e.value", F.struct("col_idx", "k")).alias("value"))
-    made = last.groupBy("page_id", "row_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("row"))
-    idx = F.row_number().over(Window.partitionBy("page_id").orderBy("row_id")) - 1
-    return made.select("page_id", idx.alias("row_idx"), "row")
-
-
 def section_links(nodes: DataFrame, name: str, base: str = "") -> DataFrame:
     """(page_id, pos, name, url): first links of the rows, but for the header row, of the table in the named section.
 
@@ -361,88 +204,6 @@ def page_counts(pages: DataFrame, nodes: DataFrame) -> DataFrame:
     return pages.select("page_id", of("html").alias("h")).join(whole, "page_id", "left").join(numbers, "page_id", "left").select("page_id", F.coalesce("h", "t", "m", F.lit(1)).alias("value"))
 
 
-def sermon_pages(nodes: DataFrame, layout: str, pages: DataFrame) -> DataFrame:
-    """(title, date, scripture, speaker, full_text, url) of the pages in a layout: 'header' or 'article'."""
-
-    def first(cond: Column, value: Column | str = "text") -> Column:
-        """The value at the first element inside the top for which ``cond`` holds."""
-        return F.min_by(value, F.when(cond & _in("_top"), F.col("node_id")))
-
-    tag = F.col("tag")
-    if layout == "header":
-        rows = nodes.withColumn("_top", _first((tag == "div") & has_class("post-single-sermon-header"))).withColumn("_box", _first((tag == "div") & has_class("post-single-sermon")))
-        rel = F.split(S.or_empty(F.try_element_at("attrs", F.lit("rel"))), r"\s+")
-        fields = [
-            first(tag == "h2").alias("title"), first((tag == "div") & has_class("date"), "text_raw").alias("_date"), F.lit(None).cast("string").alias("_stamp"),
-            first((tag == "strong") & (F.col("text") != "") & ~F.contains("text", F.lit("Speaker:"))).alias("scripture"), first((tag == "a") & F.array_contains(rel, "tag")).alias("speaker"),
-        ]
-        body, formats = tag == "p", S.PAGE_DATES_A
-    else:
-        rows = nodes.withColumn("_top", _first(tag == "article", "classes")).withColumn("_box", _first(has_class("entry-content") & _in("_top")))
-        stamp = first(tag == "time", S.or_empty(F.try_element_at("attrs", F.lit("datetime"))))
-        names = F.transform(F.filter("_top.classes", lambda c: c.startswith("tag-")), lambda c: F.initcap(F.replace(F.substring(c, F.lit(5), F.length(c)), F.lit("-"), F.lit(" "))))
-        person = F.try_element_at(F.filter(names, lambda n: F.size(F.filter(F.split(n, " "), lambda w: w != "")) >= 2), F.lit(1))
-        fields = [first(has_class("entry-title")).alias("title"), first(tag == "time", "text_raw").alias("_date"), stamp.alias("_stamp"), F.lit("").alias("scripture"), F.max(person).alias("speaker")]
-        body, formats = tag.isin("p", "h2", "h3", "h4", "blockquote"), S.PAGE_DATES_B
-    parts = F.collect_list(F.when(_in("_box") & body & (F.col("text_sp") != ""), F.struct("node_id", "text_sp")))
-    whole = rows.filter("_top is not null").groupBy("page_id").agg(*fields, parts.alias("_parts"))
-    date = F.when(S.or_empty("_stamp") != "", F.substring("_stamp", 1, 10)).otherwise(S.text_date("_date", formats)["raw"])
-    text = F.array_join(F.transform(F.array_sort("_parts"), lambda x: x["text_sp"]), "\n\n")
-    out = whole.withColumn("date", date).withColumn("full_text", text).join(pages.select("page_id", "url"), "page_id")
-    return out.select(*(S.or_empty(c).alias(c) for c in ("title", "date", "scripture", "speaker", "full_text")), "url")
-
-
-def links_by_section(nodes: DataFrame, headings: tuple[str, ...] = ("h2", "h3", "h4"), extension: str = ".pdf", base: str = "") -> DataFrame:
-    """(page_id, section, label, url): file links of tables under the last heading before them; the first of each link counts."""
-    marks = nodes.filter(F.col("tag").isin(*headings, "table", "a")).select("page_id", "node_id", "last_id", "tag", "text", "attrs")
-    window = Window.partitionBy("page_id").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
-    section = F.last(F.when(F.col("tag").isin(*headings), F.col("text")), ignorenulls=True).over(window)
-    table_end = F.max(F.when(F.col("tag") == "table", F.col("last_id"))).over(window)
-    seen = marks.withColumn("section", section).withColumn("_end", table_end)
-    href = F.try_element_at("attrs", F.lit("href"))
-    kept = seen.filter((F.col("tag") == "a") & (F.col("_end") >= F.col("node_id")) & F.lower(href).like(f"%{extension}") & (F.col("text") != "") & F.col("section").isNotNull())
-    links = kept.select("page_id", "node_id", "section", F.col("text").alias("label"), S.absolutise(href, base).alias("url"))
-    return first_of(links, ["page_id", "url"]).select("page_id", "section", "label", "url")
-
-
-def dated_list(nodes: DataFrame, head: str = "h6", item: str = "li") -> DataFrame:
-    """(page_id, pos, date, text, bold): items with the last heading before them, in document order."""
-    rows = nodes.filter(F.col("tag").isin(head, item))
-    window = Window.partitionBy("page_id").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
-    dated = rows.withColumn("date", F.last(F.when(F.col("tag") == head, S.strip("text_raw")), ignorenulls=True).over(window)).filter(F.col("tag") == item)
-    bold = first_of(inside(dated, nodes.filter("tag = 'strong'"), {}), ["page_id", "outer_id"]).select("page_id", F.col("outer_id").alias("node_id"), S.strip("text_raw").alias("bold"))
-    pos = F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1
-    return dated.join(bold, ["page_id", "node_id"], "left").select("page_id", pos.alias("pos"), "date", S.strip("text_raw").alias("text"), "bold")
-
-
-def appointments(nodes: DataFrame) -> DataFrame:
-    """(page_id, date, name, to, from) of a dated list of moves."""
-    rows = dated_list(nodes).withColumn("_m", S.parse_move("text", "bold"))
-    return rows.select("page_id", "date", "_m.name", "_m.to", "_m.from")
-
-
-def page_links(nodes: DataFrame, within: Column | None = None, parent: str | None = None, contains: tuple[str, ...] = (), unique: bool = True) -> DataFrame:
-    """(page_id, pos, href, text): links in document order, once each, from inside some elements or directly below a tag."""
-    href = F.try_element_at("attrs", F.lit("href"))
-    links = nodes.filter((F.col("tag") == "a") & (S.or_empty(href) != ""))
-    for part in contains:
-        links = links.filter(href.contains(part))
-    if within is not None:
-        links = inside(nodes.filter(within), links).drop("outer_id").dropDuplicates(["page_id", "node_id"])
-    if parent:
-        up = nodes.filter(F.col("tag") == parent).select("page_id", F.col("node_id").alias("parent_id"))
-        links = links.join(up, ["page_id", "parent_id"], "left_semi")
-    rows = links.select("page_id", "node_id", href.alias("href"), "text")
-    rows = first_of(rows, ["page_id", "href"]) if unique else rows
-    return rows.select("page_id", (F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1).alias("pos"), "href", "text")
-
-
-def bulletin_links(nodes: DataFrame) -> DataFrame:
-    """(page_id, pos, href, name): links to bulletins with their file names."""
-    rows = page_links(nodes, contains=("ecatholic.com", "/bulletins/"))
-    return rows.select("page_id", "pos", "href", S.base_name(S.url_path("href")).alias("name"))
-
-
 def blocked_pages(nodes: DataFrame, mark: str = "Just a moment") -> DataFrame:
     """(page_id, blocked): whether the title says that a visitor has to wait."""
     return nodes.groupBy("page_id").agg(F.coalesce(F.bool_or((F.col("tag") == "title") & F.contains("text_raw", F.lit(mark))), F.lit(False)).alias("blocked"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import scalars as S
 from vellum.functions.recode import recode
-from vellum.operators import county, grid, pages, records, survey
+from vellum.operators import county, grid, page_local, pages, records, survey
 from vellum.plans import derived, oracle, roundtrips
 from vellum.session import table
 
@@ -269,16 +269,16 @@ def url_parts(spark, sf_dir):
 
 
 def page_title_h1(spark, sf_dir):
-    return pages.page_names(pages.html_nodes(table(spark, sf_dir, "pages"), ("h1", "title"))).select("page_id", "name", "heading")
+    return pages.page_names(pages.html_nodes(table(spark, sf_dir, "pages"), ("h1", "title"), ("h1", "title"))).select("page_id", "name", "heading")
 
 
 def page_links(spark, sf_dir):
-    links = pages.page_links(pages.html_nodes(table(spark, sf_dir, "pages"), ("a",)))
+    links = page_local.page_links(table(spark, sf_dir, "pages"))
     return links.select("page_id", F.col("pos").cast("int").alias("pos"), "href")
 
 
 def page_list_items(spark, sf_dir):
-    items = pages.dated_list(pages.html_nodes(table(spark, sf_dir, "pages"), ("title", "li", "strong")), head="title", item="li")
+    items = page_local.dated_list(table(spark, sf_dir, "pages"), head="title", item="li", parent=None)
     return items.select("page_id", F.col("pos").cast("int").alias("pos"), F.col("date").alias("heading"), "text")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.recode import TRADITION_CODES
-from vellum.operators import grid, pages
+from vellum.operators import grid, page_local, pages
 from vellum.plans import reports
 from vellum.session import table, written
 
@@ -62,9 +62,9 @@ def survey_boomers(spark, sf_dir):
 # ---- pages
 
 
-def _nodes(html: DataFrame, texts: tuple[str, ...] | None = None) -> DataFrame:
+def _nodes(html: DataFrame, texts: tuple[str, ...] | None = None, tags: tuple[str, ...] | None = None) -> DataFrame:
     """Elements of the pages, parsed once and written, for queries that read them several times."""
-    return written(pages.html_nodes(html, texts), "nodes")
+    return written(pages.html_nodes(html, texts, tags), "nodes")
 
 
 def _text(c: Column | str) -> Column:
@@ -92,13 +92,13 @@ def _history_pages(spark, sf_dir) -> DataFrame:
 
 
 def page_histories(spark, sf_dir):
-    rows = pages.html_tables(pages.html_nodes(_history_pages(spark, sf_dir), ("td", "th", "a")), links=True, base="https://b")
+    rows = page_local.html_tables(_history_pages(spark, sf_dir), links=True, base="https://b")
     get = lambda k: F.try_element_at("row", F.lit(k))
     return rows.select("page_id", "row_idx", get("Appointment").alias("place"), get("Appointment_URL").alias("link"), get("StartDate").alias("start_date"), get("EndDate").alias("end_date"), get("View Charts_URL").alias("chart"), F.size("row").alias("n_fields"))
 
 
 def page_tables(spark, sf_dir):
-    rows = pages.html_tables(pages.html_nodes(_history_pages(spark, sf_dir), ("td", "th", "a")))
+    rows = page_local.html_tables(_history_pages(spark, sf_dir))
     return rows.select("page_id", "row_idx", F.try_element_at("row", F.lit("Dates")).alias("dates"), F.size("row").alias("n_fields"))
 
 
@@ -117,19 +117,19 @@ def page_facts(spark, sf_dir):
     cell = F.concat(F.lit("<td>"), F.when(F.col("s_suppkey") % 3 > 0, F.format_number("cents", 0)).otherwise(""), F.lit("</td>"))
     piece = F.concat(F.lit("<tr><td><a href='/s"), F.col("s_suppkey").cast("string"), F.lit("'>"), _text("s_name"), F.lit("</a></td>"), F.repeat(cell, F.when(F.col("s_suppkey") % 4 > 0, 8).otherwise(7)), F.lit("</tr>"))
     html = _pages(_joined(_supplier_rows(spark, sf_dir), "s_nationkey", "s_suppkey", piece), "<table><tr><th>h</tr>", "</table>")
-    return pages.fact_table(_nodes(html, ("td", "th", "a")), [f"c{i}" for i in range(8)]).select("page_id", F.col("row_idx").cast("int").alias("row_idx"), "name", "url", "c0", "c7")
+    return pages.fact_table(_nodes(html, ("td", "th", "a"), ("table", "tr", "td", "th", "a")), [f"c{i}" for i in range(8)]).select("page_id", F.col("row_idx").cast("int").alias("row_idx"), "name", "url", "c0", "c7")
 
 
 def page_options(spark, sf_dir):
     piece = F.concat(F.lit("<option value='"), F.when(F.col("s_suppkey") % 5 > 0, F.col("s_suppkey").cast("string")).otherwise(""), F.lit("'>"), _text("s_name"), F.lit(" (S)"))
     html = _pages(_joined(_supplier_rows(spark, sf_dir), "s_nationkey", "s_suppkey", piece), "<select id='second'><option value='0'>no</select><select id='first'>", "</select>")
-    return pages.select_options(_nodes(html, ("option",)), ["first", "second"])
+    return pages.select_options(_nodes(html, ("option",), ("select", "option")), ["first", "second"])
 
 
 def page_labelled_rows(spark, sf_dir):
     piece = F.concat(F.lit("<tr>"), F.when(F.col("s_suppkey") % 6 > 0, F.concat(F.lit("<td data-label='Name'><a href='/n'>"), _text("s_name"), F.lit("</a>"))).otherwise(""), F.lit("<td data-label='\nCity '>\n<b>no</b>\n\t"), F.when(F.col("s_suppkey") % 7 > 0, F.concat(F.lit("Town "), F.col("s_suppkey").cast("string"), F.lit("\n"))).otherwise(""), F.lit("</td></tr>"))
     html = _pages(_joined(_supplier_rows(spark, sf_dir), "s_nationkey", "s_suppkey", piece), "<table>", "</table>")
-    return pages.labelled_cells(_nodes(html, ("td", "th", "a")), {"Name": "name", "City": "city"}, "Name", "City").select("page_id", "name", "city", "url")
+    return pages.labelled_cells(_nodes(html, ("td", "th", "a"), ("tr", "td", "th", "a")), {"Name": "name", "City": "city"}, "Name", "City").select("page_id", "name", "city", "url")
 
 
 def page_cards(spark, sf_dir):
@@ -156,24 +156,24 @@ def _sermon_result(df: DataFrame) -> DataFrame:
 
 def page_sermons_header(spark, sf_dir):
     key = F.col("doc_id").cast("string")
-    head = F.concat(F.lit("<div class='post-single-sermon'><div class='post-single-sermon-header'><h2>Talk "), key, F.lit("</h2><div class='date'>\n\t March 5, 2021\u00a0\n</div><strong>Speaker: X</strong><strong>John "), key, F.lit("</strong><a rel='tag' href='#'>"), _text(F.coalesce("source", F.lit(""))), F.lit("</a></div>"))
+    head = F.concat(F.lit("<div class='post-single-sermon'><div class='post-single-sermon-header'><h2>Talk "), key, F.lit("</h2><div class='date'>\n\t March 5,\n 2021\u00a0\n</div><strong>Speaker: X</strong><strong>John "), key, F.lit("</strong><a rel='tag' href='#'>"), _text(F.coalesce("source", F.lit(""))), F.lit("</a></div>"))
     html = _sermons(spark, sf_dir, head, ("<p>", "</p>"), "</div>")
-    return _sermon_result(pages.sermon_pages(pages.html_nodes(html, ("h2", "div", "strong", "a", "p")), "header", html))
+    return _sermon_result(page_local.sermon_pages(html, "header"))
 
 
 def page_sermons_article(spark, sf_dir):
     key = F.col("doc_id").cast("string")
-    head = F.concat(F.lit("<article class='post tag-news tag-"), F.when(F.col("doc_id") % 2 == 0, "mary-ann").otherwise("solo"), F.lit("'><h1 class='entry-title'>Talk "), key, F.lit("</h1>"), F.when(F.col("doc_id") % 3 == 0, "<time>\n January 2, 2020\t</time>").otherwise("<time datetime='2020-01-02T00:00'>x</time>"), F.lit("<div class='entry-content'>"))
+    head = F.concat(F.lit("<article class='post tag-news tag-"), F.when(F.col("doc_id") % 2 == 0, "mary-ann").otherwise("solo"), F.lit("'><h1 class='entry-title'>Talk "), key, F.lit("</h1>"), F.when(F.col("doc_id") % 3 == 0, "<time>\n January  2,\t2020\t</time>").otherwise("<time datetime='2020-01-02T00:00'>x</time>"), F.lit("<div class='entry-content'>"))
     html = _sermons(spark, sf_dir, head, ("<p>", "</p>"), "</div></article>")
-    return _sermon_result(pages.sermon_pages(pages.html_nodes(html, ("h1", "time", "p", "h2", "h3", "h4", "blockquote")), "article", html))
+    return _sermon_result(page_local.sermon_pages(html, "article"))
 
 
 def page_moves(spark, sf_dir):
     """Each customer's orders as a dated list: a heading at the first, then items that carry it."""
     key = F.col("o_orderkey")
-    item = F.concat(F.lit("<ul><li>\n<strong>\tP"), key.cast("string"), F.lit(",\n</strong>\n to Place "), F.col("o_orderstatus"), F.when(key % 2 == 0, F.concat(F.lit(", from Town "), (key % 9).cast("string"))).otherwise(""), F.lit("\n</ul>"))
+    item = F.concat(F.when(key % 5 == 0, "<ol><li><strong>No,</strong> to Nowhere</ol>").otherwise(""), F.lit("<ul><li>\n<strong>\tP"), key.cast("string"), F.lit(",\n</strong>\n to Place "), F.col("o_orderstatus"), F.when(key % 2 == 0, F.concat(F.lit(", from Town "), (key % 9).cast("string"))).otherwise(""), F.lit("\n</ul>"))
     piece = F.concat(F.when(key % 3 == 0, F.concat(F.lit("<h6>\n\t"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("\u2003\n</h6>"))).otherwise(""), item)
-    got = pages.appointments(_nodes(_pages(_joined(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", piece)), ("h6", "li", "strong")))
+    got = page_local.appointments(_pages(_joined(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", piece)))
     return got.select("page_id", F.col("date").alias("heading"), F.col("name").alias("person"), F.col("to").alias("to_place"), F.col("from").alias("from_place"))
 
 
@@ -200,15 +200,14 @@ def page_documents(spark, sf_dir):
     link = F.concat(F.lit("<table><tr><td><a href='/f"), (key % 40).cast("string"), F.when(key % 4 > 0, ".pdf").otherwise(".doc"), F.lit("'>F"), key.cast("string"), F.lit("</a></table>"))
     piece = F.concat(F.when(key % 5 == 0, F.concat(F.lit("<h3>S"), key.cast("string"), F.lit("</h3>"))).otherwise(""), link)
     html = _pages(_joined(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", piece))
-    return pages.links_by_section(_nodes(html, ("h2", "h3", "h4", "a")), base="http://b")
+    return page_local.links_by_section(html, base="http://b")
 
 
 def page_bulletins(spark, sf_dir):
     key = F.col("o_orderkey")
     piece = F.concat(F.lit("<a href='https://f.ecatholic.com/"), key.cast("string"), F.when(key % 2 == 0, "/bulletins/").otherwise("/other/"), (key % 100).cast("string"), F.lit(".pdf?x=1'>b</a>"))
     html = _pages(_joined(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", piece), F.when(F.col("page_id") % 9 == 0, F.lit("<title>Just a moment...</title>")).otherwise("<title>t</title>"))
-    nodes = _nodes(html, ("a", "title"))
-    return pages.bulletin_links(nodes).join(pages.blocked_pages(nodes), "page_id").select("page_id", F.col("pos").cast("int").alias("pos"), "name", "blocked")
+    return page_local.bulletin_pages(html).select("page_id", F.col("pos").cast("int").alias("pos"), "name", "blocked")
 
 
 def select_documents(spark, sf_dir):
