@@ -157,6 +157,34 @@ def test_restartable_ingest(spark, tmp_path):
     assert {r.full_text for r in spark.read.parquet(target).collect()} == {"one\nline", "two", "three"}
 
 
+def test_a_killed_batch_is_run_again(spark, tmp_path):
+    """A batch that wrote its rows but was never committed leaves no row twice, and keys of earlier batches stay known."""
+    folder, check, target = tmp_path / "in", tmp_path / "c", str(tmp_path / "t")
+    folder.mkdir()
+
+    def add(name, rows):
+        (folder / name).write_text("".join(f'{{"k": "{k}", "v": {v}}}\n' for k, v in rows))
+
+    def run():
+        query = ingest_json(spark, str(folder), str(check), target, "k string, v int", "k")
+        query.awaitTermination()
+        return sorted((r.k, r.v) for r in spark.read.parquet(target).collect()), query.lastProgress
+
+    add("a.json", [("1", 1), ("2", 2)])
+    run()
+    add("b.json", [("2", 20), ("3", 3), ("4", 4)])
+    want = [("1", 1), ("2", 2), ("3", 3), ("4", 4)]
+    assert run()[0] == want
+    last = max((p for p in (check / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for p in (last, check / "commits" / f".{last.name}.crc"):
+        p.unlink(missing_ok=True)
+    assert run()[0] == want
+    add("c.json", [("1", 9), ("5", 5)])
+    rows, progress = run()
+    assert rows == [*want, ("5", 5)]
+    assert "rocksdb" in progress.json and spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
 def test_json_ingest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('{"k": "1", "v": 2}\n{"k": "1", "v": 3}\n')

@@ -58,13 +58,13 @@ def without(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     Few finished keys are broadcast. Of more a filter is made; rows that it does not find stay where they are, only possible hits meet
     the list. A list too long for a filter is joined by key. Rows without a key are never done; rows that repeat stay each.
     """
-    keys = done.select(F.col(key).alias("_done")).filter("_done is not null").distinct()
+    keys = done.select(key).filter(F.col(key).isNotNull()).distinct()
     n = keys.count()
-    match = lambda some, by: some.join(by, F.col(key) == F.col("_done"), "left_anti")
+    match = lambda some, by: some.join(by, key, "left_anti").select(*some.columns)
     if n <= FEW:
         return match(rows, F.broadcast(keys))
     slices = slices_for(n)
     if slices > MOST:
         return match(rows, keys)
-    flagged = with_hits(rows, key, bloom_filter(keys, "_done", slices), slices)
+    flagged = with_hits(rows, key, bloom_filter(keys, key, slices), slices)
     return flagged.filter(~F.col("_hit")).drop("_hit").union(match(flagged.filter("_hit").drop("_hit"), keys))

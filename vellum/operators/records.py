@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.functions import scalars as S
+from vellum.operators.bloom import without
+from vellum.operators.running import carried_last
 
 
 def has_key(*cols: str) -> Column:
@@ -28,9 +30,8 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list, keep_empty:
 
 
 def carry_forward(df: DataFrame, col: str, by: list[str], order: list, name: str | None = None) -> DataFrame:
-    """The last value that is not null up to each row."""
-    window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name or col, F.last(col, ignorenulls=True).over(window))
+    """The last value that is not null up to each row. A group may hold all rows; it is carried on from slice to slice."""
+    return carried_last(df, col, by, order, name or col)
 
 
 def first_n(df: DataFrame, n: int, order: list) -> DataFrame:
@@ -38,15 +39,19 @@ def first_n(df: DataFrame, n: int, order: list) -> DataFrame:
 
 
 def todo(items: DataFrame, done: DataFrame, key: str, limit: int | None = None, order: list | None = None) -> DataFrame:
-    """Items that are not done yet. A limit is taken before what is done is removed, so a resumed run adds nothing to it."""
+    """Items that are not done yet. A limit is taken before what is done is removed, so a resumed run adds nothing to it.
+
+    Of a long list of finished keys a Bloom filter is made, and only items that it finds are shuffled.
+    """
     if limit is not None:
         items = first_n(items, limit, order or [key])
-    return items.join(done.select(key), key, "left_anti")
+    return without(items, done, key)
 
 
-def append_new(new: DataFrame, existing: DataFrame, key: str, order: list | None = None) -> DataFrame:
-    """Rows of ``new`` to insert: the first of each key that is not there yet."""
-    return first_per_key(new, key, order or [key], keep_empty=True).join(existing.select(key), key, "left_anti")
+def append_new(new: DataFrame, existing: DataFrame, key: str, order: list | None = None, filtered: bool = True) -> DataFrame:
+    """Rows of ``new`` to insert: the first of each key that is not there yet. Unless ``filtered`` is off, new keys are told by a Bloom filter."""
+    first = first_per_key(new, key, order or [key], keep_empty=True)
+    return without(first, existing, key) if filtered else first.join(existing.select(key), key, "left_anti")
 
 
 def explode_keep_parent(df: DataFrame, list_col: str, parent_cols: list[str], name: str = "entry") -> DataFrame:

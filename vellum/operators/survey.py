@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.operators.running import numbered, running_sum
+
 #: A side of a join is broadcast only up to so many rows; beyond, the join is by key.
 SMALL = 100_000
 
@@ -50,13 +52,15 @@ def order_by_stat(df: DataFrame, label: str, stat: str, ascending: bool = True,
     """Numbers the labels by a statistic that is constant within each of them; missing statistics come last."""
     stats = df.groupBy(label).agg(F.max(stat).alias("_stat"))
     order = F.col("_stat").asc_nulls_last() if ascending else F.col("_stat").desc_nulls_last()
-    numbered = stats.withColumn(name, F.row_number().over(Window.orderBy(order, label))).select(F.col(label).alias("_label"), name)
-    return df.join(broadcast_if_small(numbered), F.col(label).eqNullSafe(F.col("_label")), "left").drop("_label")
+    places = numbered(stats, [order, F.col(label)], name).select(F.col(label).alias("_label"), name)
+    return df.join(broadcast_if_small(places), F.col(label).eqNullSafe(F.col("_label")), "left").drop("_label")
 
 
 def mode_by(df: DataFrame, by: list[str], col: str, name: str = "mode") -> DataFrame:
     """Most frequent value of each group; the smallest on ties; nulls never count."""
-    return df.groupBy(*by).agg(F.mode(col, True).alias(name))
+    counts = df.groupBy(*by, col).agg(F.count("*").alias("_n"))
+    best = F.min(F.when(F.col(col).isNotNull(), F.struct((-F.col("_n")).alias("n"), F.col(col).alias("v"))))
+    return counts.groupBy(*by).agg(best["v"].alias(name))
 
 
 def stat_back(df: DataFrame, by: list[str], stat: DataFrame) -> DataFrame:
@@ -75,13 +79,12 @@ def weighted_mean(x: Column | str, w: Column | str) -> Column:
 def weighted_quantiles(df: DataFrame, by: list[str], x: str, w: str, probs: list[float], names: list[str] | None = None) -> DataFrame:
     """Quantiles under real-valued weights: one row a group, one column a probability.
 
-    Values are summed up first, so a window holds a group's distinct values, not its rows. With n the sum of the weights and
+    Values are summed up first, and their running sums go from slice to slice, so a group may hold all rows and as many values. With n the sum of the weights and
     o = 1 + (n - 1) p the result lies between the values at max(floor(o), 1) and the next one, but not beyond n.
     """
     names = names or [f"q{round(p * 100)}" for p in probs]
     sums = df.filter(F.col(x).isNotNull() & (F.coalesce(F.col(w), F.lit(0)) != 0)).groupBy(*by, x).agg(F.sum(w).alias("_t"))
-    run = Window.partitionBy(*by).orderBy(x)
-    at = sums.withColumn("_cw", F.sum("_t").over(run)).withColumn("_n", F.sum("_t").over(Window.partitionBy(*by)))
+    at = running_sum(sums, "_t", by, [x], "_cw", "_n")
 
     def value(v: Column) -> Column:
         return F.coalesce(F.min(F.when(F.col("_cw") >= v, F.col(x))), F.max(x)).cast("double")

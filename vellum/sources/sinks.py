@@ -74,7 +74,7 @@ def append_new_to(path: str, new: DataFrame, key: str, order: list[Column | str]
     spark = new.sparkSession
     keys = spark.read.parquet(path).select(key) if _exists(spark, path) else new.select(key).limit(0)
     seen, added = Observation(), Observation()
-    rows = append_new(new.observe(seen, F.count(F.lit(1)).alias("n")), keys, key, order).observe(added, F.count(F.lit(1)).alias("n"))
+    rows = append_new(new.observe(seen, F.count(F.lit(1)).alias("n")), keys, key, order, filtered=False).observe(added, F.count(F.lit(1)).alias("n"))
     rows.write.mode("append").parquet(path)  # both counts come from this one job; only the target's keys are read
     imported = added.get["n"]
     return {"imported": imported, "skipped": seen.get["n"] - imported}
