@@ -61,6 +61,7 @@ def slices_of(spark, monkeypatch):
 
 def test_carry_forward_in_a_group_of_all_rows(spark, monkeypatch):
     seen = slices_of(spark, monkeypatch)
+    monkeypatch.setattr(running, "HOT", 1_000)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         rows = spark.range(4_000).select(F.lit("all").alias("g"), "id", F.when(F.col("id") % 1_500 == 700, F.col("id")).alias("h"))
@@ -74,6 +75,7 @@ def test_carry_forward_in_a_group_of_all_rows(spark, monkeypatch):
 
 def test_quantiles_of_a_group_of_all_rows(spark, monkeypatch):
     seen = slices_of(spark, monkeypatch)
+    monkeypatch.setattr(running, "FEW", 1_000)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         x = np.random.default_rng(3).permutation(3_000)
@@ -96,12 +98,15 @@ def test_quantiles_of_a_group_of_all_rows(spark, monkeypatch):
 
 
 def test_labels_are_numbered_without_one_task(spark, monkeypatch):
+    monkeypatch.setattr(running, "FEW", 0)
     rows = spark.range(3_000).select(F.format_string("%05d", F.col("id")).alias("t"), F.when(F.col("id") % 10 > 0, F.col("id") % 7).alias("x"))
     made = running.numbered(rows, [F.col("x").desc_nulls_last(), F.col("t")], "n")
     want = sorted(((-(i % 7) if i % 10 else 1, f"{i:05d}") for i in range(3_000)))
     assert [r.t for r in made.orderBy("n").collect()] == [t for _, t in want] and {r.n for r in made.collect()} == set(range(1, 3_001))
     windows = [line for line in plan_of(made).splitlines() if "Window" in line]
     assert windows and all("_slice" in line for line in windows)
+    monkeypatch.setattr(running, "FEW", 3_000)
+    assert made.exceptAll(running.numbered(rows, [F.col("x").desc_nulls_last(), F.col("t")], "n")).count() == 0
     few = survey.order_by_stat(spark.createDataFrame([], rows.schema), "t", "x")
     assert few.count() == 0 and few.columns == ["t", "x", "ord"]
 
