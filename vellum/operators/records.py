@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,9 +88,21 @@ def decode_escaped_json(df: DataFrame, payload_col: str, schema: str | T.StructT
     return df.select(*(c for c in df.columns if c != payload_col), F.explode(items).alias("_r")).select(*(c for c in df.columns if c != payload_col), "_r.*")
 
 
-def concat_pages(pages: DataFrame, data_col: str = "data", keys: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of all pages' data, in page order columns ``page`` and ``pos``."""
-    return pages.select(*keys, "page", F.posexplode(data_col).alias("pos", "item"))
+def concat_pages(pages: DataFrame, data_col: str = "data", keys: tuple[str, ...] = (), total_col: str | None = None, length: int = 100, first_page: int = 1) -> DataFrame:
+    """(keys..., page, pos, item): records of the pages' data.
+
+    With ``total_col`` a key's pages end as a reader of pages of ``length`` would: at the first page without data, with an empty list, or whose
+    records reach that page's total (a null total is 0). Later pages are left out. Only sizes of lists are shuffled to find that page.
+    """
+    rows = pages
+    if total_col:
+        reached = (F.col("page") - first_page) * length + F.coalesce(F.size(data_col), F.lit(0)) >= F.coalesce(F.col(total_col), F.lit(0))
+        over = reached | F.coalesce(F.size(data_col), F.lit(0)).eqNullSafe(0)
+        named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)] or [F.lit(0).alias("_k0")]
+        last = pages.filter(over).groupBy(*named).agg(F.min("page").alias("_last"))
+        same = reduce(and_, (F.col(f"_k{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys))) if keys else F.col("_k0") == F.lit(0)
+        rows = pages.join(last if keys else F.broadcast(last), same, "left").filter("_last is null or page <= _last")  # without keys it is one row
+    return rows.select(*keys, "page", F.posexplode(data_col).alias("pos", "item"))
 
 
 def page_completeness(pages: DataFrame, data_col: str = "data", total_col: str = "recordsTotal", by: tuple[str, ...] = ()) -> DataFrame:

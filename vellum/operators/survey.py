@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.operators.open_records import column_order, found_types
 from vellum.operators.running import numbered, running_sum
 
 #: A side of a join is broadcast only up to so many rows; beyond, the join is by key.
@@ -109,8 +110,9 @@ def wider(df: DataFrame, by: list[str], name: str, value: str, names: list[str])
     return df.groupBy(*by).pivot(name, names).agg(F.first(value, True))
 
 
-def facts_wide(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
-    """Entries of a map as columns."""
+def facts_wide(df: DataFrame, col: str, keys: list[str] | None = None) -> DataFrame:
+    """Entries of a map as columns: those named, or else all keys found, in order."""
+    keys = column_order(found_types(df, col)) if keys is None else keys
     return df.select(*(c for c in df.columns if c != col), *(F.try_element_at(F.col(col), F.lit(k)).alias(k) for k in keys))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import scalars as S
 from vellum.operators import grid, records
+from vellum.operators import open_records as records_open
 from vellum.session import new_path, table
 from vellum.sources import readers, sinks
 from vellum.streaming.ingest import ingest_available, ingest_json
@@ -134,6 +135,53 @@ def union_csv(spark, sf_dir):
     return back.select(F.col("Id").alias("id"), *(S.or_empty(c).alias(c.lower()) for c in ("Name", "Nation", "Segment")))
 
 
+def open_records(spark, sf_dir):
+    """JSON texts of customers, suppliers and orders, whose keys, lists and objects differ, in one CSV of the union of their keys."""
+    path = new_path(spark, "open")
+    part = F.col("o_orderkey")
+    move = lambda label=None, name=None, n=None: F.struct(F.lit(label).cast("string").alias("label"), F.lit(name).cast("string").alias("Name"), F.lit(n).cast("bigint").alias("n"))
+    moves = F.array(move(F.concat(F.lit("to "), text(part))), move("", F.concat(F.lit("n"), text(part))), move(n=part))
+    texts = [
+        _customers(spark, sf_dir).select(F.to_json(F.struct(F.concat(F.lit("c"), text("c_custkey")).alias("Id"), F.col("c_nationkey").alias("Nation"), F.struct(F.col("c_mktsegment").alias("seg")).alias("Facts")))),
+        table(spark, sf_dir, "supplier").select(F.to_json(F.struct(F.concat(F.lit("s"), text("s_suppkey")).alias("Id"), F.array(text("s_nationkey"), F.col("s_name")).alias("Nation")))),
+        table(spark, sf_dir, "orders").select(F.to_json(F.struct(F.concat(F.lit("o"), text(part)).alias("Id"), F.when(part % 3 > 0, moves).otherwise(F.array()).alias("Moves"), F.when(part % 2 == 0, F.col("o_orderstatus")).alias("status")))),
+    ]
+    rows = texts[0].toDF("j").union(texts[1]).union(texts[2])
+    sinks.write_union_csv(records_open.parse_records(rows, "j"), path, lead=("Id",))
+    back = spark.read.option("header", True).option("escape", '"').option("nullValue", "").csv(path)
+    if back.columns != ["Id", "Facts", "Moves", "Nation", "status"]:
+        raise ValueError(f"columns {back.columns}")
+    return back.select(F.col("Id").alias("id"), *(S.or_empty(c).alias(c.lower()) for c in back.columns[1:]))
+
+
+def united_records(spark, sf_dir):
+    """Tables of differing columns as records in one Parquet dataset, then columns in the types found: lists and objects survive."""
+    path = new_path(spark, "united")
+    customers = _customers(spark, sf_dir).select(F.col("c_custkey").alias("key"), F.struct(F.col("c_mktsegment").alias("seg"), F.col("c_nationkey").alias("nation")).alias("facts"), F.col("c_name").alias("any"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.when(F.col("o_orderkey") % 2 == 0, F.array("o_custkey", "o_orderkey")).alias("links"), F.col("o_custkey").alias("any"))
+    records_open.unite_records(customers, orders).write.parquet(path)
+    wide = records_open.typed_table(spark.read.parquet(path), lead=("key",))
+    return wide.select("key", "facts.seg", F.col("facts.nation").cast("int").alias("nation"), F.element_at("links", 1).alias("first_link"), F.col("any").cast("string").alias("any_text"))
+
+
+def record_keys(spark, sf_dir):
+    """How many events of each type and user have which key in their JSON."""
+    extra = F.concat(F.lit('{"u'), text(F.col("user_id") % 7), F.lit('": '), F.when(F.col("event_id") % 2 == 0, "null").otherwise("[1]"), F.lit(', "p": '), "props", F.lit("}"))
+    rows = table(spark, sf_dir, "events").select("event_type", extra.alias("j"))
+    got = records_open.key_counts(records_open.parse_records(rows, "j"), by=("event_type",))
+    return got.select("event_type", "key", "n", "filled")
+
+
+def paged_records(spark, sf_dir):
+    """Conversations as pages of three turns, read until a page is empty or the total is reached."""
+    page, conv = F.floor(F.col("turn") / 3), F.col("conv_id")
+    pages = table(spark, sf_dir, "conversations").groupBy("conv_id", page.alias("page")).agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    total = F.when(conv % 4 == 0, 3).when(conv % 4 == 1, 5).when(conv % 4 == 2, 100)
+    shown = pages.select("conv_id", "page", F.when((conv % 5 == 0) & (F.col("page") == 1), F.array().cast("array<int>")).otherwise(F.col("turns").cast("array<int>")).alias("data"), total.alias("recordsTotal"))
+    got = records.concat_pages(shown, keys=("conv_id",), total_col="recordsTotal", length=3, first_page=0)
+    return got.select("conv_id", F.col("page").cast("int").alias("page"), F.col("pos").cast("int").alias("pos"), F.col("item").alias("turn"))
+
+
 def section_files(spark, sf_dir):
     """Suppliers and parts as sections of their own, and all of them in one dataset."""
     path = new_path(spark, "sections")
@@ -237,7 +285,7 @@ def ingest_texts(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    table_files, table_corpus, wide_table_files, table_cells, text_files, feed_items, record_files, record_arrays, union_csv, section_files, text_table, finished_keys,
+    table_files, table_corpus, wide_table_files, table_cells, text_files, feed_items, record_files, record_arrays, union_csv, open_records, united_records, record_keys, paged_records, section_files, text_table, finished_keys,
     collection_items, iso_file_dates, entity_links, wrapped_labels, first_record, append_twice, ingest_records, ingest_texts,
 )}
 
@@ -265,6 +313,23 @@ SELECT pos, CASE WHEN k % 5 > 0 THEN 'Talk ' || k ELSE 'episode_' || pos END AS
     "union_csv": """
 SELECT 'c' || c_custkey AS id, 'say "' || c_name || '",' AS name, '' AS nation, c_mktsegment AS segment FROM customer
 UNION ALL SELECT 's' || s_suppkey, '', CAST(s_nationkey AS VARCHAR), '' FROM supplier""",
+    "open_records": """
+SELECT 'c' || c_custkey AS id, '{"seg":"' || c_mktsegment || '"}' AS facts, '' AS moves, CAST(c_nationkey AS VARCHAR) AS nation, '' AS status FROM customer
+UNION ALL SELECT 's' || s_suppkey, '', '', s_nationkey || '; ' || s_name, '' FROM supplier
+UNION ALL SELECT 'o' || o_orderkey, '', CASE WHEN o_orderkey % 3 = 0 THEN '[]' ELSE 'to ' || o_orderkey || '; n' || o_orderkey || '; {"n":' || o_orderkey || '}' END, '',
+  CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE '' END FROM orders""",
+    "united_records": """
+SELECT c_custkey AS key, c_mktsegment AS seg, c_nationkey AS nation, NULL::BIGINT AS first_link, c_name AS any_text FROM customer
+UNION ALL SELECT o_orderkey, NULL, NULL, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END, CAST(o_custkey AS VARCHAR) FROM orders""",
+    "record_keys": """
+SELECT event_type, 'u' || (user_id % 7) AS key, count(*) AS n, count(*) FILTER (event_id % 2 <> 0) AS filled FROM events GROUP BY 1, 2
+UNION ALL SELECT event_type, 'p', count(*), count(*) FROM events GROUP BY 1""",
+    "paged_records": """
+WITH t AS (SELECT conv_id, turn // 3 AS page, turn, CASE conv_id % 4 WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 100 ELSE 0 END AS total, conv_id % 5 = 0 AND turn // 3 = 1 AS gone FROM conversations),
+p AS (SELECT conv_id, page, any_value(gone) AS gone, any_value(page * 3) + CASE WHEN any_value(gone) THEN 0 ELSE count(*) END >= any_value(total) AS reached FROM t GROUP BY 1, 2),
+s AS (SELECT conv_id, page, sum(CASE WHEN gone OR reached THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM p)
+SELECT conv_id, CAST(page AS INT) AS page, CAST(row_number() OVER (PARTITION BY conv_id, page ORDER BY turn) - 1 AS INT) AS pos, CAST(turn AS INT) AS turn
+FROM t JOIN s USING (conv_id, page) WHERE NOT gone AND coalesce(before, 0) = 0""",
     "section_files": """
 SELECT 'suppliers' AS section, CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, NULL::VARCHAR AS brand FROM supplier
 UNION ALL SELECT 'alone', CAST(s_suppkey AS VARCHAR), s_name, NULL FROM supplier UNION ALL SELECT 'parts', CAST(p_partkey AS VARCHAR), NULL, p_brand FROM part""",

@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from vellum.functions import scalars as S
+from vellum.operators.open_records import text_table
 from vellum.operators.records import append_new
 from vellum.sources.table_files import write_files
 
 
-def union_columns(df: DataFrame, map_col: str, lead: tuple[str, ...] = ()) -> list[str]:
-    """Leading columns, then all other keys of a map column in order. Key names are few; they are the columns of a file."""
-    keys = {r[0] for r in df.select(F.explode(F.map_keys(map_col))).distinct().collect()}
-    return [*lead, *sorted(keys - set(lead))]
-
-
-def union_table(df: DataFrame, map_col: str, lead: tuple[str, ...] = ()) -> DataFrame:
-    """One text column a key; a missing value is ''."""
-    return df.select(*(F.coalesce(F.try_element_at(map_col, F.lit(c)), F.lit("")).alias(c) for c in union_columns(df, map_col, lead)))
+def write_union_csv(df: DataFrame, path: str, col: str = "record", lead: tuple[str, ...] = (), mode: str = "all") -> None:
+    """CSV of records (a map, a struct or a VARIANT) with differing keys: the union of all keys, leading columns first, the rest sorted.
 
-
-def write_union_csv(df: DataFrame, path: str, map_col: str = "record", lead: tuple[str, ...] = ()) -> None:
-    """CSV of maps with differing keys: the union of all keys, leading columns first, the rest sorted."""
-    union_table(df, map_col, lead).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
+    A missing value is ''; white space at the ends of values stays. Lists and objects become text as in ``open_records.as_text``. Keys that differ in case only are columns of their own.
+    """
+    with _exact_names(df.sparkSession):
+        out = text_table(df, col, lead, mode=mode).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"')
+        out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+@contextmanager
+def _exact_names(spark: SparkSession) -> Iterator[None]:
+    """Column names are told apart by case, too, while it is open."""
+    was = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", was)
 
 
 def write_json(df: DataFrame, path: str, key: str | None = None, url_base: str | None = None, url_col: str = "URL") -> None:
