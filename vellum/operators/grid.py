@@ -18,7 +18,12 @@ def axis_label(text: Column | str) -> Column:
     """Whether a cell looks like the rotated text of a chart's axis: four lines or more, most of at most two characters."""
     text = F.col(text) if isinstance(text, str) else text
     lines = F.filter(F.transform(F.split(text, "\n"), S.strip), lambda x: x != "")
-    return F.coalesce((F.size(lines) >= 4) & (F.size(F.filter(lines, lambda x: F.length(x) <= 2)) > F.size(lines) * 0.6), F.lit(False))
+    mostly_short = S.let(lines, lambda x: (F.size(x) >= 4) & (F.size(F.filter(x, lambda y: F.length(y) <= 2)) > F.size(x) * 0.6))
+    return F.coalesce(F.when(line_breaks(text) >= 3, mostly_short), F.lit(False))  # most cells have one line and are not split
+
+
+def line_breaks(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 
 
 def judge_tables(cells: DataFrame, key: list[str] = KEY) -> DataFrame:
@@ -28,7 +33,7 @@ def judge_tables(cells: DataFrame, key: list[str] = KEY) -> DataFrame:
     stats = cells.groupBy(*key).agg(
         (F.max("row_idx") + 1).alias("rows"), (F.max("col_idx") + 1).alias("cols"),
         F.max((F.col("row_idx") == 0) & F.upper(text).contains("GRAPH")).alias("graph"),
-        F.max(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) >= 3).alias("legend"),
+        F.max(line_breaks(text) >= 3).alias("legend"),
         F.count_if(filled).alias("cells"), F.count_if(filled & axis_label(text)).alias("axis"),
     )
     axis_share = F.try_divide("axis", "cells")
@@ -44,14 +49,13 @@ def headers(cells: DataFrame, key: list[str] = KEY) -> DataFrame:
 
     Blank names become col_i and repeated ones name_1, name_2. ``clash`` marks a made name that another column has too.
     """
-    width = cells.groupBy(*key).agg(F.max("col_idx").alias("_last"))
     top = cells.filter("row_idx = 0").select(*key, "col_idx", S.strip(F.coalesce("text", F.lit(""))).alias("_t"))
     named = top.withColumn("_name", F.when(F.col("_t") == "", F.concat(F.lit("col_"), F.col("col_idx").cast("string"))).otherwise(F.col("_t")))
     again = F.row_number().over(Window.partitionBy(*key, "_name").orderBy("col_idx")) - 1
     header = F.when(again > 0, F.concat("_name", F.lit("_"), again.cast("string"))).otherwise(F.col("_name"))
     out = named.withColumn("header", header)
     clash = F.count("*").over(Window.partitionBy(*key, "header")) > 1
-    return out.join(width, key).filter(F.col("col_idx") <= F.col("_last")).select(*key, "col_idx", "header", clash.alias("clash"))
+    return out.select(*key, "col_idx", "header", clash.alias("clash"))
 
 
 def grid_to_records(cells: DataFrame, key: list[str] = KEY, least_rows: int = 2) -> DataFrame:

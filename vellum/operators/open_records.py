@@ -41,9 +41,8 @@ def unite_records(*parts: DataFrame, record: str = "record") -> DataFrame:
 
 
 def _variant(df: DataFrame, col: str) -> Column:
-    """A VARIANT, map or struct column as VARIANT; what is no object is null."""
-    value = F.col(col) if isinstance(df.schema[col].dataType, T.VariantType) else F.to_variant_object(col)
-    return F.when(entries(value).isNotNull(), value)
+    """A VARIANT, map or struct column as VARIANT."""
+    return F.col(col) if isinstance(df.schema[col].dataType, T.VariantType) else F.to_variant_object(col)
 
 
 def entries(record: Column | str) -> Column:
@@ -56,7 +55,10 @@ def found_types(df: DataFrame, record: str = "record") -> T.StructType:
 
     No records give no keys. The state is one schema a task, which grows with distinct keys at every depth, not with rows.
     """
-    ddl = df.agg(F.schema_of_variant_agg(_variant(df, record))).first()[0]
+    value = _variant(df, record)
+    ddl = df.agg(F.schema_of_variant_agg(value)).first()[0]
+    if ddl == "VARIANT":  # something is no object, which is seldom: only then are kinds of values looked at row by row
+        ddl = df.agg(F.schema_of_variant_agg(F.when(entries(value).isNotNull(), value))).first()[0]
     if not ddl.startswith("OBJECT<"):
         return T.StructType()
     return T.DataType.fromDDL(re.sub(r"(`(?:[^`]|``)*`)|OBJECT<", lambda m: m[1] or "STRUCT<", ddl))
@@ -91,9 +93,15 @@ def text_table(df: DataFrame, record: str = "record", lead: tuple[str, ...] = ()
 
     What is no object is a row of ''. Keys that differ in case only are columns of their own.
     """
-    names = column_order(found_types(df, record), lead)
+    found = found_types(df, record)
+    listed = {f.name for f in found.fields if isinstance(f.dataType, (T.ArrayType, T.VariantType))}  # the others have no list in any row
     rows = df.select(*keep, entries(_variant(df, record)).alias("_m"))
-    return rows.select(*keep, *(as_text(F.try_element_at("_m", F.lit(c)), mode).alias(c) for c in names))
+
+    def column(c: str) -> Column:
+        value = F.try_element_at("_m", F.lit(c))
+        return (as_text(value, mode) if c in listed else S.or_empty(value.try_cast("string"))).alias(c)
+
+    return rows.select(*keep, *(column(c) for c in column_order(found, lead)))
 
 
 def _storable(kind: T.DataType) -> T.DataType:
