@@ -41,6 +41,44 @@ def test_forward_sums_equal_all_segmentations():
             assert got[i, c] == pytest.approx(plain_word(w, random_table, names, c))
 
 
+def plain_log_word(word, table, number):
+    """Log-probabilities with logarithms throughout, so that no length is too long."""
+    marked, out = "▁" + word, []
+    for c in range(table.shape[1]):
+        total = [0.0]
+        for b in range(1, len(marked) + 1):
+            terms = []
+            for a in range(max(0, b - G.PIECE), b):
+                p = table[number[marked[a:b]], c] if marked[a:b] in number else 0.0
+                p = max(p, G.FLOOR) if b - a == 1 else p
+                if p:
+                    terms.append(total[a] + math.log(p))
+            total.append(float(np.logaddexp.reduce(terms)))
+        out.append(total[-1])
+    return out
+
+
+def test_long_words_are_summed_whole(monkeypatch):
+    """Words of any length, in one block and over several, with parts that the floor alone carries."""
+    monkeypatch.setattr(G, "STRETCH", 50)
+    names = G.vocabulary()
+    number, pieces = {p: i for i, p in enumerate(names)}, G.Pieces(names)
+    table = np.random.default_rng(2).random((pieces.n + 1, 3)) * 1e-3
+    table[pieces.n] = 0
+    unit = "weatherstationmaßnahmen日本語のテキスト"
+    words = [(unit * 50)[:n] for n in (1, 31, 32, 33, 63, 64, 255, 256, 257, 300, 306, 307, 1000)] + ["ﬓ" * 200, "ﬓ" * 700, "the"]
+    for cells in (G.CELLS, 300):
+        monkeypatch.setattr(G, "CELLS", cells)
+        got = G.word_scores(words, pieces, table)
+        for i, w in enumerate(words):
+            assert got[i] == pytest.approx(plain_log_word(w, table, number), rel=1e-9)
+
+
+def test_long_words_count_by_their_letters():
+    assert G.evidence(["a", "b" * 31, "c" * 32, "d" * 63]) == 1 + 1 + 2 + 3 and G.evidence([]) == 0
+    assert G.parts_of(["a", "b" * 70]) == ["a", "b" * 31, "b" * 31, "b" * 8]
+
+
 def test_pieces_are_found_by_hash():
     names = G.vocabulary()
     pieces = G.Pieces(names)

@@ -9,8 +9,9 @@ Scale: training reads ``PER_LANGUAGE`` documents of each language (a documented
 texts than fit ``SAMPLE_BYTES``); each language is learned by a task of its own, and only its piece probabilities come
 to the driver. Scoring is one pass without a shuffle, in blocks of texts, and what is broadcast is one row a piece.
 
-Defined cases: null texts and texts without letters give ``und`` with score 0; words of more than ``LONGEST`` characters
-are scored in parts; very long texts are scored whole; of equally likely languages the first by name is given; without any
+Defined cases: null texts and texts without letters give ``und`` with score 0; a word of any
+length is summed over all its segmentations, and from ``LONGEST`` letters on it counts as several words of evidence and is learned
+in parts; very long texts are scored whole; of equally likely languages the first by name is given; without any
 labelled row every text is ``und``; null languages are never learned; a repeated id counts once in training, repeated
 rows are scored each; extra columns are ignored; an empty table gives an empty result.
 """
@@ -39,6 +40,8 @@ TOGETHER = 3_000_000
 #: Partitions over which languages are dealt for training.
 LEARNERS = 32
 LONGEST, PIECE, ROUNDS, FLOOR, BOOST = 32, 16, 3, 1e-7, 16.0
+#: Letters up to which words are scored together, letters of words that are scored at once, and letters of a longer word looked up at once.
+WIDEST, CELLS, STRETCH = 256, 660_000, 4_096
 #: Words after which more evidence does not make a score surer.
 SURE = 8
 WORDS = re.compile(r"[^\W\d_]+")
@@ -46,12 +49,21 @@ _BASE = np.uint64(0x100000001B3)
 
 
 def words_of(text: str) -> list[str]:
-    words = WORDS.findall(text.lower())
+    return WORDS.findall(text.lower())
+
+
+def parts_of(words: list[str]) -> list[str]:
+    """Words with long ones in parts of ``LONGEST - 1`` letters, for training."""
     if any(len(w) >= LONGEST for w in words):
         words = [w[i : i + LONGEST - 1] for w in words for i in range(0, len(w), LONGEST - 1)]
     return words
 
 
+def evidence(words: list[str]) -> int:
+    """How many words a text counts for: a long one counts once for every ``LONGEST - 1`` letters begun."""
+    return sum(-(-len(w) // (LONGEST - 1)) for w in words)
+
+
 def vocabulary(path: str | None = None) -> list[str]:
     """The vocabulary's pieces of letters; a word's beginning is marked by U+2581."""
     import public_tokenizers
@@ -132,24 +144,67 @@ def _step(table: np.ndarray, a: int, b: int, numbers: np.ndarray) -> np.ndarray:
 
 
 def word_scores(words: list[str], pieces: Pieces, table: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each word in each language, summed over all segmentations. ``table``: pieces + 1 rows."""
+    """Natural log-probability of each word in each language, summed over all segmentations. ``table``: pieces + 1 rows.
+
+    Words of up to ``WIDEST`` letters go together, sorted by length; a longer one goes alone, letter by letter.
+    """
     out = np.zeros((len(words), table.shape[1]))
-    by = np.argsort([len(w) for w in words], kind="stable")
-    for at in range(0, len(words), 20_000):
-        rows = by[at : at + 20_000]
-        codes, lengths = _matrix([words[i] for i in rows])
-        forward = {0: np.ones((len(rows), table.shape[1]))}
-        for a, b, hashes in _hashes(codes):
-            add = forward[a] * _step(table, a, b, pieces.find(hashes))
-            forward[b] = forward[b] + add if b in forward else add
-            if b - a == 1:
-                forward.pop(b - PIECE, None)
-                done = np.flatnonzero(lengths == b)
-                if len(done):
-                    out[rows[done]] = np.log(forward[b][done]) - b * np.log(BOOST)
+    sizes = np.array([len(w) for w in words])
+    by = np.argsort(sizes, kind="stable")
+    together = by[: np.searchsorted(sizes[by], WIDEST, "right")]
+    at = 0
+    while at < len(together):
+        fits = np.arange(1, min(20_000, len(together) - at) + 1) * (sizes[together[at : at + 20_000]] + 1) <= CELLS
+        rows = together[at : at + max(1, int(fits.sum()))]
+        out[rows] = _scores_together([words[i] for i in rows], pieces, table)
+        at += len(rows)
+    for i in by[len(together) :]:
+        out[i] = _score_alone(words[i], pieces, table)
     return out
 
 
+def _scores_together(words: list[str], pieces: Pieces, table: np.ndarray) -> np.ndarray:
+    codes, lengths = _matrix(words)
+    out, scale = np.zeros((len(words), table.shape[1])), np.zeros((len(words), table.shape[1]))
+    forward = {0: np.ones((len(words), table.shape[1]))}
+    for a, b, hashes in _hashes(codes):
+        add = forward[a] * _step(table, a, b, pieces.find(hashes))
+        forward[b] = forward[b] + add if b in forward else add
+        if b - a == 1:
+            forward.pop(b - PIECE, None)
+            done = np.flatnonzero(lengths == b)
+            if len(done):
+                out[done] = np.log(forward[b][done]) + scale[done] - b * np.log(BOOST)
+            if b % PIECE == 0:  # sums of long words stay far from zero
+                level = forward[b]
+                forward = {end: sums / level for end, sums in forward.items()}
+                scale += np.log(level)
+    return out
+
+
+def _score_alone(word: str, pieces: Pieces, table: np.ndarray) -> np.ndarray:
+    """The same for one very long word: its substrings are looked up by stretches, its sums run on from letter to letter."""
+    codes = np.array(["▁" + word]).view(np.uint32).astype(np.uint64)
+    sums, scale = np.zeros((PIECE, table.shape[1])), np.zeros(table.shape[1])
+    sums[0] = 1  # sums[k]: all segmentations of what ends k letters before
+    for start in range(0, len(codes), STRETCH):
+        stop = min(start + STRETCH, len(codes))
+        ends = np.arange(start + 1, stop + 1)
+        first = max(0, start - PIECE)  # letters before the stretch that its substrings may begin with
+        own = codes[first:stop]
+        steps, hashes = np.zeros((len(ends), PIECE, table.shape[1])), np.zeros(len(own) + 1, np.uint64)
+        for size in range(1, PIECE + 1):
+            hashes = np.concatenate([np.zeros(1, np.uint64), hashes[:-1] * _BASE + own + np.uint64(1)])
+            whole = np.flatnonzero(ends >= size)
+            steps[whole, size - 1] = _step(table, 0, size, pieces.find(hashes[ends[whole] - first]))
+        for i, step in enumerate(steps):
+            now = (sums * step).sum(0)
+            sums = np.concatenate([now[None], sums[:-1]])
+            if i % PIECE == 0:
+                sums, scale = sums / now, scale + np.log(now)
+    return np.log(sums[0]) + scale - len(codes) * np.log(BOOST)
+
+
 def learn(counts: dict[str, Counter], pieces: Pieces) -> tuple[list[str], np.ndarray]:
     """Languages and the table of piece probabilities, from word counts by language."""
     languages = sorted(counts)
@@ -204,7 +259,7 @@ def _learner(names: list[str], limit: int):
                 size += len(text.encode("utf-8", "surrogatepass"))
                 if key not in seen and size <= limit:
                     seen.add(key)
-                    words.update(words_of(text))
+                    words.update(parts_of(words_of(text)))
         yield from done()
 
     return learned
@@ -238,16 +293,16 @@ def _scorer(model, text_at: int, least: float | None):
                 for text in held:
                     own = words_of(text) if text and any(map(str.isalpha, text)) else []
                     words += own
-                    sizes.append(len(own))
+                    sizes.append((len(own), evidence(own)))
                 codes, unique = pd.factorize(np.array(words, dtype=object)) if words else (np.empty(0, np.int64), [])
                 by_word = word_scores(list(unique), pieces, table) if len(unique) and languages else None
                 at = 0
-                for n in sizes:
+                for n, weight in sizes:
                     if not n or by_word is None:
                         labels.append("und"), scores.append(0.0)
                         continue
                     total = by_word[codes[at : at + n]].sum(0)
-                    even = np.exp((total - total.max()) * min(1.0, SURE / n))
+                    even = np.exp((total - total.max()) * min(1.0, SURE / weight))
                     best = int(total.argmax())
                     labels.append(languages[best]), scores.append(float(even[best] / even.sum()))
                     at += n
