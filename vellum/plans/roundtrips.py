@@ -135,7 +135,7 @@ def union_csv(spark, sf_dir):
     return back.select(F.col("Id").alias("id"), *(S.or_empty(c).alias(c.lower()) for c in ("Name", "Nation", "Segment")))
 
 
-def open_records(spark, sf_dir):
+def union_nested_csv(spark, sf_dir):
     """JSON texts of customers, suppliers and orders, whose keys, lists and objects differ, in one CSV of the union of their keys."""
     path = new_path(spark, "open")
     part = F.col("o_orderkey")
@@ -285,7 +285,7 @@ def ingest_texts(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    table_files, table_corpus, wide_table_files, table_cells, text_files, feed_items, record_files, record_arrays, union_csv, open_records, united_records, record_keys, paged_records, section_files, text_table, finished_keys,
+    table_files, table_corpus, wide_table_files, table_cells, text_files, feed_items, record_files, record_arrays, union_csv, union_nested_csv, united_records, record_keys, paged_records, section_files, text_table, finished_keys,
     collection_items, iso_file_dates, entity_links, wrapped_labels, first_record, append_twice, ingest_records, ingest_texts,
 )}
 
@@ -313,7 +313,7 @@ SELECT pos, CASE WHEN k % 5 > 0 THEN 'Talk ' || k ELSE 'episode_' || pos END AS
     "union_csv": """
 SELECT 'c' || c_custkey AS id, 'say "' || c_name || '",' AS name, '' AS nation, c_mktsegment AS segment FROM customer
 UNION ALL SELECT 's' || s_suppkey, '', CAST(s_nationkey AS VARCHAR), '' FROM supplier""",
-    "open_records": """
+    "union_nested_csv": """
 SELECT 'c' || c_custkey AS id, '{"seg":"' || c_mktsegment || '"}' AS facts, '' AS moves, CAST(c_nationkey AS VARCHAR) AS nation, '' AS status FROM customer
 UNION ALL SELECT 's' || s_suppkey, '', '', s_nationkey || '; ' || s_name, '' FROM supplier
 UNION ALL SELECT 'o' || o_orderkey, '', CASE WHEN o_orderkey % 3 = 0 THEN '[]' ELSE 'to ' || o_orderkey || '; n' || o_orderkey || '; {"n":' || o_orderkey || '}' END, '',
