@@ -450,6 +450,20 @@ def test_parts_give_what_one_suffix_array_gives(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_only_hosts_with_an_open_page_make_runs(spark, monkeypatch, few):
+    """A page without open blocks tells what an open one of its host repeats; hosts of articles alone give the array nothing."""
+    monkeypatch.setattr(H, "BROADCAST", few)
+    line = "a line of seven words stands here"
+    article = lambda i: f"<nav><p>{line}</p></nav><article><p>text {i}</p><p>{line}</p></article>"
+    rows = [(1, "http://mixed/1", f"<p>own {1}</p><p>{line}</p>"), *((i, "http://mixed/2", article(i)) for i in (2, 3)), *((i, "http://closed/x", article(i)) for i in (4, 5)), (6, "http://alone/1", f"<p>{line}</p>")]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()}
+    assert got == {1: "own 1", **{i: f"text {i}\n{line}" for i in (2, 3, 4, 5)}, 6: line}
+    names, write = [], H.written
+    monkeypatch.setattr(H, "written", lambda df, name: names.append(name) or write(df, name))
+    assert H.main_text(spark.createDataFrame(rows[3:5], "page_id bigint, url string, html string")).count() == 2 and names == ["pages"]
+
+
 def test_query_texts_equal_a_plain_reading_of_the_articles(spark, sf_dir):
     """op7 over whole pages of the shared table, whose articles hold only headings, paragraphs, bold text and line breaks."""
     import html as entities
