@@ -221,6 +221,73 @@ def test_whole_bodies_get_their_labels():
         assert label in {m[0] for m in index.scan(L.words_of(f"Copyright (c) 2020 A B\n{text} and more"))}
 
 
+def plain_in_order(words, wanted, at, room):
+    """The longest common subsequence by the whole table, where only places of the band may match."""
+    table = [[0] * (len(words) + 1) for _ in range(len(wanted) + 1)]
+    for q, w in enumerate(wanted):
+        for i, v in enumerate(words):
+            hit = w == v and abs(i - q - at) <= room
+            table[q + 1][i + 1] = max(table[q][i] + hit, table[q][i + 1], table[q + 1][i])
+    return table[-1][-1]
+
+
+def test_common_subsequences_equal_the_whole_table():
+    random = np.random.default_rng(5)
+    for _ in range(60):
+        words, body = random.integers(0, 4, int(random.integers(1, 15))), random.integers(1, 4, int(random.integers(1, 9)))
+        room, at = int(random.integers(1, 4)), np.arange(-12, 18)
+        got = L.in_order(words.astype(np.int32), body.astype(np.int32), at, room)
+        assert got.tolist() == [plain_in_order(words.tolist(), body.tolist(), int(a), room) for a in at]
+
+
+def bodies():
+    return [(t, label, L.words_of(text), [L.words_of(k) for k in keys]) for t, (label, text, keys) in enumerate(L.TEMPLATES) if len(L.words_of(text)) >= L.BODY]
+
+
+def test_a_word_more_or_less_anywhere_keeps_the_label_of_a_body():
+    index, tried, every = L.Index({}), 0, {label for label, _, _ in L.TEMPLATES}
+    for _, label, words, keys in bodies():
+        for j in range(len(words)):
+            for other in (words[:j] + words[j + 1 :], words[:j] + [b"zzz"] + words[j:]):
+                whole = all(L.has(other, 0, len(other), k) for k in keys)
+                got = {m[0] for m in index.aligned([b"copyright", b"someone"] + other + [b"end"], frozenset(every - {label}))}
+                assert (label in got) or not whole, (label, j)
+                tried += whole
+    assert tried > 1500
+
+
+def test_offsets_of_bodies_equal_every_offset():
+    """The index leaves out no offset at which enough words of a body stand in order; frequencies only choose the words indexed."""
+    random, found = np.random.default_rng(31), 0
+    for _ in range(12):
+        t, _, words, _ = bodies()[int(random.integers(0, len(bodies())))]
+        words = words[: len(words)]
+        for _ in range(int(random.integers(0, 4))):
+            j = int(random.integers(0, len(words)))
+            words = words[:j] + [b"of", b"zzz"][: int(random.integers(0, 3))] + words[j + int(random.integers(0, 3)) :]
+        index = L.Index({w.decode(): int(random.integers(0, 50)) for w in L._template_words()} | {"": 50})
+        ids = np.array([index.codes.get(w, 0) for w in words], np.int32)
+        near = dict(index.centres(words))
+        for k, (_, wanted, _) in enumerate(index.templates):
+            if len(wanted) >= L.BODY:
+                at = np.arange(-len(wanted), len(words))
+                enough = at[L.in_order(ids, np.array([index.codes[w] for w in wanted], np.int32), at, int(index.slack[k])) >= L.least_words(wanted)]
+                assert np.isin(enough, near.get(k, [])).all()
+                found += len(enough)
+    assert found > 12
+
+
+def test_titles_identifiers_and_notices(spark):
+    want = {
+        "SPDX-License-Identifier: MIT": "mit", "// spdx-license-identifier: GPL-3.0-or-later": "gpl-3", "SPDX-License-Identifier: BSD-3-Clause": "bsd-3",
+        "GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991": "gpl-2", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007": "agpl-3",
+        "Apache License\n  Version 2.0, January 2004": "apache-2", "free under the terms of the MIT license": "mit", "It is under the GPLv3.": "gpl-3",
+        "a text of 29 June 2007, version 3": "", "an identifier of a license": "", "under the terms of the license": "",
+    }
+    rows = L.licence_scan(docs_of(spark, list(want))).orderBy("doc_id").collect()
+    assert [r.labels for r in rows] == list(want.values())
+
+
 def test_many_places_take_linear_time():
     import time
 

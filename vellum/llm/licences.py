@@ -5,7 +5,9 @@ many documents every licence word stands (partial sums; the vocabulary is bounde
 template, postings of its rarest words only: so many that a place where ``AGREE`` of the template's words stand must have
 ``VOTES`` of them. Each posting that a document's words hit votes for a pair (template, relative position); pairs with enough
 votes are where the postings intersect. They are verified: AGREE of the template's words must stand at their places and every
-key phrase inside the span. Base phrases are found exactly and always keep their label.
+key phrase inside the span. A body (a template of BODY words or more) may also have words too many or too few: votes are added over
+a band of offsets, and AGREE of its words must stand in order within the band (a banded longest common subsequence, all offsets of
+a body at once). A key phrase stands as it is: a word put into one or taken out of it undoes the label. Base phrases are found exactly and always keep their label.
 
 Both passes are per row without a shuffle of texts; the broadcast holds document frequencies of the template words only. Work is
 linear in a text's words, but for verification, which costs a template's length a voted place.
@@ -22,6 +24,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,13 +167,105 @@ TEMPLATES: list[tuple[str, str, tuple[str, ...]]] = [
         ("free and unencumbered software", "public domain"),
     ),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software", "public domain")),
+    # Titles.
+    ("apache-2", "Apache License Version 2.0, January 2004", ("apache license version 2 0 january 2004",)),
+    ("gpl-2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", ("general public license version 2 june 1991",)),
+    ("gpl-3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ("gnu general public license version 3 29 june 2007",)),
+    ("lgpl-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", ("lesser general public license version 2 1 february 1999",)),
+    ("lgpl-3", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ("lesser general public license version 3 29 june 2007",)),
+    ("agpl-3", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007", ("affero general public license version 3 19 november 2007",)),
+    ("mpl-2", "Mozilla Public License Version 2.0 1. Definitions", ("mozilla public license version 2 0",)),
+    ("artistic-2", "The Artistic License 2.0 Copyright (c) 2000-2006, The Perl Foundation", ("artistic license 2 0", "perl foundation")),
+    # Heads of bodies.
+    (
+        "gpl-2",
+        """The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General Public License is intended
+        to guarantee your freedom to share and change free software--to make sure the software is free for all its users.""",
+        ("gnu general public license is intended to guarantee", "change free software"),
+    ),
+    (
+        "gpl-3",
+        """The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most software and other practical
+        works are designed to take away your freedom to share and change the works. By contrast, the GNU General Public License is intended to guarantee your
+        freedom to share and change all versions of a program--to make sure it remains free software for all its users.""",
+        ("gnu general public license is a free copyleft license", "all versions of a program"),
+    ),
+    (
+        "lgpl-2.1",
+        """The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General Public Licenses are intended
+        to guarantee your freedom to share and change free software--to make sure the software is free for all its users. This license, the Lesser General Public
+        License, applies to some specially designated software packages--typically libraries""",
+        ("the lesser general public license applies to some",),
+    ),
+    (
+        "lgpl-3",
+        """This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented
+        by the additional permissions listed below.""",
+        ("gnu lesser general public license incorporates",),
+    ),
+    (
+        "agpl-3",
+        """The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with
+        the community in the case of network server software.""",
+        ("gnu affero general public license", "network server software"),
+    ),
+    (
+        "apache-2",
+        """"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document. "Licensor" shall
+        mean the copyright owner or entity authorized by the copyright owner that is granting the License.""",
+        ("sections 1 through 9 of this document",),
+    ),
+    (
+        "mpl-2",
+        """"Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software. "Contributor Version" means the
+        combination of the Contributions of others (if any) used by a Contributor and that particular Contributor's Contribution.""",
+        ("owns covered software",),
+    ),
+    # Notices that name a licence.
+    ("mit", "under the terms of the mit license", ("terms of the mit license",)),
+    ("apache-2", "under the terms of the apache license version 2 0", ("apache license version 2",)),
+    ("bsd", "under the terms of the bsd license", ("terms of the bsd license",)),
+    ("gpl", "under the terms of the gnu general public license", ("gnu general public license",)),
+    ("mpl-2", "under the terms of the mozilla public license version 2 0", ("mozilla public license version 2",)),
+    ("gpl-2", "under the gplv2", ("gplv2",)),
+    ("gpl-2", "gplv2 license", ("gplv2 license",)),
+    ("gpl-3", "under the gplv3", ("gplv3",)),
+    ("gpl-3", "gplv3 license", ("gplv3 license",)),
 ]
 
+# Identifiers of the SPDX list, as words, by label. Each is a notice behind "SPDX-License-Identifier".
+SPDX = {
+    "0bsd": "0bsd",
+    "agpl 3 0": "agpl-3",
+    "apache 2 0": "apache-2",
+    "artistic 2 0": "artistic-2",
+    "bsd 2 clause": "bsd-2",
+    "bsd 3 clause": "bsd-3",
+    "bsl 1 0": "bsl-1",
+    "cc by 4 0": "cc-by",
+    "cc by nc 4 0": "cc-by-nc",
+    "cc by sa 4 0": "cc-by-sa",
+    "cc0 1 0": "cc0",
+    "epl 2 0": "epl",
+    "gpl 2 0": "gpl-2",
+    "gpl 3 0": "gpl-3",
+    "isc": "isc",
+    "lgpl 2 1": "lgpl-2.1",
+    "lgpl 3 0": "lgpl-3",
+    "mit": "mit",
+    "mpl 2 0": "mpl-2",
+    "unlicense": "unlicense",
+    "zlib": "zlib",
+}
+TEMPLATES += [(label, f"SPDX-License-Identifier: {name}", (f"spdx license identifier {name}",)) for name, label in SPDX.items()]
+
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 #: Share of a template's words that must stand at their places.
 AGREE = 0.8
 #: Votes that a place needs from a template's indexed words.
 VOTES = 2
+#: Words from which on a template is a body, whose places may have words too many or too few, and places that are aligned at once.
+BODY, TOGETHER = 12, 2048
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -212,6 +307,9 @@ class Index:
             self.votes.append(len(indexed) - missing)
             for q in indexed:
                 self.postings[words[q]].append((t, q))
+        self.bodies = {w: np.array(own, np.int64) for w, places in self.postings.items() if (own := [x for x in places if len(self.templates[x[0]][1]) >= BODY])}
+        self.codes = {w: k for k, w in enumerate(sorted({w for _, words, _ in self.templates if len(words) >= BODY for w in words}), 1)}
+        self.slack = np.array([slack(len(words)) for _, words, _ in self.templates], np.int64)
 
     def scan(self, words: list[bytes]) -> list[tuple[str, int, float]]:
         """(label, start, agreement) of every verified template, in the order of templates and places."""
@@ -230,6 +328,70 @@ class Index:
         return out
 
 
+    def centres(self, words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+        """(template, offsets) around which so many indexed words of a body stand that AGREE of its words may stand in order there."""
+        own = [(i, self.bodies[w]) for i, w in enumerate(words) if w in self.bodies]
+        if not own:
+            return
+        which = np.concatenate([p[:, 0] for _, p in own])
+        offset = np.concatenate([i - p[:, 1] for i, p in own])
+        by = np.lexsort((offset, which))
+        which, offset = which[by], offset[by]
+        edge = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1])))
+        for a, z in zip(edge, [*edge[1:], len(which)], strict=True):
+            t, here = int(which[a]), offset[a:z]
+            room = self.slack[t]
+            enough = np.searchsorted(here, here + 2 * room, "right") - np.arange(len(here)) >= self.votes[t]
+            if enough.any():
+                yield t, np.unique(np.unique(here[enough])[:, None] + np.arange(-room, room + 1))
+
+    def aligned(self, words: list[bytes], known: frozenset[str] = frozenset()) -> list[tuple[str, int, float]]:
+        """(label, start, agreement) of bodies whose words stand in order, each at most ``slack`` words off one offset.
+
+        Bodies of known labels are not looked for.
+
+        Offsets in reach of each other are one place: that of the best agreement, the middle one of several.
+        """
+        out, ids = [], None
+        for t, at in self.centres(words):
+            label, wanted, keys = self.templates[t]
+            if label in known:
+                continue
+            room = int(self.slack[t])
+            if ids is None:
+                ids = np.array([self.codes.get(w, 0) for w in words], np.int32)
+            body = np.array([self.codes[w] for w in wanted], np.int32)
+            same = np.concatenate([in_order(ids, body, at[k : k + TOGETHER], room) for k in range(0, len(at), TOGETHER)])
+            good = same >= least_words(wanted)
+            at, same = at[good], same[good]
+            for spots, counts in zip(*(np.split(x, np.flatnonzero(np.diff(at) > 2 * room + 1) + 1) for x in (at, same)), strict=True):
+                if len(spots):
+                    best = spots[counts == counts.max()]
+                    start = int(best[(len(best) - 1) // 2])
+                    if all(has(words, max(start - room, 0), start + len(wanted) + room, key) for key in keys):
+                        out.append((label, start, int(counts.max()) / len(wanted)))
+        return out
+
+
+def slack(n: int) -> int:
+    """How many words a word of a body of n words may be off its offset, to either side."""
+    return 1 + n // 40
+
+
+def in_order(ids: np.ndarray, body: np.ndarray, offsets: np.ndarray, room: int) -> np.ndarray:
+    """For each offset the longest common subsequence of the body and the words, no word over ``room`` places off the offset."""
+    pad = len(body) + 2 * room + 1
+    padded = np.concatenate((np.zeros(pad, np.int32), ids, np.zeros(pad, np.int32)))
+    band = offsets[:, None] + np.arange(-room, room + 1) + pad
+    inside = len(padded) - 1
+    best = np.zeros((len(offsets), 2 * room + 2), np.int32)  # the last column stays zero: nothing comes from beyond the band
+    for q, w in enumerate(body):
+        match = padded[np.clip(band + q, 0, inside)] == w
+        now = np.maximum(best[:, :-1] + match, best[:, 1:])
+        best[:, :-1] = np.maximum.accumulate(now, axis=1)
+    return best.max(1)
+
+
 def least_words(template: list[bytes]) -> int:
     """How many of a template's words must stand at their places."""
     return math.ceil(AGREE * len(template))
@@ -260,6 +422,7 @@ def _scanner(counts):
             for text in batch.column(1):
                 words = words_of(text.as_py())
                 base, more = base_places(words), index.scan(words)
+                more += index.aligned(words, frozenset(m[0] for m in more))
                 starts = [at for _, at in base]
                 labels = {label for label, _ in base}
                 row = (len(words), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels)), ",".join(sorted(labels | {m[0] for m in more})), 1.0 if base else max((m[2] for m in more), default=0.0), [(m[0], m[1], m[2]) for m in more])
