@@ -401,6 +401,17 @@ def test_top_k_edges(spark):
     assert sorted(tuple(r) for r in top_k.top_k(few, F.col("id") % 20 == 0, k=20).collect()) == [(0, 1, 1, 8192), (0, 2, 2, -64)]
 
 
+def test_top_k_of_an_id_and_of_a_row_that_hold_most_rows(spark):
+    random = np.random.default_rng(4)
+    vector = lambda: [float(x) for x in random.normal(0, 0.3, 6)]
+    rows = [(i, vector()) for i in range(60)] + [(7, vector()) for _ in range(150)] + [(20, vector()) for _ in range(30)]
+    rows += [(8, rows[8][1])] * 200 + [(40, rows[40][1])] * 40
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    rows = [(r.vec_id, list(r.embedding)) for r in df.collect()]
+    for block in (32, 100_000):
+        assert sorted(tuple(r) for r in top_k.top_k(df, F.col("id") % 20 == 0, k=20, block=block).collect()) == plain_top_k(rows, 20, 20)
+
+
 # ---- pages
 
 ARTICLE = "<html><head><title>t</title><style>x</style></head><body><nav>menu one two three four</nav><div class='ad'>buy</div><article><h1>Head &amp; more</h1><p>First <b>bold</b>\n<span class='ad-slot'>no</span> text<p>Second&nbsp;one<br>line</p><script>var a='</p>';</script><div class='comments'><p>me too</p></div></article><footer>foot</footer>"

@@ -11,7 +11,8 @@ one, is ever dropped; the sample decides how soon candidates go, never which res
 Scale: the work is queries times candidates by nature. Both sides are cut into blocks of bounded size, so tasks have equal size. A
 row is sent once to each block of the other side: with blocks of ``CANDIDATES`` and ``QUERIES`` rows the shuffle has a few
 ten-thousandths of the pairs that are compared. Blocks are dealt over a bounded number of partitions, each sends at most k
-rows a query, and bounds make most blocks send far fewer.
+rows a query, and bounds make most blocks send far fewer. Rows are dealt by id and vector, and of rows equal in both k go on, since more
+cannot be among k results; so neither an id nor a row that repeats without end fills a block.
 
 Defined cases: null vectors, and those with null, NaN or infinite components, take no part; vectors of unequal length are
 taken as if zeros followed; a row is no candidate of queries with its own id; rows that repeat an id are candidates each, and
@@ -148,7 +149,9 @@ def top_k(vectors: DataFrame, queries: F.Column, k: int = 20, scale: int = 64, i
     held = spark.sparkContext.broadcast((some.column("id").to_numpy(), lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists))
     c_blocks = max(1, -(-n // block), min(SPREAD, n // 2_048))
     q_blocks = max(1, -(-n_queries // min(block, QUERIES)))
-    deal = lambda m: F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")
+    deal = lambda m: F.pmod(F.xxhash64("id", "q"), F.lit(m)).cast("int")
+    copies = rows.groupBy("id", "q").agg(F.count("*").alias("n"))
+    rows = copies.select("id", "q", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)))).alias("copy")).select("id", "q")
     candidates = rows.select(deal(c_blocks).alias("c"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("b"), F.lit(0).alias("side"), "id", "q", F.lit(0.0).alias("least"))
     bounded = rows.filter(queries).mapInArrow(_bounder(held, k), "id bigint, q array<bigint>, least double")
     asked = bounded.select(F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("c"), deal(q_blocks).alias("b"), F.lit(1).alias("side"), "id", "q", "least")
