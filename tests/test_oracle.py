@@ -44,3 +44,16 @@ def test_query(name, spark, sf_dir, duck):
     columns = [d[0] for d in want.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, df.collect()) == rows_of(columns, want.fetchall())
+
+
+@pytest.mark.parametrize("name", ["page_list_items"])
+def test_sql_decodes_every_character_reference(name, spark, tmp_path):
+    """Titles cut behind ``&amp`` and the like: references without a semicolon, by number and by any name, as the parser reads them."""
+    texts = ["and&amp", "a &quot;b&quot; &am", "&nbsp;x&notit;y &#8211; &#x41;&#150;", " two\n lines &eacute;&copy", "&#0;&bogus; & &"]
+    htmls = [f'<html><title>{t}</title><body><h1>{t}</h1><ul><li><a href="/x">{t}</a></li></ul></body></html>' for t in texts] + ["<title>only - UMData</title>"]
+    spark.createDataFrame([(i, f"http://h/{i}", h) for i, h in enumerate(htmls)], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    df, want = catalogue.QUERIES[name](spark, str(tmp_path)), con.execute(catalogue.ORACLE_SQL[name])
+    columns = [d[0] for d in want.description]
+    assert rows_of(df.columns, df.collect()) == rows_of(columns, want.fetchall())

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
+from vellum.functions.scalars import WHITE
+
 _CODED = r"""SELECT p_partkey, p_size, p_retailprice, CAST(regexp_extract(p_brand, '(\d+)', 1) AS INT) AS brand,
   CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 90 END AS kind FROM part"""
 
@@ -22,6 +26,34 @@ _GRID = r"""SELECT page, row_idx, col_idx, text FROM (
     SELECT page, row_idx, string_split(line, ' ') AS ws FROM (
       SELECT doc_id AS page, unnest(range(len(ls))) AS row_idx, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))))"""
 
+# ---- character references, as HTML has them: every name (some need no semicolon, the longest counts) and every number
+
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
+_UNCLOSED = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+_WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)} | {0: "\ufffd", 13: "\r"}
+
+
+def _listed(values) -> str:
+    return "[" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in values) + "]"
+
+
+_REFERENCES = f"""refs AS MATERIALIZED (SELECT map({_listed(html5)}, {_listed(html5.values())}) AS names, map({_listed(_WINDOWS)}, {_listed(_WINDOWS.values())}) AS windows)"""
+
+
+def _decoded(text: str) -> str:
+    """The text with its character references decoded; needs ``refs`` of ``_REFERENCES`` in FROM."""
+    number = "try_cast(CASE WHEN x[3] IN ('x', 'X') THEN '0x' || rtrim(x[4:], ';') ELSE rtrim(x[3:], ';') END AS BIGINT)"
+    of_number = f"""CASE WHEN windows[CAST({number} AS VARCHAR)] IS NOT NULL THEN windows[CAST({number} AS VARCHAR)]
+      WHEN {number} IS NULL OR {number} BETWEEN 55296 AND 57343 OR {number} > 1114111 THEN chr(65533)
+      WHEN {number} IN (11, 127) OR {number} BETWEEN 1 AND 8 OR {number} BETWEEN 14 AND 31 OR {number} BETWEEN 64976 AND 65007 OR {number} % 65536 >= 65534 THEN ''
+      ELSE chr(CAST({number} AS INT)) END"""
+    start = f"nullif(regexp_extract(x[2:], '{_UNCLOSED}'), '')"
+    of_name = f"CASE WHEN names[x[2:]] IS NOT NULL THEN names[x[2:]] WHEN {start} IS NOT NULL THEN names[{start}] || x[2 + length({start}):] ELSE x END"
+    return f"array_to_string(list_transform(regexp_extract_all({text}, '{_REFERENCE}'), lambda x: CASE WHEN x[1] <> '&' OR x = '&' THEN x WHEN x[2] = '#' AND length(x) > 2 THEN {of_number} ELSE {of_name} END), '')"
+
+
+_TRIMMED = f"'{WHITE}'"
+
 _ISO = "strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d')"
 
 ORACLE_SQL = {
@@ -110,9 +142,9 @@ SELECT page_id, trim(h) AS name, trim(regexp_replace(h, '\s+', ' ', 'g')) AS hea
 WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]+)"', 1)) AS href, unnest(range(len(regexp_extract_all(html, '<a href="([^"]+)"', 1)))) AS i FROM pages),
 f AS (SELECT page_id, replace(href, '&amp;', '&') AS href, min(i) AS i FROM l GROUP BY 1, 2)
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS pos, href FROM f""",
-    "page_list_items": r"""
-WITH l AS (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t, unnest(regexp_extract_all(html, '(?s)<li><a href="[^"]*">(.*?)</a></li>', 1)) AS x, unnest(range(len(regexp_extract_all(html, '(?s)<li><a href="[^"]*">(.*?)</a></li>', 1)))) AS i FROM pages)
-SELECT page_id, CAST(i AS INT) AS pos, trim(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS heading, trim(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS text FROM l""",
+    "page_list_items": rf"""
+WITH {_REFERENCES}, l AS (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t, unnest(regexp_extract_all(html, '(?s)<li><a href="[^"]*">(.*?)</a></li>', 1)) AS x, unnest(range(len(regexp_extract_all(html, '(?s)<li><a href="[^"]*">(.*?)</a></li>', 1)))) AS i FROM pages)
+SELECT page_id, CAST(i AS INT) AS pos, trim({_decoded("t")}, {_TRIMMED}) AS heading, trim({_decoded("x")}, {_TRIMMED}) AS text FROM l, refs""",
     "grid_is_table": f"""
 WITH s AS (SELECT page, max(row_idx) + 1 AS r, max(col_idx) + 1 AS c, bool_or(row_idx = 0 AND contains(upper(text), 'GRAPH')) AS g, count(*) FILTER (text <> '') AS n FROM ({_GRID}) GROUP BY 1),
 x AS (SELECT page, CASE WHEN r < 3 THEN 'few rows' WHEN c < 2 THEN 'few columns' WHEN g THEN 'graph header' WHEN n = 0 THEN 'empty' ELSE '' END AS reason FROM s)
