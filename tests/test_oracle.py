@@ -46,7 +46,7 @@ def test_query(name, spark, sf_dir, duck):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["page_list_items"])
+@pytest.mark.parametrize("name", ["page_title_h1", "page_list_items"])
 def test_sql_decodes_every_character_reference(name, spark, tmp_path):
     """Titles cut behind ``&amp`` and the like: references without a semicolon, by number and by any name, as the parser reads them."""
     texts = ["and&amp", "a &quot;b&quot; &am", "&nbsp;x&notit;y &#8211; &#x41;&#150;", " two\n lines &eacute;&copy", "&#0;&bogus; & &"]

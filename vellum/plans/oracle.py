@@ -135,9 +135,11 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN 'Person ' || o_custkey END
     "url_parts": r"""
 SELECT page_id, 'https://base.example' || regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS link, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page_param,
   nullif(regexp_extract(url, 'page=(\d+)', 1), '') AS page_no, regexp_extract(url, '^[a-z]+://[^/?#]+/(?:[^?#]*/)?([^/?#]*)', 1) AS name FROM pages""",
-    "page_title_h1": r"""
-WITH h AS (SELECT page_id, replace(replace(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS h FROM pages)
-SELECT page_id, trim(h) AS name, trim(regexp_replace(h, '\s+', ' ', 'g')) AS heading FROM h""",
+    "page_title_h1": rf"""
+WITH {_REFERENCES}, p AS (SELECT page_id, nullif(regexp_extract_all(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1>', 1), [])[1] AS h, nullif(regexp_extract_all(html, '(?is)<title(?:\s[^>]*)?>(.*?)</title>', 1), [])[1] AS t FROM pages),
+d AS (SELECT page_id, {_decoded("h")} AS h, {_decoded("t")} AS t FROM p, refs WHERE h IS NOT NULL OR t IS NOT NULL)
+SELECT page_id, coalesce(nullif(trim(string_split(trim(h, {_TRIMMED}), chr(10))[1], {_TRIMMED}), ''), trim(replace(t, ' - UMData', ''), {_TRIMMED})) AS name,
+  trim(regexp_replace(h, '[{WHITE}]+', ' ', 'g'), {_TRIMMED}) AS heading FROM d""",
     "page_links": r"""
 WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]+)"', 1)) AS href, unnest(range(len(regexp_extract_all(html, '<a href="([^"]+)"', 1)))) AS i FROM pages),
 f AS (SELECT page_id, replace(href, '&amp;', '&') AS href, min(i) AS i FROM l GROUP BY 1, 2)
