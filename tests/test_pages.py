@@ -159,3 +159,15 @@ def test_tables_in_tables_and_repeated_headers(nodes):
     n, _ = nodes(html)
     got = [(r.row_idx, r.row) for r in L.html_tables(n).orderBy("row_idx").collect()]
     assert got == [(0, {"K": "2", "L": "in", "Column_3": "in"}), (1, {"K": "in"})]
+
+
+def test_only_cells_of_tables_leave_the_parser(nodes):
+    """A page's other elements, and attributes and texts that no rule of a table asks for, are neither copied nor moved."""
+    row = "<tr class='%s'><td data-x='%s'><a href='/p'>P</a> and <b>more</b><td>1/2/2000 - 3/4/2001</tr>" % ("c" * 500, "x" * 500)
+    n, _ = nodes("<p>" + "z" * 500 + "</p><table><thead><tr><th>Place<th>Dates</thead><tbody>" + row * 3 + "</tbody></table>", "<p>none</p>")
+    made = L.html_tables(n, links=True, base="https://b")
+    assert [(r.page_id, r.row_idx) for r in made.orderBy("row_idx").collect()] == [(0, 0), (0, 1), (0, 2)]
+    assert made.first().row == {"Place_URL": "https://b/p", "Place": "Pandmore", "Dates": "1/2/2000 - 3/4/2001", "StartDate": "2000-01-02", "EndDate": "2001-03-04"}
+    (batch,) = L._table_parser(True)(iter([n.select("page_id", "url", "html").toArrow().combine_chunks().to_batches()[0]]))
+    assert batch.schema.names == ["page_id", "names", "rows"]
+    assert batch.column(2).to_pylist() == [[[{"text": "Pandmore", "href": "/p"}, {"text": "1/2/2000 - 3/4/2001", "href": None}]] * 3, []]

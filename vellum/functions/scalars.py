@@ -173,7 +173,8 @@ def mdy_iso(text: Column | str) -> Column:
     """month/day/year as ISO text by position, unchecked, parts without blanks around them; other text unchanged; null if there is none."""
 
     def iso(text: Column) -> Column:
-        parts = F.transform(F.split(text, "/"), strip)
+        parts = F.split(text, "/")
+        parts = F.when(text.rlike(r"\A\d+/\d+/\d+\z"), parts).otherwise(F.transform(parts, strip))  # most have no blanks to look for
         return let(parts, lambda p: F.when(F.size(p) == 3, F.concat_ws("-", p[2], padded2(p[0]), padded2(p[1]))).otherwise(F.nullif(text, F.lit(""))))
 
     return let(_col(text), iso)
@@ -184,12 +185,12 @@ def date_range(text: Column | str) -> Column:
     text = _col(text)
 
     def ends(parts: Column) -> Column:
-        last = strip(F.try_element_at(parts, F.lit(2)))
-        start = F.when(F.size(parts) > 2, text).otherwise(mdy_iso(strip(parts[0])))
+        last = F.try_element_at(parts, F.lit(2))
+        start = F.when(F.size(parts) > 2, text).otherwise(mdy_iso(parts[0]))
         end = F.when((F.size(parts) == 2) & (F.lower(last) != "present"), mdy_iso(last))
         return F.struct(start.alias("start"), end.alias("end"))
 
-    return let(F.split(text, r"(?U)\s*-\s*"), ends)
+    return let(F.transform(F.split(text, r"(?U)\s*-\s*"), strip), ends)
 
 
 def pivot_year(year: Column | str) -> Column:

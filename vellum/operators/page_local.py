@@ -28,48 +28,57 @@ BATCH = 16_000_000
 
 
 def _parser(tags: frozenset[str] | None, classes: frozenset[str], texts: frozenset[str], fields: tuple[str, ...]):
-    element = pa.struct([(f, TYPES[f]) for f in fields])
     forms = [f for f in ("text", "text_sp", "text_raw") if f in fields]
+    parents, idents, classed, attributed = ("parent" in fields, "id" in fields, "classes" in fields, "attrs" in fields)
+    kinds = [TYPES[f] for f in fields]
 
-    def elements_of(html: str) -> tuple[list[dict], int]:
-        tree, out, size, upto = tree_of(html), [], 0, []
+    def elements_of(html: str, held: dict[str, list]) -> tuple[int, int]:
+        """Adds a page's elements to the columns; how many they are, and their bytes."""
+        tree, size, upto, ends, n = tree_of(html), 0, [], [], 0
         strings = [s for _, s in tree.strings]
         for row in tree.rows:
-            attrs = row["attrs"]
+            attrs, tag = row["attrs"], row["tag"]
             own = attrs["class"].split() if "class" in attrs else []
-            if tags is None or row["tag"] in tags or not classes.isdisjoint(own):
-                made = {"at": len(out), "end": row["last"], "tag": row["tag"]}
-                if "parent" in fields:
-                    made["parent"] = None if row["parent"] is None else tree.rows[row["parent"]]["tag"]
-                if "id" in fields:
-                    made["id"] = attrs.get("id")
-                if "classes" in fields:
-                    made["classes"] = own
-                if "attrs" in fields:
-                    made["attrs"] = list(attrs.items())
-                if forms and (row["tag"] in texts or not texts.isdisjoint(own)):
-                    inner = strings[row["start"] : row["end"]]
-                    bare = [s for s in (x.strip() for x in inner) if s]
-                    for form in forms:
-                        made[form] = "".join(bare) if form == "text" else " ".join(bare) if form == "text_sp" else "".join(inner)
-                        size += len(made[form])
-                out.append(made)
-            upto.append(len(out) - 1)
-        for made in out:
-            made["end"] = upto[made["end"]]
-        return out, size + 200 * len(out)
+            if tags is None or tag in tags or (own and not classes.isdisjoint(own)):
+                held["at"].append(n)
+                held["tag"].append(tag)
+                ends.append(row["last"])
+                n += 1
+                if parents:
+                    held["parent"].append(None if row["parent"] is None else tree.rows[row["parent"]]["tag"])
+                if idents:
+                    held["id"].append(attrs.get("id"))
+                if classed:
+                    held["classes"].append(own)
+                if attributed:
+                    held["attrs"].append(list(attrs.items()))
+                if forms:
+                    if tag in texts or (own and not texts.isdisjoint(own)):
+                        inner = strings[row["start"] : row["end"]]
+                        bare = [s for s in (x.strip() for x in inner) if s]
+                        for form in forms:
+                            made = "".join(bare) if form == "text" else " ".join(bare) if form == "text_sp" else "".join(inner)
+                            held[form].append(made)
+                            size += len(made)
+                    else:
+                        for form in forms:
+                            held[form].append(None)
+            upto.append(n - 1)
+        held["end"].extend([upto[last] for last in ends])
+        return n, size + 200 * n
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done, held, size = 0, [], 0
+            done, held, offsets, size = 0, {f: [] for f in fields}, [0], 0
             for i, html in enumerate(batch.column(2)):
-                own, more = elements_of(html.as_py() or "")
-                held.append(own)
+                n, more = elements_of(html.as_py() or "", held)
+                offsets.append(offsets[-1] + n)
                 size += more
                 if size > BATCH or i == batch.num_rows - 1:
-                    rows = batch.slice(done, len(held))
-                    yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(held, pa.list_(element))], ["page_id", "url", "els"])
-                    done, held, size = i + 1, [], 0
+                    rows = batch.slice(done, len(offsets) - 1)
+                    parts = pa.StructArray.from_arrays([pa.array(held[f], t) for f, t in zip(fields, kinds, strict=True)], fields=[pa.field(f, t) for f, t in zip(fields, kinds, strict=True)])
+                    yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), parts)], ["page_id", "url", "els"])
+                    done, held, offsets, size = i + 1, {f: [] for f in fields}, [0], 0
 
     return parse
 
@@ -148,44 +157,73 @@ def _unfolded(rows: DataFrame, items: Column, names: list[str], pos: str | None
 # ---- tables
 
 
-def table_rows(els: Column, links: bool = False, base: str = "", skip_text: str = "View Charts", dates: str = "Dates") -> Column:
-    """Rows of the first table as maps from header to text; the rules are those of ``html_tables``."""
+def _table_parser(links: bool):
+    """(page_id, url, html) to (page_id, names, rows): the headers of a page's first table, and its rows' cells with their text and first link."""
+    cell, text = pa.struct([("text", pa.string()), ("href", pa.string())]), pa.string()
+    row = pa.list_(cell)
+
+    def table_of(html: str) -> tuple[list[str], list[list[tuple[str, str | None]]]]:
+        tree = tree_of(html)
+        els, strings = tree.rows, [s.strip() for _, s in tree.strings]
+        of = lambda tag, box: next((i for i in range(box + 1, els[box]["last"] + 1) if els[i]["tag"] == tag), None) if box is not None else None
+        text_of = lambda e: "".join(strings[e["start"] : e["end"]])
+        table = next((i for i, e in enumerate(els) if e["tag"] == "table"), None)
+        top, body = of("tr", of("thead", table)), of("tbody", table)
+        names = [text_of(e) for e in els[top + 1 : els[top]["last"] + 1] if e["tag"] in ("td", "th")] if top is not None else []
+        if table is None or (body is None and not links):
+            return names, []
+        box = table if body is None else body
+        lines = [i for i in range(box + 1, els[box]["last"] + 1) if els[i]["tag"] == "tr"][0 if body is not None else 1 :]
+        cells = lambda tr: [i for i in range(tr + 1, els[tr]["last"] + 1) if els[i]["tag"] in ("td", "th")]
+        href = lambda link: els[link]["attrs"].get("href") if link is not None else None
+        return names, [[(text_of(els[c]), href(of("a", c)) if links else None) for c in cells(tr)] for tr in lines]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done, heads, rows, cells, texts, hrefs, size = 0, [], [0], [0], [], [], 0
+            for i, html in enumerate(batch.column(2)):
+                names, lines = table_of(html.as_py() or "")
+                heads.append(names)
+                for line in lines:
+                    for own, href in line:
+                        texts.append(own)
+                        hrefs.append(href)
+                        size += 20 + len(own) + len(href or "")
+                    cells.append(len(texts))
+                rows.append(len(cells) - 1)
+                if size > BATCH or i == batch.num_rows - 1:
+                    flat = pa.StructArray.from_arrays([pa.array(texts, text), pa.array(hrefs, text)], fields=list(cell))
+                    nested = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.ListArray.from_arrays(pa.array(cells, pa.int32()), flat, row))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(heads)), pa.array(heads, pa.list_(text)), nested], ["page_id", "names", "rows"])
+                    done, heads, rows, cells, texts, hrefs, size = i + 1, [], [0], [0], [], [], 0
+
+    return parse
+
+
+def table_rows(rows: Column, names: Column, links: bool = False, base: str = "", skip_text: str = "View Charts", dates: str = "Dates") -> Column:
+    """Rows of cells as maps from header to text; the rules are those of ``html_tables``."""
     entry = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
 
-    def entries(header: Column, cell: Column, inner: Column) -> Column:
-        """What a cell gives; ``inner``: the elements in its row."""
+    def entries(header: Column, cell: Column) -> Column:
+        """What a cell gives."""
         if not links:
             return F.array(entry(header, cell["text"]))
-        link = S.absolutise(F.try_element_at(first(inner, lambda e: is_tag("a")(e) & (e["at"] > cell["at"]) & (e["at"] <= cell["end"]))["attrs"], F.lit("href")), base)
-        dated = (header == dates) & (cell["text"] != "")
-        given = S.let(F.struct(link.alias("link"), S.date_range(cell["text"]).alias("span")), lambda x: F.array(
-            F.when(S.or_empty(x["link"]) != "", entry(F.concat(header, F.lit("_URL")), x["link"])), F.when(header != skip_text, entry(header, cell["text"])),
-            F.when(dated, entry(F.lit("StartDate"), x["span"]["start"])), F.when(dated, entry(F.lit("EndDate"), x["span"]["end"])),
-        ))
+        link, dated = S.absolutise(cell["href"], base), (header == dates) & (cell["text"] != "")
+        linked, shown = S.or_empty(cell["href"]) != "", header != skip_text
+        plain = F.array(F.when(linked, entry(F.concat(header, F.lit("_URL")), link)), F.when(shown, entry(header, cell["text"])))
+        spans = S.let(S.date_range(cell["text"]), lambda d: F.array(entry(F.lit("StartDate"), d["start"]), entry(F.lit("EndDate"), d["end"])))
+        given = F.when(dated, F.concat(plain, spans)).otherwise(plain)
         return F.filter(given, lambda e: e.isNotNull())
 
     def last_of_key(found: Column) -> Column:
         keys = F.reverse(F.transform(found, lambda e: e["key"]))
         return S.let(keys, lambda ks: F.filter(found, lambda e, i: F.array_position(ks, e["key"]) == F.size(found) - i))
 
-    def row(tr: Column, names: Column) -> Column:
-        def made(inner: Column) -> Column:
-            cells = F.filter(inner, is_tag("td", "th"))
-            each = F.transform(cells, lambda c, j: S.let(F.coalesce(F.get(names, j), F.concat(F.lit("Column_"), j.cast("string"))), lambda h: entries(h, c, inner)))
-            return S.let(F.flatten(each), lambda found: F.map_from_entries(last_of_key(found)))
-
-        return S.let(within(els, tr), made)
-
-    def used(parts: Column) -> Column:
-        """``parts``: what is in the table, its head and its body."""
-        names = F.transform(F.filter(within(els, first(within(els, parts["head"]), is_tag("tr"))), is_tag("td", "th")), lambda c: c["text"])
-        body = parts["body"].isNotNull()
-        mine = lambda tr: body & (tr["at"] > parts["body"]["at"]) & (tr["at"] <= parts["body"]["end"])
-        some = F.filter(F.filter(parts["in"], is_tag("tr")), (lambda tr, i: F.when(body, mine(tr)).otherwise(i > 0)) if links else mine)
-        return S.let(names, lambda n: F.filter(F.transform(some, lambda tr: row(tr, n)), lambda m: F.size(m) > 0))
+    def row(cells: Column) -> Column:
+        each = F.transform(cells, lambda c, j: S.let(F.coalesce(F.get(names, j), F.concat(F.lit("Column_"), j.cast("string"))), lambda h: entries(h, c)))
+        return S.let(F.flatten(each), lambda found: F.map_from_entries(last_of_key(found)))
 
-    inner = within(els, first(els, is_tag("table")))
-    return S.let(inner, lambda x: S.let(F.struct(x.alias("in"), first(x, is_tag("thead")).alias("head"), first(x, is_tag("tbody")).alias("body")), used))
+    return F.filter(F.transform(rows, row), lambda m: F.size(m) > 0)
 
 
 def html_tables(pages: DataFrame, links: bool = False, base: str = "", skip_text: str = "View Charts", dates: str = "Dates") -> DataFrame:
@@ -194,9 +232,10 @@ def html_tables(pages: DataFrame, links: bool = False, base: str = "", skip_text
     Headers come from the first row of ``thead``; a cell past them is Column_i. Without ``tbody`` all rows but the first are
     used when ``links`` is set, else none. With ``links`` a cell's first link is kept as <header>_URL, cells under
     ``skip_text`` keep only the link, and ``dates`` also gives StartDate and EndDate. A later cell of the same header wins.
+    Only cells leave the parser: texts and links that no rule asks for are neither copied nor moved.
     """
-    els = html_elements(pages, "table thead tbody tr td th" + (" a" if links else ""), "td th", "text attrs" if links else "text")
-    return els.select("page_id", F.posexplode(table_rows(F.col("els"), links, base, skip_text, dates)).alias("row_idx", "row"))
+    cells = pages.select("page_id", "url", "html").mapInArrow(_table_parser(links), "page_id bigint, names array<string>, rows array<array<struct<text: string, href: string>>>")
+    return cells.select("page_id", F.posexplode(table_rows(F.col("rows"), F.col("names"), links, base, skip_text, dates)).alias("row_idx", "row"))
 
 
 # ---- sermons, documents, lists
