@@ -116,3 +116,14 @@ def test_mode_counts_before_it_chooses(spark):
     got = survey.mode_by(rows, ["g"], "x")
     assert {r.g: r.mode for r in got.collect()} == {"a": 1, "b": None, "c": 3, None: 5}
     assert "mode(" not in plan_of(got)
+
+
+def test_cells_of_grids_are_shuffled_once_even_with_a_constant_in_their_key(spark):
+    """One shuffle of the cells and one of the header rows; rows with the names of their whole table are not moved."""
+    from vellum.operators import grid
+
+    cells = spark.range(60).selectExpr("id % 3 AS page", "id div 3 % 5 AS row_idx", "id div 15 AS col_idx", "concat('v', id) AS text").withColumn("table_index", F.lit(0))
+    got = grid.grid_to_records(cells, ["page", "table_index"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+    assert got.count() == 3 * 4 * 4 and got.filter("header = 'v45' and page = 0").count() == 4

@@ -64,15 +64,17 @@ def grid_to_records(cells: DataFrame, key: list[str] = KEY, least_rows: int = 2)
     Short rows are filled with '', values are trimmed and lose thousands commas, empty rows are dropped, and tables with fewer
     than ``least_rows`` rows left are dropped. A table with a row longer than its header is left out: see ``overlong``.
     """
-    names = headers(cells, key)
-    body = cells.filter("row_idx > 0").withColumn("value", S.strip_commas(S.strip(F.coalesce("text", F.lit("")))))
-    rows = body.groupBy(*key, "row_idx").agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("_cells"), F.bool_or(F.col("value") != "").alias("_some"))
-    width = names.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("col_idx", "header"))).alias("_names"), F.max("col_idx").alias("_last"))
-    wide = rows.filter("_some").join(width, key)
-    good = wide.withColumn("_long", F.max(F.array_max(F.map_keys("_cells")) > F.col("_last")).over(Window.partitionBy(*key)))
-    good = good.withColumn("_rows", F.count("*").over(Window.partitionBy(*key))).filter(~F.col("_long") & (F.col("_rows") >= least_rows))
+    # one column holds the key, so that one shuffle of bare cells serves all steps, whichever parts of a key are constant
+    dealt = cells.select(F.struct(*key).alias("_key"), "row_idx", "col_idx", "text").repartition("_key")
+    body = dealt.filter("row_idx > 0").withColumn("value", S.strip_commas(S.strip(F.coalesce("text", F.lit("")))))
+    rows = body.groupBy("_key", "row_idx").agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("_cells"), F.bool_or(F.col("value") != "").alias("_some"), F.max("col_idx").alias("_end"))
+    table = Window.partitionBy("_key")
+    some = rows.filter("_some").withColumns({"_rows": F.count("*").over(table), "_most": F.max("_end").over(table)}).filter(F.col("_rows") >= least_rows)
+    width = headers(dealt, ["_key"]).groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("col_idx", "header"))).alias("_names"), F.max("col_idx").alias("_last"))
+    good = some.join(width, "_key").filter("_most <= _last")
     cell = F.explode("_names").alias("_n")
-    return good.select(*key, "row_idx", "_cells", cell).select(*key, "row_idx", "_n.col_idx", "_n.header", F.coalesce(F.try_element_at("_cells", F.col("_n.col_idx")), F.lit("")).alias("value"))
+    own = [F.col("_key")[k].alias(k) for k in key]
+    return good.select(*own, "row_idx", "_cells", cell).select(*key, "row_idx", "_n.col_idx", "_n.header", F.coalesce(F.try_element_at("_cells", F.col("_n.col_idx")), F.lit("")).alias("value"))
 
 
 def overlong(cells: DataFrame, key: list[str] = KEY) -> DataFrame:
