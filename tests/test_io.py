@@ -190,3 +190,12 @@ def test_json_ingest(spark, tmp_path):
     (tmp_path / "in" / "a.json").write_text('{"k": "1", "v": 2}\n{"k": "1", "v": 3}\n')
     ingest_json(spark, str(tmp_path / "in"), str(tmp_path / "c"), str(tmp_path / "t"), "k string, v int", "k").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+def test_text_files_are_written_by_many_tasks(spark, tmp_path):
+    """One file a row, also for rows that came in one partition, and each row once."""
+    rows = spark.range(40).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("value")).coalesce(1)
+    sinks.write_text_files(rows, f"{tmp_path}/texts")
+    files = list((tmp_path / "texts").glob("part-*.txt"))
+    assert sorted(f.read_text() for f in files) == sorted(f"t{i}\n" for i in range(40))
+    assert len({f.name.split("-")[1] for f in files}) > 4

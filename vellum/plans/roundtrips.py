@@ -83,7 +83,7 @@ def text_files(spark, sf_dir):
     """Each supplier's text in a file of its own, read as whole stripped texts."""
     path = new_path(spark, "texts")
     body = F.concat(F.lit(" \t"), F.col("s_name"), F.lit("\n\nbalance "), text(F.floor("s_acctbal")), F.lit("\u00a0\n"))
-    table(spark, sf_dir, "supplier").select(body.alias("value")).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+    sinks.write_text_files(table(spark, sf_dir, "supplier").select(body.alias("value")), path)
     got = readers.read_text_corpus(spark, path, "suppliers")
     return got.select("full_text", F.col("source_key").startswith("file://suppliers/part-").alias("keyed"), (F.col("source_key") == F.concat(F.lit("file://suppliers/"), "file_name")).alias("named"))
 

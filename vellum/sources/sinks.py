@@ -73,6 +73,13 @@ def write_text_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_text_files(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One text file for each row of a single text column. Opening a file is the work, so rows are dealt over all cores whatever they weigh."""
+    spark = df.sparkSession
+    tasks = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.repartition(tasks).write.mode(mode).option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
