@@ -279,7 +279,7 @@ def ingest_texts(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("\n"), "s_name", F.lit("\n\tline two\n")).alias("value"))
     for part in (rows.filter("s_suppkey % 2 = 0"), rows.filter("s_suppkey % 2 = 1"), None):
         if part is not None:
-            part.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+            sinks.write_text_files(part.select("value"), folder, "append")
         ingest_available(spark, folder, check, target, "suppliers").awaitTermination()
     return spark.read.parquet(target).select("full_text")
 
