@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import zlib
@@ -223,6 +224,51 @@ def test_samples_hold_whole_texts_up_to_their_bytes(spark):
     assert G.train(docs, F.lit(True), sample_bytes=1)[1] == [] and G.train(docs, F.lit(True))[1] == ["en"]
 
 
+def test_every_labelled_row_is_learned(spark, monkeypatch):
+    """A word that only the rows of the greatest hashes hold, of more rows than one sample or part; parts are learned apart and again alike."""
+    monkeypatch.setattr(T, "PART", 1500, raising=False)
+    pick = random.Random(4)
+    rows = [[i, " ".join(f"w{pick.randrange(60)}" for _ in range(8)), int(i % 3 == 0)] for i in range(4500)]
+    toxic = sorted((r for r in rows if r[2]), key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest())
+    late = {r[0] for r in toxic[1250:]}
+    for r in toxic:
+        r[1] += " zounds" if r[0] in late else " moron"
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    model = T.train(docs, labels, F.lit(True))
+    got = {r.doc_id: r.score for r in T.score(docs, model).collect()}
+    assert all((got[i] >= 0.5) == bool(y) for i, _, y in rows) and len(late) == 250
+    again = T.train(docs.repartition(7), labels, F.lit(True))
+    assert {r.doc_id: r.score for r in T.score(docs, again).collect()} == got
+
+
+def test_counts_and_thresholds_are_of_all_rows(spark, monkeypatch):
+    """Words by language equal a plain count of every row, the threshold is the best of every row kept back; labels beyond a broadcast give the same."""
+    monkeypatch.setattr(T, "PART", 300, raising=False)
+    rows = [(i, t + f" only{i % 700}", "ab"[i % 2], y) for i, (t, y) in enumerate(toxic_corpus(4200, 8))]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id bigint, toxic int")
+    model, base = T.train(docs, labels, F.lit(True))
+    assert base == sum(r[3] for r in rows) / len(rows)
+    counts = np.full((len(model.known), 2), 0.5)
+    for _, text, lang, _ in rows:
+        spots = T._rows(T._features([text.encode()])[0], model.known)[:, 0]
+        np.add.at(counts[:, "ab".index(lang)], spots[spots < len(model.known)], 1)
+    odds = np.log(counts / counts.sum(0))
+    assert model.speech[:-1] == pytest.approx(odds - odds.mean(1, keepdims=True), abs=1e-5)
+    back = {r.doc_id for r in docs.filter(F.pmod(F.xxhash64(F.lit("kept back"), F.col("doc_id").cast("string")), F.lit(5)) == 0).collect()}
+    z, _ = T.logits(model, [r[1].encode() for r in rows if r[0] in back])
+    y = np.array([r[3] for r in rows if r[0] in back]) == 1
+
+    def f1(cut):
+        return 2 * (y & (z > cut)).sum() / ((z > cut).sum() + y.sum())
+
+    assert f1(model.shift[-1]) == pytest.approx(max(f1(c) for c in z - 1e-6), abs=0.005)
+    monkeypatch.setattr(T.bloom, "FEW", 10)
+    other, _ = T.train(docs, labels, F.lit(True))
+    assert (other.vectors == model.vectors).all() and (other.shift == model.shift).all()
+
+
 def test_equally_likely_languages_give_the_first(spark):
     docs = small(spark, [("same words here", "b"), ("same words here", "a")])
     assert {r.lang_pred for r in G.identify(docs, G.train(docs, F.lit(True))).collect()} == {"a"}
