@@ -542,6 +542,29 @@ def test_only_hosts_with_an_open_page_make_runs(spark, monkeypatch, few):
     assert H.main_text(spark.createDataFrame(rows[3:5], "page_id bigint, url string, html string")).count() == 2 and names == ["pages"]
 
 
+def test_what_stands_beside_an_article_in_the_main_part_is_judged_by_its_repeats(spark):
+    """A line beside the article goes where other pages of the host have it and stays where none has; articles, mains without one and copies keep theirs."""
+    line, own = "a line of seven words stands here", "a heading of page {} beside its article"
+    page = lambda i, head=line: f"<nav>menu</nav><p>outside</p><main><div>{head}</div><h1>{own.format(i)}</h1><article><p>text {i}</p><p>{line}</p></article></main>"
+    rows = [*((i, f"http://h/{i}", page(i)) for i in range(3)), (3, "http://h/3", page(3, "a notice that only this page of all has")), (4, "http://h/4", f"<main><p>{line}</p></main>")]
+    rows += [(5, "http://copies/5", page(5)), (6, "http://copies/6", page(5)), (7, "http://h/7", f"<div role='main'><p>{line}</p><div role='article'>text 7</div></div>")]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()}
+    rest = {i: f"a heading of page {i} beside its article\ntext {i}\n{line}" for i in range(4)}
+    copy = f"{line}\na heading of page 5 beside its article\ntext 5\n{line}"
+    assert got == rest | {3: f"a notice that only this page of all has\n{rest[3]}", 4: line, 5: copy, 6: copy, 7: "text 7"}
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<main><p>beside</p><article>kept</article></main><p>outside</p>", [("open", "beside"), ("content", "kept"), ("noise", "outside")]),
+    ("<div id='main-content'><p>kept</p></div><p>outside</p>", [("content", "kept"), ("noise", "outside")]),
+    ("<article>kept</article><main>too</main>", [("content", "kept"), ("open", "too")]),
+    ("<main><article><p>kept</p></article><div class='ad'>no</div></main>", [("content", "kept"), ("noise", "no")]),
+    ("<div class='widget'><main><p>kept</p></main></div>", [("content", "kept")]),
+])
+def test_kinds_of_blocks(html, want):
+    assert H.blocks_of(html) == want
+
+
 def test_query_texts_equal_a_plain_reading_of_the_articles(spark, sf_dir):
     """op7 over whole pages of the shared table, whose articles hold only headings, paragraphs, bold text and line breaks."""
     import html as entities
