@@ -269,6 +269,18 @@ def test_counts_and_thresholds_are_of_all_rows(spark, monkeypatch):
     assert (other.vectors == model.vectors).all() and (other.shift == model.shift).all()
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_labelled_rows_are_dealt_whole(spark, monkeypatch, few):
+    """Each part is in one task and each labelled text in one part, once, whichever way labels meet texts; ids may differ in type."""
+    monkeypatch.setattr(T, "PART", 10)
+    monkeypatch.setattr(T.bloom, "FEW", few)
+    texts = spark.createDataFrame([(i % 300, f"text {i % 300}", None) for i in range(600)], "id bigint, text string, lang string").repartition(5)
+    marked = spark.createDataFrame([(i, i % 2) for i in range(100, 400)], "id int, label int")
+    rows = T._dealt(texts, marked, None).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.text, r.label) for r in rows) == sorted((f"text {i}", i % 2) for i in range(100, 300))
+    assert len({r.part for r in rows}) > 20 and len({(r.part, r.task) for r in rows}) == len({r.part for r in rows}) == len({r.task for r in rows})
+
+
 def test_equally_likely_languages_give_the_first(spark):
     docs = small(spark, [("same words here", "b"), ("same words here", "a")])
     assert {r.lang_pred for r in G.identify(docs, G.train(docs, F.lit(True))).collect()} == {"a"}

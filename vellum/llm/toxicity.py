@@ -22,6 +22,7 @@ repeated rows are scored each; equal texts get equal scores; extra columns are i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -334,26 +335,14 @@ def _thresholds(rows: DataFrame, model: Model) -> np.ndarray:
     return np.array([whole if x is None else x for x in own] + [whole])
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, usable: F.Column, positives: int | None, negatives: int | None, id_col: str, text_col: str, label_col: str, lang_col: str, sample_bytes: int | None) -> DataFrame:
-    """(key, label, lang, text) of every labelled row with a text; texts of documents without a label are hardly moved."""
+def _marked(labels: DataFrame, usable: F.Column, positives: int | None, negatives: int | None, id_col: str, label_col: str) -> DataFrame:
+    """(id, label) of the labelled rows, each id once."""
     marked = labels.filter(usable).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     marked = marked.filter(F.col("id").isNotNull() & F.col("label").isin(0, 1)).groupBy("id").agg(F.min("label").alias("label"))
-    if positives is not None or negatives is not None:
-        most = [2**62 if x is None else x for x in (positives, negatives)]
-        marked = hashed_sample(marked, "label", F.when(F.col("label") == 1, most[0]).otherwise(most[1]))
-    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang")).filter("text IS NOT NULL")
-    n = marked.count()
-    slices = bloom.slices_for(n)
-    if n <= bloom.FEW:
-        marked = F.broadcast(marked)
-    elif slices <= bloom.MOST:
-        texts = bloom.with_hits(texts, "id", bloom.bloom_filter(marked, "id", slices), slices).filter("_hit").drop("_hit")
-    rows = texts.join(marked, "id").select(F.col("id").cast("string").alias("key"), "label", "lang", "text")
-    if sample_bytes is not None:
-        size = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy(F.md5("key"), "key", F.xxhash64("text"), "lang").rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn("size", size).filter(F.col("size") <= sample_bytes).drop("size")
-    return rows
+    if positives is None and negatives is None:
+        return marked
+    most = [2**62 if x is None else x for x in (positives, negatives)]
+    return hashed_sample(marked, "label", F.when(F.col("label") == 1, most[0]).otherwise(most[1]))
 
 
 @tidy
@@ -367,14 +356,29 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(batch.schema.names[:-1]).filter(pa.array(fresh, pa.bool_()))
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """The rows in parts, one of each id, in the order of a hash; a fifth is marked as kept back."""
-    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    parts = max(1, -(-n // PART), -(-size // PART_BYTES))
+def _dealt(texts: DataFrame, marked: DataFrame, sample_bytes: int | None) -> DataFrame:
+    """The labelled rows of (id, lang, text) in parts, one of each id, in the order of a hash; a fifth is marked as kept back.
+
+    A part is what Spark's hash of the id gives one task, so labels meet texts where these are dealt to. Few labels are broadcast; of more a
+    Bloom filter keeps texts without one from moving.
+    """
+    marked = marked.withColumn("id", F.col("id").cast(texts.schema["id"].dataType))
+    n, mean = marked.count(), texts.agg(F.coalesce(F.avg(F.octet_length("text")), F.lit(0.0))).first()[0]
+    parts = max(1, -(-n // PART), math.ceil(n * mean / PART_BYTES))
+    slices = bloom.slices_for(n)
+    if n <= bloom.FEW:
+        rows = texts.join(F.broadcast(marked), "id").repartition(parts, "id")
+    else:
+        if slices <= bloom.MOST:
+            texts = bloom.with_hits(texts, "id", bloom.bloom_filter(marked, "id", slices), slices).filter("_hit").drop("_hit")
+        rows = texts.repartition(parts, "id").join(marked.repartition(parts, "id"), "id")
+    rows = rows.withColumn("key", F.col("id").cast("string"))
+    if sample_bytes is not None:
+        size = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy(F.md5("key"), "key", F.xxhash64("text"), "lang").rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("size", size).filter(F.col("size") <= sample_bytes).repartition(parts, "id")
     held = F.pmod(F.xxhash64(F.lit("kept back"), "key"), F.lit(5)) == 0
-    dealt = rows.select(F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias("part"), "label", "lang", "text", held.alias("held"), "key")
-    dealt = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part", F.md5("key"), "key", F.xxhash64("text"), "lang")
-    return dealt.mapInArrow(_once, "part int, label int, lang string, text string, held boolean")
+    dealt = rows.select(F.pmod(F.hash("id"), F.lit(parts)).alias("part"), "label", "lang", "text", held.alias("held"), "key")
+    return dealt.sortWithinPartitions("part", F.md5("key"), "key", F.xxhash64("text"), "lang").mapInArrow(_once, "part int, label int, lang string, text string, held boolean")
 
 
 def _fitted(rows: DataFrame) -> tuple[Model | None, float]:
@@ -413,9 +417,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: F.Column, positives: int |
     Callers that want a bounded sample may give the most rows of each label, or the most bytes of each label's texts; nothing is bounded otherwise.
     Without a column ``lang_col`` all texts share one threshold.
     """
-    rows = written(_labelled(docs, labels, usable, positives, negatives, id_col, text_col, label_col, lang_col, sample_bytes), "labelled")
-    dealt = written(_dealt(rows), "dealt")
-    drop_written(rows)
+    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang")).filter("text IS NOT NULL")
+    dealt = written(_dealt(texts, _marked(labels, usable, positives, negatives, id_col, label_col), sample_bytes), "dealt")
     model = _fitted(dealt)
     drop_written(dealt)
     return model
